@@ -48,7 +48,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 def letters(text: str) -> str:
     counts = [f"(length(lower({text})) - length(replace(lower({text}), '{letter}', '')))" for letter in LETTERS]
-    total = " + ".join(counts)
+    total = f"length(regexp_replace(lower({text}), '[^a-z]', '', 'g'))"
     return "[" + ", ".join(f"coalesce({count}::DOUBLE / nullif({total}, 0), 0e0)" for count in counts) + "]"
 
 
@@ -422,18 +422,17 @@ add(
     "raw_prices",
 )
 add("clean_prices", "SELECT * FROM cleaned", "cleaned")
-add(
-    "clean_stats",
-    """
+add("clean_prices_split", "SELECT * FROM cleaned", "cleaned")
+_STATS = """
     SELECT 'feed' AS source, (SELECT count(*) FROM raw_prices) AS input_rows, (SELECT count(*) FROM valid) AS output_rows,
            (SELECT count(*) FROM raw_prices) - (SELECT count(*) FROM keyed) AS dropped_nulls,
            (SELECT count(*) FROM keyed) - (SELECT count(*) FROM sane) AS dropped_zeros,
            (SELECT count(*) FROM keyed WHERE close > 0 AND high < low) AS dropped_ohlc,
            (SELECT count(*) FROM sane) - (SELECT count(*) FROM newest) AS dropped_dupes,
            (SELECT count(*) FROM newest) - (SELECT count(*) FROM valid) AS validation_errors
-    """,
-    "valid",
-)
+"""
+add("clean_stats", _STATS, "valid")
+add("refresh_stats", _STATS, "valid")
 add("rejects", "SELECT ticker, date, volume, 'volume_not_negative' AS failed_rules FROM newest WHERE volume < 0", "newest")
 add(
     "dedup_last",

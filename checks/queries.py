@@ -176,6 +176,13 @@ def clean_prices(spark, sf):
     return cleaned.drop("a1", "a2", "a3")
 
 
+@query
+def clean_prices_split(spark, sf):
+    """The same with long series cut into runs."""
+    cleaned = clean.clean_prices(fx.raw_prices(spark, sf), "feed", fx.ARRIVAL, audit=False, max_rows=100)
+    return cleaned.drop("a1", "a2", "a3")
+
+
 @query
 def clean_stats(spark, sf):
     return clean.clean_stats(fx.raw_prices(spark, sf), "feed", fx.ARRIVAL)
@@ -648,7 +655,7 @@ def csv_summary(spark, sf):
     """Label counts per ticker, exported as CSV and read back."""
     folder = scratch.new_folder(spark)
     summary = ag.sentiment_by_ticker(fx.scored_news(spark, sf), stable)
-    writers.write_csv_summary(summary, folder)
+    writers.write_csv_summary(summary, folder, [F.col("positive").desc(), "ticker"])
     return spark.read.schema(summary.schema).option("header", True).csv(folder)
 
 
@@ -686,6 +693,11 @@ def refresh_checks(spark, sf):
     return _refresh(spark, sf)["checks"]
 
 
+@query
+def refresh_stats(spark, sf):
+    return _refresh(spark, sf)["stats"]
+
+
 @query
 def run_history(spark, sf):
     """Two recorded scoring runs, newest first."""

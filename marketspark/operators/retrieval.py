@@ -175,35 +175,38 @@ def nearest(questions: DataFrame, documents: DataFrame, k: int = 5, places: int
             if question_ids:
                 yield best(question_ids, np.asarray(vectors, dtype="float64"), batches)
 
-        candidates = stored.mapInPandas(scan, shape)
-    else:
-        question_blocks = ceil(wanted.count() / broadcast_limit)
-        document_blocks = max(1, ceil(stored.count() / block_rows))
-
-        def blocks(df, own, other, keys, own_blocks, other_blocks):
-            return df.withColumns(
-                {
-                    own: F.pmod(F.xxhash64(*keys), F.lit(own_blocks)).cast("int"),
-                    other: F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))),
-                }
-            )
-
-        left = blocks(wanted, "_q", "_d", ["question_id"], question_blocks, document_blocks)
-        right = blocks(stored, "_d", "_q", ["collection", "id"], document_blocks, question_blocks)
-
-        def meet(asked, held):
-            import numpy as np
+        # At most broadcast_limit * k hits per collection: small enough to send to the documents.
+        return F.broadcast(_ranked(stored.mapInPandas(scan, shape), k))
+
+    question_blocks = ceil(wanted.count() / broadcast_limit)
+    document_blocks = max(1, ceil(stored.count() / block_rows))
+
+    def blocks(df, own, other, keys, own_blocks, other_blocks):
+        return df.withColumns(
+            {
+                own: F.pmod(F.xxhash64(*keys), F.lit(own_blocks)).cast("int"),
+                other: F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))),
+            }
+        )
 
-            if asked.empty or held.empty:
-                return best([], np.empty((0, 0)), [])
-            return best(asked["question_id"].tolist(), np.stack(asked["embedding"].to_numpy()).astype("float64"), [held])
+    left = blocks(wanted, "_q", "_d", ["question_id"], question_blocks, document_blocks)
+    right = blocks(stored, "_d", "_q", ["collection", "id"], document_blocks, question_blocks)
+
+    def meet(asked, held):
+        import numpy as np
 
-        candidates = left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInPandas(meet, shape)
+        if asked.empty or held.empty:
+            return best([], np.empty((0, 0)), [])
+        return best(asked["question_id"].tolist(), np.stack(asked["embedding"].to_numpy()).astype("float64"), [held])
 
+    candidates = left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInPandas(meet, shape)
+    return _ranked(candidates, k)
+
+
+def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("question_id", "collection").orderBy("distance", "id")
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).withColumn(
-        "rank", F.col("rank").cast("bigint")
-    )
+    kept = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return kept.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def with_text(hits: DataFrame, documents: DataFrame) -> DataFrame:

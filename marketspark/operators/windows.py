@@ -104,3 +104,14 @@ def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), o
     leads_next = F.col("_at") % max_rows >= max_rows - look_back
     copies = F.when(leads_next, F.array(copy(run, False), copy(run + 1, True))).otherwise(F.array(copy(run, False)))
     return placed.select(*columns, F.inline(copies))
+
+
+def over_series(df: DataFrame, compute, look_back: int, max_rows: int | None = None, by=("ticker",), order: str = "date") -> DataFrame:
+    """``compute(df, by)``, whose windows run over ``by`` and look back at most ``look_back`` rows.
+
+    With ``max_rows`` long series are cut first, so that one series cannot fill one task.
+    """
+    if max_rows is None:
+        return compute(df, tuple(by))
+    cut = split_series(df, max(max_rows, look_back), look_back, by, order)
+    return compute(cut, (*by, "_run")).filter(~F.col("_lead")).drop("_run", "_lead")

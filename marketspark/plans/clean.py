@@ -1,23 +1,25 @@
 """Bronze prices to silver prices."""
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
 from ..functions import prices
 from ..operators import filters as fl
 from ..operators.projections import safe_cast, with_audit
-from ..operators.windows import dedup_last, return_on
+from ..operators.windows import dedup_last, over_series, return_on
 
 KEYS = ("date", "close", "ticker")
 
 
 
-def enrich(df: DataFrame, rounding=half_up) -> DataFrame:
-    """Daily return and per-bar features."""
-    return df.withColumns(
+def enrich(df: DataFrame, rounding=half_up, max_rows: int | None = None) -> DataFrame:
+    """Daily return and per-bar features; ``max_rows`` as for the indicators."""
+    returned = over_series(
+        df, lambda bars, by: bars.withColumn("daily_return", return_on("close", by, rounding)), 1, max_rows
+    )
+    return returned.withColumns(
         {
-            "daily_return": return_on("close"),
             "price_range": prices.price_range(rounding),
             "typical_price": prices.typical_price(rounding),
             "range_pct": prices.range_pct(rounding),
@@ -45,7 +47,8 @@ def survivors(df: DataFrame, order=("ingested_at",)) -> DataFrame:
     return dedup_last(kept, ("ticker", "date"), order)
 
 
-def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=half_up, audit=True) -> DataFrame:
+def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=half_up, audit=True,
+                 max_rows: int | None = None) -> DataFrame:
     """Cast, drop bad rows, de-duplicate (last to arrive wins), validate, enrich, tag with the source.
 
     A batch without date, ticker or close gives an empty result of the full shape.
@@ -54,7 +57,7 @@ def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=ha
         df = _empty(df)
     valid, _ = fl.apply_rules(survivors(df, order))
     added = {"silver_processed_at": None, "data_source": source} if audit else {"data_source": source}
-    return with_audit(enrich(valid, rounding), **added)
+    return with_audit(enrich(valid, rounding, max_rows), **added)
 
 
 def rejects(df: DataFrame, order=("ingested_at",)) -> DataFrame:
@@ -102,8 +105,3 @@ def clean_stats(df: DataFrame, source: str, order=("ingested_at",)) -> DataFrame
         F.count_if(kept & ~F.col("_last.ok")).alias("validation_errors"),
     )
 
-
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame, and its row count as a by-product of whatever job reads it next."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import half_up
 from ..operators import indicators as ind
 from ..operators.projections import cast_prices, with_audit
-from ..operators.windows import split_series, with_look_back
+from ..operators.windows import over_series, with_look_back
 
 #: Rows before a bar that any of its indicators can depend on (the 200-row mean).
 LOOK_BACK = 199
@@ -24,22 +24,21 @@ def add_indicators(df: DataFrame, start=None, max_rows: int | None = None, by=("
     ``max_rows``: cut series longer than this. Daily bars are unique per ticker and day, so a series
     is bounded by the calendar and needs no cut; pass a limit for series that are not.
     """
+
+    def compute(bars, by):
+        return ind.stack(
+            bars,
+            ind.rsi_of(by=by, rounding=rounding),
+            ind.macd_of(by=by, rounding=rounding),
+            ind.bollinger_of(by=by, rounding=rounding),
+            ind.vwap_of(by=by, rounding=rounding),
+            ind.moving_averages_of(by=by, rounding=rounding),
+        )
+
     df = cast_prices(df)
     if start is not None:
         df = with_look_back(df, start, LOOK_BACK, by)
-    if max_rows is not None:
-        df = split_series(df, max_rows, LOOK_BACK, by)
-        by = (*by, "_run")
-    df = ind.stack(
-        df,
-        ind.rsi_of(by=by, rounding=rounding),
-        ind.macd_of(by=by, rounding=rounding),
-        ind.bollinger_of(by=by, rounding=rounding),
-        ind.vwap_of(by=by, rounding=rounding),
-        ind.moving_averages_of(by=by, rounding=rounding),
-    )
-    if max_rows is not None:
-        df = df.filter(~F.col("_lead")).drop("_run", "_lead")
+    df = over_series(df, compute, LOOK_BACK, max_rows, by)
     if start is not None:
         df = df.filter(F.col("date") >= F.lit(start).cast("timestamp_ntz"))
     return with_audit(df, indicators_computed_at=None) if audit else df

@@ -7,21 +7,19 @@ from ..operators import quality as q
 from ..operators.combine import latest_partition, union_sources
 from ..operators.projections import stg_prices
 from ..sources import readers, writers
-from .clean import clean_prices, counted
+from .clean import clean_prices, clean_stats
 from .indicators import add_indicators, series_limit
 from .marts import mart_daily_returns, mart_top_movers
 
 
-def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_at",), rounding=half_up) -> dict:
-    """Silver and gold of one feed. Row counts come with the writes, not from jobs of their own."""
+def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_at",), rounding=half_up) -> None:
+    """Silver and gold of one feed. Series too long for one task are found first and cut."""
     spark = bronze.sparkSession
-    seen, bronze_rows = counted(bronze, f"bronze {source}")
-    cleaned, silver_rows = counted(clean_prices(seen, source, order, rounding), f"silver {source}")
+    cleaned = clean_prices(bronze, source, order, rounding, max_rows=series_limit(bronze))
     writers.write_silver(cleaned, f"{root}/silver/prices/{source}")
     silver = readers.read_silver(spark, root, source).drop("year")
     gold = add_indicators(silver, max_rows=series_limit(silver), rounding=rounding)
     writers.write_gold(gold, f"{root}/gold/indicators/{source}")
-    return {"source": source, "input_rows": bronze_rows.get["rows"], "output_rows": silver_rows.get["rows"]}
 
 
 def refresh_marts(silver: DataFrame, root: str, rounding=half_up) -> dict[str, DataFrame]:
@@ -49,9 +47,14 @@ def mart_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def refresh(feeds: dict[str, DataFrame], root: str, marts_from: str | None = None, order=("ingested_at",), rounding=half_up) -> dict:
-    """Full run over the given feeds; the marts are built from ``marts_from`` (default: the first)."""
-    runs = [refresh_source(bronze, source, root, order, rounding) for source, bronze in feeds.items()]
+    """Full run over the given feeds; the marts are built from ``marts_from`` (default: the first).
+
+    The cleaning statistics and the checks are returned as frames that run when they are read.
+    """
+    for source, bronze in feeds.items():
+        refresh_source(bronze, source, root, order, rounding)
+    stats = union_sources(*[clean_stats(bronze, source, order) for source, bronze in feeds.items()])
     base = marts_from or next(iter(feeds))
     spark = next(iter(feeds.values())).sparkSession
     tables = refresh_marts(readers.read_silver(spark, root, base), root, rounding)
-    return {"runs": runs, "tables": tables, "checks": mart_checks(tables)}
+    return {"stats": stats, "tables": tables, "checks": mart_checks(tables)}

@@ -156,14 +156,16 @@ def load_summary(spark: SparkSession, rows: DataFrame, raw_path: str, written_pa
 
     ``rows`` are the rows read from ``raw_path``, with their ``ticker``.
     """
-    raw = files_in(spark, raw_path, "*.{csv,txt}").withColumn("ticker", ticker_of(F.col("path")))
+    raw = files_in(spark, raw_path, "*.{csv,txt}")
+    files = len(raw.inputFiles())  # the listing also knows empty files, which a scan skips
+    raw = raw.withColumn("ticker", ticker_of(F.col("path")))
     per_ticker = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
     written = files_in(spark, written_path, "*.parquet").agg(F.coalesce(F.sum("bytes"), F.lit(0))).scalar()
     converted = F.col("rows").isNotNull()
     raw_bytes = F.coalesce(F.sum(F.when(converted, F.col("bytes"))), F.lit(0))
     return raw.join(per_ticker, "ticker", "left").agg(
         F.count_if(converted).alias("converted"),
-        F.count_if(~converted).alias("skipped"),
+        (F.lit(files) - F.count_if(converted)).cast("bigint").alias("skipped"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
         raw_bytes.alias("raw_bytes"),
     ).withColumn("written_bytes", written).withColumn(

@@ -55,9 +55,10 @@ def append_run(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").parquet(path)
 
 
-def write_csv_summary(df: DataFrame, path: str) -> None:
+def write_csv_summary(df: DataFrame, path: str, order=()) -> None:
     """A summary (one row per ticker) as a single CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    one = df.repartition(1)
+    (one.sortWithinPartitions(*order) if order else one).write.mode("overwrite").option("header", True).csv(path)
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
