@@ -155,10 +155,14 @@ def filings_payloads(spark, sf_dir) -> DataFrame:
     )
 
 
+#: The letters that the plain embedder counts.
+LETTERS = "aeionrstlhdu"
+
+
 def letter_embedding(text: Column) -> Column:
-    """Share of each letter a..z among the letters: a vector any SQL engine can compute too."""
+    """Shares of some letters among a..z: a vector that any SQL engine can compute too."""
     plain = F.lower(text)
-    counts = [F.length(plain) - F.length(F.replace(plain, F.lit(letter), F.lit(""))) for letter in "abcdefghijklmnopqrstuvwxyz"]
+    counts = [F.length(plain) - F.length(F.replace(plain, F.lit(letter), F.lit(""))) for letter in LETTERS]
     total = F.length(F.regexp_replace(plain, "[^a-z]", ""))
     return F.array(*[F.coalesce(F.try_divide(count.cast("double"), total), F.lit(0.0)) for count in counts])
 

@@ -43,7 +43,7 @@ GOOD = "'the', 'that', 'with', 'le', 'der'"
 BAD = "'of', 'and', 'un', 'die'"
 WORDS = "string_split_regex(lower(title), '[^a-z]+')"
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
+LETTERS = "aeionrstlhdu"
 
 
 def letters(text: str) -> str:
@@ -395,6 +395,7 @@ add("sma", "SELECT ticker, date, sma_50, sma_200, ma_signal FROM gold", "gold")
 add("indicators", "SELECT * FROM gold", "gold")
 add("indicators_split", "SELECT * FROM gold", "gold")
 add("indicators_since", "SELECT * FROM gold WHERE date >= TIMESTAMP '1999-01-01'", "gold")
+add("latest_indicators", "SELECT * FROM gold QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 5", "gold")
 add("indicator_view", "SELECT * FROM viewed", "viewed")
 add("indicator_report", "SELECT * FROM viewed QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 5", "viewed")
 add(

@@ -20,6 +20,7 @@ from marketspark.operators import sentiment as sm
 from marketspark.operators import windows as wn
 from marketspark.plans import clean, marts, refresh, reports
 from marketspark.plans.indicators import add_indicators
+from marketspark.plans.indicators import latest_indicators as latest
 from marketspark.sources import readers, scratch, writers
 
 from . import fixtures as fx
@@ -129,6 +130,12 @@ def indicators_since(spark, sf):
     return gold(spark, sf, start="1999-01-01")
 
 
+@query
+def latest_indicators(spark, sf):
+    """Last five bars of every ticker, from their look-back rows only."""
+    return latest(fx.silver(spark, sf), 5, rounding=stable)
+
+
 @query
 def indicator_view(spark, sf):
     return pj.indicator_view(gold(spark, sf), stable)

@@ -14,6 +14,7 @@ def typical_price(rounding=half_up) -> Column:
     return rounding((F.col("high") + F.col("low") + F.col("close")) / 3, 4)
 
 
-def range_pct(rounding=half_up) -> Column:
+def range_pct(rounding=half_up, rounded_range: Column | None = None) -> Column:
     """Range as a percentage of close, from the already rounded range."""
-    return rounding(safe_div(price_range(rounding), F.col("close")) * 100, 4)
+    span = price_range(rounding) if rounded_range is None else rounded_range
+    return rounding(safe_div(span, F.col("close")) * 100, 4)

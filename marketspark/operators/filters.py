@@ -2,6 +2,7 @@
 
 from collections.abc import Iterable, Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +49,19 @@ def valid_ohlc(df: DataFrame) -> DataFrame:
 
 def failed_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks, in the order given."""
-    marks = [F.when(~rule, F.lit(name)) for name, rule in rules.items()]
+    marks = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
     return F.array_compact(F.array(*marks))
 
 
+def follows_all(rules: Mapping[str, Column]) -> Column:
+    return reduce(lambda left, right: left & right, rules.values())
+
+
 def apply_rules(df: DataFrame, rules: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy all rules, and the rest with the rules they break."""
-    marked = df.withColumn("failed_rules", failed_rules(rules or price_rules()))
-    ok = marked.filter(F.size("failed_rules") == 0).drop("failed_rules")
-    return ok, marked.filter(F.size("failed_rules") > 0)
+    rules = rules or price_rules()
+    passes = F.coalesce(follows_all(rules), F.lit(False))
+    return df.filter(passes), df.filter(~passes).withColumn("failed_rules", failed_rules(rules))
 
 
 def has_return(df: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """Technical indicators.
 
-Each indicator is declared in three layers: window columns over the input, window columns over
-those, and plain columns over both. ``stack`` evaluates the layers of any number of indicators
-together, so the whole set costs one shuffle, one sort and two window passes.
+Each indicator is declared in layers: window columns over the input, window columns over those, and
+result columns, each step of which may use the one before. ``stack`` evaluates the window layers of
+any number of indicators together, so the whole set costs one shuffle, one sort and two window passes.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,19 +19,20 @@ from .windows import series, trailing
 @dataclass(frozen=True)
 class Indicator:
     rolling: dict[str, Column]
-    results: Callable[[], dict[str, Column]]
+    results: tuple[dict[str, Column], ...]
     chained: dict[str, Column] = field(default_factory=dict)
 
 
 def stack(df: DataFrame, *indicators: Indicator) -> DataFrame:
     rolling = {name: column for one in indicators for name, column in one.rolling.items()}
     chained = {name: column for one in indicators for name, column in one.chained.items()}
+    kept = df.columns + [name for one in indicators for step in one.results for name in step]
     df = df.withColumns(rolling)
     if chained:
         df = df.withColumns(chained)
-    for one in indicators:
-        df = df.withColumns(one.results())
-    return df.drop(*rolling, *chained)
+    for steps in zip_longest(*[one.results for one in indicators], fillvalue={}):
+        df = df.withColumns({name: column for step in steps for name, column in step.items()})
+    return df.select(*kept)
 
 
 def rsi_of(price="close", period=14, by=("ticker",), rounding=half_up) -> Indicator:
@@ -46,71 +47,72 @@ def rsi_of(price="close", period=14, by=("ticker",), rounding=half_up) -> Indica
             "_gain": F.avg(F.greatest(change, zero)).over(window),
             "_loss": F.avg(F.greatest(-change, zero)).over(window),
         },
-        results=lambda: {f"rsi_{period}": rounding(100 - 100 / (1 + strength), 2)},
+        results=({f"rsi_{period}": rounding(100 - 100 / (1 + strength), 2)},),
     )
 
 
 def macd_of(price="close", fast=12, slow=26, signal=9, by=("ticker",), rounding=half_up) -> Indicator:
     """Difference of two simple means; the signal is the mean of the rounded line."""
     line = rounding(F.col("_fast") - F.col("_slow"), 4)
-    smoothed = rounding(F.col("_signal"), 4)
     return Indicator(
         rolling={
             "_fast": F.avg(price).over(trailing(fast, by)),
             "_slow": F.avg(price).over(trailing(slow, by)),
         },
         chained={"_signal": F.avg(line).over(trailing(signal, by))},
-        results=lambda: {
-            "macd_line": line,
-            "macd_signal": smoothed,
-            "macd_histogram": rounding(line - smoothed, 4),
-        },
+        results=(
+            {"macd_line": line, "macd_signal": rounding(F.col("_signal"), 4)},
+            {"macd_histogram": rounding(F.col("macd_line") - F.col("macd_signal"), 4)},
+        ),
     )
 
 
 def bollinger_of(price="close", period=20, num_std=2.0, by=("ticker",), rounding=half_up) -> Indicator:
     """Bands around the rounded mean; widths are null where they would divide by zero."""
     window = trailing(period, by)
-    middle = rounding(F.col("_mean"), 4)
-    upper = rounding(middle + num_std * F.col("_spread"), 4)
-    lower = rounding(middle - num_std * F.col("_spread"), 4)
+    middle, upper, lower = F.col("bb_middle"), F.col("bb_upper"), F.col("bb_lower")
     return Indicator(
         rolling={"_mean": F.avg(price).over(window), "_spread": F.stddev_samp(price).over(window)},
-        results=lambda: {
-            "bb_middle": middle,
-            "bb_upper": upper,
-            "bb_lower": lower,
-            "bb_bandwidth": rounding(safe_div(upper - lower, middle) * 100, 4),
-            "bb_pct_b": rounding(safe_div(F.col(price) - lower, upper - lower), 4),
-        },
+        results=(
+            {"bb_middle": rounding(F.col("_mean"), 4)},
+            {
+                "bb_upper": rounding(middle + num_std * F.col("_spread"), 4),
+                "bb_lower": rounding(middle - num_std * F.col("_spread"), 4),
+            },
+            {
+                "bb_bandwidth": rounding(safe_div(upper - lower, middle) * 100, 4),
+                "bb_pct_b": rounding(safe_div(F.col(price) - lower, upper - lower), 4),
+            },
+        ),
     )
 
 
 def vwap_of(window=20, by=("ticker",), rounding=half_up) -> Indicator:
     """Volume-weighted typical price. A bar without typical price still counts its volume."""
     rows = trailing(window, by)
-    value = rounding(safe_div(F.col("_turnover"), F.col("_volume")), 4)
     return Indicator(
         rolling={
             "_turnover": F.sum(F.col("typical_price") * F.col("volume")).over(rows),
             "_volume": F.sum("volume").over(rows),
         },
-        results=lambda: {"vwap": value, "vwap_signal": vwap_signal(F.col("close"), value)},
+        results=(
+            {"vwap": rounding(safe_div(F.col("_turnover"), F.col("_volume")), 4)},
+            {"vwap_signal": vwap_signal(F.col("close"), F.col("vwap"))},
+        ),
     )
 
 
 def moving_averages_of(price="close", fast=50, slow=200, by=("ticker",), rounding=half_up) -> Indicator:
-    quick, steady = rounding(F.col("_sma_fast"), 4), rounding(F.col("_sma_slow"), 4)
+    quick, steady = f"sma_{fast}", f"sma_{slow}"
     return Indicator(
         rolling={
             "_sma_fast": F.avg(price).over(trailing(fast, by)),
             "_sma_slow": F.avg(price).over(trailing(slow, by)),
         },
-        results=lambda: {
-            f"sma_{fast}": quick,
-            f"sma_{slow}": steady,
-            "ma_signal": ma_signal(quick, steady),
-        },
+        results=(
+            {quick: rounding(F.col("_sma_fast"), 4), steady: rounding(F.col("_sma_slow"), 4)},
+            {"ma_signal": ma_signal(F.col(quick), F.col(steady))},
+        ),
     )
 
 

@@ -106,8 +106,10 @@ def collection_sizes(documents: DataFrame) -> DataFrame:
 
 
 def _best(k: int, places: int):
-    """(ids, matrix, documents) -> the k nearest rows per question and collection.
+    """(question ids, question matrix, document batches) -> the k nearest rows per question and collection.
 
+    Distances to all questions come from one matrix product, which ranks well but is not exact in its
+    last digits; so everything within a safe margin of the k-th place is measured again directly.
     Nested and self-contained, so it travels to the workers by value.
     """
 
@@ -116,16 +118,21 @@ def _best(k: int, places: int):
         import pandas as pd
 
         held = {}  # (question position, collection) -> (distances, document ids), at most k each
+        lengths = (matrix**2).sum(axis=1)
         for batch in batches:
             for collection, part in batch.groupby("collection", sort=False):
                 ids = part["id"].to_numpy(dtype=object)
                 vectors = np.stack(part["embedding"].to_numpy()).astype("float64")
+                sizes = (vectors**2).sum(axis=1)
+                rough = sizes[:, None] + lengths - 2 * vectors @ matrix.T
+                limit = np.full(len(matrix), np.inf)
+                if len(ids) > k:
+                    limit = np.partition(rough, k - 1, axis=0)[k - 1]
+                    limit += 10.0**-places + 1e-9 * (sizes.max() + lengths)
                 for at, question in enumerate(matrix):
-                    distances = np.round(((vectors - question) ** 2).sum(axis=1), places)
-                    near = slice(None)
-                    if len(distances) > k:
-                        near = distances <= np.partition(distances, k - 1)[k - 1]
-                    distances, names = distances[near], ids[near]
+                    near = np.flatnonzero(rough[:, at] <= limit[at])
+                    distances = np.round(((vectors[near] - question) ** 2).sum(axis=1), places)
+                    names = ids[near]
                     if (at, collection) in held:
                         before = held[at, collection]
                         distances = np.concatenate([before[0], distances])
@@ -197,7 +204,8 @@ def nearest(questions: DataFrame, documents: DataFrame, k: int = 5, places: int
 
         if asked.empty or held.empty:
             return best([], np.empty((0, 0)), [])
-        return best(asked["question_id"].tolist(), np.stack(asked["embedding"].to_numpy()).astype("float64"), [held])
+        parts = (held.iloc[start : start + 8192] for start in range(0, len(held), 8192))
+        return best(asked["question_id"].tolist(), np.stack(asked["embedding"].to_numpy()).astype("float64"), parts)
 
     candidates = left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInPandas(meet, shape)
     return _ranked(candidates, k)

@@ -19,13 +19,11 @@ def prev_close(df: DataFrame, n: int = 1, by=("ticker",)) -> DataFrame:
     return df.withColumn("prev_close", F.lag("close", n).over(series(by)))
 
 
-def return_on(price: str = "close", by=("ticker",), rounding=half_up) -> Column:
-    return rounding(safe_div(F.col(price), F.lag(price).over(series(by))) - 1, 6)
-
-
 def daily_return(df: DataFrame, by=("ticker",), rounding=half_up) -> DataFrame:
     """Change against the previous bar; null on the first bar of a series."""
-    return df.withColumn("daily_return", return_on(by=by, rounding=rounding))
+    change = safe_div(F.col("close"), F.col("_previous")) - 1
+    with_previous = df.withColumn("_previous", F.lag("close").over(series(by)))
+    return with_previous.withColumn("daily_return", rounding(change, 6)).drop("_previous")
 
 
 def _first_rows(df: DataFrame, by, order, n: int) -> DataFrame:

@@ -7,7 +7,7 @@ from ..functions.numeric import half_up
 from ..functions import prices
 from ..operators import filters as fl
 from ..operators.projections import safe_cast, with_audit
-from ..operators.windows import dedup_last, over_series, return_on
+from ..operators.windows import daily_return, dedup_last, over_series
 
 KEYS = ("date", "close", "ticker")
 
@@ -15,16 +15,10 @@ KEYS = ("date", "close", "ticker")
 
 def enrich(df: DataFrame, rounding=half_up, max_rows: int | None = None) -> DataFrame:
     """Daily return and per-bar features; ``max_rows`` as for the indicators."""
-    returned = over_series(
-        df, lambda bars, by: bars.withColumn("daily_return", return_on("close", by, rounding)), 1, max_rows
-    )
+    returned = over_series(df, lambda bars, by: daily_return(bars, by, rounding), 1, max_rows)
     return returned.withColumns(
-        {
-            "price_range": prices.price_range(rounding),
-            "typical_price": prices.typical_price(rounding),
-            "range_pct": prices.range_pct(rounding),
-        }
-    )
+        {"price_range": prices.price_range(rounding), "typical_price": prices.typical_price(rounding)}
+    ).withColumn("range_pct", prices.range_pct(rounding, F.col("price_range")))
 
 
 def _drop_reason() -> Column:
@@ -84,7 +78,7 @@ def clean_stats(df: DataFrame, source: str, order=("ingested_at",)) -> DataFrame
     arrival = F.struct(*known, *sorted(name for name in others if name not in known))
     kept = F.col("_reason").isNull()
     marked = cast.withColumns({"_reason": _drop_reason(), "_arrival": arrival}).withColumn(
-        "_last", F.when(kept, F.struct(F.col("_arrival"), (F.size(fl.failed_rules(fl.price_rules())) == 0).alias("ok")))
+        "_last", F.when(kept, F.struct(F.col("_arrival"), fl.follows_all(fl.price_rules()).alias("ok")))
     )
     bars = marked.groupBy(
         "_reason", F.when(kept, F.col("ticker")).alias("_ticker"), F.when(kept, F.col("date")).alias("_date")

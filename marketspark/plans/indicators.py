@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import half_up
 from ..operators import indicators as ind
 from ..operators.projections import cast_prices, with_audit
-from ..operators.windows import over_series, with_look_back
+from ..operators.windows import latest_n, over_series, with_look_back
 
 #: Rows before a bar that any of its indicators can depend on (the 200-row mean).
 LOOK_BACK = 199
@@ -44,6 +44,15 @@ def add_indicators(df: DataFrame, start=None, max_rows: int | None = None, by=("
     return with_audit(df, indicators_computed_at=None) if audit else df
 
 
+def latest_indicators(df: DataFrame, n: int = 1, by=("ticker",), rounding=half_up) -> DataFrame:
+    """Indicators of the last n bars of every series, without computing its history.
+
+    Each task passes on at most ``LOOK_BACK + n`` bars per series, so the shuffle does not grow with
+    the length of the history.
+    """
+    return latest_n(add_indicators(latest_n(df, LOOK_BACK + n, by), by=by, rounding=rounding, audit=False), n, by)
+
+
 def longest_series(df: DataFrame, by=("ticker",)) -> DataFrame:
     """One row: the length of the longest series. Reads the key columns only."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows").alias("rows"))
