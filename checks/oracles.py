@@ -43,12 +43,12 @@ GOOD = "'the', 'that', 'with', 'le', 'der'"
 BAD = "'of', 'and', 'un', 'die'"
 WORDS = "string_split_regex(lower(title), '[^a-z]+')"
 
-LETTERS = "aeionrstlhdu"
+LETTERS = "aein0123456789"
 
 
 def letters(text: str) -> str:
     counts = [f"(length(lower({text})) - length(replace(lower({text}), '{letter}', '')))" for letter in LETTERS]
-    total = f"length(regexp_replace(lower({text}), '[^a-z]', '', 'g'))"
+    total = f"length(regexp_replace(lower({text}), '[^a-z0-9]', '', 'g'))"
     return "[" + ", ".join(f"coalesce({count}::DOUBLE / nullif({total}, 0), 0e0)" for count in counts) + "]"
 
 

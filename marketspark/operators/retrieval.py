@@ -114,35 +114,40 @@ def _best(k: int, places: int):
     """
 
     def best(question_ids, matrix, batches):
+        from heapq import nsmallest
+        from itertools import chain
+
         import numpy as np
         import pandas as pd
 
-        held = {}  # (question position, collection) -> (distances, document ids), at most k each
+        held = {}  # (question position, collection) -> up to k (distance, document id), in order
         lengths = (matrix**2).sum(axis=1)
         for batch in batches:
             for collection, part in batch.groupby("collection", sort=False):
                 ids = part["id"].to_numpy(dtype=object)
                 vectors = np.stack(part["embedding"].to_numpy()).astype("float64")
                 sizes = (vectors**2).sum(axis=1)
-                rough = sizes[:, None] + lengths - 2 * vectors @ matrix.T
-                limit = np.full(len(matrix), np.inf)
-                if len(ids) > k:
-                    limit = np.partition(rough, k - 1, axis=0)[k - 1]
-                    limit += 10.0**-places + 1e-9 * (sizes.max() + lengths)
+                rough = lengths[:, None] + sizes - 2 * matrix @ vectors.T
+                margin = 10.0**-places + 1e-9 * (sizes.max() + lengths)
                 for at, question in enumerate(matrix):
-                    near = np.flatnonzero(rough[:, at] <= limit[at])
+                    before = held.get((at, collection), [])
+                    limit = before[-1][0] if len(before) == k else np.inf
+                    if len(ids) > k:
+                        limit = min(limit, np.partition(rough[at], k - 1)[k - 1])
+                    near = np.flatnonzero(rough[at] <= limit + margin[at])
+                    if not len(near):
+                        continue
                     distances = np.round(((vectors[near] - question) ** 2).sum(axis=1), places)
                     names = ids[near]
-                    if (at, collection) in held:
-                        before = held[at, collection]
-                        distances = np.concatenate([before[0], distances])
-                        names = np.concatenate([before[1], names])
-                    order = np.lexsort((names.astype(str), distances))[:k]
-                    held[at, collection] = (distances[order], names[order])
+                    if len(near) > k:
+                        first = distances <= np.partition(distances, k - 1)[k - 1]
+                        distances, names = distances[first], names[first]
+                    found = zip(distances.tolist(), names.tolist())
+                    held[at, collection] = nsmallest(k, chain(before, found))
         rows = [
-            (question_ids[at], collection, name, float(distance))
-            for (at, collection), (distances, names) in held.items()
-            for distance, name in zip(distances, names)
+            (question_ids[at], collection, name, distance)
+            for (at, collection), hits in held.items()
+            for distance, name in hits
         ]
         return pd.DataFrame(rows, columns=["question_id", "collection", "id", "distance"])
 
