@@ -594,6 +594,11 @@ add("sentiment_gold", _summary("scored_headlines"), "scored_headlines")
 add("filing_docs", "SELECT * FROM filing_docs", "filing_docs")
 add("news_docs", "SELECT * FROM news_docs", "news_docs")
 add("first_docs", "SELECT ticker, url FROM headlines WHERE title <> '' ORDER BY ticker, url LIMIT 1000", "headlines")
+add(
+    "documents_written",
+    "SELECT collection, id, text, ticker FROM filing_docs UNION ALL SELECT collection, id, text, ticker FROM news_docs",
+    "filing_docs", "news_docs",
+)
 add("collection_sizes", "SELECT collection, count(*) AS documents FROM docs GROUP BY collection", "docs")
 _KNN = """
     SELECT q.vec_id AS question_id, d.collection, d.vec_id::VARCHAR AS id,
@@ -768,6 +773,10 @@ add("in_universe", "SELECT ticker, url FROM scored_news WHERE ticker IN (SELECT
 add("for_values", "SELECT ticker, accession_no FROM filings WHERE form_type = '10-K'", "filings")
 add("between_dates", "SELECT ticker, date, close FROM bars WHERE date::DATE BETWEEN DATE '1996-03-01' AND DATE '1998-06-30'", "bars")
 add("news_last_days", "SELECT ticker, url FROM scored_news WHERE published_at::DATE >= DATE '2024-01-13'", "scored_news")
+add("gold_roundtrip", "SELECT * FROM gold", "gold")
+add("written_years", "SELECT year(date) AS year, count(*) AS rows FROM bars GROUP BY 1", "bars")
+add("first_years", "SELECT ticker, date, close FROM bars WHERE year(date) IN (1995, 1996)", "bars")
+add("upper_ticker", "SELECT upper(s_name) AS ticker, s_suppkey FROM supplier")
 add("rows_by_year", "SELECT year(date) AS year, count(*) AS rows FROM bars GROUP BY 1", "bars")
 add("silver_roundtrip", "SELECT *, year(date) AS year FROM cleaned", "cleaned")
 add(

@@ -390,6 +390,15 @@ def first_docs(spark, sf):
     return rk.first_n_docs(fx.headlines(spark, sf)).select("ticker", "url")
 
 
+@query
+def documents_written(spark, sf):
+    """Both collections, rebuilt, written and scanned again."""
+    folder = scratch.new_folder(spark)
+    documents, _ = _documents(spark, sf)
+    writers.write_documents(documents, folder)
+    return readers.read_layer(spark, folder).select("collection", "id", "text", F.col("meta.ticker").alias("ticker"))
+
+
 @query
 def collection_sizes(spark, sf):
     documents = rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf), news_limit=None)
@@ -635,6 +644,31 @@ def silver_roundtrip(spark, sf):
     return readers.read_layer(spark, folder).withColumn("year", F.col("year").cast("bigint"))
 
 
+@query
+def gold_roundtrip(spark, sf):
+    """Indicators, written by data source and scanned again."""
+    folder = scratch.new_folder(spark)
+    writers.write_gold(gold(spark, sf), folder)
+    return readers.read_layer(spark, folder)
+
+
+@query
+def written_years(spark, sf):
+    folder = scratch.new_folder(spark)
+    writers.write_bronze_prices(fx.bars(spark, sf), folder)
+    return readers.written_years(spark, folder).select("year", "rows")
+
+
+@query
+def first_years(spark, sf):
+    return fl.in_years(fx.bars(spark, sf), (1996, 1995)).select(*BAR, "close")
+
+
+@query
+def upper_ticker(spark, sf):
+    return pj.upper_ticker(fx.table(spark, sf, "supplier").select(F.lower("s_name").alias("ticker"), "s_suppkey"))
+
+
 @query
 def union_sources(spark, sf):
     first = fx.scored_news(spark, sf).select("ticker", "url")

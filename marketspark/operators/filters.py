@@ -1,7 +1,7 @@
 """Row filters and validation rules."""
 
 from collections.abc import Iterable, Mapping
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,14 +88,27 @@ def in_universe(df: DataFrame, universe: DataFrame | Iterable[str] = fv.TICKERS)
 
 
 def between_dates(df: DataFrame, start=None, end=None, column: str = "date") -> DataFrame:
-    """Inclusive date range. On a table partitioned by year the bounds also prune its directories."""
-    for bound, keeps in ((start, "__ge__"), (end, "__le__")):
-        if bound is None:
-            continue
-        day = bound if isinstance(bound, date) else date.fromisoformat(bound)
-        df = df.filter(getattr(F.col(column).cast("date"), keeps)(F.lit(day)))
-        if "year" in df.columns:
-            df = df.filter(getattr(F.col("year"), keeps)(F.lit(day.year)))
+    """Inclusive range of days.
+
+    The column is compared as it is, so that the bounds reach the Parquet scan; on a table partitioned
+    by year they also prune its folders.
+    """
+    kind = dict(df.dtypes)[column]
+    value = F.col(column).cast("date") if kind == "string" else F.col(column)
+    kind = "date" if kind == "string" else kind
+
+    def day(bound):
+        return bound if isinstance(bound, date) else date.fromisoformat(bound)
+
+    if start is not None:
+        df = df.filter(value >= F.lit(str(day(start))).cast(kind))
+    if end is not None:
+        df = df.filter(value < F.lit(str(day(end) + timedelta(days=1))).cast(kind))
+    if "year" in df.columns:
+        if start is not None:
+            df = df.filter(F.col("year") >= day(start).year)
+        if end is not None:
+            df = df.filter(F.col("year") <= day(end).year)
     return df
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.text import filing_text, news_text
-from .projections import with_doc_id
+from .projections import with_doc_id, with_meta
 from .ranking import first_n_docs
 from .combine import union_sources
 
@@ -65,39 +65,30 @@ def embed(df: DataFrame, text: str = "text", embedder: Embedder | None = None) -
     return (embedder or hashing_embedder())(df, text)
 
 
-def _meta(**known: Column) -> Column:
-    kinds = {"ticker": "string", "form_type": "string", "file_date": "string", "period": "string",
-             "sentiment": "string", "score": "double", "source": "string"}
-    return F.struct(
-        *[known.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()]
-    ).alias("meta")
-
-
 def filing_documents(filings: DataFrame) -> DataFrame:
-    meta = _meta(
-        ticker=F.col("ticker"), form_type=F.col("form_type"),
-        file_date=F.col("file_date"), period=F.col("period_of_report"),
-    )
-    return with_doc_id(filings, "filing", ["accession_no"]).select(
-        F.lit(fv.FILINGS_COLLECTION).alias("collection"), "id", filing_text().alias("text"), meta
+    fields = {"ticker": "ticker", "form_type": "form_type", "file_date": "file_date", "period": "period_of_report"}
+    tagged = with_meta(filings, {name: F.col(column) for name, column in fields.items()})
+    return with_doc_id(tagged, "filing", ["accession_no"]).select(
+        F.lit(fv.FILINGS_COLLECTION).alias("collection"), "id", filing_text().alias("text"), "meta"
     )
 
 
 def news_documents(news: DataFrame, limit: int | None = fv.NEWS_DOCUMENTS, keys=("ticker", "url")) -> DataFrame:
     """Titled articles; the first ``limit`` by key, or all of them with None."""
     titled = news.filter(F.col("title") != "") if limit is None else first_n_docs(news, limit, keys)
-    meta = _meta(
-        ticker=F.col("ticker"), sentiment=F.col("sentiment"),
-        score=F.col("sentiment_score"), source=F.col("source"),
-    )
-    return with_doc_id(titled, "news", keys, digest=True).select(
-        F.lit(fv.NEWS_COLLECTION).alias("collection"), "id", news_text().alias("text"), meta
+    fields = {"ticker": "ticker", "sentiment": "sentiment", "score": "sentiment_score", "source": "source"}
+    tagged = with_meta(titled, {name: F.col(column) for name, column in fields.items()})
+    return with_doc_id(tagged, "news", keys, digest=True).select(
+        F.lit(fv.NEWS_COLLECTION).alias("collection"), "id", news_text().alias("text"), "meta"
     )
 
 
 def build_documents(filings: DataFrame, news: DataFrame, embedder: Embedder | None = None,
                     news_limit: int | None = fv.NEWS_DOCUMENTS) -> DataFrame:
-    """Both collections as one frame (collection, id, text, meta, embedding)."""
+    """Both collections as one frame (collection, id, text, meta, embedding).
+
+    The union gives ``meta`` the fields of both kinds; those of the other kind are null.
+    """
     return embed(union_sources(filing_documents(filings), news_documents(news, news_limit)), "text", embedder)
 
 

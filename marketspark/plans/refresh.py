@@ -5,9 +5,10 @@ from pyspark.sql import DataFrame
 from ..functions.numeric import half_up
 from ..operators import quality as q
 from ..operators.combine import latest_partition, union_sources
+from ..operators.filters import missing_columns
 from ..operators.projections import stg_prices
 from ..sources import readers, writers
-from .clean import clean_prices, clean_stats
+from .clean import KEYS, clean_prices, clean_stats
 from .indicators import add_indicators, series_limit
 from .marts import mart_daily_returns, mart_top_movers
 
@@ -15,7 +16,8 @@ from .marts import mart_daily_returns, mart_top_movers
 def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_at",), rounding=half_up) -> None:
     """Silver and gold of one feed. Series too long for one task are found first and cut."""
     spark = bronze.sparkSession
-    cleaned = clean_prices(bronze, source, order, rounding, max_rows=series_limit(bronze))
+    cut_at = None if missing_columns(bronze, KEYS) else series_limit(bronze)
+    cleaned = clean_prices(bronze, source, order, rounding, max_rows=cut_at)
     writers.write_silver(cleaned, f"{root}/silver/prices/{source}")
     silver = readers.read_silver(spark, root, source).drop("year")
     gold = add_indicators(silver, max_rows=series_limit(silver), rounding=rounding)

@@ -150,6 +150,15 @@ def footprint(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     )
 
 
+def written_years(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, files and bytes of every year of a table partitioned by year."""
+    files = files_in(spark, path, "*.parquet").groupBy(
+        F.regexp_extract("path", r"year=(\d+)/", 1).cast("bigint").alias("year")
+    ).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    rows = spark.read.parquet(path).groupBy(F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(files, "year")
+
+
 def load_summary(spark: SparkSession, rows: DataFrame, raw_path: str, written_path: str,
                  ticker_of=ticker_of_file) -> DataFrame:
     """Files converted and skipped, rows, raw and written bytes and the space saved.

@@ -39,7 +39,10 @@ def test_document_texts(filings, news):
     assert set(rows) == {"NVDA", "GM"}  # no title, no document
     assert rows["NVDA"]["text"] == "[POSITIVE] NVDA: Chips boom (confidence: 0.12, source: Wire, date: 2024-01-01)"
     assert rows["GM"]["text"] == "[NEGATIVE] GM: Recall (confidence: 0.90, source: None, date: None)"
-    assert rows["GM"]["meta"].score == 0.9 and rows["GM"]["meta"].form_type is None
+    assert rows["GM"]["meta"].score == 0.9
+    both = {row["meta"].ticker: row["meta"] for row in rows_of(rt.build_documents(filings, news))}
+    assert both["GM"].form_type is None and both["GM"].sentiment == "negative"
+    assert both["AAPL"].form_type == "10-K" and both["AAPL"].score is None and both["AAPL"].period == "2023-09-30"
 
 
 def test_ids_do_not_depend_on_partitioning(news):
@@ -100,6 +103,19 @@ def test_default_embedder(spark):
     assert set(found[4]) == set(found[5]) == {0.0}
 
 
+def test_default_embedder_counts_words(spark):
+    from pyspark.ml.feature import HashingTF
+
+    place = HashingTF(numFeatures=256).indexOf
+    text = "Öl steigt: oil, oil and GAS in 2024"
+    counts = [0.0] * 256
+    for word in ("öl", "steigt", "oil", "oil", "and", "gas", "in", "2024"):
+        counts[place(word)] += 1
+    length = sum(count * count for count in counts) ** 0.5
+    (row,) = rows_of(rt.embed(spark.createDataFrame([(text,)], "text string")))
+    assert list(row["embedding"]) == pytest.approx([count / length for count in counts], abs=1e-6)
+
+
 def test_model_embedder(spark):
     def load():
         return lambda texts: [[float(len(text)), 1.0] for text in texts]

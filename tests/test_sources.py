@@ -122,10 +122,28 @@ def test_year_bounds_prune_folders(spark, make_bars, tmp_path):
     writers.write_silver(make_bars({"A": [1.0] * 800}, datetime(2021, 1, 1)), folder)
     some = fl.between_dates(readers.read_layer(spark, folder), "2022-03-01", "2022-12-31")
     assert some.count() == 306
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2022-03-01T00:00)" in plan and "LessThan(date,2023-01-01T00:00)" in plan
     assert "year#" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("]")[0]
     assert fl.in_years(readers.read_layer(spark, folder), [2021, 2022]).count() == 730
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz"])
+def test_day_range_is_inclusive(spark, kind):
+    days = spark.createDataFrame([(f"2024-01-0{n}",) for n in range(1, 8)], "d string").select(F.col("d").cast(kind).alias("date"))
+    assert fl.between_dates(days, "2024-01-02", "2024-01-05").count() == 4
+    assert fl.between_dates(days, start=date(2024, 1, 6)).count() == 2
+    assert fl.between_dates(days).count() == 7
+
+
+def test_written_years(spark, make_bars, tmp_path):
+    folder = str(tmp_path / "silver")
+    writers.write_silver(make_bars({"A": [1.0] * 400}, datetime(2023, 1, 1)), folder)
+    rows = rows_of(readers.written_years(spark, folder), "year")
+    assert [(row["year"], row["rows"], row["files"]) for row in rows] == [(2023, 365, 1), (2024, 35, 1)]
+    assert all(row["bytes"] > 0 for row in rows)
+
+
 def test_gold_is_partitioned_by_source(spark, make_bars, tmp_path):
     folder = str(tmp_path / "gold")
     writers.write_gold(make_bars({"A": [1.0]}).withColumn("data_source", F.lit("feed")), folder)
