@@ -125,17 +125,6 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
           AND coalesce(low > 0, true) AND close > 0 AND coalesce(volume >= 0, true)
         """,
     ),
-    "cleaned": (
-        ("valid",),
-        f"""
-        SELECT ticker, date, open, high, low, close, volume,
-               {rounded("close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1", 6)} AS daily_return,
-               {rounded("high - low", 4)} AS price_range,
-               round((high + low + close) / 3, 4) AS typical_price,
-               {rounded("round(high - low, 4) / close * 100", 4)} AS range_pct, 'feed' AS data_source
-        FROM valid
-        """,
-    ),
     "stepped": (
         ("silver",),
         """
@@ -199,14 +188,30 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _staging(name: str, source: str) -> None:
+def _cleaned(name: str, how) -> None:
+    PARTS[name] = (
+        ("valid",),
+        f"""
+        SELECT ticker, date, open, high, low, close, volume,
+               {how("close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1", 6)} AS daily_return,
+               {how("high - low", 4)} AS price_range, {how("(high + low + close) / 3", 4)} AS typical_price,
+               {how(how("high - low", 4) + " / close * 100", 4)} AS range_pct, 'feed' AS data_source
+        FROM valid
+        """,
+    )
+
+
+def _staging(name: str, source: str, how) -> None:
+    places = {
+        "open_price": ("open", 4), "high_price": ("high", 4), "low_price": ("low", 4), "close_price": ("close", 4),
+        "daily_return": ("daily_return", 6), "price_range": ("price_range", 4),
+        "typical_price": ("typical_price", 4), "range_pct": ("range_pct", 4),
+    }
+    columns = ", ".join(f"{how(column, n)} AS {title}" for title, (column, n) in places.items())
     PARTS[name] = (
         (source,),
         f"""
-        SELECT date::DATE AS price_date, ticker, round(open, 4) AS open_price, round(high, 4) AS high_price,
-               round(low, 4) AS low_price, round(close, 4) AS close_price, CAST(volume AS BIGINT) AS volume,
-               {rounded("daily_return", 6)} AS daily_return, {rounded("price_range", 4)} AS price_range,
-               round(typical_price, 4) AS typical_price, {rounded("range_pct", 4)} AS range_pct, data_source
+        SELECT date::DATE AS price_date, ticker, CAST(volume AS BIGINT) AS volume, data_source, {columns}
         FROM {source}
         WHERE close > 0 AND date IS NOT NULL AND ticker IS NOT NULL
         """,
@@ -218,14 +223,14 @@ def _returns(name: str, staging: str) -> None:
         "avg_daily_return_pct": "avg(daily_return)", "volatility_pct": "stddev_samp(daily_return)",
         "best_day_pct": "max(daily_return)", "worst_day_pct": "min(daily_return)",
     }
-    columns = [f"{rounded(value + ' * 100', 4)} AS {title}" for title, value in percent.items()]
-    columns += [f"round({how}(close_price), 2) AS {how}_close" for how in ("avg", "max", "min")]
+    columns = [f"{stable(value + ' * 100', 4)} AS {title}" for title, value in percent.items()]
+    columns += [f"{stable(f'{how}(close_price)', 2)} AS {how}_close" for how in ("avg", "max", "min")]
     PARTS[name] = (
         (staging,),
         f"""
-        SELECT ticker, count(*) AS trading_days, {", ".join(columns)}, round(avg(volume), 0) AS avg_volume,
+        SELECT ticker, count(*) AS trading_days, {", ".join(columns)}, {stable("avg(volume)", 0)} AS avg_volume,
                min(price_date) AS first_date, max(price_date) AS last_date,
-               {rounded("coalesce(avg(daily_return) / nullif(stddev_samp(daily_return), 0), 0e0)", 4)} AS return_risk_ratio
+               {stable("coalesce(avg(daily_return) / nullif(stddev_samp(daily_return), 0), 0e0)", 4)} AS return_risk_ratio
         FROM {staging} WHERE daily_return IS NOT NULL GROUP BY ticker
         """,
     )
@@ -247,8 +252,10 @@ def _movers(name: str, staging: str) -> None:
     )
 
 
-_staging("stg", "silver")
-_staging("stg_clean", "cleaned")
+_cleaned("cleaned", rounded)
+_cleaned("cleaned_stable", stable)
+_staging("stg", "silver", rounded)
+_staging("stg_clean", "cleaned_stable", stable)
 for _suffix in ("", "_clean"):
     _returns("returns" + _suffix, "stg" + _suffix)
     _movers("movers" + _suffix, "stg" + _suffix)

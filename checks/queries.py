@@ -224,7 +224,7 @@ def stg_prices(spark, sf):
 
 @query
 def mart_daily_returns(spark, sf):
-    return marts.mart_daily_returns(stg(spark, sf))
+    return marts.mart_daily_returns(stg(spark, sf), stable)
 
 
 @query
@@ -266,12 +266,12 @@ def top_losers(spark, sf):
 
 @query
 def performance(spark, sf):
-    return reports.performance(ag.daily_return_stats(stg(spark, sf)))
+    return reports.performance(ag.daily_return_stats(stg(spark, sf), stable))
 
 
 @query
 def display_names(spark, sf):
-    return pj.display_names(reports.performance(ag.daily_return_stats(stg(spark, sf))), "performance")
+    return pj.display_names(reports.performance(ag.daily_return_stats(stg(spark, sf), stable)), "performance")
 
 
 # --- sentiment ------------------------------------------------------------------
@@ -715,7 +715,7 @@ def staging_view(spark, sf):
 
 def _refresh(spark, sf):
     raw = fx.raw_prices(spark, sf)
-    return refresh.refresh({"feed": raw}, scratch.new_folder(spark), order=fx.ARRIVAL)
+    return refresh.refresh({"feed": raw}, scratch.new_folder(spark), order=fx.ARRIVAL, rounding=stable)
 
 
 @query
