@@ -232,16 +232,20 @@ def mart_top_movers(spark, sf):
     return marts.mart_top_movers(stg(spark, sf))
 
 
+def _returns(spark, sf):
+    return fl.has_return(stg(spark, sf)).select("ticker", "price_date", "daily_return")
+
+
 @query
 def rank_movers(spark, sf):
     """Both ranks of every bar that has a return, over all dates."""
-    return rk.rank_movers(fl.has_return(stg(spark, sf))).select("ticker", "price_date", "daily_return", "gainer_rank", "loser_rank")
+    return rk.rank_movers(scratch.stored(_returns(spark, sf)))
 
 
 @query
 def keep_movers(spark, sf):
     """The 25 best and worst single-day returns of all dates."""
-    return rk.keep_movers(stg(spark, sf), 25).select("ticker", "price_date", "daily_return", "gainer_rank", "loser_rank")
+    return rk.keep_movers(scratch.stored(_returns(spark, sf)), 25)
 
 
 @query

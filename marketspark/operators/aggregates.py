@@ -133,8 +133,12 @@ def coverage(df: DataFrame, universe: DataFrame, column: str = "date") -> DataFr
     present = df.groupBy("ticker").agg(
         _rows().alias("rows"), F.min(column).alias("first_date"), F.max(column).alias("last_date")
     )
-    missing = universe.select("ticker").distinct().join(present, "ticker", "left_anti")
-    succeeded = present.join(universe.select("ticker").distinct(), "ticker", "left_semi")
-    return succeeded.withColumn("status", F.lit("succeeded")).unionByName(
-        missing.withColumns({"status": F.lit("failed"), "rows": F.lit(0).cast("bigint")}), allowMissingColumns=True
+    wanted = universe.select("ticker").distinct()
+    found = F.col("rows").isNotNull()
+    return wanted.join(present, "ticker", "left").select(
+        "ticker",
+        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
+        "first_date",
+        "last_date",
+        F.when(found, "succeeded").otherwise("failed").alias("status"),
     )

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -20,3 +20,11 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/marketspark-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame's rows from a table in the shared folder: computed once, whatever reads them later,
+    and still there when an executor is lost. Runs a job."""
+    folder = new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
