@@ -132,3 +132,20 @@ def test_staging_rounds_volume_half_even(spark):
     rows = rows_of(pj.stg_prices(silver), "volume")
     assert [row["volume"] for row in rows] == [2, 4]
     assert {row["close_price"] for row in rows} == {1.0001}
+
+
+def test_many_copies_of_one_bar(spark):
+    """A third of all rows are copies of one bar; each task passes on one of them at most."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), (F.col("id") % 100).cast("string"))).alias("ticker"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-02")).otherwise(F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).alias("date"),
+        (F.col("id") + 1.0).alias("close"),
+        F.col("id").alias("ingested_at"),
+    )
+    cleaned = clean.clean_prices(rows, "feed")
+    hot = rows_of(cleaned.filter("ticker = 'HOT'"))
+    assert [row["close"] for row in hot] == [5998.0]
+    plan = clean.survivors(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    (stats,) = rows_of(clean.clean_stats(rows, "feed"))
+    assert stats["input_rows"] - stats["dropped_dupes"] == stats["output_rows"] == cleaned.count()
