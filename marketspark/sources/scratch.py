@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
@@ -13,9 +15,10 @@ def shared_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="marketspark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="marketspark-")
+    return _LOCAL_ROOTS[application]
 
 
 def new_folder(spark: SparkSession) -> str:

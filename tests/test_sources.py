@@ -222,3 +222,20 @@ def test_declared_schemas_match_what_is_written(spark, tmp_path):
     gold = spark.read.parquet(f"{root}/gold/indicators/feed")
     assert {field.name: field.dataType for field in gold.schema} == {field.name: field.dataType for field in schemas.GOLD_INDICATORS}
     assert silver.count() == gold.count() > 0
+
+
+class _Unset:
+    """A session whose configuration names no shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"test-{master}"})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+
+def test_scratch_without_a_shared_folder():
+    local = _Unset("local[4]")
+    root = scratch.shared_root(local)
+    assert Path(root).is_dir() and root == scratch.shared_root(local)
+    assert scratch.new_folder(local) != scratch.new_folder(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_root(_Unset("spark://cluster:7077"))
