@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import bpe, embeddings, simhash, token_files
+from marketspark.llm import bpe, embeddings, mixing, quality_rules, simhash, token_files
 from marketspark.sources.scratch import new_folder
 
 
@@ -10,6 +10,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,9 +28,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(spark, folder)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_rows(_table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op5_bpe, op7_token_files, op10_embedding_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_rules, op3_simhash_near_dedup, op5_bpe, op7_token_files, op8_mixing, op10_embedding_near_dedup)
+}
 ORACLES: dict[str, str] = {}
