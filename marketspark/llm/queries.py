@@ -1,8 +1,10 @@
 """The registered query of each operator, on whole tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketspark.llm import bpe, embeddings, mixing, quality_rules, simhash, token_files
+from marketspark.llm import bpe, byte_cnn, embeddings, mixing, quality_rules, simhash, token_files, toxicity
+from marketspark.llm.training import remainder
 from marketspark.sources.scratch import new_folder
 
 
@@ -10,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _judged(scored: DataFrame, held_out: Column, cut: float) -> DataFrame:
+    more = [name for name in scored.columns if name not in ("doc_id", "score")]
+    held = F.coalesce(held_out, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= cut).cast("int").alias("predicted"), *more)
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
@@ -18,10 +26,22 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = _table(spark, sf_dir, "documents"), remainder("doc_id", 4)
+    model = byte_cnn.learn(docs, _table(spark, sf_dir, "labels"), rows=fold != 2)
+    return _judged(byte_cnn.score(docs, model), fold == 2, 0.7)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = _table(spark, sf_dir, "documents"), remainder("doc_id", 5)
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"), rows=fold != 0)
+    return _judged(toxicity.score(docs, model), fold == 0, 0.5)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     token_files.write_tokens(_table(spark, sf_dir, "documents"), folder)
@@ -38,6 +58,6 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_simhash_near_dedup, op5_bpe, op7_token_files, op8_mixing, op10_embedding_near_dedup)
+    for f in (op1_quality_rules, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op10_embedding_near_dedup)
 }
 ORACLES: dict[str, str] = {}
