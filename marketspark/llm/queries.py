@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.llm import bpe, byte_cnn, embeddings, mixing, quality_rules, simhash, token_files, toxicity
+from marketspark.llm import bpe, byte_cnn, embeddings, language_model, mixing, quality_rules, simhash, token_files, toxicity
 from marketspark.llm.training import remainder
 from marketspark.sources.scratch import new_folder
 
@@ -52,12 +52,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_corpus(_table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op10_embedding_near_dedup)
+    for f in (op1_quality_rules, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup)
 }
 ORACLES: dict[str, str] = {}
