@@ -5,8 +5,8 @@ documents to learn from. Words with at least one in ``FREQUENT`` of all tokens a
 which are ``FREQUENT`` at most; the rare tokens of a text are joined to their counts. Pairs of words that both have
 at least one in ``CONTEXTS`` of all tokens are counted as well, and pairs with at least t = max(2, tokens / ``PAIRS``) are kept:
 a pair with n occurrences has the level 1 + floor(log2(n / t)), and the filter holds (pair, 1) to (pair, level). All
-levels together are ``PAIRS`` at most, so the filter, broadcast to the workers, has at most ``PAIRS * BITS`` bits whatever
-the corpus. A pair's count is found by asking for one level after the other until one is missing.
+levels together are ``PAIRS`` at most, so the filter, broadcast to the workers, has at most ``PAIRS * bloom.BITS`` bits
+whatever the corpus. A pair's count is found by asking for one level after the other until one is missing.
 
 The model backs off: P(w | h) is the pair's count over h's if the filter holds the pair, else the word's own
 probability (c + 1) / (N + V + 1), scaled so that the probabilities of a context add up to one. Contexts outside
@@ -23,17 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import Words, mix, slices, text_bytes
+from marketspark.llm.words import Words, slices, text_bytes
 from marketspark.sources.scratch import stored
 
 FREQUENT = 1 << 22
 CONTEXTS = 1 << 18
 PAIRS = 1 << 25
-BITS = 12
-PROBES = 6
-#: Bits of a block of the filter; all bits of a pair's level are in one block.
-BLOCK = 1 << 20
 #: What stands for the end of a text among the hashes of words.
 END = np.uint64(0x5DEECE66D)
 SLICE = 1 << 22
@@ -108,70 +105,30 @@ def pair_counts(docs: DataFrame, vocabulary) -> DataFrame:
     return docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _positions(pairs: np.ndarray, level: np.ndarray | int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """The block of each (pair, level), and a number from which its bits in the block follow."""
-    key = mix(pairs.astype(np.uint64) + (np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, dtype=np.uint64)))
-    return (key % np.uint64(blocks)).astype(np.int64), mix(key + np.uint64(1))
+def _items(pairs: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    return pairs.astype(np.uint64) + (np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, dtype=np.uint64))
 
 
-def _bit(spread: np.ndarray, probe: int) -> np.ndarray:
-    step = (spread >> np.uint64(32)) | np.uint64(1)
-    return ((spread & np.uint64(0xFFFFFFFF)) + step * np.uint64(probe)) % np.uint64(BLOCK)
+def count_filter(kept: DataFrame) -> np.ndarray:
+    """The filter over the levels of ``pair``, ``level``. Its size follows their number, which is bounded."""
 
+    def unary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level = batch.column(1).to_numpy()
+            rank = np.arange(int(level.sum())) - np.repeat(np.cumsum(level) - level, level) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(_items(np.repeat(batch.column(0).to_numpy(), level), rank).view(np.int64))], ["item"])
 
-def bloom_filter(kept: DataFrame) -> tuple[np.ndarray, int]:
-    """The filter over ``pair``, ``level``, as bytes, and its number of blocks. Blocks are filled by tasks, as a
-    stream; the driver receives the finished filter, whose size is bounded."""
-    levels = kept.agg(F.sum("level").alias("n")).first()["n"] or 0
-    blocks = max(1, -(-levels * BITS // BLOCK))
+    entries = kept.agg(F.sum("level").alias("n")).first()["n"] or 0
+    return bloom.build(kept.select("pair", "level").mapInArrow(unary, "item long"), bloom.blocks_for(entries))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs, level = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            every = np.repeat(pairs, level)
-            rank = np.arange(len(every)) - np.repeat(np.cumsum(level) - level, level) + 1
-            block, spread = _positions(every, rank, blocks)
-            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(spread.view(np.int64))], ["block", "spread"])
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled: dict[int, np.ndarray] = {}
-        for batch in batches:
-            block, spread = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            for one in np.unique(block):
-                bits = filled.setdefault(int(one), np.zeros(BLOCK, dtype=bool))
-                own = spread[block == one]
-                for probe in range(PROBES):
-                    bits[_bit(own, probe)] = True
-            if len(filled) > 64:
-                # More blocks than fit are given out as they are; the parts of a block are put together later.
-                yield _given(filled)
-                filled = {}
-        yield _given(filled)
-
-    dealt = kept.select("pair", "level").mapInArrow(deal, "block long, spread long").repartition("block")
-    whole = np.zeros(blocks * BLOCK // 8, dtype=np.uint8)
-    for row in dealt.mapInArrow(fill, "block long, bits binary").collect():
-        start = row["block"] * BLOCK // 8
-        whole[start : start + BLOCK // 8] |= np.frombuffer(row["bits"], dtype=np.uint8)
-    return whole, blocks
-
-
-def _given(filled: dict[int, np.ndarray]) -> pa.RecordBatch:
-    bits = [np.packbits(x, bitorder="little").tobytes() for x in filled.values()]
-    return pa.RecordBatch.from_arrays([pa.array(list(filled), pa.int64()), pa.array(bits, pa.binary())], ["block", "bits"])
-
-
-def levels(pairs: np.ndarray, filled: np.ndarray, blocks: int) -> np.ndarray:
+
+def levels(pairs: np.ndarray, filled: np.ndarray) -> np.ndarray:
     """The level of each pair, by probes for one level after the other; 0 if the filter holds none."""
     found = np.zeros(len(pairs), dtype=np.int64)
     left = np.flatnonzero(pairs >= 0)
     level = 1
     while len(left):
-        block, spread = _positions(pairs[left], level, blocks)
-        for probe in range(PROBES):
-            bit = _bit(spread, probe).astype(np.int64)
-            hit = (filled[block * (BLOCK // 8) + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
-            left, block, spread = left[hit], block[hit], spread[hit]
+        left = left[bloom.contains(_items(pairs[left], level), filled)]
         found[left] = level
         level += 1
     return found
@@ -192,7 +149,7 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     least = max(2.0, n / PAIRS)
     level = (F.floor(F.log2(F.col("n") / least) + 1e-12) + 1).cast("int")
     kept = stored(pair_counts(texts, sent).where(F.col("n") >= least).select("pair", level.alias("level")))
-    filled, blocks = bloom_filter(kept)
+    filled = count_filter(kept)
     # What the kept pairs of a context take from it, as counts and as single probabilities.
     words = spark.createDataFrame(pa.table({"word": np.flatnonzero(model["context"]), "single": (counts[model["context"]] + 1) / (n + v + 1)})) if n else None
     taken, single = np.zeros(len(counts)), np.zeros(len(counts))
@@ -207,7 +164,7 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     shrink = np.minimum(1.0, 0.98 / np.maximum(share, 1e-300))
     left = np.maximum(1 - share * shrink, 0.02)
     model |= {"backoff": np.log10(left / np.maximum(1 - single, 1e-3)), "shrink": np.log10(shrink), "filter": filled}
-    model |= {"blocks": np.array([blocks]), "least": np.array([least]), "n": np.array([n]), "v": np.array([v])}
+    model |= {"least": np.array([least]), "n": np.array([n]), "v": np.array([v])}
     return counted, model
 
 
@@ -221,7 +178,7 @@ def score(docs: DataFrame, counted: DataFrame, model: dict[str, np.ndarray]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = unpacked(sent.value)
-        known, filled, blocks = Vocabulary(arrays), arrays["filter"], int(arrays["blocks"][0])
+        known, filled = Vocabulary(arrays), arrays["filter"]
         logs, least = np.log10(arrays["counts"] + 1.0), float(arrays["least"][0])
         contexts = np.log10(np.maximum(arrays["counts"], 1))
         for batch in batches:
@@ -235,7 +192,7 @@ def score(docs: DataFrame, counted: DataFrame, model: dict[str, np.ndarray]) ->
                 model_part = single.copy()
                 some = before >= 0
                 model_part[some] += arrays["backoff"][before[some]]
-                level = levels(pairs, filled, blocks)
+                level = levels(pairs, filled)
                 seen = level > 0
                 h = before[seen]
                 model_part[seen] = np.log10(least * MIDDLE) + (level[seen] - 1) * np.log10(2) - contexts[h] + arrays["shrink"][h]
