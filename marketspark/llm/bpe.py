@@ -22,6 +22,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketspark.llm.pieces import Pieces, alphabet
 
@@ -157,8 +158,9 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The ids of every text and the text that they decode to: ``id_column``, ``ids`` array<int>, ``decoded``.
+def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ids of every text and the text that they decode to: ``id_column``, the columns ``keep``, ``ids`` array<int>,
+    ``decoded``.
 
     ``path`` is a vocabulary file of the tokenizers library, read on the driver and sent to the tasks (its size
     does not depend on the corpus).
@@ -167,15 +169,18 @@ def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = loaded(source.value)
-        for keys, texts in _groups(batches):
+        for rows, texts in _groups(batches):
             ids = [known.encode(text) for text in texts]
             lengths = np.cumsum([0, *map(len, ids)])
             values = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
             lists = pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([keys, lists, pa.array([known.decode(x.tolist()) for x in ids], pa.string())], ["key", "ids", "decoded"])
+            decoded = pa.array([known.decode(x.tolist()) for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([rows.column(0), *rows.columns[2:], lists, decoded], [id_column, *keep, "ids", "decoded"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return _inputs(docs, id_column, text_column).mapInArrow(run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", id_column)
+    kept = [F.col(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("_encoded"), *map(F.col, keep)]
+    inputs = docs.select(*kept)
+    schema = T.StructType([inputs.schema[0], *inputs.schema.fields[2:], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    return inputs.mapInArrow(run, schema)
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -186,27 +191,24 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_column: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = loaded(source.value)
         decimal = known.decimal.__getitem__
-        for keys, texts in _groups(batches):
+        for rows, texts in _groups(batches):
             counts, of_ids, of_text = [], [], []
             for text in texts:
                 ids = known.encode(text).tolist()
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 of_text.append(hashlib.sha256(known.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _inputs(docs, id_column, text_column).mapInArrow(run, schema).withColumnRenamed("key", id_column)
-
-
-def _inputs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).alias("key"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    inputs = docs.select(F.col(id_column).alias("key"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    return inputs.mapInArrow(run, schema).withColumnRenamed("key", id_column)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Few rows at a time, so that outputs stay small."""
+def _groups(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Few rows at a time, so that outputs stay small; with the texts, which are the second column."""
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             part = batch.slice(start, size)
-            yield part.column(0), part.column(1).to_pylist()
+            yield part, part.column(1).to_pylist()
