@@ -26,6 +26,8 @@ WIDTH, STRIDE, DIMENSIONS = 8, 4, 6
 FILTERS, HIDDEN = 24, 16
 CHUNK = 128
 EPOCHS = 6
+#: A small sample is gone through more often, until so many steps are done.
+STEPS = 600
 BATCH = 32
 RATE = 0.01
 #: Bytes of texts that are worked on together.
@@ -121,8 +123,9 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.n
         return network.model | {"drawn": np.zeros(1)}
     adam = training.Adam(network.model, RATE)
     random = np.random.default_rng(5)
-    for epoch in range(EPOCHS):
-        adam.rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(texts)))
+    for epoch in range(epochs):
+        adam.rate = RATE * (1 - epoch / epochs)
         order = random.permutation(len(texts))
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]

@@ -32,6 +32,8 @@ FILTERS = 8
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 5)
 EPOCHS = 4
+#: A small sample is gone through more often, until so many steps are done.
+STEPS = 600
 BATCH = 64
 RATE = 0.01
 #: Rows of a bucket that the prior of its log odds counts for.
@@ -93,9 +95,9 @@ class Network:
             embedded[:, 0] = odds.sum(axis=1)
         return embedded
 
-    def logits(self, buckets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def logits(self, buckets: np.ndarray, sizes: np.ndarray, odds: np.ndarray | None = None) -> np.ndarray:
         found = np.full(len(sizes), float(self.model["bias"][0]))
-        embedded = self.embed(buckets)
+        embedded = self.embed(buckets, odds)
         for width in WIDTHS:
             full, tops, *_ = self.pooled(buckets, sizes, width, embedded)
             found[full] += tops @ self.model[f"out{width}"]
@@ -160,7 +162,7 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.n
     small = {name: x for name, x in network.model.items() if name != "table"}
     adam, squares = training.Adam(small, RATE), np.full(TABLE, 1e-8, dtype=np.float32)
     random = np.random.default_rng(7)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(sizes)))):
         order = random.permutation(len(sizes))
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]
@@ -171,7 +173,13 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.n
             # The table takes AdaGrad steps on the rows that were met.
             np.add.at(squares, places, np.einsum("ij,ij->i", into, into) / DIMENSIONS)
             np.add.at(network.model["table"], places, -TABLE_RATE * into / np.sqrt(squares[places])[:, None])
-    logits = np.concatenate([network.logits(*part) for part in parts])
+    # Thresholds, too, are set on what the other texts say of each.
+    logits, place = [], 0
+    for own, counts in parts:
+        classes = np.repeat(labels[place : place + len(counts)].astype(np.int64), counts)
+        logits.append(network.logits(own, counts, others[classes[:, None], own]))
+        place += len(counts)
+    logits = np.concatenate(logits)
     languages, thresholds = [""], [0.0]
     for lang in sorted({lang for lang in langs if lang}):
         own = np.array([x == lang for x in langs])
