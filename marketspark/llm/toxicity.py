@@ -138,10 +138,10 @@ def _buckets_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.ndarray]:
-    """The model's arrays, and thresholds by language as logits."""
+    """The model's arrays, and the logits of the sample for the choice of thresholds."""
     if len(set(labels.tolist())) < 2:
         model = Network.fresh(np.zeros(TABLE, dtype=np.float32)).model
-        return model | {"languages": np.array([""]), "thresholds": np.zeros(1), "drawn": np.zeros(1)}
+        return model | {"logits": np.zeros(0), "labels": np.zeros(0), "langs": np.zeros(0, dtype=str), "drawn": np.zeros(1)}
     parts = [_buckets_of(texts[k : k + 256]) for k in range(0, len(texts), 256)]
     buckets = np.concatenate([part[0] for part in parts])
     sizes = np.concatenate([part[1] for part in parts])
@@ -180,21 +180,30 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.n
         logits.append(network.logits(own, counts, others[classes[:, None], own]))
         place += len(counts)
     logits = np.concatenate(logits)
-    languages, thresholds = [""], [0.0]
-    for lang in sorted({lang for lang in langs if lang}):
-        own = np.array([x == lang for x in langs])
-        if labels[own].sum() >= LEAST:
-            languages.append(lang)
-            thresholds.append(_threshold(logits[own], labels[own]))
-    return network.model | {"languages": np.array(languages), "thresholds": np.array(thresholds), "drawn": training.log_odds(labels)}
+    found = {"logits": logits, "labels": labels, "langs": np.array([lang or "" for lang in langs])}
+    return network.model | found | {"drawn": training.log_odds(labels)}
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Between -2 and 2: the middle of the cuts with the fewest errors."""
-    cuts = np.linspace(-2, 2, 81)
-    errors = [((logits >= cut) != (labels > 0)).sum() for cut in cuts]
-    best = cuts[np.array(errors) == min(errors)]
-    return float((best[0] + best[-1]) / 2)
+def thresholds(logits: np.ndarray, labels: np.ndarray, langs: np.ndarray, weight: float) -> dict[str, np.ndarray]:
+    """The cut of the logits with the fewest errors for each language, and for all (""). ``weight``: what a text of
+    label 1 counts for, against one of label 0. Cuts within one standard error of the best count as equal, and the
+    one nearest to even odds is taken."""
+    even = -np.log(weight)
+    cuts = np.append(np.linspace(-4, 6, 201), even)
+
+    def best(own: np.ndarray) -> float:
+        if not labels[own].sum() >= LEAST:
+            return float("nan")
+        above = logits[own][None, :] >= cuts[:, None]
+        errors = np.where(labels[own] > 0, weight * ~above, above).sum(axis=1)
+        good = cuts[errors <= errors.min() + np.sqrt(errors.min() + 1)]
+        return float(good[np.argmin(np.abs(good - even))])
+
+    names = [""] + sorted({str(lang) for lang in langs if lang})
+    found = np.array([best(np.ones(len(logits), dtype=bool) if not name else langs == name) for name in names])
+    if np.isnan(found[0]):
+        found[0] = even
+    return {"languages": np.array(names), "thresholds": np.where(np.isnan(found), found[0], found)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: Column | None = None, per_class: int = training.PER_CLASS) -> dict[str, np.ndarray]:
@@ -204,8 +213,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: Column
     # The sample has other class shares than the labels.
     shift = training.class_shares(labels, label, rows) - float(model.pop("drawn")[0])
     model["bias"] = model["bias"] + np.float32(shift)
-    model["thresholds"] = model["thresholds"] + shift
-    return model
+    cuts = thresholds(model.pop("logits"), model.pop("labels"), model.pop("langs"), float(np.exp(shift)))
+    return model | {"languages": cuts["languages"], "thresholds": cuts["thresholds"] + shift}
 
 
 def _scorer(arrays: dict[str, np.ndarray]):
