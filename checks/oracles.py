@@ -237,17 +237,21 @@ def _returns(name: str, staging: str) -> None:
 
 
 def _movers(name: str, staging: str) -> None:
-    PARTS[name] = (
+    """A rank is one more than the number of strictly better (or worse) returns of the day."""
+    PARTS[f"{name}_day"] = (
         (staging,),
+        f"SELECT * FROM {staging} WHERE daily_return IS NOT NULL AND price_date = (SELECT max(price_date) FROM {staging})",
+    )
+    PARTS[name] = (
+        (f"{name}_day",),
         f"""
         SELECT ticker, price_date, close_price, {rounded("daily_return * 100", 4)} AS daily_return_pct, volume,
-               round(range_pct, 4) AS range_pct, above + 1 AS gainer_rank, under + 1 AS loser_rank,
-               CASE WHEN above < 10 THEN 'top_gainer' ELSE 'top_loser' END AS mover_type
-        FROM (SELECT *, (rank() OVER (ORDER BY daily_return DESC))::BIGINT - 1 AS above,
-                     (rank() OVER (ORDER BY daily_return))::BIGINT - 1 AS under
-              FROM {staging}
-              WHERE daily_return IS NOT NULL AND price_date = (SELECT max(price_date) FROM {staging}))
-        WHERE least(above, under) < 10
+               round(range_pct, 4) AS range_pct, gainer_rank, loser_rank,
+               CASE WHEN gainer_rank <= 10 THEN 'top_gainer' ELSE 'top_loser' END AS mover_type
+        FROM (SELECT day.*, 1 + (SELECT count(*) FROM {name}_day better WHERE better.daily_return > day.daily_return) AS gainer_rank,
+                     1 + (SELECT count(*) FROM {name}_day worse WHERE worse.daily_return < day.daily_return) AS loser_rank
+              FROM {name}_day day)
+        WHERE gainer_rank <= 10 OR loser_rank <= 10
         """,
     )
 
@@ -464,6 +468,16 @@ _BOTH_RANKS = """
     FROM stg WHERE daily_return IS NOT NULL
 """
 add("rank_movers", _BOTH_RANKS, "stg")
+add(
+    "rank_movers_odd",
+    """
+    SELECT *, (rank() OVER (ORDER BY daily_return DESC))::BIGINT AS gainer_rank,
+           (rank() OVER (ORDER BY daily_return))::BIGINT AS loser_rank
+    FROM (SELECT ticker, price_date, CASE WHEN day(price_date) % 2 = 0 THEN 0e0 ELSE daily_return END AS daily_return
+          FROM stg WHERE daily_return IS NOT NULL AND day(price_date) NOT IN (3, 5))
+    """,
+    "stg",
+)
 add("keep_movers", f"SELECT * FROM ({_BOTH_RANKS}) WHERE gainer_rank <= 25 OR loser_rank <= 25", "stg")
 add("latest_date", "SELECT max(price_date) AS max_date FROM stg", "stg")
 add("at_latest_date", "SELECT ticker, price_date, close_price FROM stg WHERE price_date = (SELECT max(price_date) FROM stg)", "stg")
@@ -575,8 +589,8 @@ add("run_metrics", _metrics(extra=", '16' AS batch_size"), "scored_news")
 add(
     "run_history",
     " UNION ALL ".join(
-        _metrics(f"WHERE source = '{kind}'", "4e0", f", 'run-{run}' AS run_id, '{day}T00:00:00' AS start_time")
-        for run, kind, day in (("a", "view", "2024-01-01"), ("b", "error", "2024-01-02"))
+        _metrics(f"WHERE source {kind} ('view', 'click')", "4e0", f", 'run-{run}' AS run_id, '{day}T00:00:00' AS start_time")
+        for run, kind, day in (("a", "IN", "2024-01-01"), ("b", "NOT IN", "2024-01-02"))
     ),
     "scored_news",
 )
@@ -600,12 +614,18 @@ add("sentiment_gold", _summary("scored_headlines"), "scored_headlines")
 # --- documents and retrieval ----------------------------------------------------
 add("filing_docs", "SELECT * FROM filing_docs", "filing_docs")
 add("news_docs", "SELECT * FROM news_docs", "news_docs")
+add("sample_rows", "SELECT * FROM scored_news ORDER BY md5(url || '|0'), url LIMIT 500", "scored_news")
 add("first_docs", "SELECT ticker, url FROM headlines WHERE title <> '' ORDER BY ticker, url LIMIT 1000", "headlines")
 add(
     "documents_written",
     "SELECT collection, id, text, ticker FROM filing_docs UNION ALL SELECT collection, id, text, ticker FROM news_docs",
     "filing_docs", "news_docs",
 )
+add(
+    "documents_default",
+    "SELECT collection, id, text, ticker FROM filing_docs UNION ALL SELECT collection, id, text, ticker FROM news_docs",
+    "filing_docs", "news_docs",
+)
 add("collection_sizes", "SELECT collection, count(*) AS documents FROM docs GROUP BY collection", "docs")
 _KNN = """
     SELECT q.vec_id AS question_id, d.collection, d.vec_id::VARCHAR AS id,
@@ -627,6 +647,7 @@ add(
     """,
     "contexts",
 )
+ORACLES["retrieve_relanded"] = ORACLES["retrieve"]
 
 # --- quality --------------------------------------------------------------------
 
@@ -728,7 +749,16 @@ add("duplicates", "SELECT ticker, date, count(*) AS n_records FROM raw_prices WH
 
 # --- landing: sources, sinks, coverage ------------------------------------------
 add("bulk_csv_roundtrip", "SELECT date, ticker, open, high, low, close, volume, 'bulk' AS source, 0e0 AS open_interest FROM bars", "bars")
-add("bulk_load_summary", "SELECT count(*) AS total_rows, 0::BIGINT AS skipped FROM bars", "bars")
+add(
+    "bulk_load_summary",
+    "SELECT count(*) AS total_rows, count(DISTINCT (ticker, day(date) % 2)) AS converted, 0::BIGINT AS skipped FROM bars",
+    "bars",
+)
+add(
+    "bulk_csv_quoted",
+    "SELECT date, ticker, CASE WHEN day(date) <> 1 THEN open END AS open, close, volume, 7e0 AS open_interest FROM bars",
+    "bars",
+)
 add("normalise_prices", "SELECT date, ticker, open, high, low, close, volume, 'feed' AS source FROM bars", "bars")
 PARTS["articles"] = (
     (),
@@ -758,6 +788,20 @@ add(
     WHERE o_orderkey % 17 <> 0
     """,
 )
+add(
+    "filings_all_hits",
+    """
+    SELECT 'T' || o_custkey AS ticker,
+           CASE WHEN place % 3 <> 0 THEN '10-K' WHEN o_orderstatus = 'F' THEN '10-K' ELSE '10-Q' END AS form_type,
+           'Customer ' || o_custkey AS entity_name,
+           CASE WHEN place % 4 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS period_of_report,
+           strftime(o_orderdate, '%Y-%m-%d') AS file_date,
+           lpad(o_orderkey::VARCHAR, 10, '0') || '-00-' || place AS accession_no, place - 1 AS position,
+           CASE WHEN o_orderkey = 0 THEN '' ELSE o_orderkey::VARCHAR END AS cik
+    FROM orders, LATERAL (SELECT unnest(range(1, o_orderkey % 9 + 1)) AS place)
+    WHERE o_orderkey % 17 <> 0
+    """,
+)
 add(
     "first_hits",
     """

@@ -242,6 +242,14 @@ def rank_movers(spark, sf):
     return rk.rank_movers(scratch.stored(_returns(spark, sf)))
 
 
+@query
+def rank_movers_odd(spark, sf):
+    """The same with returns that are NaN, null and often equal."""
+    day = F.dayofmonth("price_date")
+    odd = F.when(day == 3, F.lit(float("nan"))).when(day == 5, F.lit(None)).when(day % 2 == 0, F.lit(0.0)).otherwise(F.col("daily_return"))
+    return rk.rank_movers(_returns(spark, sf).withColumn("daily_return", odd))
+
+
 @query
 def keep_movers(spark, sf):
     """The 25 best and worst single-day returns of all dates."""
@@ -384,7 +392,7 @@ def filing_docs(spark, sf):
 
 @query
 def news_docs(spark, sf):
-    documents = rt.news_documents(scored_headlines(spark, sf), None)
+    documents = rt.news_documents(scored_headlines(spark, sf))
     return documents.select("collection", "id", "text", *[F.col(f"meta.{name}").alias(name) for name in ("ticker", "sentiment", "score", "source")])
 
 
@@ -405,7 +413,7 @@ def documents_written(spark, sf):
 
 @query
 def collection_sizes(spark, sf):
-    documents = rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf), news_limit=None)
+    documents = rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf))
     return rt.collection_sizes(documents)
 
 
@@ -425,18 +433,18 @@ def _vectors(spark, sf):
 @query
 def knn(spark, sf):
     """Five nearest of each collection for every stored vector."""
-    return rt.nearest(*_vectors(spark, sf))
+    return rt.nearest_join(*_vectors(spark, sf))
 
 
 @query
 def knn_blocks(spark, sf):
-    """The same through blocks of questions and documents."""
-    return rt.nearest(*_vectors(spark, sf), broadcast_limit=128, block_rows=200)
+    """The same through small blocks of questions and documents."""
+    return rt.nearest_join(*_vectors(spark, sf), block_questions=128, block_rows=200)
 
 
 def _documents(spark, sf):
     embedder = rt.column_embedder(fx.letter_embedding)
-    return rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf), embedder, news_limit=None), embedder
+    return rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf), embedder), embedder
 
 
 @query
@@ -446,6 +454,22 @@ def retrieve(spark, sf):
     return reports.retrieve(fx.questions(spark, sf), documents, 5, embedder)
 
 
+@query
+def retrieve_relanded(spark, sf):
+    """The same when every filing and article was landed twice: no document counts twice."""
+    embedder = rt.column_embedder(fx.letter_embedding)
+    filings, news = fx.filings(spark, sf), scored_headlines(spark, sf)
+    documents = rt.build_documents(filings.unionByName(filings), news.unionByName(news), embedder)
+    return reports.retrieve(fx.questions(spark, sf), documents, 5, embedder)
+
+
+@query
+def documents_default(spark, sf):
+    """Both collections as a plain call builds them: every filing, every titled article."""
+    documents = rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf))
+    return documents.select("collection", "id", "text", F.col("meta.ticker").alias("ticker"))
+
+
 # --- quality --------------------------------------------------------------------
 
 
@@ -537,17 +561,18 @@ def _folder_ticker(path):
     return F.regexp_extract(path, "ticker=([^/]+)/", 1)
 
 
-def _bulk_csv(spark, sf):
+def _bulk_csv(spark, sf, **options):
+    """Two files per ticker, of even and odd days."""
     folder = scratch.new_folder(spark)
     bulk = fx.bars(spark, sf).select(
-        "ticker",
+        "ticker", (F.dayofmonth("date") % 2).alias("half"),
         F.date_format("date", "yyyy-MM-dd").alias("Date"),
         F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
         F.col("volume").alias("Vol"),
         F.lit(0).alias("OpenInt"),
     )
-    bulk.hint("rebalance", "ticker").write.partitionBy("ticker").option("header", True).csv(folder)
-    return folder, readers.read_bulk_csv(spark, folder, "bulk", ticker_of=_folder_ticker)
+    bulk.repartition("ticker", "half").write.partitionBy("ticker", "half").option("header", True).csv(folder)
+    return folder, readers.read_bulk_csv(spark, folder, "bulk", ticker_of=_folder_ticker, **options)
 
 
 @query
@@ -557,10 +582,29 @@ def bulk_csv_roundtrip(spark, sf):
 
 @query
 def bulk_load_summary(spark, sf):
-    folder, rows = _bulk_csv(spark, sf)
+    folder, rows = _bulk_csv(spark, sf, with_file=True)
     written = scratch.new_folder(spark)
     writers.write_bronze_prices(rows, written)
-    return readers.load_summary(spark, readers.read_layer(spark, written), folder, written, _folder_ticker).select("total_rows", "skipped")
+    summary = readers.load_summary(spark, readers.read_layer(spark, written), folder, written)
+    return summary.select("total_rows", "converted", "skipped")
+
+
+@query
+def bulk_csv_quoted(spark, sf):
+    """Quoted fields with commas, headers with blanks, columns in another order; such a number is no number."""
+    folder = scratch.new_folder(spark)
+    lines = fx.bars(spark, sf).select(
+        F.concat_ws(
+            ",", F.format_string('"%s, traded"', "ticker"), F.concat(F.lit('"'), F.col("volume").cast("string"), F.lit('"')),
+            F.date_format("date", "yyyy-MM-dd"), F.when(F.dayofmonth("date") == 1, F.lit('"1,000.5"')).otherwise(F.col("open").cast("string")),
+            F.col("close").cast("string"), F.lit("7"),
+        ).alias("value"),
+        "ticker",
+    )
+    header = fx.bars(spark, sf).select("ticker").distinct().select(F.lit('Note, Vol ,"Date",Open,Close,Open Interest').alias("value"), "ticker")
+    header.unionByName(lines).repartition("ticker").sortWithinPartitions(F.desc("value")).write.partitionBy("ticker").text(folder)
+    rows = readers.read_bulk_csv(spark, folder, "quoted", ticker_of=_folder_ticker)
+    return rows.select("date", "ticker", "open", "close", "volume", "open_interest")
 
 
 @query
@@ -591,6 +635,12 @@ def news_run_dated(spark, sf):
 
 @query
 def filings_top5(spark, sf):
+    landed = readers.read_filings_json(spark, _landed(fx.filings_payloads(spark, sf), spark), fv.HITS_PER_FORM)
+    return landed.withColumn("cik", cik_of(F.col("accession_no")))
+
+
+@query
+def filings_all_hits(spark, sf):
     landed = readers.read_filings_json(spark, _landed(fx.filings_payloads(spark, sf), spark))
     return landed.withColumn("cik", cik_of(F.col("accession_no")))
 
@@ -745,10 +795,11 @@ def refresh_stats(spark, sf):
 
 @query
 def run_history(spark, sf):
-    """Two recorded scoring runs, newest first."""
+    """Two recorded scoring runs, newest first: of reading events, and of all others."""
     folder = scratch.new_folder(spark)
-    news = fx.scored_news(spark, sf)
-    for place, (run, label) in enumerate((("run-a", "view"), ("run-b", "error"))):
+    kind = F.when(F.col("source").isin("view", "click"), "read").otherwise("act")
+    news = fx.scored_news(spark, sf).withColumn("source", kind)
+    for place, (run, label) in enumerate((("run-a", "read"), ("run-b", "act"))):
         metrics = ag.run_metrics(news.filter(F.col("source") == label), 4.0, rounding=stable)
         writers.append_run(pj.with_audit(metrics, run_id=run, start_time=f"2024-01-0{place + 1}T00:00:00"), folder)
     return rk.run_history(readers.read_layer(spark, folder))

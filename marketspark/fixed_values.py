@@ -16,12 +16,9 @@ UNIVERSE_REQUIRED = ("KMI",)
 UNIVERSE_FORBIDDEN = ("PXD",)
 
 # --- Fixed values: ingestion window and search parameters -----------------------
-HISTORY_START = "2019-01-01"
-HISTORY_END = "2024-12-31"
 FORM_TYPES = ("10-K", "10-Q")
 HITS_PER_FORM = 5
 ARTICLES_PER_TICKER = 100
-NEWS_LANGUAGE = "en"
 NEWS_DAYS = 7
 
 # --- Fixed values: column order of landed prices, header aliases ----------------
@@ -32,7 +29,7 @@ HEADER_ALIASES = {"vol": "volume", "openint": "open_interest"}
 SENTIMENT_LABELS = ("positive", "negative", "neutral")
 
 # --- Fixed values: minimum row counts expected of each dataset ------------------
-MIN_ROWS = {"prices": 70_000, "bulk_prices": 15_000_000, "news": 500, "filings": 400}
+MIN_ROWS = {"prices": 70_000, "news": 500, "filings": 400}
 
 # --- Fixed values: document collections and their text formats ------------------
 FILINGS_COLLECTION = "sec_filings"
@@ -41,6 +38,7 @@ FILING_TEXT = "%s (%s) filed a %s on %s for the period ending %s. Accession numb
 NEWS_TEXT = "[%s] %s: %s (confidence: %s, source: %s, date: %s)"
 MISSING_TEXT = "None"
 NEWS_DOCUMENTS = 1000
+PROMPT = "%s\n\nCONTEXT:\n%s\n\nQUESTION: %s\n\nANSWER:"
 NO_DOCUMENTS = "No relevant documents found in the vector store."
 
 # --- Fixed values: report headings ----------------------------------------------

@@ -11,10 +11,17 @@ from ..functions.numeric import half_up, to_number, to_whole
 
 
 def normalise_name(name: str, aliases=None) -> str:
-    plain = re.sub(r"\s+", "_", name.strip().lower())
+    plain = re.sub(r"\s", "_", name.strip().lower())
     return (fv.HEADER_ALIASES if aliases is None else aliases).get(plain, plain)
 
 
+def normalised(name: Column) -> Column:
+    """The same for headers that are values of a column."""
+    plain = F.regexp_replace(F.lower(F.trim(name)), r"\s", "_")
+    aliases = F.create_map(*[F.lit(part) for pair in fv.HEADER_ALIASES.items() for part in pair])
+    return F.coalesce(F.try_element_at(aliases, plain), plain)
+
+
 def normalise_columns(df: DataFrame, aliases=None) -> DataFrame:
     """Trimmed lower-case headers with blanks as underscores and known aliases resolved."""
     return df.toDF(*[normalise_name(name, aliases) for name in df.columns])

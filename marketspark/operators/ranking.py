@@ -11,15 +11,20 @@ def _ties(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("_ties"))
 
 
+def _real(column: str):
+    return F.col(column).isNotNull() & ~F.isnan(F.col(column))
+
+
 def rank_movers(df: DataFrame, column: str = "daily_return", width: float = 0.001) -> DataFrame:
-    """``gainer_rank`` and ``loser_rank`` of every row: global ranks, ties share one.
+    """``gainer_rank`` and ``loser_rank`` of every row that has a return: global ranks, ties share one. NaN is no
+    return, as null.
 
     Equal values are counted before anything is ordered. Distinct values are then ranked inside
     value bands of ``width``, and the bands offset by the counts below them. A window without
     partitioning would pull every row into one task; here one task holds the values of one band.
     """
     band = F.floor(F.col(column) / width)
-    values = _ties(df.filter(F.col(column).isNotNull()), column).withColumn("_band", band)
+    values = _ties(df.filter(_real(column)), column).withColumn("_band", band)
     bands = values.groupBy("_band").agg(F.sum("_ties").alias("_in_band"))
     below = Window.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bands.select(
@@ -43,7 +48,7 @@ def keep_movers(df: DataFrame, k: int = 10, column: str = "daily_return") -> Dat
     Only the k largest and k smallest distinct values can rank within k, so the ordering works on at
     most 2k counted values, and those (never more) are what is broadcast back to the rows.
     """
-    values = _ties(df.filter(F.col(column).isNotNull()), column)
+    values = _ties(df.filter(_real(column)), column)
     total = values.agg(F.sum("_ties")).scalar()
 
     def edge(order, rank, other):
@@ -95,8 +100,9 @@ def first_n_docs(df: DataFrame, n: int = 1000, keys=("ticker", "url")) -> DataFr
 
 
 def sample_rows(df: DataFrame, n: int, keys, seed: int = 0) -> DataFrame:
-    """Exactly n rows (or all), chosen by the hash of their key: the same ones on every run."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """Exactly n rows (or all), chosen by the MD5 of their key and the seed: the same ones on every run."""
+    chosen = F.md5(F.concat_ws("|", *[F.col(key).cast("string") for key in keys], F.lit(str(seed))))
+    return df.orderBy(chosen, *keys).limit(n)
 
 
 def run_history(runs: DataFrame) -> DataFrame:

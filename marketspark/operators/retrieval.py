@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.text import filing_text, news_text
 from .projections import with_doc_id, with_meta
-from .ranking import first_n_docs
 from .combine import union_sources
+from .windows import dedup_last
 
 Embedder = Callable[[DataFrame, str], DataFrame]
 
@@ -65,7 +65,10 @@ def embed(df: DataFrame, text: str = "text", embedder: Embedder | None = None) -
     return (embedder or hashing_embedder())(df, text)
 
 
-def filing_documents(filings: DataFrame) -> DataFrame:
+def filing_documents(filings: DataFrame, landed=()) -> DataFrame:
+    """One document per filing. Of a filing landed repeatedly the last row counts, by the arrival columns ``landed``
+    and then by all others."""
+    filings = dedup_last(filings, ["accession_no"], landed)
     fields = {"ticker": "ticker", "form_type": "form_type", "file_date": "file_date", "period": "period_of_report"}
     tagged = with_meta(filings, {name: F.col(column) for name, column in fields.items()})
     return with_doc_id(tagged, "filing", ["accession_no"]).select(
@@ -73,9 +76,9 @@ def filing_documents(filings: DataFrame) -> DataFrame:
     )
 
 
-def news_documents(news: DataFrame, limit: int | None = fv.NEWS_DOCUMENTS, keys=("ticker", "url")) -> DataFrame:
-    """Titled articles; the first ``limit`` by key, or all of them with None."""
-    titled = news.filter(F.col("title") != "") if limit is None else first_n_docs(news, limit, keys)
+def news_documents(news: DataFrame, keys=("ticker", "url"), landed=()) -> DataFrame:
+    """One document per titled article, the last landed; ``first_n_docs`` in front of it limits their number."""
+    titled = dedup_last(news.filter(F.col("title") != ""), list(keys), landed)
     fields = {"ticker": "ticker", "sentiment": "sentiment", "score": "sentiment_score", "source": "source"}
     tagged = with_meta(titled, {name: F.col(column) for name, column in fields.items()})
     return with_doc_id(tagged, "news", keys, digest=True).select(
@@ -83,13 +86,12 @@ def news_documents(news: DataFrame, limit: int | None = fv.NEWS_DOCUMENTS, keys=
     )
 
 
-def build_documents(filings: DataFrame, news: DataFrame, embedder: Embedder | None = None,
-                    news_limit: int | None = fv.NEWS_DOCUMENTS) -> DataFrame:
-    """Both collections as one frame (collection, id, text, meta, embedding).
+def build_documents(filings: DataFrame, news: DataFrame, embedder: Embedder | None = None, landed=()) -> DataFrame:
+    """Both collections as one frame (collection, id, text, meta, embedding); no id stands twice in a collection.
 
     The union gives ``meta`` the fields of both kinds; those of the other kind are null.
     """
-    return embed(union_sources(filing_documents(filings), news_documents(news, news_limit)), "text", embedder)
+    return embed(union_sources(filing_documents(filings, landed), news_documents(news, landed=landed)), "text", embedder)
 
 
 def collection_sizes(documents: DataFrame) -> DataFrame:
@@ -146,42 +148,53 @@ def _best(k: int, places: int):
 
 
 def nearest(questions: DataFrame, documents: DataFrame, k: int = 5, places: int = 6,
-            broadcast_limit: int = 1024, block_rows: int = 50_000) -> DataFrame:
-    """The k nearest documents of each collection for every question, by exact squared distance.
+            max_questions: int = 1024) -> DataFrame:
+    """The k nearest documents of each collection for a few questions, by exact squared distance.
 
     ``questions``: (question_id, embedding); ``documents``: (collection, id, embedding). Distances
     are rounded to ``places`` before ranking, ties go to the smaller id.
 
-    Up to ``broadcast_limit`` questions are sent to the tasks, which scan the documents where they
-    lie and keep k candidates each. More questions than that are cut into blocks and met with
-    blocks of documents, one pair of blocks per task. Neither way writes out question-document pairs.
+    The questions are sent to the tasks, which scan the documents where they lie and keep k candidates
+    each. More than ``max_questions`` raise an error: those are a join, ``nearest_join``.
     """
-    spark = documents.sparkSession
+    wanted, stored, shape = _vectors_of(questions, documents)
+    best = _best(k, places)
+    few = wanted.limit(max_questions + 1).collect()
+    if len(few) > max_questions:
+        raise ValueError(f"more than {max_questions} questions: use nearest_join")
+    sent = documents.sparkSession.sparkContext.broadcast(
+        ([row.question_id for row in few], [[float(x) for x in row.embedding] for row in few])
+    )
+
+    def scan(batches):
+        import numpy as np
+
+        question_ids, vectors = sent.value
+        if question_ids:
+            yield best(question_ids, np.asarray(vectors, dtype="float64"), batches)
+
+    return _ranked(stored.mapInPandas(scan, shape), k)
+
+
+def _vectors_of(questions: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     kind = dict(questions.dtypes)["question_id"]
     wanted = questions.select("question_id", "embedding").filter(F.col("embedding").isNotNull())
     stored = documents.select("collection", F.col("id").cast("string").alias("id"), "embedding").filter(
         F.col("embedding").isNotNull()
     )
-    shape = f"question_id {kind}, collection string, id string, distance double"
-    best = _best(k, places)
-
-    few = wanted.limit(broadcast_limit + 1).collect()
-    if len(few) <= broadcast_limit:
-        sent = spark.sparkContext.broadcast(
-            ([row.question_id for row in few], [[float(x) for x in row.embedding] for row in few])
-        )
-
-        def scan(batches):
-            import numpy as np
+    return wanted, stored, f"question_id {kind}, collection string, id string, distance double"
 
-            question_ids, vectors = sent.value
-            if question_ids:
-                yield best(question_ids, np.asarray(vectors, dtype="float64"), batches)
 
-        # At most broadcast_limit * k hits per collection: small enough to send to the documents.
-        return F.broadcast(_ranked(stored.mapInPandas(scan, shape), k))
-
-    question_blocks = ceil(wanted.count() / broadcast_limit)
+def nearest_join(questions: DataFrame, documents: DataFrame, k: int = 5, places: int = 6,
+                 block_questions: int = 4096, block_rows: int = 50_000) -> DataFrame:
+    """The same for any number of questions: blocks of questions meet blocks of documents, one pair of
+    blocks per group. Every document is copied once for each block of questions and every question once
+    for each block of documents, so the shuffle is documents * questions / ``block_questions`` vectors;
+    what comes out of a group is k candidates per question and collection.
+    """
+    wanted, stored, shape = _vectors_of(questions, documents)
+    best = _best(k, places)
+    question_blocks = max(1, ceil(wanted.count() / block_questions))
     document_blocks = max(1, ceil(stored.count() / block_rows))
 
     def blocks(df, own, other, keys, own_blocks, other_blocks):
@@ -231,4 +244,4 @@ def assemble_context(hits: DataFrame) -> DataFrame:
 
 
 def prompt_of(question: Column, context: Column, instruction: str = INSTRUCTION) -> Column:
-    return F.format_string("%s\n\nCONTEXT:\n%s\n\nQUESTION: %s\n\nANSWER:", F.lit(instruction), context, question)
+    return F.format_string(fv.PROMPT, F.lit(instruction), context, question)

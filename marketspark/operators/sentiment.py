@@ -37,15 +37,20 @@ def softmax(logits: Sequence[Column]) -> list[Column]:
 def word_list_scorer(positive: Iterable[str] = POSITIVE_WORDS, negative: Iterable[str] = NEGATIVE_WORDS, bias: float = 1.0) -> Scorer:
     """Softmax over the counts of listed words, with a constant for neutral. Reads whole texts."""
 
+    positive, negative = tuple(positive), tuple(negative)
+
     def score(text: Column) -> Column:
-        tokens = words(F.coalesce(text, F.lit("")))
-        logits = [
-            count_words(tokens, tuple(positive)).cast("double"),
-            count_words(tokens, tuple(negative)).cast("double"),
-            F.lit(bias),
-        ]
-        shares = softmax(logits)
-        return F.struct(*[share.alias(label) for share, label in zip(shares, fv.SENTIMENT_LABELS)])
+        listed = F.filter(words(F.coalesce(text, F.lit(""))), lambda word: word.isin(*positive, *negative))
+
+        def counts(found: Column) -> Column:
+            return F.struct(count_words(found, positive).cast("double").alias("p"), count_words(found, negative).cast("double").alias("n"))
+
+        def shares(logits: Column) -> Column:
+            return F.struct(*[share.alias(label) for share, label in zip(softmax([logits["p"], logits["n"], F.lit(bias)]), fv.SENTIMENT_LABELS)])
+
+        # Arguments of functions are computed once: the text is cut once, and the few listed words are counted.
+        counted = F.transform(F.array(listed), counts)
+        return F.element_at(F.transform(counted, shares), 1)
 
     return score
 

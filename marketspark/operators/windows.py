@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions.numeric import half_up, safe_div
 
 
@@ -40,10 +41,16 @@ def newest_first(order, columns) -> list[Column]:
 
 
 def dedup_last(df: DataFrame, keys=("ticker", "date"), order=("ingested_at",)) -> DataFrame:
-    """One row per key: the last to arrive."""
+    """One row per key: the last to arrive. An arrival column that does not exist is an error."""
     others = [name for name in df.columns if name not in keys]
-    known = [name for name in order if name in df.columns]
-    return _first_rows(df, keys, newest_first(known, others), 1)
+    return _first_rows(df, keys, newest_first(arrival_columns(df, order), others), 1)
+
+
+def arrival_columns(df: DataFrame, order) -> list[str]:
+    absent = [name for name in order if name not in df.columns]
+    if absent:
+        raise ValueError(f"no such arrival column: {', '.join(absent)}")
+    return list(order)
 
 
 def latest_n(df: DataFrame, n: int, by=("ticker",), order: str = "date") -> DataFrame:
@@ -51,7 +58,7 @@ def latest_n(df: DataFrame, n: int, by=("ticker",), order: str = "date") -> Data
     return _first_rows(df, by, [F.col(order).desc_nulls_last()], n)
 
 
-def newest_n(df: DataFrame, n: int = 100, by=("ticker",), order: str = "published_at", tie: str = "url") -> DataFrame:
+def newest_n(df: DataFrame, n: int = fv.ARTICLES_PER_TICKER, by=("ticker",), order: str = "published_at", tie: str = "url") -> DataFrame:
     return _first_rows(df, by, [F.col(order).desc_nulls_last(), F.col(tie).asc_nulls_last()], n)
 
 
@@ -73,8 +80,8 @@ def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), o
     ``look_back`` rows before it, marked ``_lead``; windows over ``(*by, _run)`` that look back no
     further than that give exactly the values of windows over ``by``. Drop the lead rows afterwards.
 
-    Rows are numbered in two levels, counts per day first and then positions within a day, so a
-    series that holds most of the data is never sorted in one task.
+    Rows are numbered in two levels, counts per day first and then positions within a day, so no task
+    sorts more than one day of a series.
     """
     if max_rows < look_back:
         raise ValueError("max_rows must not be smaller than look_back")
@@ -111,5 +118,5 @@ def over_series(df: DataFrame, compute, look_back: int, max_rows: int | None = N
     """
     if max_rows is None:
         return compute(df, tuple(by))
-    cut = split_series(df, max(max_rows, look_back), look_back, by, order)
+    cut = split_series(df, max_rows, look_back, by, order)
     return compute(cut, (*by, "_run")).filter(~F.col("_lead")).drop("_run", "_lead")

@@ -7,7 +7,7 @@ from ..functions.numeric import half_up
 from ..functions import prices
 from ..operators import filters as fl
 from ..operators.projections import safe_cast, with_audit
-from ..operators.windows import daily_return, dedup_last, over_series
+from ..operators.windows import arrival_columns, daily_return, dedup_last, over_series
 
 KEYS = ("date", "close", "ticker")
 
@@ -48,7 +48,7 @@ def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=ha
     A batch without date, ticker or close gives an empty result of the full shape.
     """
     if fl.missing_columns(df, KEYS):
-        df = _empty(df)
+        df, order = _empty(df), ()
     valid, _ = fl.apply_rules(survivors(df, order))
     added = {"silver_processed_at": None, "data_source": source} if audit else {"data_source": source}
     return with_audit(enrich(valid, rounding, max_rows), **added)
@@ -73,7 +73,7 @@ def clean_stats(df: DataFrame, source: str, order=("ingested_at",)) -> DataFrame
             *[F.lit(0).cast("bigint").alias(name) for name in names[1:]],
         )
     cast = safe_cast(df)
-    known = [name for name in order if name in cast.columns]
+    known = arrival_columns(cast, order)
     others = [name for name in cast.columns if name not in ("ticker", "date")]
     arrival = F.struct(*known, *sorted(name for name in others if name not in known))
     kept = F.col("_reason").isNull()

@@ -11,9 +11,6 @@ from ..operators.windows import latest_n, over_series, with_look_back
 #: Rows before a bar that any of its indicators can depend on (the 200-row mean).
 LOOK_BACK = 199
 
-#: Rows of one series that a single window task may hold.
-MAX_SERIES_ROWS = 1_000_000
-
 
 def add_indicators(df: DataFrame, start=None, max_rows: int | None = None, by=("ticker",), rounding=half_up, audit=True) -> DataFrame:
     """All indicators, one output row per input row.
@@ -51,14 +48,3 @@ def latest_indicators(df: DataFrame, n: int = 1, by=("ticker",), rounding=half_u
     the length of the history.
     """
     return latest_n(add_indicators(latest_n(df, LOOK_BACK + n, by), by=by, rounding=rounding, audit=False), n, by)
-
-
-def longest_series(df: DataFrame, by=("ticker",)) -> DataFrame:
-    """One row: the length of the longest series. Reads the key columns only."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows").alias("rows"))
-
-
-def series_limit(df: DataFrame, by=("ticker",), limit: int = MAX_SERIES_ROWS) -> int | None:
-    """``limit`` when some series is longer than it, else None (no cut needed). Runs a small job."""
-    longest = longest_series(df, by).first().rows
-    return limit if longest is not None and longest > limit else None

@@ -5,22 +5,20 @@ from pyspark.sql import DataFrame
 from ..functions.numeric import half_up
 from ..operators import quality as q
 from ..operators.combine import latest_partition, union_sources
-from ..operators.filters import missing_columns
 from ..operators.projections import stg_prices
 from ..sources import readers, writers
-from .clean import KEYS, clean_prices, clean_stats
-from .indicators import add_indicators, series_limit
+from .clean import clean_prices, clean_stats
+from .indicators import add_indicators
 from .marts import mart_daily_returns, mart_top_movers
 
 
-def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_at",), rounding=half_up) -> None:
-    """Silver and gold of one feed. Series too long for one task are found first and cut."""
+def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_at",), rounding=half_up, max_rows: int | None = None) -> None:
+    """Silver and gold of one feed. ``max_rows`` cuts series that are no daily bars, as for the indicators."""
     spark = bronze.sparkSession
-    cut_at = None if missing_columns(bronze, KEYS) else series_limit(bronze)
-    cleaned = clean_prices(bronze, source, order, rounding, max_rows=cut_at)
+    cleaned = clean_prices(bronze, source, order, rounding, max_rows=max_rows)
     writers.write_silver(cleaned, f"{root}/silver/prices/{source}")
     silver = readers.read_silver(spark, root, source).drop("year")
-    gold = add_indicators(silver, max_rows=series_limit(silver), rounding=rounding)
+    gold = add_indicators(silver, max_rows=max_rows, rounding=rounding)
     writers.write_gold(gold, f"{root}/gold/indicators/{source}")
 
 
@@ -48,13 +46,13 @@ def mart_checks(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def refresh(feeds: dict[str, DataFrame], root: str, marts_from: str | None = None, order=("ingested_at",), rounding=half_up) -> dict:
+def refresh(feeds: dict[str, DataFrame], root: str, marts_from: str | None = None, order=("ingested_at",), rounding=half_up, max_rows: int | None = None) -> dict:
     """Full run over the given feeds; the marts are built from ``marts_from`` (default: the first).
 
     The cleaning statistics and the checks are returned as frames that run when they are read.
     """
     for source, bronze in feeds.items():
-        refresh_source(bronze, source, root, order, rounding)
+        refresh_source(bronze, source, root, order, rounding, max_rows)
     stats = union_sources(*[clean_stats(bronze, source, order) for source, bronze in feeds.items()])
     base = marts_from or next(iter(feeds))
     spark = next(iter(feeds.values())).sparkSession

@@ -76,7 +76,7 @@ def performance(returns: DataFrame, limit: int = 10) -> DataFrame:
     return rk.top_performers(returns, limit).select(*fv.HEADINGS["performance"])
 
 
-def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: rt.Embedder | None = None) -> DataFrame:
+def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: rt.Embedder | None = None, instruction: str = rt.INSTRUCTION) -> DataFrame:
     """Context and prompt for every row of (question_id, question)."""
     asked = rt.embed(questions, "question", embedder)
     hits = rt.with_text(rt.nearest(asked, documents, n), documents)
@@ -87,7 +87,7 @@ def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: r
         "question",
         F.coalesce(F.col("sources_used"), F.lit(0)).alias("sources_used"),
         context.alias("context"),
-        rt.prompt_of(F.col("question"), context).alias("prompt"),
+        rt.prompt_of(F.col("question"), context, instruction).alias("prompt"),
     )
 
 

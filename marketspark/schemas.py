@@ -20,8 +20,6 @@ _INDICATORS = [
     )
 ]
 
-BRONZE_PRICES = _fields(_BARS + [("source", _S), ("ingested_at", T.TimestampType()), ("open_interest", _D)])
-
 SILVER_PRICES = _fields(
     _BARS + _ENRICHED
     + [("silver_processed_at", T.TimestampType()), ("data_source", _S), ("year", T.IntegerType())]
@@ -41,29 +39,6 @@ NEWS = _fields(
     [(name, _S) for name in ("ticker", "title", "description", "url", "source", "published_at", "content")]
 )
 
-FILINGS = _fields(
-    [
-        (name, _S)
-        for name in ("ticker", "form_type", "entity_name", "period_of_report", "file_date", "accession_no")
-    ]
-)
-
-SCORED_NEWS = _fields(
-    [(name, _S) for name in ("ticker", "title", "description", "published_at", "source", "url", "sentiment")]
-    + [(name, _D) for name in ("sentiment_score", "prob_positive", "prob_negative", "prob_neutral")]
-)
-
-META = _fields(
-    [
-        ("ticker", _S), ("form_type", _S), ("file_date", _S), ("period", _S),
-        ("sentiment", _S), ("score", _D), ("source", _S),
-    ]
-)
-
-DOCUMENTS = _fields(
-    [("collection", _S), ("id", _S), ("text", _S), ("meta", META), ("embedding", T.ArrayType(T.FloatType()))]
-)
-
 # One landed search response per line, tagged with the ticker that was asked for.
 NEWS_PAYLOAD = _fields(
     [

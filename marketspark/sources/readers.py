@@ -1,4 +1,4 @@
-"""Scans of layers and landed files. Every schema is declared; nothing is inferred from data."""
+"""Scans of layers and landed files. Schemas of landed files are declared; a layer's own schema is its Parquet footer's."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from .. import schemas
 from ..functions.text import or_blank, ticker_of_file
+from ..operators.projections import normalised
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -30,7 +31,7 @@ def files_in(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path)
-        .select("path", F.col("length").alias("bytes"))
+        .select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
     )
 
 
@@ -38,14 +39,25 @@ def _is_header(fields: Column) -> Column:
     return F.array_contains(fields, "date")
 
 
+#: A comma outside quotes: an even number of quotes follows it.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _unquoted(value: Column) -> Column:
+    """A field without blanks around it, its quotes, and with doubled quotes as one."""
+    plain = F.trim(F.translate(value, "\r", ""))
+    return F.replace(F.trim(F.regexp_replace(plain, r'^"|"$', "")), F.lit('""'), F.lit('"'))
+
+
 def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int | None = None,
-                  broadcast_files: int = 20_000, ticker_of=ticker_of_file) -> DataFrame:
+                  ticker_of=ticker_of_file, with_file: bool = False) -> DataFrame:
     """A folder of one-ticker CSV/TXT files; the ticker is the file name unless ``ticker_of`` (from
     the path column) says otherwise.
 
-    Each file is read by its own header, so column order and spelling may differ between files;
-    files without a date column give no rows, as do lines without a readable date. Files are split
-    like any text, so a single very long one is still read by many tasks.
+    Each file is read by its own header, so column order and spelling may differ between files; fields may
+    be quoted and hold commas then. Files without a date column give no rows, as do lines without a
+    readable date. Files are split like any text, so a single very long one is still read by many tasks.
+    ``with_file`` adds the path of each row's file.
     """
     pattern = "*.{csv,txt}"
     paths = path
@@ -58,25 +70,15 @@ def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .text(paths)
-        .select(F.col("_metadata.file_path").alias("_file"), F.split("value", ",").alias("_values"))
+        .select(F.col("_metadata.file_path").alias("_file"), F.split("value", _COMMA).alias("_values"))
     )
-    clean = F.transform("_values", lambda value: F.trim(F.translate(value, '"\r', "")))
-    lines = lines.withColumn("_values", clean)
-    aliases = F.create_map(*[F.lit(part) for pair in fv.HEADER_ALIASES.items() for part in pair])
-
-    def name_of(value: Column) -> Column:
-        plain = F.lower(value)
-        return F.coalesce(F.try_element_at(aliases, plain), plain)
-
-    names = F.transform("_values", name_of)
+    lines = lines.withColumn("_values", F.transform("_values", _unquoted))
+    names = F.transform("_values", normalised)
     headers = lines.select("_file", names.alias("_names")).filter(_is_header(F.col("_names"))).groupBy("_file").agg(
         F.first("_names").alias("_names")
     )
-    # One header row per file. The number of files is known from the listing; past the limit the
-    # join strategy is left to the measured size.
-    if len(lines.inputFiles()) <= broadcast_files:
-        headers = F.broadcast(headers)
-    rows = lines.filter(~_is_header(F.transform("_values", lambda value: F.lower(value)))).join(headers, "_file")
+    # One header row per file; how it is joined is left to its measured size.
+    rows = lines.filter(~_is_header(names)).join(headers, "_file")
 
     def field(name: str) -> Column:
         place = F.array_position("_names", name)
@@ -91,6 +93,7 @@ def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int
         F.lit(source).alias("source"),
         F.current_timestamp().alias("ingested_at"),
         field("open_interest").try_cast("double").alias("open_interest"),
+        *([F.col("_file").alias("file")] if with_file else []),
     ).filter(F.col("date").isNotNull())
 
 
@@ -113,15 +116,15 @@ def flatten_news(payloads: DataFrame) -> DataFrame:
     return articles.select("ticker", *[or_blank(path).alias(name) for name, path in fields.items()])
 
 
-def read_filings_json(spark: SparkSession, path: str, per_form: int = fv.HITS_PER_FORM) -> DataFrame:
+def read_filings_json(spark: SparkSession, path: str, per_form: int | None = None) -> DataFrame:
     return flatten_filings(spark.read.schema(schemas.FILINGS_PAYLOAD).json(path), per_form)
 
 
-def flatten_filings(payloads: DataFrame, per_form: int = fv.HITS_PER_FORM) -> DataFrame:
-    """The first hits of every successful response; the form asked for stands in for a missing one."""
-    hits = payloads.filter(F.col("status") == 200).select(
-        "ticker", "form", F.posexplode(F.slice("hits.hits", 1, per_form)).alias("position", "hit")
-    )
+def flatten_filings(payloads: DataFrame, per_form: int | None = None) -> DataFrame:
+    """The hits of every successful response, or the first ``per_form`` of each; the form asked for stands in
+    for a missing one."""
+    found = F.col("hits.hits") if per_form is None else F.slice("hits.hits", 1, per_form)
+    hits = payloads.filter(F.col("status") == 200).select("ticker", "form", F.posexplode(found).alias("position", "hit"))
     source = "hit._source."
     return hits.select(
         "ticker",
@@ -159,20 +162,19 @@ def written_years(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(files, "year")
 
 
-def load_summary(spark: SparkSession, rows: DataFrame, raw_path: str, written_path: str,
-                 ticker_of=ticker_of_file) -> DataFrame:
+def load_summary(spark: SparkSession, rows: DataFrame, raw_path: str, written_path: str) -> DataFrame:
     """Files converted and skipped, rows, raw and written bytes and the space saved.
 
-    ``rows`` are the rows read from ``raw_path``, with their ``ticker``.
+    ``rows`` are the rows read from ``raw_path``, with their ``file``. Empty files count as skipped.
     """
     raw = files_in(spark, raw_path, "*.{csv,txt}")
-    files = len(raw.inputFiles())  # the listing also knows empty files, which a scan skips
-    raw = raw.withColumn("ticker", ticker_of(F.col("path")))
-    per_ticker = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+    # Spark's own listing, which stays in the JVM, also knows empty files, which a scan skips.
+    files = len(raw._jdf.inputFiles())
+    per_file = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     written = files_in(spark, written_path, "*.parquet").agg(F.coalesce(F.sum("bytes"), F.lit(0))).scalar()
     converted = F.col("rows").isNotNull()
     raw_bytes = F.coalesce(F.sum(F.when(converted, F.col("bytes"))), F.lit(0))
-    return raw.join(per_ticker, "ticker", "left").agg(
+    return raw.join(per_file, "file", "left").agg(
         F.count_if(converted).alias("converted"),
         (F.lit(files) - F.count_if(converted)).cast("bigint").alias("skipped"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),

@@ -50,9 +50,13 @@ def test_ids_do_not_depend_on_partitioning(news):
     assert first == {row["id"] for row in rows_of(rt.news_documents(news.repartition(5)))}
 
 
-def test_news_limit(news):
-    assert rt.news_documents(news, 1).count() == 1
-    assert rt.news_documents(news, None).count() == 2
+def test_repeated_landing(spark, filings, news):
+    """What was landed twice is one document, with the text of the later landing."""
+    assert rt.build_documents(filings.unionByName(filings), news.unionByName(news)).count() == rt.build_documents(filings, news).count()
+    twice = filings.withColumn("day", F.lit(2)).unionByName(filings.withColumn("day", F.lit(1)).withColumn("entity_name", F.lit("Old")))
+    texts = [row["text"] for row in rows_of(rt.filing_documents(twice, ("day",)))]
+    assert len(texts) == filings.count() and not any(text.startswith("Old ") for text in texts)
+    assert rt.news_documents(news).count() == 2
 
 
 def vectors(spark, count, seed, dimensions=4, grid=None):
@@ -75,17 +79,25 @@ def brute(questions, documents, k):
 
 # A grid of whole numbers gives many ties; five partitions cut the documents.
 @pytest.mark.parametrize("grid", [None, 3])
-@pytest.mark.parametrize("options", [{}, {"broadcast_limit": 7, "block_rows": 40}])
+@pytest.mark.parametrize("options", [None, {}, {"block_questions": 7, "block_rows": 40}])
 def test_nearest_against_brute_force(spark, grid, options):
     asked = vectors(spark, 20, 1, grid=grid)
     stored = [("big" if n % 4 else "small", f"d{n}", vector) for n, vector in vectors(spark, 200, 2, grid=grid)]
     stored.append(("tiny", "only", [0.5] * 4))
     questions = spark.createDataFrame(asked, "question_id bigint, embedding array<double>")
     documents = spark.createDataFrame(stored, "collection string, id string, embedding array<double>").repartition(5)
-    found = rt.nearest(questions, documents, 5, **options)
+    found = rt.nearest(questions, documents, 5) if options is None else rt.nearest_join(questions, documents, 5, **options)
     assert {tuple(row[name] for name in ("question_id", "collection", "id", "distance", "rank")) for row in rows_of(found)} == brute(asked, stored, 5)
 
 
+def test_too_many_questions(spark):
+    questions = spark.createDataFrame([(n, [1.0]) for n in range(5)], "question_id int, embedding array<double>")
+    documents = spark.createDataFrame([("c", "x", [1.0])], "collection string, id string, embedding array<double>")
+    with pytest.raises(ValueError, match="nearest_join"):
+        rt.nearest(questions, documents, max_questions=4)
+    assert rt.nearest(questions, documents, max_questions=5).count() == 5
+
+
 def test_many_copies_of_one_document(spark):
     """A third of all documents are the same text; the smallest ids win."""
     stored = [("c", f"{n:04}", [1.0, 0.0] if n % 3 == 0 else [float(n), 1.0]) for n in range(600)]

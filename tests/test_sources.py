@@ -41,10 +41,13 @@ def test_bulk_csv(spark, bulk):
     assert {row["source"] for row in rows} == {"bulk"}
 
 
-def test_bulk_csv_without_broadcast(spark, bulk):
-    few = readers.read_bulk_csv(spark, bulk, "bulk").drop("ingested_at")
-    many = readers.read_bulk_csv(spark, bulk, "bulk", broadcast_files=0).drop("ingested_at")
-    assert few.count() == many.count() and few.exceptAll(many).isEmpty()
+def test_bulk_csv_quotes(spark, tmp_path):
+    folder = tmp_path / "quoted"
+    folder.mkdir()
+    (folder / "a.csv").write_text('Date,Open,High,Low,Close,Volume,Open Interest\n2020-01-03,"1,000.5",2000,0.5,"1500.25",10,7\n2020-01-04,"say ""x""",1,2," 3 ",4,5\n')
+    rows = rows_of(readers.read_bulk_csv(spark, str(folder), "bulk"), "date")
+    assert [rows[0][name] for name in ("open", "high", "low", "close", "volume", "open_interest")] == [None, 2000.0, 0.5, 1500.25, 10.0, 7.0]
+    assert [rows[1][name] for name in ("open", "high", "low", "close", "volume")] == [None, 1.0, 2.0, 3.0, 4.0]
 
 
 def test_bulk_csv_first_files(spark, bulk):
@@ -53,13 +56,24 @@ def test_bulk_csv_first_files(spark, bulk):
 
 def test_load_summary(spark, bulk, tmp_path):
     written = str(tmp_path / "bronze")
-    writers.write_bronze_prices(readers.read_bulk_csv(spark, bulk, "bulk"), written)
+    writers.write_bronze_prices(readers.read_bulk_csv(spark, bulk, "bulk", with_file=True), written)
     (row,) = rows_of(readers.load_summary(spark, readers.read_layer(spark, written), bulk, written))
     assert (row["converted"], row["skipped"], row["total_rows"]) == (2, 3, 4)
     assert row["written_bytes"] > 0
     assert row["savings_pct"] == round((1 - row["written_bytes"] / row["raw_bytes"]) * 100, 2)
 
 
+def test_load_summary_of_equal_names(spark, tmp_path):
+    """Two files of one ticker are two files, and their rows count once."""
+    raw = tmp_path / "raw"
+    for name, rows in (("a/x.csv", 1), ("b/x.csv", 2), ("y.txt", 1)):
+        (raw / name).parent.mkdir(parents=True, exist_ok=True)
+        (raw / name).write_text("Date,Close\n" + "".join(f"2020-01-0{k + 1},1\n" for k in range(rows)))
+    rows = readers.read_bulk_csv(spark, str(raw), "bulk", with_file=True)
+    (row,) = rows_of(readers.load_summary(spark, rows, str(raw), str(raw)))
+    assert (row["converted"], row["skipped"], row["total_rows"]) == (3, 0, 4)
+
+
 def test_news_json(spark, tmp_path):
     article = {"title": "T", "description": None, "url": "u", "source": {"name": None}, "publishedAt": "2024-01-01", "content": "c"}
     lines = [
@@ -86,7 +100,8 @@ def test_filings_json(spark, tmp_path):
         {"ticker": "C", "form": "10-Q", "status": 200},
     ]
     (tmp_path / "filings.json").write_text("\n".join(json.dumps(line) for line in lines))
-    rows = rows_of(readers.read_filings_json(spark, str(tmp_path)), "position")
+    assert readers.read_filings_json(spark, str(tmp_path)).count() == 8
+    rows = rows_of(readers.read_filings_json(spark, str(tmp_path), 5), "position")
     assert [row["file_date"][-1] for row in rows] == ["1", "2", "3", "4", "5"]
     assert [row["form_type"] for row in rows] == ["10-K", "10-K/A", "10-K", "10-K", "10-K"]
     assert {row["period_of_report"] for row in rows} == {""}
@@ -216,7 +231,7 @@ def test_declared_schemas_match_what_is_written(spark, tmp_path):
     from marketspark.plans.refresh import refresh_source
 
     root = str(tmp_path)
-    refresh_source(fx.raw_prices(spark, TINY).drop("a1", "a2", "a3"), "feed", root, fx.ARRIVAL)
+    refresh_source(fx.raw_prices(spark, TINY).drop("a1", "a2", "a3"), "feed", root, ())
     silver = spark.read.parquet(f"{root}/silver/prices/feed")
     assert {field.name: field.dataType for field in silver.schema} == {field.name: field.dataType for field in schemas.SILVER_PRICES}
     gold = spark.read.parquet(f"{root}/gold/indicators/feed")
