@@ -773,7 +773,7 @@ PARTS["articles"] = (
     """,
 )
 add("news_flatten", "SELECT * FROM articles", "articles")
-add("news_run_dated", "SELECT ticker, url, source, published_at, DATE '2024-01-31' AS date FROM articles", "articles")
+add("news_run_dated", "SELECT ticker, url, source, published_at, DATE '2024-01-31' AS date, '2024-01-31' AS ingestion_date, true AS stamped FROM articles", "articles")
 add(
     "filings_top5",
     """
@@ -797,7 +797,7 @@ add(
            CASE WHEN place % 4 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS period_of_report,
            strftime(o_orderdate, '%Y-%m-%d') AS file_date,
            lpad(o_orderkey::VARCHAR, 10, '0') || '-00-' || place AS accession_no, place - 1 AS position,
-           CASE WHEN o_orderkey = 0 THEN '' ELSE o_orderkey::VARCHAR END AS cik
+           CASE WHEN o_orderkey = 0 THEN '' ELSE o_orderkey::VARCHAR END AS cik, 'sec_edgar' AS source, true AS stamped
     FROM orders, LATERAL (SELECT unnest(range(1, o_orderkey % 9 + 1)) AS place)
     WHERE o_orderkey % 17 <> 0
     """,

@@ -629,8 +629,10 @@ def news_flatten(spark, sf):
 def news_run_dated(spark, sf):
     """Flattened news, landed by run date and scanned again."""
     folder = scratch.new_folder(spark)
-    writers.write_run_dated(readers.flatten_news(fx.news_payloads(spark, sf)), folder, "2024-01-31")
-    return readers.read_layer(spark, folder).select("ticker", "url", "source", "published_at", "date")
+    articles = readers.flatten_news(fx.news_payloads(spark, sf))
+    writers.write_run_dated(pj.landed_news(articles, "2024-01-31"), folder, "2024-01-31")
+    stamped = F.col("ingested_at").try_cast("timestamp").isNotNull().alias("stamped")
+    return readers.read_layer(spark, folder).select("ticker", "url", "source", "published_at", "date", "ingestion_date", stamped)
 
 
 @query
@@ -641,8 +643,10 @@ def filings_top5(spark, sf):
 
 @query
 def filings_all_hits(spark, sf):
-    landed = readers.read_filings_json(spark, _landed(fx.filings_payloads(spark, sf), spark))
-    return landed.withColumn("cik", cik_of(F.col("accession_no")))
+    """Every hit, as it is landed; the time of landing is only looked at."""
+    hits = readers.read_filings_json(spark, _landed(fx.filings_payloads(spark, sf), spark))
+    landed = pj.landed_filings(hits).withColumn("cik", cik_of(F.col("accession_no")))
+    return landed.withColumn("stamped", F.col("ingested_at").try_cast("timestamp").isNotNull()).drop("ingested_at")
 
 
 @query

@@ -16,6 +16,7 @@ UNIVERSE_REQUIRED = ("KMI",)
 UNIVERSE_FORBIDDEN = ("PXD",)
 
 # --- Fixed values: ingestion window and search parameters -----------------------
+FILINGS_SOURCE = "sec_edgar"
 FORM_TYPES = ("10-K", "10-Q")
 HITS_PER_FORM = 5
 ARTICLES_PER_TICKER = 100

@@ -69,6 +69,21 @@ def with_audit(df: DataFrame, **columns) -> DataFrame:
     )
 
 
+def _stamp():
+    """The time of the run as ISO text, as landed rows carry it."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+def landed_news(articles: DataFrame, run_date: str) -> DataFrame:
+    """Articles with the time and the date of the run that landed them."""
+    return articles.withColumns({"ingested_at": _stamp(), "ingestion_date": F.lit(run_date)})
+
+
+def landed_filings(hits: DataFrame) -> DataFrame:
+    """Filings with their source and the time at which they were landed."""
+    return hits.withColumns({"source": F.lit(fv.FILINGS_SOURCE), "ingested_at": _stamp()})
+
+
 def with_year(df: DataFrame, column: str = "date") -> DataFrame:
     return df.withColumn("year", F.year(column))
 
