@@ -1,3 +1,5 @@
+"""Odd documents that the operators' tests share; imported by name."""
+
 import random
 
 import pytest

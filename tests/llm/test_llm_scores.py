@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from llm_fixtures import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from marketspark.llm import bloom, byte_cnn, embeddings, language_model, mixing, quality_rules, toxicity

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from llm_fixtures import no_docs, odd_docs, odd_rows, passage  # noqa: F401
 from tokenizers import Tokenizer
 
 from marketspark.llm import bpe, pieces, simhash, substrings, token_files
@@ -172,8 +173,6 @@ def test_substrings_with_full_filters(odd_docs, odd_rows, monkeypatch):
 
 def test_many_variants_of_a_passage(spark):
     """One passage in many different surroundings: more variants than an index takes, and fewer."""
-    from conftest import passage
-
     middle = passage(77, 16)
     rows = [(k, f"{passage(100 + k, 9)} {middle} {passage(900 + k // 2, 9)}") for k in range(400)]
     found = substrings.digests(spark.createDataFrame(rows, "doc_id long, text string"))
