@@ -12,13 +12,17 @@ import regex
 
 #: Fixed value: the pattern that splits texts before the merges of a byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LIMIT = 300_000
+LIMIT = 400_000
 
 split_pieces = regex.compile(PATTERN).findall
 _BLANKS = regex.compile(r"\s{2,}")
 _MAYBE_BLANKS = re.compile(r"\s\s")
-#: A lone surrogate, which no text holds.
-_MARK = "\ud800"
+#: A stop or comma that does not follow a letter or digit.
+_ODD_STOP = re.compile(r"[\W_][.,]")
+#: Either of both, in one pass.
+_ODD = re.compile(r"[\W_](?:[.,]|(?<=\s)\s)")
+#: Before a unit that no space precedes. A text that holds it is not cut at all.
+_MARK = "\1"
 
 
 def alphabet() -> list[str]:
@@ -31,8 +35,12 @@ def alphabet() -> list[str]:
 
 def units(text: str) -> list[str]:
     """The text's units, in order, as ``written`` gives them their characters back."""
+    if _MARK in text:
+        return [_MARK + text]
+    if _ODD.search(text) is None:
+        return _cut(text, True)
     if _MAYBE_BLANKS.search(text) is None:
-        return _regular(text)
+        return _cut(text, False)
     found, place = [], 0
     for run in _BLANKS.finditer(text):
         if run.start() > place:
@@ -41,13 +49,21 @@ def units(text: str) -> list[str]:
     return found + _from_run(text[place:])
 
 
-def _regular(text: str) -> list[str]:
-    """Of a text without adjacent white space. No space stands before the first unit, as its mark says."""
-    found = text.replace("\n", " \n").split(" ")
+def _cut(text: str, stops: bool) -> list[str]:
+    """Of a text without adjacent white space. ``stops``: stops and commas behind words become units of their own,
+    so that a word is one unit with and without them."""
+    spaced = text.replace("\n", " \n")
+    if stops:
+        spaced = spaced.replace(", ", " \1, ").replace(". ", " \1. ")
+    found = spaced.split(" ")
     found[0] = _MARK + found[0]
     return found
 
 
+def _regular(text: str) -> list[str]:
+    return _cut(text, _ODD_STOP.search(text) is None)
+
+
 def _from_run(text: str) -> list[str]:
     """A run of white space, if there is one, goes with the word behind it: its end decides how it splits."""
     run = _BLANKS.match(text)
@@ -87,10 +103,13 @@ class Pieces:
     """Ids of whole texts, given a function from one piece to its ids as bytes."""
 
     def __init__(self, encode_piece):
+        self.encode_piece = encode_piece
         self.of_piece = Remembered(encode_piece)
         self.of_unit = Remembered(self._unit)
 
     def _unit(self, unit: str) -> bytes:
+        if unit.isalpha():
+            return self.encode_piece(" " + unit)
         return b"".join(map(self.of_piece.__getitem__, split_pieces(written(unit))))
 
     def encode(self, text: str) -> bytes:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketspark.llm.bpe import VOCABULARY, read_vocabulary
-from marketspark.llm.pieces import Pieces
+from marketspark.llm.pieces import Pieces, alphabet
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 #: How the files are written: version 2 pages, so that numbers without a dictionary are delta encoded.
@@ -46,7 +46,13 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(lambda piece: array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes())
+        self.letters = str.maketrans({chr(byte): letter for byte, letter in enumerate(alphabet())})
+        self.pieces = Pieces(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        """By the library's model, which takes the bytes in the vocabulary's own letters."""
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.library.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Unsigned 32-bit ids. A text with an added token goes to the library as it is."""
