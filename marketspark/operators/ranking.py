@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions.numeric import half_up
 from .filters import for_ticker, has_title
 
@@ -94,7 +95,7 @@ def last_n_ascending(df: DataFrame, ticker: str, n: int = 252, order: str = "dat
     return recent.orderBy(order)
 
 
-def first_n_docs(df: DataFrame, n: int = 1000, keys=("ticker", "url")) -> DataFrame:
+def first_n_docs(df: DataFrame, n: int = fv.NEWS_DOCUMENTS, keys=("ticker", "url")) -> DataFrame:
     """n titled rows by key order: the same ones on every run."""
     return has_title(df).orderBy(*keys).limit(n)
 

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import fixed_values as fv
 from .. import schemas
 from ..functions.text import or_blank, ticker_of_file
 from ..operators.projections import normalised
