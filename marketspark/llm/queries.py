@@ -68,4 +68,49 @@ QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_substring_dedup, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup)
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op8_mixing": f"""
+    WITH counted AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}'))::BIGINT AS n_words FROM documents),
+         sources AS (SELECT source, sum(n_words)::BIGINT AS tokens FROM counted GROUP BY source),
+         ends AS (SELECT max(tokens)::DOUBLE AS largest, min(tokens) FILTER (tokens > 0) AS smallest FROM sources),
+         chosen AS (SELECT min(step) / {mixing.STEPS}e0 AS alpha
+                    FROM (SELECT unnest(range(0, {mixing.STEPS} + 1)) AS step), ends
+                    WHERE pow(largest / smallest, 1 - step / {mixing.STEPS}e0) <= {mixing.MAX_REPEATS}),
+         reading AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN round(pow(largest / tokens, 1 - alpha), 9) ELSE 1e0 END AS repeats
+                     FROM sources, ends, chosen),
+         size AS (SELECT greatest(1, ceil(round(sum(repeats * tokens)) / {mixing.BLOCK_TOKENS})) AS blocks FROM reading),
+         copies AS (SELECT counted.*, tokens, repeats, unnest(range(0, floor(repeats)::INTEGER + 1)) AS epoch
+                    FROM counted JOIN reading ON counted.source IS NOT DISTINCT FROM reading.source),
+         placed AS (SELECT *, coalesce(sum(n_words) OVER (PARTITION BY source, epoch ORDER BY md5('{mixing.SEED}/' || epoch || '/' || doc_id)
+                                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM copies)
+    SELECT doc_id, source, n_words, epoch::INTEGER AS epoch,
+           least(blocks - 1, floor((epoch * tokens + before) / (repeats * greatest(tokens, 1)) * blocks))::BIGINT AS block,
+           md5('block/{mixing.SEED}/' || epoch || '/' || doc_id) AS place
+    FROM placed, size
+    WHERE epoch < floor(repeats) OR before < (repeats - floor(repeats)) * tokens
+    """,
+    "op2_substring_dedup": f"""
+    WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{mixing.WORD}') AS words FROM documents),
+         places AS (SELECT doc_id, words, unnest(range(1, len(words) - {substrings.WINDOW} + 2)) AS place FROM cut),
+         windows AS (SELECT doc_id, place, array_to_string(words[place:place + {substrings.WINDOW - 1}], ' ') AS passage FROM places),
+         firsts AS (SELECT passage, min(doc_id) AS least FROM windows GROUP BY passage),
+         gone AS (SELECT DISTINCT doc_id, place + step AS place
+                  FROM windows JOIN firsts USING (passage), (SELECT unnest(range({substrings.WINDOW})) AS step) WHERE least < doc_id),
+         single AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM cut),
+         kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS passage
+                  FROM single ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, len(words)::BIGINT - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(passage, '')) AS kept_sha256
+    FROM cut LEFT JOIN kept USING (doc_id)
+    """,
+    "op10_embedding_near_dedup": f"""
+    WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+         sized AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM vectors),
+         usable AS (SELECT * FROM sized WHERE size > 0 AND isfinite(size)),
+         links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id
+                   WHERE list_dot_product(x.v, y.v) / (x.size * y.size) >= {embeddings.THRESHOLD}),
+         reached AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a)
+    SELECT a AS vec_id, (SELECT count(*) FROM links WHERE links.a = reached.a) AS n_links, min(b) AS component_id, min(b) = a AS kept
+    FROM reached GROUP BY a
+    """,
+}
