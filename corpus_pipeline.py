@@ -44,7 +44,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``source``, ``n_tokens``, ``ids``, and whether the ids decode to the text."""
-    return bpe.encode(docs, keep=("source", "text")).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    encoded = bpe.encode(docs, keep=("source",), decoded=False)
+    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

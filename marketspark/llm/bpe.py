@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 from marketspark.llm.pieces import Pieces, alphabet
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Pair tests that a task remembers.
-PAIRS = 1_000_000
+#: Pair tests, and units of text, that a worker remembers.
+PAIRS = 200_000
+UNITS = 120_000
 
 
 class Vocabulary:
@@ -71,7 +72,7 @@ class Vocabulary:
         for content, made in self.added:
             self.bytes[made] = content.encode()
         self.decimal = [str(made) for made in range(size)]
-        self.pieces = Pieces(self._piece)
+        self.pieces = Pieces(self._piece, UNITS)
 
     def _apart(self, left: int, right: int, limit: int = 1 << 62) -> bool:
         """Whether BPE leaves the border between two neighbouring tokens alone. ``limit``: the first merge
@@ -158,15 +159,17 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), decoded: bool = True) -> DataFrame:
     """The ids of every text and the text that they decode to: ``id_column``, the columns ``keep``, ``ids`` array<int>,
-    ``decoded``.
+    ``decoded``; or, without ``decoded``, ``round_trip``: whether they decode to the text.
 
     ``path`` is a vocabulary file of the tokenizers library, read on the driver and sent to the tasks (its size
     does not depend on the corpus).
     """
     source = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path or public_tokenizers.path(VOCABULARY)))
 
+    name = "decoded" if decoded else "round_trip"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = loaded(source.value)
         for rows, texts in _groups(batches):
@@ -174,12 +177,13 @@ def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id",
             lengths = np.cumsum([0, *map(len, ids)])
             values = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
             lists = pa.ListArray.from_arrays(pa.array(lengths.astype(np.int32)), values)
-            decoded = pa.array([known.decode(x.tolist()) for x in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([rows.column(0), *rows.columns[2:], lists, decoded], [id_column, *keep, "ids", "decoded"])
+            back = (known.decode(x.tolist()) for x in ids)
+            last = pa.array(back, pa.string()) if decoded else pa.array([a == b for a, b in zip(back, texts, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([rows.column(0), *rows.columns[2:], lists, last], [id_column, *keep, "ids", name])
 
     kept = [F.col(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("_encoded"), *map(F.col, keep)]
     inputs = docs.select(*kept)
-    schema = T.StructType([inputs.schema[0], *inputs.schema.fields[2:], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    schema = T.StructType([inputs.schema[0], *inputs.schema.fields[2:], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField(name, T.StringType() if decoded else T.BooleanType())])
     return inputs.mapInArrow(run, schema)
 
 
