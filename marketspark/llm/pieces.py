@@ -12,7 +12,7 @@ import regex
 
 #: Fixed value: the pattern that splits texts before the merges of a byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LIMIT = 400_000
+LIMIT = 250_000
 
 split_pieces = regex.compile(PATTERN).findall
 _BLANKS = regex.compile(r"\s{2,}")
@@ -102,10 +102,10 @@ class Remembered(dict):
 class Pieces:
     """Ids of whole texts, given a function from one piece to its ids as bytes."""
 
-    def __init__(self, encode_piece):
+    def __init__(self, encode_piece, limit: int = LIMIT):
         self.encode_piece = encode_piece
-        self.of_piece = Remembered(encode_piece)
-        self.of_unit = Remembered(self._unit)
+        self.of_piece = Remembered(encode_piece, limit)
+        self.of_unit = Remembered(self._unit, limit)
 
     def _unit(self, unit: str) -> bytes:
         if unit.isalpha():
