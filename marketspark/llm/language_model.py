@@ -1,36 +1,44 @@
 """A bigram language model whose counts lie in a log-frequency Bloom filter.
 
-Words are lower-cased (A-Z) and cut at white space; an end token closes every text. Counts of words cover all
-documents to learn from. Words with at least one in ``FREQUENT`` of all tokens are broadcast with their exact counts,
-which are ``FREQUENT`` at most; the rare tokens of a text are joined to their counts. Pairs of words that both have
-at least one in ``CONTEXTS`` of all tokens are counted as well, and pairs with at least t = max(2, tokens / ``PAIRS``) are kept:
-a pair with n occurrences has the level 1 + floor(log2(n / t)), and the filter holds (pair, 1) to (pair, level). All
-levels together are ``PAIRS`` at most, so the filter, broadcast to the workers, has at most ``PAIRS * bloom.BITS`` bits
-whatever the corpus. A pair's count is found by asking for one level after the other until one is missing.
-
-The model backs off: P(w | h) is the pair's count over h's if the filter holds the pair, else the word's own
-probability (c + 1) / (N + V + 1), scaled so that the probabilities of a context add up to one. Contexts outside
-the frequent words are not used.
+Words are lower-cased (A-Z) and cut at white space; an end token closes every text. All words and all pairs of
+neighbours in the documents to learn from are counted, whatever their number. A pair with n occurrences has the
+level floor(log2(n)); a level stands for one number of occurrences, the middle of its range.
+
+Words with at least one in ``FREQUENT`` of all tokens are broadcast with their exact counts, which are ``FREQUENT`` at
+most. The filter holds pairs whose first word is one of them: (pair, 1) to (pair, level), or (pair, 0) for a pair that
+occurs once. It is as large as its entries need. Where they would be more than ``PAIRS``, the filter holds the levels
+from the lowest one with which they are not, and says so with ``base``. Everything else - rare words, pairs after rare
+words, levels below the base - is joined exactly to the tokens that ask for it. So the bounds say where a count is
+looked up, not what the model knows. A pair's level is found by asking the filter for one level after the other.
+
+The model backs off: P(w | h) is the pair's share of h, scaled so that all pairs of h have c(h) / (c(h) + different
+words after h) at most (Witten and Bell); for a pair that was not met it is the word's own probability
+(c + 1) / (N + V + 1), scaled so that the probabilities of a context add up to one.
 
 A null or empty text is its end token alone. A null id is learned from. Repeated rows count and are scored
 repeatedly. Without a text to learn from, all counts are zero; an empty table gives an empty one.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import Words, slices, text_bytes
+from marketspark.llm.words import Words, mix, slices, text_bytes
 from marketspark.sources.scratch import stored
 
 FREQUENT = 1 << 22
-CONTEXTS = 1 << 18
 PAIRS = 1 << 25
+#: Frequent words have their places as codes; codes of rare words have this bit and 62 bits of the hash.
+RARE = 1 << 62
+#: Ids of pairs with a rare word have this bit and 61 bits of a hash.
+MIXED = 1 << 61
+SIGN = -(1 << 63)
 #: What stands for the end of a text among the hashes of words.
 END = np.uint64(0x5DEECE66D)
 SLICE = 1 << 22
@@ -66,11 +74,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
+def pair_ids(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One number for each pair of codes."""
+    spread = mix(mix(h.view(np.uint64)) + w.view(np.uint64)) >> np.uint64(3)
+    return np.where((h < RARE) & (w < RARE), h << 32 | w, (spread | np.uint64(MIXED)).view(np.int64))
+
+
+def worth(level: np.ndarray) -> np.ndarray:
+    """Log10 of the occurrences that a level stands for."""
+    return np.where(level > 0, level * np.log10(2.0) + np.log10(MIDDLE), 0.0)
+
+
 class Vocabulary:
-    """The frequent words: their sorted hashes, counts, and which of them are contexts."""
+    """The frequent words: their sorted hashes and counts."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.hashes, self.counts, self.context = arrays["hashes"], arrays["counts"], arrays["context"]
+        self.hashes, self.counts = arrays["hashes"], arrays["counts"]
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each token, -1 for a rare one."""
@@ -79,47 +98,97 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at, -1)
 
+    def codes(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return np.where(places >= 0, places, (hashes >> np.uint64(2) | np.uint64(RARE)).view(np.int64))
+
+    def neighbours(self, tokens: Tokens, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of each token's context and of the token. The first token's context is the end of a text."""
+        codes = self.codes(tokens.hashes, places)
+        end = np.array([END])
+        before = np.empty_like(codes)
+        before[1:] = codes[:-1]
+        before[tokens.starts] = self.codes(end, self.places(end))[0]
+        return before, codes
+
     def pairs(self, tokens: Tokens, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The context of each token (-1 for none) and the pairs that count (-1 for none). The first token's
-        context is the end of a text."""
-        before = np.empty_like(places)
-        before[1:] = places[:-1]
-        before[tokens.starts] = self.places(np.array([END]))[0]
-        usable = np.append(self.context, False)
-        before = np.where(usable[before], before, -1)
-        return before, np.where((before >= 0) & usable[places], before << 32 | places, -1)
+        """The code of each token's context, and the pairs."""
+        before, codes = self.neighbours(tokens, places)
+        return before, pair_ids(before, codes)
 
 
 def pair_counts(docs: DataFrame, vocabulary) -> DataFrame:
-    """``pair``, ``n`` over the texts. Counted within parts of a task first, so a very common pair is few rows."""
+    """Codes ``h``, ``w`` and ``n`` of all pairs. Counted within parts of a task first, so a very common pair is few rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(unpacked(vocabulary.value))
         for batch in batches:
             for _, data, offsets in slices(batch, "text", SLICE):
                 tokens = Tokens(data, offsets)
-                pairs = known.pairs(tokens, known.places(tokens.hashes))[1]
-                found, counts = np.unique(pairs[pairs >= 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["pair", "n"])
+                h, w = known.neighbours(tokens, known.places(tokens.hashes))
+                _, first, counts = np.unique(pair_ids(h, w), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(w[first]), pa.array(counts)], ["h", "w", "n"])
+
+    return docs.select("text").mapInArrow(run, "h long, w long, n long").groupBy("h", "w").agg(F.sum("n").alias("n"))
+
 
-    return docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
+    """``code``, ``n`` of all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary(unpacked(vocabulary.value))
+        for batch in batches:
+            hashes = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(known.codes(hashes, known.places(hashes))), batch.column(1)], ["code", "n"])
+
+    return counted.select("hash", "n").mapInArrow(run, "code long, n long")
+
+
+def with_words(pairs: DataFrame, coded: DataFrame, vocabulary) -> DataFrame:
+    """``h``, ``w``, ``level``, and ``c``, the count of w. Only rare words are joined, so no key has many rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = unpacked(vocabulary.value)["counts"]
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts[batch.column(1).to_numpy()])], ["h", "w", "level", "c"])
+
+    frequent = pairs.where(F.col("w") < RARE).select("h", "w", "level").mapInArrow(run, "h long, w long, level int, c long")
+    words = coded.where(F.col("code") >= RARE).select(F.col("code").alias("w"), F.col("n").alias("c"))
+    return frequent.unionByName(pairs.where(F.col("w") >= RARE).join(words, "w").select("h", "w", "level", "c"))
+
+
+def contexts(priced: DataFrame, coded: DataFrame, total: int) -> DataFrame:
+    """``h``, ``c``, ``shrink``, ``backoff`` (log10) of all contexts. ``total``: N + V + 1."""
+    amount = F.when(F.col("level") > 0, F.pow(F.lit(2.0), "level") * MIDDLE).otherwise(1.0)
+    sums = priced.groupBy("h").agg(F.sum(amount).alias("taken"), F.sum((F.col("c") + 1) / F.lit(float(total))).alias("single"), F.count("*").alias("words"))
+    words = coded.select(F.col("code").alias("h"), F.col("n").alias("c"))
+    share = F.col("taken") / F.col("c")
+    # Middles of levels can add up to more than the context has.
+    shrink = F.least(F.lit(1.0), F.col("c") / (F.col("c") + F.col("words")) / share)
+    left = F.greatest(1 - share * shrink, F.lit(1e-12)) / F.greatest(1 - F.col("single"), F.lit(1e-3))
+    return sums.join(words, "h").select("h", "c", F.log10(shrink).alias("shrink"), F.log10(left).alias("backoff"))
 
 
 def _items(pairs: np.ndarray, level: np.ndarray | int) -> np.ndarray:
     return pairs.astype(np.uint64) + (np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, dtype=np.uint64))
 
 
-def count_filter(kept: DataFrame) -> np.ndarray:
-    """The filter over the levels of ``pair``, ``level``. Its size follows their number, which is bounded."""
+def entries(sizes: dict[int, int], base: int) -> int:
+    """What the filter holds of so many pairs of each level if it holds the levels from ``base``."""
+    return sum(n * max(1, level - max(base, 1) + 1) for level, n in sizes.items() if level >= base)
+
+
+def count_filter(kept: DataFrame, base: int, size: int) -> np.ndarray:
+    """The filter over the levels of ``h``, ``w``, ``level``, with ``size`` entries."""
 
     def unary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            level = batch.column(1).to_numpy()
-            rank = np.arange(int(level.sum())) - np.repeat(np.cumsum(level) - level, level) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(_items(np.repeat(batch.column(0).to_numpy(), level), rank).view(np.int64))], ["item"])
+            pairs = pair_ids(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            level = batch.column(2).to_numpy().astype(np.int64)
+            times = np.maximum(level - max(base, 1) + 1, 1)
+            rank = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(level > 0, times)
+            yield pa.RecordBatch.from_arrays([pa.array(_items(np.repeat(pairs, times), rank).view(np.int64))], ["item"])
 
-    entries = kept.agg(F.sum("level").alias("n")).first()["n"] or 0
-    return bloom.build(kept.select("pair", "level").mapInArrow(unary, "item long"), bloom.blocks_for(entries))
+    return bloom.build(kept.select("h", "w", "level").mapInArrow(unary, "item long"), bloom.blocks_for(size))
 
 
 def levels(pairs: np.ndarray, filled: np.ndarray) -> np.ndarray:
@@ -134,8 +203,49 @@ def levels(pairs: np.ndarray, filled: np.ndarray) -> np.ndarray:
     return found
 
 
+def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    """What is not broadcast: ``key`` and ``gain``, in single precision for a small shuffle.
+
+    Keys are codes of rare words and their complements, for words whose pair the filter knows, both with the word's
+    count, which is less than 2^24; codes of rare contexts with the sign bit, with what they add to a score; and ids
+    of pairs, which put the pair's probability in place of the word's own.
+    """
+    base, none = int(model["base"][0]), float(np.log10(model["n"][0] + model["v"][0] + 1))
+    sent = priced.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays = unpacked(sent.value)
+        gains = np.append(arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1)) - arrays["backoff"], 0.0)
+        for batch in batches:
+            h, w, level, c = (column.to_numpy() for column in batch.columns)
+            gain = worth(level) - np.log10(c + 1.0) + none + gains[np.where(h < RARE, h, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array(pair_ids(h, w)), pa.array(h), pa.array(gain)], ["key", "h", "gain"])
+
+    rare = F.col("h") >= RARE
+    shape = "key long, h long, gain double"
+    after_frequent = priced.where(~rare & (F.col("level") < base)).mapInArrow(run, shape)
+    rare_contexts = found.where(rare)
+    gain = F.col("gain") + F.col("shrink") - F.log10("c") - F.col("backoff")
+    after_rare = priced.where(rare).mapInArrow(run, shape).join(rare_contexts, "h")
+    words = coded.where(F.col("code") >= RARE)
+    columns = lambda key, gain: [key.alias("key"), gain.cast("float").alias("gain")]
+    parts = [
+        words.select(*columns(F.col("code"), F.col("n"))),
+        words.select(*columns(F.bitwise_not("code"), F.col("n"))),
+        rare_contexts.select(*columns(F.col("h").bitwiseXOR(F.lit(SIGN)), F.col("backoff"))),
+        after_rare.select(*columns(F.col("key"), gain)),
+        after_frequent.select(*columns(F.col("key"), F.col("gain"))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _release(spark: SparkSession) -> None:
+    """Lets Spark delete the files of shuffles whose results are stored; it does so when the driver collects garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
-    """From ``text`` (bytes): the table of all word counts, and the model's arrays. Runs jobs."""
+    """From ``text`` (bytes): the table of what has to be joined, and the model's arrays. Runs jobs."""
     spark = texts.sparkSession
     counted = stored(word_counts(texts))
     whole = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -144,77 +254,84 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     hashes = common.column("hash").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     counts = common.column("n").to_numpy().astype(np.int64)[order]
-    model = {"hashes": hashes[order], "counts": counts, "context": counts * CONTEXTS >= n}
+    model = {"hashes": hashes[order], "counts": counts}
     sent = spark.sparkContext.broadcast(packed(model))
-    least = max(2.0, n / PAIRS)
-    level = (F.floor(F.log2(F.col("n") / least) + 1e-12) + 1).cast("int")
-    kept = stored(pair_counts(texts, sent).where(F.col("n") >= least).select("pair", level.alias("level")))
-    filled = count_filter(kept)
-    # What the kept pairs of a context take from it, as counts and as single probabilities.
-    words = spark.createDataFrame(pa.table({"word": np.flatnonzero(model["context"]), "single": (counts[model["context"]] + 1) / (n + v + 1)})) if n else None
-    taken, single = np.zeros(len(counts)), np.zeros(len(counts))
-    if words is not None:
-        sums = kept.select(F.shiftright("pair", 32).alias("h"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("word"), "level").join(words, "word")
-        amount = F.pow(F.lit(2.0), F.col("level") - 1) * (least * MIDDLE)
-        table = sums.groupBy("h").agg(F.sum(amount).alias("taken"), F.sum("single").alias("single")).toArrow()
-        at = table.column("h").to_numpy().astype(np.int64)
-        taken[at], single[at] = table.column("taken").to_numpy(), table.column("single").to_numpy()
-    share = taken / np.maximum(counts, 1)
-    # Middles of levels can add up to more than the context has.
-    shrink = np.minimum(1.0, 0.98 / np.maximum(share, 1e-300))
-    left = np.maximum(1 - share * shrink, 0.02)
-    model |= {"backoff": np.log10(left / np.maximum(1 - single, 1e-3)), "shrink": np.log10(shrink), "filter": filled}
-    model |= {"least": np.array([least]), "n": np.array([n]), "v": np.array([v])}
-    return counted, model
-
-
-def score(docs: DataFrame, counted: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    level = F.floor(F.log2("n") + 1e-12).cast("int").alias("level")
+    pairs = stored(pair_counts(texts, sent).select("h", "w", level))
+    _release(spark)
+    coded = coded_counts(counted, sent)
+    priced = with_words(pairs, coded, sent)
+    found = stored(contexts(priced, coded, n + v + 1))
+    shrink, backoff = np.zeros(len(counts)), np.zeros(len(counts))
+    table = found.where(F.col("h") < RARE).select("h", "shrink", "backoff").toArrow()
+    at = table.column("h").to_numpy().astype(np.int64)
+    shrink[at], backoff[at] = table.column("shrink").to_numpy(), table.column("backoff").to_numpy()
+    after_frequent = pairs.where(F.col("h") < RARE)
+    sizes = {row["level"]: row["count"] for row in after_frequent.groupBy("level").count().collect()}
+    base = next(base for base in range(65) if entries(sizes, base) <= PAIRS)
+    filled = count_filter(after_frequent.where(F.col("level") >= base), base, entries(sizes, base))
+    model |= {"backoff": backoff, "shrink": shrink, "filter": filled, "base": np.array([base]), "n": np.array([n]), "v": np.array([v])}
+    _release(spark)
+    return joined_counts(priced, coded, found, model), model
+
+
+def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of ``doc_id``, ``text`` (bytes).
 
-    One pass over the texts sums what the broadcast tables know and lists the hashes of rare tokens; these are
-    joined to their counts, and the sums come back to the rows, which are numbered when they are stored.
+    One pass over the texts sums what the broadcast tables know and lists the keys of what they do not; these are
+    joined to ``joined``, and the sums come back to the rows, which are numbered when they are stored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(packed(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = unpacked(sent.value)
-        known, filled = Vocabulary(arrays), arrays["filter"]
-        logs, least = np.log10(arrays["counts"] + 1.0), float(arrays["least"][0])
-        contexts = np.log10(np.maximum(arrays["counts"], 1))
+        known, filled, base = Vocabulary(arrays), arrays["filter"], int(arrays["base"][0])
+        logs = np.log10(arrays["counts"] + 1.0)
+        weights = arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1))
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 tokens = Tokens(data, offsets)
                 places = known.places(tokens.hashes)
-                before, pairs = known.pairs(tokens, places)
-                frequent = places >= 0
+                before, codes = known.neighbours(tokens, places)
+                pairs = pair_ids(before, codes)
+                frequent, some = places >= 0, before < RARE
                 single = np.zeros(len(places))
                 single[frequent] = logs[places[frequent]]
                 model_part = single.copy()
-                some = before >= 0
                 model_part[some] += arrays["backoff"][before[some]]
-                level = levels(pairs, filled)
+                level = levels(np.where(some, pairs, -1), filled)
                 seen = level > 0
-                h = before[seen]
-                model_part[seen] = np.log10(least * MIDDLE) + (level[seen] - 1) * np.log10(2) - contexts[h] + arrays["shrink"][h]
+                level[seen] += max(base, 1) - 1
+                if base == 0:
+                    rest = np.flatnonzero(some & ~seen)
+                    seen[rest[bloom.contains(_items(pairs[rest], 0), filled)]] = True
+                # A pair that the filter takes for its own may stand for more than its context has.
+                model_part[seen] = np.minimum(worth(level[seen]) + weights[before[seen]], 0)
                 add = lambda x: np.add.reduceat(x, tokens.starts)
-                rare = tokens.hashes[~frequent].view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(add((~frequent).astype(np.int64)))])
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rare))
+                asked = np.stack([~frequent, ~some, ~seen & (~some | (base > 0))], axis=1)
+                keys = np.stack([np.where(seen, ~codes, codes), before ^ SIGN, pairs], axis=1)[asked]
+                ends = np.concatenate([[0], np.cumsum(add(asked.sum(axis=1)))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys))
                 columns = [rows.column("doc_id"), pa.array(tokens.sizes), pa.array(add(frequent.astype(np.int64))), pa.array(add(seen.astype(np.int64)))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(add(single)), pa.array(add(model_part)), lists], ["doc_id", "n_tokens", "n_frequent", "n_seen", "single", "model", "rare"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(add(single)), pa.array(add(model_part)), lists], ["doc_id", "n_tokens", "n_frequent", "n_seen", "single", "model", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    summed = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, rare array<bigint>")
+    summed = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
     rows = stored(summed.withColumn("row", F.monotonically_increasing_id()))
-    rare = rows.select("row", F.explode("rare").alias("hash")).join(counted, "hash")
-    found = rare.groupBy("row").agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_single"))
+    asked = rows.select("row", F.explode("keys").alias("key")).join(joined, "key")
+    # A word's code is positive, its complement is negative; both have the other bits of a code.
+    gain, word = F.col("gain").cast("double"), F.col("key") >= RARE
+    either = word | F.col("key").between(SIGN, -RARE - 1)
+    log = F.log10(gain + 1)
+    parts = {"known": either.cast("int"), "single": F.when(either, log).otherwise(0.0), "model": F.when(word, log).when(~either, gain).otherwise(0.0)}
+    found = asked.groupBy("row").agg(*[F.sum(part).alias(f"more_{name}") for name, part in parts.items()])
     n, v = int(model["n"][0]), int(model["v"][0])
     none = F.lit(float(np.log10(n + v + 1)))
-    rare_single = F.coalesce("rare_single", F.lit(0.0))
-    return rows.drop("rare").join(found, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("single") + rare_single - F.col("n_tokens") * none).alias("base_score"),
-        (F.col("model") + rare_single - (F.col("n_tokens") - F.col("n_seen")) * none).alias("score"),
+    both = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0))
+    return rows.drop("keys").join(found, "row", "left").select(
+        "doc_id", "n_tokens", both("n_frequent", "more_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (both("single", "more_single") - F.col("n_tokens") * none).alias("base_score"),
+        (both("model", "more_model") - (F.col("n_tokens") - F.col("n_seen")) * none).alias("score"),
     )
 
 
@@ -222,6 +339,6 @@ def score_corpus(docs: DataFrame, held_out: Column) -> DataFrame:
     """Learns from the documents that are not held out (``held_out`` is a condition on ``doc_id``) and scores all."""
     texts = docs.select("doc_id", text_bytes().alias("text"))
     held = F.coalesce(held_out, F.lit(False))
-    counted, model = learn(texts.where(~held).select("text"))
-    scored = score(texts, counted, model)
+    joined, model = learn(texts.where(~held).select("text"))
+    scored = score(texts, joined, model)
     return scored.select("doc_id", held.alias("held_out"), *[name for name in scored.columns if name != "doc_id"])

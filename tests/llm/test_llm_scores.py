@@ -168,6 +168,41 @@ def test_model_counts_and_sums_to_one(spark):
         assert np.where(own > 0, seen, single * 10 ** model["backoff"][h]).sum() < 1.1
 
 
+@pytest.mark.parametrize("bounds", [{}, {"FREQUENT": 40}, {"PAIRS": 60}, {"FREQUENT": 100, "PAIRS": 30}])
+def test_all_pairs_of_all_words_count(spark, monkeypatch, bounds):
+    """Rare words and pairs that occur once take part, and the bounds of the broadcasts do not change a score."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(language_model, name, value)
+    rng = np.random.default_rng(9)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 40)) if x < 500)) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, pairs = Counter(), Counter()
+    for key, text in rows:
+        if key % 4:
+            own = [*text.split(), None]
+            words.update(own)
+            pairs.update(zip([None, *own], own))
+    assert min(pairs.values()) == 1 and min(words.values()) == 1
+    n, v = sum(words.values()), len(words)
+    single = lambda w: (words[w] + 1) / (n + v + 1)
+    worth = lambda n: 1.0 if n == 1 else 2 ** math.floor(math.log2(n)) * language_model.MIDDLE
+    after = {h: [w for g, w in pairs if g == h] for h in words}
+
+    def log(h, w):
+        if h not in words:
+            return math.log10(single(w))
+        share = sum(worth(pairs[h, x]) for x in after[h]) / words[h]
+        shrink = min(1, words[h] / (words[h] + len(after[h])) / share)
+        if (h, w) in pairs:
+            return math.log10(worth(pairs[h, w]) / words[h] * shrink)
+        return math.log10((1 - share * shrink) / max(1 - sum(map(single, after[h])), 1e-3) * single(w))
+
+    expected = {key: sum(map(log, [None, *text.split()], [*text.split(), None])) for key, text in rows}
+    found = {row.doc_id: row.score for row in language_model.score_corpus(docs, F.col("doc_id") % 4 == 0).collect()}
+    assert found.keys() == expected.keys()
+    assert all(math.isclose(found[key], expected[key], abs_tol=1e-4) for key in found)
+
+
 def test_bloom_filter(spark):
     items = np.random.default_rng(1).integers(-(2**62), 2**62, 20_000)
     filled = bloom.build(spark.createDataFrame([(int(x),) for x in items], "item long"), bloom.blocks_for(len(items)))
