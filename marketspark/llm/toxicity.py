@@ -9,7 +9,7 @@ other columns start from small random numbers.
 
 The model learns from a bounded sample of labelled texts (``training.PER_CLASS`` of each class) and is corrected
 for the classes' true shares. Labels, language, source and id are no inputs of a score. For decisions, each
-language has a threshold of its own, calibrated on the sample (``flagged``).
+language has a threshold of its own, calibrated on all labelled texts to learn from (``flagged``).
 
 A null or empty text scores what the unit gives without words. Repeated rows are scored repeatedly; a null
 language has the threshold of all; without labels of both classes every score is the shares' alone. An empty table
@@ -138,10 +138,10 @@ def _buckets_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.ndarray]:
-    """The model's arrays, and the logits of the sample for the choice of thresholds."""
+    """The model's arrays, and for each class the odds without one of its texts for the choice of thresholds."""
     if len(set(labels.tolist())) < 2:
         model = Network.fresh(np.zeros(TABLE, dtype=np.float32)).model
-        return model | {"logits": np.zeros(0), "labels": np.zeros(0), "langs": np.zeros(0, dtype=str), "drawn": np.zeros(1)}
+        return model | {"others": np.zeros((2, TABLE), dtype=np.float32), "drawn": np.zeros(1)}
     parts = [_buckets_of(texts[k : k + 256]) for k in range(0, len(texts), 256)]
     buckets = np.concatenate([part[0] for part in parts])
     sizes = np.concatenate([part[1] for part in parts])
@@ -173,48 +173,70 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list) -> dict[str, np.n
             # The table takes AdaGrad steps on the rows that were met.
             np.add.at(squares, places, np.einsum("ij,ij->i", into, into) / DIMENSIONS)
             np.add.at(network.model["table"], places, -TABLE_RATE * into / np.sqrt(squares[places])[:, None])
-    # Thresholds, too, are set on what the other texts say of each.
-    logits, place = [], 0
-    for own, counts in parts:
-        classes = np.repeat(labels[place : place + len(counts)].astype(np.int64), counts)
-        logits.append(network.logits(own, counts, others[classes[:, None], own]))
-        place += len(counts)
-    logits = np.concatenate(logits)
-    found = {"logits": logits, "labels": labels, "langs": np.array([lang or "" for lang in langs])}
-    return network.model | found | {"drawn": training.log_odds(labels)}
-
-
-def thresholds(logits: np.ndarray, labels: np.ndarray, langs: np.ndarray, weight: float) -> dict[str, np.ndarray]:
-    """The cut of the logits with the fewest errors for each language, and for all (""). ``weight``: what a text of
-    label 1 counts for, against one of label 0. Cuts within one standard error of the best count as equal, and the
-    one nearest to even odds is taken."""
-    even = -np.log(weight)
-    cuts = np.append(np.linspace(-4, 6, 201), even)
+    return network.model | {"others": others, "drawn": training.log_odds(labels)}
+
+
+def cut_counts(docs: DataFrame, labels: DataFrame, label: str, rows: Column, per_class: int, model: dict[str, np.ndarray], others: np.ndarray, cuts: np.ndarray) -> DataFrame:
+    """``lang``, ``label``, ``place``, ``count`` of all labelled rows for which ``rows`` holds: how many of the sorted
+    ``cuts`` a text's logit reaches. Texts trained on see the odds that all other texts give. Only places, not texts,
+    are joined to the labels."""
+    sent = docs.sparkSession.sparkContext.broadcast(training.packed(model | {"others": others, "cuts": cuts}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays = training.unpacked(sent.value)
+        network, others = Network(arrays), arrays["others"]
+        for batch in batches:
+            for own, data, offsets in slices(batch, "text"):
+                words = Words(data, offsets, lower=True)
+                buckets, sizes = word_buckets(words), words.counts()
+                drawn = np.repeat(own.column("drawn").to_numpy(), sizes)[:, None]
+                odds = np.where(drawn >= 0, others[np.maximum(drawn, 0), buckets], arrays["table"][buckets, 0])
+                place = np.searchsorted(arrays["cuts"], network.logits(buckets, sizes, odds), side="right")
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("lang"), pa.array(place)], ["doc_id", "lang", "place"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = training.chosen_ids(labels, label, rows, per_class).groupBy("doc_id").agg(F.min("label").alias("drawn"))
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), text_bytes().alias("text"))
+    known = F.when(F.octet_length("text") <= training.TRAIN_BYTES, F.col("drawn"))
+    inputs = texts.join(F.broadcast(chosen), "doc_id", "left").select("doc_id", "lang", "text", F.coalesce(known, F.lit(-1)).alias("drawn"))
+    placed = inputs.mapInArrow(run, f"doc_id {kind}, lang string, place long")
+    return placed.join(training.known_labels(labels, label, rows), "doc_id").groupBy("lang", "label", "place").count()
+
+
+def thresholds(counts: list, cuts: np.ndarray, even: float) -> dict[str, np.ndarray]:
+    """From the rows of ``cut_counts``, the cut with the fewest errors for each language, and for all (""). Cuts
+    within one standard error of the best count as equal, and the one nearest to ``even`` is taken."""
+    found = {"": np.zeros((2, len(cuts) + 1), dtype=np.int64)}
+    for row in counts:
+        for name in {"", row["lang"]}:
+            found.setdefault(name, np.zeros_like(found[""]))[row["label"], row["place"]] += row["count"]
 
     def best(own: np.ndarray) -> float:
-        if not labels[own].sum() >= LEAST:
+        if own[1].sum() < LEAST:
             return float("nan")
-        above = logits[own][None, :] >= cuts[:, None]
-        errors = np.where(labels[own] > 0, weight * ~above, above).sum(axis=1)
+        # Toxic texts below a cut, and others that reach it.
+        errors = np.cumsum(own[1])[:-1] + own[0].sum() - np.cumsum(own[0])[:-1]
         good = cuts[errors <= errors.min() + np.sqrt(errors.min() + 1)]
         return float(good[np.argmin(np.abs(good - even))])
 
-    names = [""] + sorted({str(lang) for lang in langs if lang})
-    found = np.array([best(np.ones(len(logits), dtype=bool) if not name else langs == name) for name in names])
-    if np.isnan(found[0]):
-        found[0] = even
-    return {"languages": np.array(names), "thresholds": np.where(np.isnan(found), found[0], found)}
+    names = sorted(found)
+    limits = np.array([best(found[name]) for name in names])
+    if np.isnan(limits[0]):
+        limits[0] = even
+    return {"languages": np.array(names), "thresholds": np.where(np.isnan(limits), limits[0], limits)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: Column | None = None, per_class: int = training.PER_CLASS) -> dict[str, np.ndarray]:
-    """Trains on labelled rows for which ``rows`` holds. Runs jobs. The model has a fixed size."""
+    """Trains on labelled rows for which ``rows`` holds, and sets the thresholds on all of them. Runs jobs. The model
+    has a fixed size but for the languages."""
     rows = F.lit(True) if rows is None else rows
     model = training.fit(training.labelled_sample(docs, labels, label, rows, per_class), train)
+    others = model.pop("others")
     # The sample has other class shares than the labels.
     shift = training.class_shares(labels, label, rows) - float(model.pop("drawn")[0])
     model["bias"] = model["bias"] + np.float32(shift)
-    cuts = thresholds(model.pop("logits"), model.pop("labels"), model.pop("langs"), float(np.exp(shift)))
-    return model | {"languages": cuts["languages"], "thresholds": cuts["thresholds"] + shift}
+    cuts = np.sort(np.append(np.linspace(-4, 6, 201) + shift, 0.0))
+    return model | thresholds(cut_counts(docs, labels, label, rows, per_class, model, others, cuts).collect(), cuts, 0.0)
 
 
 def _scorer(arrays: dict[str, np.ndarray]):

@@ -20,14 +20,24 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % divisor
 
 
+def known_labels(labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """``doc_id``, ``label`` (0 or 1) of the rows for which ``learn`` holds."""
+    return labels.where(learn & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+
+
+def chosen_ids(labels: DataFrame, label: str, learn: Column, per_class: int = PER_CLASS) -> DataFrame:
+    """At most ``per_class`` of these of each class, in the order of a hash of the id."""
+    known = known_labels(labels, label, learn)
+    chosen = [known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for value in (0, 1)]
+    return chosen[0].unionByName(chosen[1])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int = PER_CLASS) -> DataFrame:
     """``text`` (bytes), ``label``, ``lang`` of at most ``per_class`` rows of each class for which ``learn`` holds (a
     condition on ``doc_id``), in the order of a hash of the id. The chosen ids, so bounded, are broadcast."""
-    known = labels.where(learn & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [known.where(F.col("label") == value).orderBy(*order).limit(per_class) for value in (0, 1)]
     texts = docs.select("doc_id", text_bytes().alias("bytes"), F.col("lang").cast("string").alias("lang"))
-    drawn = texts.where(F.octet_length("bytes") <= TRAIN_BYTES).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    drawn = texts.where(F.octet_length("bytes") <= TRAIN_BYTES).join(F.broadcast(chosen_ids(labels, label, learn, per_class)), "doc_id")
     return drawn.orderBy(*order).limit(2 * per_class).select(F.col("bytes").alias("text"), "label", "lang")
 
 

@@ -261,6 +261,30 @@ def test_without_toxic(labelled, odd_docs):
     assert toxicity.without_toxic(odd_docs, learned).columns == odd_docs.columns
 
 
+def test_thresholds_are_set_on_all_labelled_rows(labelled):
+    """A language with few toxic texts in the sample has the cut of all its labelled texts."""
+    docs, labels = labelled
+    few = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.lit("xx")).otherwise(F.lit("en")))
+    learned = toxicity.learn(few, labels, rows=F.col("doc_id") % 8 != 1, per_class=30)
+    assert list(learned["languages"]) == ["", "en", "xx"]
+    known = {row.doc_id: row.toxic for row in labels.collect()}
+    counts = toxicity.cut_counts(few, labels, "toxic", F.col("doc_id") % 8 != 1, 30, learned, np.zeros((2, toxicity.TABLE), dtype=np.float32), np.array([0.0])).collect()
+    sizes = Counter()
+    for row in counts:
+        sizes[row["lang"], row["label"]] += row["count"]
+    assert sizes == Counter(("xx" if k % 2 == 0 else "en", toxic) for k, toxic in known.items() if k % 8 != 1)
+
+
+def test_thresholds_by_language():
+    cuts = np.array([-1.0, 0.0, 1.0, 2.0])
+    row = lambda lang, label, place, count: {"lang": lang, "label": label, "place": place, "count": count}
+    counts = [row("a", 1, 4, 500), row("a", 0, 3, 400), row("a", 0, 0, 100), row("b", 1, 1, 300), row("b", 0, 0, 900), row("c", 1, 4, 19), row("c", 0, 3, 400)]
+    found = toxicity.thresholds(counts, cuts, 0.0)
+    limits = dict(zip(found["languages"], found["thresholds"], strict=True))
+    assert limits["a"] == 2.0 and limits["b"] == -1.0 and limits["c"] == limits[""]
+    assert dict(zip(*toxicity.thresholds([], cuts, 0.0).values(), strict=True)) == {"": 0.0}
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (9, 9), (None, 3), (7, 8), (8, 7), *[(100, 100 + k) for k in range(1, 60)], *[(k, k + 1) for k in range(1000, 1040)]]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
