@@ -77,9 +77,9 @@ def performance(returns: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: rt.Embedder | None = None, instruction: str = rt.INSTRUCTION) -> DataFrame:
-    """Context and prompt for every row of (question_id, question)."""
+    """Context and prompt for every row of (question_id, question), whatever their number. Counts questions and documents."""
     asked = rt.embed(questions, "question", embedder)
-    hits = rt.with_text(rt.nearest(asked, documents, n), documents)
+    hits = rt.with_text(rt.nearest_join(asked, documents, n), documents)
     found = questions.join(rt.assemble_context(hits), "question_id", "left")
     context = F.coalesce(F.col("context"), F.lit(fv.NO_DOCUMENTS))
     return found.select(

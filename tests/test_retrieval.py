@@ -159,6 +159,13 @@ def test_retrieve_without_documents(spark, filings, news):
     assert row["context"] == fv.NO_DOCUMENTS and row["sources_used"] == 0
 
 
+def test_retrieve_takes_any_number_of_questions(spark, filings, news):
+    documents = rt.build_documents(filings, news)
+    questions = spark.range(1100).select(F.col("id").alias("question_id"), F.concat(F.lit("chips boom "), "id").alias("question"))
+    found = rows_of(reports.retrieve(questions, documents, 1))
+    assert {row["question_id"] for row in found} == set(range(1100)) and {row["sources_used"] for row in found} == {2}
+
+
 def test_no_question(spark, filings, news):
     documents = rt.build_documents(filings, news)
     nobody = spark.createDataFrame([], "question_id int, question string")
