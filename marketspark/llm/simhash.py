@@ -134,9 +134,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
 
 
 def first_of_groups(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without those that have a near-duplicate of smaller id. Of repeated ids one row stays;
-    rows without an id stay."""
-    found = near_duplicates(docs, size, max_bits)
-    kept = stored(found.where("doc_id = component_id").select("doc_id").distinct())
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates: the one with the smallest id, of several with this id the one with
+    the smallest hash of the whole row. Rows of other groups stay, also under the same id; rows without an id stay."""
+    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    place = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_row")).alias("place")
+    found = near_duplicates(keyed.select(place, "text"), size, max_bits, id_column="place")
+    kept = stored(found.where("place = component_id").select("place.doc_id", "place._row").distinct())
+    named = keyed.join(kept, ["doc_id", "_row"], "left_semi").dropDuplicates(["doc_id", "_row"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -140,6 +140,14 @@ def test_first_of_groups_keeps_columns(odd_docs, odd_rows):
     assert sorted([row.doc_id for row in found.collect()], key=lambda x: (x is None, x)) == [*sorted(set(label.values())), None]
 
 
+def test_first_of_groups_by_row(spark):
+    """An id on two rows with different texts loses neither, and only the near-duplicate of another document goes."""
+    texts = [" ".join(f"{word}{k}" for k in range(80)) for word in ("ab", "cd", "ef")]
+    rows = [(5, texts[0]), (5, texts[1]), (3, texts[2]), (7, texts[2]), (7, texts[1]), (5, texts[0])]
+    found = simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, found.collect())) == sorted([(5, texts[0]), (5, texts[1]), (3, texts[2])])
+
+
 def kept_words(rows):
     first = {}
     words = [(row[0], (row[1] or "").encode().split()) for row in rows]
