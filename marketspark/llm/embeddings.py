@@ -50,7 +50,7 @@ class Blocks:
         self.rotation = np.linalg.qr(turn)[0]
         self.parts = [part for part in np.array_split(np.arange(size), min(blocks, size)) if len(part)]
         self.budgets = [(2 - 2 * threshold) * len(part) / size for part in self.parts]
-        self.widths = [max(np.sqrt(budget), 1e-3) + 1e-6 for budget in self.budgets]
+        self.widths = [max(np.sqrt(budget + SLACK), 1e-3) + 1e-6 for budget in self.budgets]
 
     def unit(self, vectors: np.ndarray) -> np.ndarray:
         """Scaled by the largest component first, so that squares neither overflow nor vanish."""

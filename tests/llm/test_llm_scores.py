@@ -318,6 +318,16 @@ def test_embeddings(spark, chunk):
     assert embeddings.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_gap_within_the_slack_of_a_block(spark):
+    """Two vectors whose gap lies in the first coordinate and is a little over the block's budget are linked."""
+    cut = embeddings.Blocks(2, 0.9, 4)
+    gap = np.sqrt(cut.budgets[0] + embeddings.SLACK / 4)
+    turned = np.array([[-gap / 2, np.sqrt(1 - gap**2 / 4)], [gap / 2, np.sqrt(1 - gap**2 / 4)]])
+    rows = [(k, [float(x) for x in vector]) for k, vector in enumerate(turned @ cut.rotation.T)]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((row.vec_id, row.n_links, row.component_id) for row in found) == [(0, 1, 0), (1, 1, 0)]
+
+
 def test_scores_of_empty_tables(no_docs):
     assert quality_rules.judge(no_docs).count() == 0
     assert mixing.mixed_rows(no_docs).count() == 0
