@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.llm import bpe, byte_cnn, embeddings, language_model, mixing, quality_rules, simhash, substrings, token_files, toxicity
+from marketspark.llm import bpe, byte_cnn, centroids, embeddings, language_model, mixing, prefix_trie, quality_rules, simhash, substrings, token_files, toxicity
 from marketspark.llm.training import remainder
 from marketspark.sources.scratch import new_folder
 
@@ -64,11 +64,72 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_substring_dedup, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup)
+    for f in (op1_quality_rules, op2_substring_dedup, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup, op12_centroid_clustering, op13_prefix_trie)
 }
+
+
+def _rounds() -> str:
+    """The rounds of op12 one behind the other, each as one more table expression."""
+    near = """SELECT * FROM (SELECT r.nr, vec_id, v, k, centre, list_sum(list_transform(range(1, {n} + 1), lambda i: (v[i] - centre[i]) * (v[i] - centre[i])))::BIGINT AS distance
+                   FROM whole r, c{t}) QUALIFY row_number() OVER (PARTITION BY nr ORDER BY distance, k) = 1"""
+    step = """SELECT k, list(m ORDER BY i) AS centre
+              FROM (SELECT c{t}.k, i, CASE WHEN count(a.nr) = 0 THEN any_value(c{t}.centre[i]) ELSE ((sum(v[i]) - ((sum(v[i]) % count(a.nr)) + count(a.nr)) % count(a.nr)) / count(a.nr))::BIGINT END AS m
+                    FROM c{t} CROSS JOIN (SELECT unnest(range(1, {n} + 1)) AS i) LEFT JOIN a{t} a ON a.k = c{t}.k GROUP BY c{t}.k, i) GROUP BY k"""
+    parts = []
+    for t in range(centroids.ROUNDS + 1):
+        if t:
+            parts.append(f"c{t} AS MATERIALIZED (" + step.format(t=t - 1, n=centroids.SIZE).replace("/ count(a.nr))::", "// count(a.nr))::") + ")")
+        parts.append(f"a{t} AS MATERIALIZED (" + near.format(t=t, n=centroids.SIZE) + ")")
+    return ",\n".join(parts)
+
+
+def _crc_table() -> str:
+    """The 256 remainders of CRC-32, by its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = (byte >> 1) ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return f"{table}::BIGINT[]"
+
+
 ORACLES = {
+    "op12_centroid_clustering": f"""
+    WITH whole AS (SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                   WHERE len(embedding) = {centroids.SIZE} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY digest) - 1 AS k, v AS centre
+                             FROM (SELECT v, sha256('{centroids.SEED}:' || vec_id) AS digest FROM whole ORDER BY digest LIMIT {centroids.CLUSTERS})),
+         {_rounds()}
+    SELECT vec_id, k::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(centre, ',')) AS centroid_sha256
+    FROM a{centroids.ROUNDS}
+    """,
+    "op13_prefix_trie": f"""
+    WITH own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+         steps AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                                             lambda crc, b: xor(crc >> 8, ({_crc_table()})[(xor(crc, b) & 255) + 1])), 4294967295) % 6 AS h FROM own),
+         whole AS (SELECT a.conv_id, coalesce(b.turns, [])[1:a.h] || a.turns[a.h + 1:] AS seq FROM steps a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+         prefixes AS (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM whole),
+         nodes AS (SELECT seq[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                          coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth), '') AS ends FROM prefixes GROUP BY ALL),
+         sized AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children
+                   FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+         above AS (SELECT *, unnest(range(depth + 1)) AS up FROM sized),
+         sums AS (SELECT path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+                         sum(CASE WHEN depth > 0 THEN (n_convs - 1) * length(path[depth].t) ELSE 0 END) AS saved_tokens FROM above GROUP BY path[1:up])
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+    FROM sized JOIN sums USING (path)
+    """,
     "op8_mixing": f"""
     WITH counted AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}'))::BIGINT AS n_words FROM documents),
          sources AS (SELECT source, sum(n_words)::BIGINT AS tokens FROM counted GROUP BY source),
