@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.llm import bpe, byte_cnn, centroids, embeddings, language_model, mixing, prefix_trie, quality_rules, simhash, substrings, token_files, toxicity
+from marketspark.llm import bpe, byte_cnn, centroids, embeddings, language_model, mixing, prefix_trie, quality_rules, repeated_bytes, simhash, substrings, token_files, toxicity
 from marketspark.llm.training import remainder
 from marketspark.sources.scratch import new_folder
 
@@ -64,6 +64,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.digests(_table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(_table(spark, sf_dir, "embeddings"))
 
@@ -74,7 +78,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_substring_dedup, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup, op12_centroid_clustering, op13_prefix_trie)
+    for f in (op1_quality_rules, op2_substring_dedup, op3_simhash_near_dedup, op4_byte_cnn, op5_bpe, op6_toxicity, op7_token_files, op8_mixing, op9_language_model, op10_embedding_near_dedup, op11_suffix_array_dedup, op12_centroid_clustering, op13_prefix_trie)
 }
 
 
@@ -104,6 +108,22 @@ def _crc_table() -> str:
 
 
 ORACLES = {
+    "op11_suffix_array_dedup": f"""
+    WITH hexed AS (SELECT row_number() OVER () AS nr, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+         pieces AS (SELECT nr, 1000 * unnest(range(0, len(h) // 2000 + 1)) AS base, h FROM hexed),
+         chunks AS (SELECT nr, base, substr(h, 2 * base + 1, 2000 + 2 * {repeated_bytes.LENGTH}) AS c FROM pieces),
+         windows AS (SELECT nr, base + step AS place, md5_number(substr(c, 2 * step + 1, 2 * {repeated_bytes.LENGTH})) AS w
+                     FROM (SELECT nr, base, c, unnest(range(0, least(1000, len(c) // 2 - {repeated_bytes.LENGTH} + 1))) AS step FROM chunks)),
+         again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+         hits AS (SELECT nr, place, place - lag(place) OVER (PARTITION BY nr ORDER BY place) AS gap FROM windows SEMI JOIN again USING (w)),
+         runs AS (SELECT nr, place, sum(CASE WHEN gap <= {repeated_bytes.LENGTH} THEN 0 ELSE 1 END) OVER (PARTITION BY nr ORDER BY place) AS run FROM hits),
+         spans AS (SELECT nr, min(place) AS b, max(place) + {repeated_bytes.LENGTH} AS e FROM runs GROUP BY nr, run),
+         parts AS (SELECT nr, e AS b, lead(b) OVER (PARTITION BY nr ORDER BY b) AS e FROM spans UNION ALL SELECT nr, 0, min(b) FROM spans GROUP BY nr),
+         kept AS (SELECT nr, string_agg(CASE WHEN e IS NULL THEN substr(h, 2 * b + 1) ELSE substr(h, 2 * b + 1, 2 * (e - b)) END, '' ORDER BY b) AS k FROM parts JOIN hexed USING (nr) GROUP BY nr),
+         counts AS (SELECT nr, count(*) AS n_spans, sum(e - b)::BIGINT AS n_removed FROM spans GROUP BY nr)
+    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+    FROM hexed LEFT JOIN kept USING (nr) LEFT JOIN counts USING (nr)
+    """,
     "op12_centroid_clustering": f"""
     WITH whole AS (SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
                    WHERE len(embedding) = {centroids.SIZE} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
