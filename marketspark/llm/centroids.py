@@ -144,7 +144,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The k vectors whose ids have the smallest digests, in that order; equal digests by vector, no id last."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256)
     few = vectors.select("v", digest.alias("digest")).orderBy(F.col("digest").asc_nulls_last(), "v").limit(k).collect()
-    return np.array([row["v"] for row in few], dtype=np.int64).reshape(len(few), -1)
+    return np.array([row["v"] for row in few], dtype=np.int64)
 
 
 def cluster(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", k: int = CLUSTERS,
