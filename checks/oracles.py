@@ -636,6 +636,15 @@ _KNN = """
 """
 add("knn", _KNN, "vectors")
 add("knn_blocks", _KNN, "vectors")
+add(
+    "knn_scan",
+    f"""
+    SELECT n_nationkey AS question_id, collection, id, round(list_distance(q.v, d.v) ** 2, 6) AS distance,
+           row_number() OVER (PARTITION BY n_nationkey, collection ORDER BY round(list_distance(q.v, d.v) ** 2, 6), id) AS rank
+    FROM (SELECT n_nationkey, {letters("n_name || ' quarterly report'")} AS v FROM nation) q, doc_vectors d QUALIFY rank <= 5
+    """,
+    "doc_vectors",
+)
 add(
     "retrieve",
     """

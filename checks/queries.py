@@ -442,6 +442,14 @@ def knn_blocks(spark, sf):
     return rt.nearest_join(*_vectors(spark, sf), block_questions=128, block_rows=200)
 
 
+@query
+def knn_scan(spark, sf):
+    """Five nearest of each collection for a few questions, the 25 nations, by one scan of the documents."""
+    documents, embedder = _documents(spark, sf)
+    asked = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("question_id"), F.concat_ws(" ", "n_name", F.lit("quarterly report")).alias("question"))
+    return rt.nearest(rt.embed(asked, "question", embedder), documents)
+
+
 def _documents(spark, sf):
     embedder = rt.column_embedder(fx.letter_embedding)
     return rt.build_documents(fx.filings(spark, sf), scored_headlines(spark, sf), embedder), embedder

@@ -4,7 +4,6 @@ An *embedder* is a function ``(df, text_column) -> df`` that adds an ``embedding
 """
 
 from collections.abc import Callable
-from math import ceil
 from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +13,7 @@ from .. import fixed_values as fv
 from ..functions.text import filing_text, news_text
 from .projections import with_doc_id, with_meta
 from .combine import union_sources
+from .pivots import nearest_rings
 from .windows import dedup_last
 
 Embedder = Callable[[DataFrame, str], DataFrame]
@@ -186,38 +186,14 @@ def _vectors_of(questions: DataFrame, documents: DataFrame) -> tuple[DataFrame,
 
 
 def nearest_join(questions: DataFrame, documents: DataFrame, k: int = 5, places: int = 6,
-                 block_questions: int = 4096, block_rows: int = 50_000) -> DataFrame:
-    """The same for any number of questions: blocks of questions meet blocks of documents, one pair of
-    blocks per group. Every document is copied once for each block of questions and every question once
-    for each block of documents, so the shuffle is documents * questions / ``block_questions`` vectors;
-    what comes out of a group is k candidates per question and collection.
+                 block_questions: int = 4096, block_rows: int = 8192) -> DataFrame:
+    """The same for any number of questions, through the pivot partition of ``pivots``: documents are stored once in blocks
+    of at most ``block_rows``, and a question meets only the blocks that the radius of its k-th candidate reaches.
+    Where vectors form clusters these are few; where they do not, every block is in reach. Vectors have one length.
+    Runs jobs.
     """
-    wanted, stored, shape = _vectors_of(questions, documents)
-    best = _best(k, places)
-    question_blocks = max(1, ceil(wanted.count() / block_questions))
-    document_blocks = max(1, ceil(stored.count() / block_rows))
-
-    def blocks(df, own, other, keys, own_blocks, other_blocks):
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(*keys), F.lit(own_blocks)).cast("int"),
-                other: F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))),
-            }
-        )
-
-    left = blocks(wanted, "_q", "_d", ["question_id"], question_blocks, document_blocks)
-    right = blocks(stored, "_d", "_q", ["collection", "id"], document_blocks, question_blocks)
-
-    def meet(asked, held):
-        import numpy as np
-
-        if asked.empty or held.empty:
-            return best([], np.empty((0, 0)), [])
-        parts = (held.iloc[start : start + 8192] for start in range(0, len(held), 8192))
-        return best(asked["question_id"].tolist(), np.stack(asked["embedding"].to_numpy()).astype("float64"), parts)
-
-    candidates = left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInPandas(meet, shape)
-    return _ranked(candidates, k)
+    wanted, held, _ = _vectors_of(questions, documents)
+    return _ranked(nearest_rings(wanted, held, k, places, block_questions, block_rows), k)
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:

@@ -14,6 +14,7 @@ from ..operators import ranking as rk
 from ..operators import retrieval as rt
 from ..operators.projections import indicator_view
 from ..operators.windows import latest_n
+from ..sources.scratch import stored
 
 
 class SentimentReport(NamedTuple):
@@ -77,7 +78,9 @@ def performance(returns: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: rt.Embedder | None = None, instruction: str = rt.INSTRUCTION) -> DataFrame:
-    """Context and prompt for every row of (question_id, question), whatever their number. Counts questions and documents."""
+    """Context and prompt for every row of (question_id, question), whatever their number. Runs jobs: the documents are
+    stored first, as search and text both read them."""
+    documents = stored(documents.select("collection", "id", "text", "embedding"))
     asked = rt.embed(questions, "question", embedder)
     hits = rt.with_text(rt.nearest_join(asked, documents, n), documents)
     found = questions.join(rt.assemble_context(hits), "question_id", "left")

@@ -5,6 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from marketspark import fixed_values as fv
+from marketspark.operators import pivots
 from marketspark.operators import retrieval as rt
 from marketspark.plans import reports
 
@@ -90,6 +91,42 @@ def test_nearest_against_brute_force(spark, grid, options):
     assert {tuple(row[name] for name in ("question_id", "collection", "id", "distance", "rank")) for row in rows_of(found)} == brute(asked, stored, 5)
 
 
+@pytest.mark.parametrize("spread", [0.01, 1.0])
+def test_pivots_against_brute_force(spark, spread):
+    """Clusters, a third of all documents equal, questions among and beside the documents; many small rings."""
+    rng = random.Random(7)
+    centres = [[10 * rng.random() for _ in range(5)] for _ in range(12)]
+
+    def draw(n):
+        return [x + rng.gauss(0, spread) for x in centres[n % 12]]
+
+    stored = [("c" if n % 5 else "few", f"d{n:04}", centres[0] if n % 3 == 0 else draw(n)) for n in range(900)]
+    asked = [(n, draw(n) if n % 4 else centres[0]) for n in range(120)]
+    questions = spark.createDataFrame(asked, "question_id bigint, embedding array<double>").repartition(3)
+    documents = spark.createDataFrame(stored, "collection string, id string, embedding array<double>").repartition(5)
+    found = rt.nearest_join(questions, documents, 4, block_questions=16, block_rows=20)
+    assert {tuple(row[name] for name in ("question_id", "collection", "id", "distance", "rank")) for row in rows_of(found)} == brute(asked, stored, 4)
+
+
+def test_questions_meet_few_rings_of_clusters(spark):
+    """Ten times the clusters are ten times the rings, but a question meets no more of them."""
+    met = []
+    for clusters in (20, 200):
+        rng = random.Random(clusters)
+        centres = [[100 * rng.random() for _ in range(6)] for _ in range(clusters)]
+        stored = [("c", f"d{n}", [x + rng.gauss(0, 0.1) for x in centres[n % clusters]]) for n in range(clusters * 25)]
+        documents = spark.createDataFrame(stored, "collection string, id string, embedding array<double>")
+        asked = spark.createDataFrame([(n, stored[7 * n][2]) for n in range(60)], "question_id bigint, embedding array<double>")
+        rings = pivots.Rings(documents, 3, 10)
+        asked = asked.withColumn("row", F.col("question_id"))
+        homes = rings.homes(asked)
+        kth = rings.meet(homes, 6, 100).groupBy("row").agg(F.max("distance").alias("kth"))
+        near = homes.join(kth, "row").withColumn("reach", F.least("reach", F.sqrt("kth") + 1e-6)).select(*homes.columns)
+        assert rings.rings.count() >= 2 * clusters
+        met.append(rings.others(near).count() / 60)
+    assert met[1] < 2 * met[0] + 2 and met[1] < 20
+
+
 def test_too_many_questions(spark):
     questions = spark.createDataFrame([(n, [1.0]) for n in range(5)], "question_id int, embedding array<double>")
     documents = spark.createDataFrame([("c", "x", [1.0])], "collection string, id string, embedding array<double>")
