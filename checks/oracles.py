@@ -478,6 +478,16 @@ add(
     """,
     "stg",
 )
+add(
+    "rank_movers_ranges",
+    """
+    SELECT *, (rank() OVER (ORDER BY daily_return DESC))::BIGINT AS gainer_rank,
+           (rank() OVER (ORDER BY daily_return))::BIGINT AS loser_rank
+    FROM (SELECT ticker, price_date, CASE WHEN day(price_date) % 3 = 0 THEN 0e0 ELSE daily_return END AS daily_return
+          FROM stg WHERE daily_return IS NOT NULL)
+    """,
+    "stg",
+)
 add("keep_movers", f"SELECT * FROM ({_BOTH_RANKS}) WHERE gainer_rank <= 25 OR loser_rank <= 25", "stg")
 add("latest_date", "SELECT max(price_date) AS max_date FROM stg", "stg")
 add("at_latest_date", "SELECT ticker, price_date, close_price FROM stg WHERE price_date = (SELECT max(price_date) FROM stg)", "stg")

@@ -250,6 +250,13 @@ def rank_movers_odd(spark, sf):
     return rk.rank_movers(_returns(spark, sf).withColumn("daily_return", odd))
 
 
+@query
+def rank_movers_ranges(spark, sf):
+    """The same through many small ranges, with a value that a third of the rows share."""
+    third = F.when(F.dayofmonth("price_date") % 3 == 0, F.lit(0.0)).otherwise(F.col("daily_return"))
+    return rk.rank_movers(_returns(spark, sf).withColumn("daily_return", third), rows=2000)
+
+
 @query
 def keep_movers(spark, sf):
     """The 25 best and worst single-day returns of all dates."""

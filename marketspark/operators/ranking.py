@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.numeric import half_up
 from .filters import for_ticker, has_title
+from .ranges import ranged
 
 
 def _ties(df: DataFrame, column: str) -> DataFrame:
@@ -16,31 +17,46 @@ def _real(column: str):
     return F.col(column).isNotNull() & ~F.isnan(F.col(column))
 
 
-def rank_movers(df: DataFrame, column: str = "daily_return", width: float = 0.001) -> DataFrame:
+def rank_movers(df: DataFrame, column: str = "daily_return", rows: int = 1 << 20) -> DataFrame:
     """``gainer_rank`` and ``loser_rank`` of every row that has a return: global ranks, ties share one. NaN is no
     return, as null.
 
-    Equal values are counted before anything is ordered. Distinct values are then ranked inside
-    value bands of ``width``, and the bands offset by the counts below them. A window without
-    partitioning would pull every row into one task; here one task holds the values of one band.
+    Rows are dealt to ranges of about ``rows`` by value and ranked inside them; the rows of the ranges before or behind are
+    added. A value that goes over the border of a range has the rank of its first row, which the counts of
+    the values at the borders tell. Runs jobs; one summary row per range reaches the driver.
     """
-    band = F.floor(F.col(column) / width)
-    values = _ties(df.filter(_real(column)), column).withColumn("_band", band)
-    bands = values.groupBy("_band").agg(F.sum("_ties").alias("_in_band"))
-    below = Window.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bands.select(
-        F.col("_band"),
-        F.coalesce(F.sum("_in_band").over(below), F.lit(0)).alias("_below"),
-        F.sum("_in_band").over(Window.partitionBy()).alias("_total"),
+    dealt = ranged(df.filter(_real(column)), [column], rows)
+    value = F.col(column)
+    edges = dealt.groupBy("_part").agg(F.min(column).alias("_low"), F.max(column).alias("_high"), F.count(F.lit(1)).alias("_rows"))
+    at_edges = dealt.join(edges, "_part").groupBy("_part", "_low", "_high", "_rows").agg(
+        F.count_if(value == F.col("_low")).alias("_at_low"), F.count_if(value == F.col("_high")).alias("_at_high")
     )
-    inside = Window.partitionBy("_band").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
-    smaller = F.col("_below") + F.coalesce(F.sum("_ties").over(inside), F.lit(0))
-    ranks = values.join(offsets, "_band").select(
-        column,
-        (F.col("_total") - smaller - F.col("_ties") + 1).alias("gainer_rank"),
-        (smaller + 1).alias("loser_rank"),
+    found = sorted(at_edges.collect(), key=lambda row: row["_part"])
+    smaller, larger = _outside(found, "_high", "_low", "_at_high"), _outside(found[::-1], "_low", "_high", "_at_low")
+    schema = "_part bigint, _low double, _high double, _below bigint, _below_low bigint, _above bigint, _above_high bigint"
+    places = [(row["_part"], row["_low"], row["_high"], *smaller[row["_part"]], *larger[row["_part"]]) for row in found]
+    outside = df.sparkSession.createDataFrame([(part, float(low), float(high), *rest) for part, low, high, *rest in places], schema)
+    inside = Window.partitionBy("_part")
+    rank_up = F.col("_below") + F.rank().over(inside.orderBy(value.asc()))
+    rank_down = F.col("_above") + F.rank().over(inside.orderBy(value.desc()))
+    return dealt.join(outside, "_part").select(
+        *df.columns,
+        F.when(value == F.col("_high"), F.col("_above_high") + 1).otherwise(rank_down).alias("gainer_rank"),
+        F.when(value == F.col("_low"), F.col("_below_low") + 1).otherwise(rank_up).alias("loser_rank"),
     )
-    return df.join(ranks, column)
+
+
+def _outside(ranges, far: str, near: str, at_far: str) -> dict:
+    """For each range, in order: the rows of the ranges passed, and those of them that are not equal to its nearest value."""
+    passed, equal, last, found = 0, 0, None, {}
+    for row in ranges:
+        same = equal if last is not None and last == row[near] else 0
+        found[row["_part"]] = (passed, passed - same)
+        # A range of one value only prolongs the run of it.
+        whole = row["_low"] == row["_high"]
+        equal = (same if whole else 0) + row[at_far]
+        passed, last = passed + row["_rows"], row[far]
+    return found
 
 
 def keep_movers(df: DataFrame, k: int = 10, column: str = "daily_return") -> DataFrame:

@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numeric import half_up, safe_div
+from .ranges import ranged
+
+#: Rows that a range of long series holds at least, so that short runs do not make tiny tasks.
+RANGE_ROWS = 1 << 17
 
 
 def series(by=("ticker",), order: str = "date"):
@@ -80,27 +84,24 @@ def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), o
     ``look_back`` rows before it, marked ``_lead``; windows over ``(*by, _run)`` that look back no
     further than that give exactly the values of windows over ``by``. Drop the lead rows afterwards.
 
-    Rows are numbered in two levels, counts per day first and then positions within a day, so no task
-    sorts more than one day of a series.
+    Rows are dealt to ranges of key, time and row, which cut a series wherever it is long, be it on one day; they are numbered
+    inside their range and counted before it, so no task sorts more than a range. Runs jobs.
     """
     if max_rows < look_back:
         raise ValueError("max_rows must not be smaller than look_back")
     columns = df.columns
-    keyed = df.withColumn("_day", F.to_date(order))
-    per_day = keyed.groupBy(*by, "_day").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier_days = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select(
+    dealt = ranged(df, [*by, order], max(max_rows, RANGE_ROWS))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_rows")).select(
         *[F.col(name).alias("_k_" + name) for name in by],
-        F.col("_day").alias("_k_day"),
-        F.coalesce(F.sum("_rows").over(earlier_days), F.lit(0)).alias("_before"),
+        F.col("_part").alias("_k_part"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    same = F.col("_day").eqNullSafe(F.col("_k_day"))
+    same = F.col("_part") == F.col("_k_part")
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col("_k_" + name))
-    within_day = Window.partitionBy(*by, "_day").orderBy(order)
-    placed = keyed.join(offsets, same).withColumn(
-        "_at", F.col("_before") + F.row_number().over(within_day) - 1
-    )
+    within = Window.partitionBy(*by, "_part").orderBy(order, F.xxhash64(*columns))
+    placed = dealt.join(offsets, same).withColumn("_at", F.col("_before") + F.row_number().over(within) - 1)
     run = F.floor(F.col("_at") / max_rows)
 
     def copy(number, lead):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketspark.functions import labels
 from marketspark.functions.numeric import stable
 from marketspark.operators import indicators as ind
+from marketspark.operators import ranges
 from marketspark.operators import windows as wn
 from marketspark.plans.clean import enrich
 from marketspark.plans.indicators import add_indicators
@@ -140,6 +141,24 @@ def test_split_series_with_many_rows_on_one_day(spark):
     assert gold(ticks).exceptAll(gold(ticks, max_rows=500)).isEmpty()
 
 
+@pytest.mark.parametrize("rows", [200, 450])
+def test_split_series_over_many_ranges(spark, monkeypatch, rows):
+    """One ticker holds most rows, most of them on one day: its day is many ranges, and look-back rows cross their borders."""
+    monkeypatch.setattr(wn, "RANGE_ROWS", rows)
+    ticks = spark.range(2400).select(
+        F.when(F.col("id") % 50 == 0, "B").when(F.col("id") % 601 == 0, None).otherwise("A").alias("ticker"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * F.when(F.col("id") > 2000, 600).otherwise(1))).alias("date"),
+        (F.col("id") % 37 + 1).cast("double").alias("close"),
+    )
+    ticks = ticks.withColumns({"open": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") * 0.5, "volume": F.col("close")})
+    split = gold(ticks, max_rows=200)
+    assert split.count() == 2400 and gold(ticks).exceptAll(split).isEmpty()
+    cut = wn.split_series(ticks, 200, 199)
+    assert cut.groupBy("ticker", "_run").count().agg(F.max("count")).first()[0] <= 399
+    dealt = ranges.ranged(ticks, ["ticker", "date"], rows).groupBy("_part").count()
+    assert dealt.agg(F.max("count")).first()[0] <= 2 * rows
+
+
 def test_since_reads_only_the_look_back(make_bars):
     bars = make_bars({"A": walk(500, 10), "B": walk(30, 11)})
     whole = gold(bars).filter(F.col("date") >= F.lit("2025-01-01").cast("timestamp_ntz"))

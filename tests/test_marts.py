@@ -43,6 +43,20 @@ def test_movers_against_brute_force(staging, seed, size, spread):
     assert [(row["gainer_rank"], row["loser_rank"]) for row in every] == [ranks[value] for value in values]
 
 
+@pytest.mark.parametrize("rows", [7, 50, 1000])
+def test_ranks_over_many_ranges(spark, rows):
+    """Values that go over several ranges have one rank; no window sees all rows, nothing is joined on a return."""
+    rng = random.Random(rows)
+    values = [rng.choice([0.0, 0.0, 0.0, -0.01, 0.02, rng.random() - 0.5, float("nan"), None]) for _ in range(400)]
+    returns = spark.createDataFrame(list(enumerate(values)), "n int, daily_return double").repartition(3)
+    ranked = rk.rank_movers(returns, rows=rows)
+    real = [value for value in values if value is not None and value == value]
+    expected = {(n, sum(x > v for x in real) + 1, sum(x < v for x in real) + 1) for n, v in enumerate(values) if v is not None and v == v}
+    assert {(row["n"], row["gainer_rank"], row["loser_rank"]) for row in ranked.collect()} == expected
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning(daily_return" not in plan
+
+
 def test_few_tickers_are_all_gainers(staging):
     rows = rows_of(marts.mart_top_movers(staging([0.1, -0.2, 0.3])))
     assert [row["mover_type"] for row in rows] == ["top_gainer"] * 3
