@@ -773,6 +773,33 @@ add(
     "SELECT count(*) AS total_rows, count(DISTINCT (ticker, day(date) % 2)) AS converted, 0::BIGINT AS skipped FROM bars",
     "bars",
 )
+PARTS["bulk_lines"] = (
+    ("bars",),
+    """
+    SELECT ticker, substr(ticker, 2)::INTEGER AS number, date, floor(close) AS close, floor(volume) AS volume,
+           length(strftime(date, '%Y-%m-%d') || ',' || floor(close)::BIGINT || ',' || floor(volume)::BIGINT) + 1 AS size
+    FROM bars WHERE substr(ticker, 2)::INTEGER % 7 <> 0
+    """,
+)
+add(
+    "bulk_first_files",
+    """
+    SELECT date, ticker_name AS ticker, close, volume
+    FROM (SELECT *, 't' || lpad(substr(ticker, 2), 9, '0') AS ticker_name FROM bulk_lines)
+    WHERE number % 11 <> 0 AND ticker IN (SELECT ticker FROM bars GROUP BY ticker ORDER BY 't' || lpad(substr(ticker, 2), 9, '0') LIMIT 3)
+    """,
+    "bulk_lines",
+)
+add(
+    "bulk_load_sizes",
+    """
+    SELECT count(*) AS total_rows, count(DISTINCT ticker) AS converted, (SELECT count(DISTINCT ticker) FROM bars) - count(DISTINCT ticker) AS skipped,
+           (sum(size) + count(DISTINCT ticker) * length('Date,Close,Vol ') )::BIGINT AS raw_bytes, true AS written_agrees, true AS savings_agree
+    FROM bulk_lines WHERE number % 11 <> 0
+    """,
+    "bulk_lines",
+)
+add("bulk_csv_breaks", "SELECT date, ticker, close FROM bars", "bars")
 add(
     "bulk_csv_quoted",
     "SELECT date, ticker, CASE WHEN day(date) <> 1 THEN open END AS open, close, volume, 7e0 AS open_interest FROM bars",
@@ -845,6 +872,14 @@ add("between_dates", "SELECT ticker, date, close FROM bars WHERE date::DATE BETW
 add("news_last_days", "SELECT ticker, url FROM scored_news WHERE published_at::DATE >= DATE '2024-01-13'", "scored_news")
 add("gold_roundtrip", "SELECT * FROM gold", "gold")
 add("written_years", "SELECT year(date) AS year, count(*) AS rows FROM bars GROUP BY 1", "bars")
+add("written_year_sizes", "SELECT year(date) AS year, count(*) AS rows, true AS sizes_agree FROM bars GROUP BY 1", "bars")
+add(
+    "footprint_landed",
+    """
+    SELECT 'region' AS dataset, count(*) AS files, sum(strlen(r_name) + 1)::BIGINT AS bytes FROM region
+    UNION ALL SELECT 'nation', count(*), sum(strlen(n_name) + 1)::BIGINT FROM nation
+    """,
+)
 add("first_years", "SELECT ticker, date, close FROM bars WHERE year(date) IN (1995, 1996)", "bars")
 add("upper_ticker", "SELECT upper(s_name) AS ticker, s_suppkey FROM supplier")
 add("rows_by_year", "SELECT year(date) AS year, count(*) AS rows FROM bars GROUP BY 1", "bars")

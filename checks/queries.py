@@ -595,6 +595,29 @@ def bulk_csv_roundtrip(spark, sf):
     return _bulk_csv(spark, sf)[1].drop("ingested_at")
 
 
+@query
+def bulk_first_files(spark, sf):
+    """Only the first three files by path."""
+    return _bulk_lines(spark, sf, limit_files=3)[1].select("date", "ticker", "close", "volume")
+
+
+def _bulk_lines(spark, sf, **options):
+    """One file per ticker, of lines whose length any engine can tell; one ticker in seven has no rows, one in eleven no date."""
+    folder = scratch.new_folder(spark)
+    number = F.substring("ticker", 2, 20).cast("int")
+    header = F.when(number % 11 == 0, "Day,Close,Vol").otherwise("Date,Close,Vol")
+    bars = fx.bars(spark, sf)
+    lines = bars.filter(number % 7 != 0).select(
+        "ticker", F.lit(1).alias("place"),
+        F.concat_ws(",", F.date_format("date", "yyyy-MM-dd"), F.floor("close").cast("string"), F.floor("volume").cast("string")).alias("value"),
+    )
+    headers = bars.select("ticker").distinct().select("ticker", F.lit(0).alias("place"), header.alias("value"))
+    named = headers.unionByName(lines).withColumn("name", F.concat(F.lit("t"), F.lpad(F.substring("ticker", 2, 20), 9, "0")))
+    dealt = named.repartition("name").sortWithinPartitions("name", "place", "value")
+    dealt.select("name", "value").write.partitionBy("name").text(folder)
+    return folder, readers.read_bulk_csv(spark, folder, "bulk", ticker_of=lambda path: F.regexp_extract(path, "name=([^/]+)/", 1), **options)
+
+
 @query
 def bulk_load_summary(spark, sf):
     folder, rows = _bulk_csv(spark, sf, with_file=True)
@@ -604,6 +627,34 @@ def bulk_load_summary(spark, sf):
     return summary.select("total_rows", "converted", "skipped")
 
 
+@query
+def bulk_load_sizes(spark, sf):
+    """Files and bytes of a load: rows, raw files and their bytes by SQL, the written bytes against a listing of their own."""
+    folder, rows = _bulk_lines(spark, sf, with_file=True)
+    written = scratch.new_folder(spark)
+    writers.write_bronze_prices(rows, written)
+    summary = readers.load_summary(spark, readers.read_layer(spark, written), folder, written)
+    years = readers.written_years(spark, written).agg(F.sum("bytes")).scalar()
+    saved = F.round((1 - F.col("written_bytes") / F.greatest(F.col("raw_bytes"), F.lit(1))) * 100, 2) == F.col("savings_pct")
+    return summary.select("total_rows", "converted", "skipped", "raw_bytes", (F.col("written_bytes") == years).alias("written_agrees"), saved.alias("savings_agree"))
+
+
+@query
+def bulk_csv_breaks(spark, sf):
+    """Quoted fields that hold line breaks, commas, quotes and the name of the date column."""
+    folder = scratch.new_folder(spark)
+    bars = fx.bars(spark, sf)
+    lines = bars.select(
+        "ticker", F.lit(1).alias("place"),
+        F.concat_ws(",", F.lit('"first\nof ""two"" lines, date"'), F.date_format("date", "yyyy-MM-dd"), F.col("close").cast("string"), F.lit("date")).alias("value"),
+    )
+    headers = bars.select("ticker").distinct().select("ticker", F.lit(0).alias("place"), F.lit('Note,"Date", Close ,Kind').alias("value"))
+    dealt = headers.unionByName(lines).repartition("ticker").sortWithinPartitions("ticker", "place", "value")
+    dealt.select("ticker", "value").write.partitionBy("ticker").text(folder)
+    rows = readers.read_bulk_csv(spark, folder, "breaks", ticker_of=_folder_ticker, quoted_breaks=True)
+    return rows.select("date", "ticker", "close")
+
+
 @query
 def bulk_csv_quoted(spark, sf):
     """Quoted fields with commas, headers with blanks, columns in another order; such a number is no number."""
@@ -732,6 +783,18 @@ def written_years(spark, sf):
     return readers.written_years(spark, folder).select("year", "rows")
 
 
+@query
+def written_year_sizes(spark, sf):
+    """Rows of each year, and whether its files and bytes are those of a listing of the year's folder."""
+    folder = scratch.new_folder(spark)
+    writers.write_bronze_prices(fx.bars(spark, sf), folder)
+    years = readers.written_years(spark, folder)
+    listed = readers.files_in(spark, folder, "*.parquet").select(F.regexp_extract("path", r"year=(\d+)/", 1).cast("bigint").alias("year"), F.col("bytes").alias("own"))
+    totals = listed.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("own"))
+    agrees = (F.col("files") == F.col("n")) & (F.col("bytes") == F.col("own")) & (F.col("bytes") > 0)
+    return years.join(totals, "year").select("year", "rows", agrees.alias("sizes_agree"))
+
+
 @query
 def first_years(spark, sf):
     return fl.in_years(fx.bars(spark, sf), (1996, 1995)).select(*BAR, "close")
@@ -759,6 +822,17 @@ def footprint(spark, sf):
     return readers.footprint(spark, {"prices": f"{sf}/lineitem.parquet", "news": f"{sf}/events.parquet"})
 
 
+@query
+def footprint_landed(spark, sf):
+    """Files and bytes of landed text whose length any engine can tell: a file per region and per nation."""
+    folders = {}
+    for name, column in (("region", "r_name"), ("nation", "n_name")):
+        folders[name] = scratch.new_folder(spark)
+        rows = fx.table(spark, sf, name).select(F.col(column).alias("value"), F.col(column).alias("name"))
+        rows.repartition("name").write.partitionBy("name").text(folders[name])
+    return readers.footprint(spark, folders)
+
+
 @query
 def sample_rows(spark, sf):
     return rk.sample_rows(fx.scored_news(spark, sf), 500, ["url"])

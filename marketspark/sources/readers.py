@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.text import or_blank, ticker_of_file
 from ..operators.projections import normalised
+from .scratch import stored
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -24,75 +25,88 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def files_in(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Path and size of every file below a folder. The contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
-    )
+    """``path``, ``file`` (as a URI) and ``bytes`` of every file below a folder, empty ones included. No content is read.
+
+    Spark's listing knows all files by name; their sizes come from tasks, which skip empty ones.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    names = found.inputFiles()
+    listed = spark.createDataFrame([(name,) for name in names], "file string")
+    sizes = found.select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    # The two differ in the slashes behind the scheme.
+    plain = F.regexp_replace("file", "^([^:/]+):/+", "$1:/").alias("plain")
+    empty = listed.select("file", plain).join(sizes.select(plain), "plain", "left_anti").select(F.url_decode(F.replace("plain", F.lit("+"), F.lit("%2B"))).alias("path"), "file", F.lit(0).cast("bigint").alias("bytes"))
+    return sizes.unionByName(empty)
+
 
+#: How landed CSV files are written: quotes are doubled inside quotes, blanks around fields do not count.
+_CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
 
-def _is_header(fields: Column) -> Column:
-    return F.array_contains(fields, "date")
 
+def _positions(number: int) -> T.StructType:
+    return T.StructType([T.StructField(f"c{place}", T.StringType()) for place in range(number)])
 
-#: A comma outside quotes: an even number of quotes follows it.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
+def _headers(spark: SparkSession, paths) -> DataFrame:
+    """``file`` and ``names``: the first line of each file that is not blank, as normalised names. Only beginnings of files are
+    parsed; the first of a file's lines in a task is the first of its first split."""
+    lines = _landed(spark, paths).text(paths).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+    place = F.monotonically_increasing_id()
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+    first = stored(first.groupBy("file").agg(F.min_by("value", "place").alias("line")))
+    # No more fields than commas.
+    commas = first.agg(F.max(F.length("line") - F.length(F.replace("line", F.lit(","), F.lit(""))))).first()[0] or 0
+    shape = _positions(commas + 1)
+    fields = F.from_csv("line", F.lit(shape.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), _CSV)
+    names = first.select("file", fields.alias("fields")).select("file", F.array(*[F.col(f"fields.{name}") for name in shape.names]).alias("names"))
+    plain = F.transform("names", lambda name: normalised(F.replace(name, F.lit("\ufeff"), F.lit(""))))
+    return names.select("file", plain.alias("names"))
 
-def _unquoted(value: Column) -> Column:
-    """A field without blanks around it, its quotes, and with doubled quotes as one."""
-    plain = F.trim(F.translate(value, "\r", ""))
-    return F.replace(F.trim(F.regexp_replace(plain, r'^"|"$', "")), F.lit('""'), F.lit('"'))
+
+def _landed(spark: SparkSession, paths):
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,txt}")
 
 
 def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int | None = None,
-                  ticker_of=ticker_of_file, with_file: bool = False) -> DataFrame:
+                  ticker_of=ticker_of_file, with_file: bool = False, quoted_breaks: bool = False) -> DataFrame:
     """A folder of one-ticker CSV/TXT files; the ticker is the file name unless ``ticker_of`` (from
     the path column) says otherwise.
 
-    Each file is read by its own header, so column order and spelling may differ between files; fields may
+    Each file is read by its own header, its first line, so column order and spelling may differ between files; fields may
     be quoted and hold commas then. Files without a date column give no rows, as do lines without a
-    readable date. Files are split like any text, so a single very long one is still read by many tasks.
-    ``with_file`` adds the path of each row's file.
+    readable date. Files are split like any text, so a single very long one is still read by many tasks; with
+    ``quoted_breaks`` quoted fields may hold line breaks, and a file is then read by one task.
+    ``with_file`` adds the path of each row's file. Runs a job that reads the headers and stores them, one row per file.
     """
-    pattern = "*.{csv,txt}"
     paths = path
     if limit_files is not None:
-        first = files_in(spark, path, pattern).select("path").orderBy("path").limit(limit_files)
+        first = files_in(spark, path, "*.{csv,txt}").select("path").orderBy("path").limit(limit_files)
         paths = [row.path for row in first.collect()]
         if not paths:
             raise FileNotFoundError(f"no CSV files below {path}")
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(paths)
-        .select(F.col("_metadata.file_path").alias("_file"), F.split("value", _COMMA).alias("_values"))
-    )
-    lines = lines.withColumn("_values", F.transform("_values", _unquoted))
-    names = F.transform("_values", normalised)
-    headers = lines.select("_file", names.alias("_names")).filter(_is_header(F.col("_names"))).groupBy("_file").agg(
-        F.first("_names").alias("_names")
-    )
+    headers = _headers(spark, paths)
+    number = headers.agg(F.max(F.size("names"))).first()[0] or 1
+    shape = _positions(number)
+    # The reader drops each file's header and takes the columns by their place.
+    rows = _landed(spark, paths).options(**_CSV, header="true", multiLine=str(quoted_breaks).lower()).schema(shape).csv(paths)
+    values = F.array(*[F.trim(name) for name in shape.names]).alias("values")
     # One header row per file; how it is joined is left to its measured size.
-    rows = lines.filter(~_is_header(names)).join(headers, "_file")
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), values).join(headers, "file")
 
     def field(name: str) -> Column:
-        place = F.array_position("_names", name)
-        return F.when(place > 0, F.get(F.col("_values"), (place - 1).cast("int")))
+        place = F.array_position("names", name)
+        return F.when(place > 0, F.get("values", (place - 1).cast("int")))
 
     date = field("date").try_cast("timestamp_ntz")
     numbers = [field(name).try_cast("double").alias(name) for name in ("open", "high", "low", "close", "volume")]
     return rows.select(
         date.alias("date"),
-        ticker_of(F.col("_file")).alias("ticker"),
+        ticker_of(F.col("file")).alias("ticker"),
         *numbers,
         F.lit(source).alias("source"),
         F.current_timestamp().alias("ingested_at"),
         field("open_interest").try_cast("double").alias("open_interest"),
-        *([F.col("_file").alias("file")] if with_file else []),
+        *(["file"] if with_file else []),
     ).filter(F.col("date").isNotNull())
 
 
@@ -167,15 +181,13 @@ def load_summary(spark: SparkSession, rows: DataFrame, raw_path: str, written_pa
     ``rows`` are the rows read from ``raw_path``, with their ``file``. Empty files count as skipped.
     """
     raw = files_in(spark, raw_path, "*.{csv,txt}")
-    # Spark's own listing, which stays in the JVM, also knows empty files, which a scan skips.
-    files = len(raw._jdf.inputFiles())
     per_file = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     written = files_in(spark, written_path, "*.parquet").agg(F.coalesce(F.sum("bytes"), F.lit(0))).scalar()
     converted = F.col("rows").isNotNull()
     raw_bytes = F.coalesce(F.sum(F.when(converted, F.col("bytes"))), F.lit(0))
     return raw.join(per_file, "file", "left").agg(
         F.count_if(converted).alias("converted"),
-        (F.lit(files) - F.count_if(converted)).cast("bigint").alias("skipped"),
+        F.count_if(~converted).alias("skipped"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
         raw_bytes.alias("raw_bytes"),
     ).withColumn("written_bytes", written).withColumn(

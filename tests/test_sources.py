@@ -54,6 +54,28 @@ def test_bulk_csv_first_files(spark, bulk):
     assert {row["ticker"] for row in rows_of(readers.read_bulk_csv(spark, bulk, "bulk", limit_files=1))} == {"AAPL.US"}
 
 
+def test_bulk_csv_odd_files(spark, tmp_path):
+    """Data that looks like a header is data; blank lines first, short and long lines, another order, a byte order mark."""
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n  \nDate,Close,Kind\n2020-01-03,1,date\n2020-01-04,2\n2020-01-05,3,x,y,z\n")
+    (folder / "b.csv").write_text("\ufeffClose,Date,A,B,C,D\n4,2020-01-03,,,,\ndate,date,date,date,date,date\n", encoding="utf-8")
+    rows = rows_of(readers.read_bulk_csv(spark, str(folder), "bulk"), "ticker", "date")
+    assert [(row["ticker"], row["date"].day, row["close"]) for row in rows] == [("A", 3, 1.0), ("A", 4, 2.0), ("A", 5, 3.0), ("B", 3, 4.0)]
+
+
+def test_bulk_csv_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Note,Date,Close\n"two\nlines, ""quoted""",2020-01-03,1\r\nplain,2020-01-04,2\r\n')
+    rows = rows_of(readers.read_bulk_csv(spark, str(tmp_path), "bulk", quoted_breaks=True), "date")
+    assert [(row["date"].day, row["close"]) for row in rows] == [(3, 1.0), (4, 2.0)]
+
+
+def test_files_in_lists_empty_files(spark, bulk, tmp_path):
+    (tmp_path / "bulk" / "odd name+%.csv").write_text("")
+    rows = {Path(row["path"]).name: row["bytes"] for row in rows_of(readers.files_in(spark, bulk, "*.{csv,txt}"))}
+    assert rows["empty.txt"] == 0 and rows["odd name+%.csv"] == 0 and rows["nodate.csv"] == 15 and len(rows) == 6
+
+
 def test_load_summary(spark, bulk, tmp_path):
     written = str(tmp_path / "bronze")
     writers.write_bronze_prices(readers.read_bulk_csv(spark, bulk, "bulk", with_file=True), written)
