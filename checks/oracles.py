@@ -4,6 +4,7 @@ Written for DuckDB. Rounding that must not depend on the last bits of a floating
 out by ``stable``. ``+ 0e0`` turns a negative zero into zero.
 """
 
+import re
 from textwrap import dedent
 
 ORACLES: dict[str, str] = {}
@@ -260,6 +261,10 @@ _cleaned("cleaned", rounded)
 _cleaned("cleaned_stable", stable)
 _staging("stg", "silver", rounded)
 _staging("stg_clean", "cleaned_stable", stable)
+#: The indicators over cleaned rows: the same steps, each on the one before.
+for _step, _base in (("stepped", "silver"), ("rolled", "stepped"), ("banded", "rolled"), ("gold", "banded")):
+    _from = "cleaned_stable" if _base == "silver" else _base + "_clean"
+    PARTS[_step + "_clean"] = ((_from,), re.sub(rf"FROM {_base}\b", f"FROM {_from}", PARTS[_step][1]))
 for _suffix in ("", "_clean"):
     _returns("returns" + _suffix, "stg" + _suffix)
     _movers("movers" + _suffix, "stg" + _suffix)
@@ -515,6 +520,16 @@ add(
     "returns",
 )
 
+add("movers_date", "SELECT max(price_date)::VARCHAR AS date FROM movers", "movers")
+add(
+    "display_movers",
+    """
+    SELECT ticker AS "Ticker", close_price AS "Price ($)", daily_return_pct AS "Return (%)" FROM movers
+    WHERE mover_type = 'top_gainer' ORDER BY daily_return_pct DESC, ticker
+    """,
+    "movers",
+)
+
 # --- sentiment ------------------------------------------------------------------
 _SCORES = "SELECT ticker, url, sentiment, sentiment_score, prob_positive, prob_negative, prob_neutral FROM scored_headlines"
 add("score_sentiment", _SCORES, "scored_headlines")
@@ -557,6 +572,16 @@ add(
     """,
     "scored_news",
 )
+add(
+    "sentiment_breakdown_quantiles",
+    """
+    SELECT sentiment, count(*) AS count, min(sentiment_score) AS minimum, round(quantile_cont(sentiment_score, 0.25), 6) AS q1,
+           round(quantile_cont(sentiment_score, 0.5), 6) AS median, round(quantile_cont(sentiment_score, 0.75), 6) AS q3,
+           max(sentiment_score) AS maximum
+    FROM scored_news WHERE ticker = 'T7' GROUP BY sentiment
+    """,
+    "scored_news",
+)
 add(
     "confidence_quantiles",
     """
@@ -572,6 +597,13 @@ _ARTICLES = """
     FROM scored_news {where} ORDER BY sentiment_score DESC, published_at, title, url LIMIT {n}
 """
 add("top_articles", _ARTICLES.format(where="", n=25), "scored_news")
+add(
+    "display_articles",
+    """
+    SELECT title AS "Title", sentiment AS "Sentiment", confidence AS "Confidence", source AS "Source", published_at AS "Published"
+    FROM (""" + _ARTICLES.format(where="", n=25) + ")",
+    "scored_news",
+)
 add(
     "newest_articles",
     """
@@ -636,6 +668,55 @@ add(
     "SELECT collection, id, text, ticker FROM filing_docs UNION ALL SELECT collection, id, text, ticker FROM news_docs",
     "filing_docs", "news_docs",
 )
+
+
+def _murmur(word: str) -> str:
+    """32-bit MurmurHash3 of a word's UTF-8 bytes with seed 42: blocks of four bytes, then the rest, then the last mix."""
+    mask = "4294967295::UBIGINT"
+
+    def turned(value, bits):
+        return f"(((({value}) << {bits}) | (({value}) >> {32 - bits})) & {mask})"
+
+    def mixed(block):
+        return f"(({turned(f'((({block}) * 3432918353::UBIGINT) & {mask})', 15)} * 461845907::UBIGINT) & {mask})"
+
+    def byte(place):
+        return f"((instr('0123456789ABCDEF', h[2 * ({place}) + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * ({place}) + 2]) - 1)::UBIGINT"
+
+    def block(start):
+        return " | ".join(f"({byte(f'{start} + {n}')} << {8 * n})" for n in range(4))
+
+    rest = " | ".join(f"(CASE WHEN n % 4 > {k} THEN {byte(f'n - n % 4 + {k}')} << {8 * k} ELSE 0::UBIGINT END)" for k in range(3))
+    return f"""
+        SELECT word, xor(f, f >> 16) & 255 AS place FROM (
+        SELECT word, (xor(e, e >> 13) * 3266489909::UBIGINT) & {mask} AS f FROM (
+        SELECT word, (xor(d, d >> 16) * 2246822507::UBIGINT) & {mask} AS e FROM (
+        SELECT word, xor(CASE WHEN n % 4 > 0 THEN xor(c, {mixed("r")}) ELSE c END, n::UBIGINT) AS d FROM (
+        SELECT word, n, {rest} AS r, list_reduce(list_prepend(42::UBIGINT, list_transform(range(0, n // 4), lambda i: {mixed(block("4 * i"))})),
+                                   lambda x, k: ({turned("xor(x, k)", 13)} * 5 + 3864292196::UBIGINT) & {mask}) AS c
+        FROM (SELECT word, hex(encode(word)) AS h, octet_length(encode(word)) AS n FROM ({word}))))))"""
+
+
+add(
+    "embed_documents",
+    f"""
+    WITH texts AS (SELECT doc_id, unnest(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+         counted AS (SELECT doc_id, word, count(*) AS n FROM texts WHERE word <> '' GROUP BY ALL),
+         hashed AS ({_murmur("SELECT DISTINCT word FROM counted")}),
+         sums AS (SELECT doc_id, place, sum(n)::DOUBLE AS n FROM counted JOIN hashed USING (word) GROUP BY ALL),
+         maps AS (SELECT doc_id, map(list(place), list(n)) AS m, sqrt(sum(n * n)) AS size FROM sums GROUP BY doc_id)
+    SELECT doc_id, list_transform(range(0, 256), lambda i: (coalesce(m[i::UBIGINT], 0e0) / coalesce(size, 1e0))::FLOAT) AS embedding
+    FROM documents LEFT JOIN maps USING (doc_id)
+    """,
+)
+add(
+    "model_embedder",
+    """
+    SELECT doc_id, [strlen(coalesce(text, '')), length(coalesce(text, '')) - length(replace(coalesce(text, ''), ' ', '')),
+                    length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))]::FLOAT[] AS embedding
+    FROM documents
+    """,
+)
 add("collection_sizes", "SELECT collection, count(*) AS documents FROM docs GROUP BY collection", "docs")
 _KNN = """
     SELECT q.vec_id AS question_id, d.collection, d.vec_id::VARCHAR AS id,
@@ -752,6 +833,23 @@ add(
         + ["SELECT 'no_such_table', 'healthy', NULL, 'PATH_NOT_FOUND'"]
     ),
 )
+add(
+    "health_broken",
+    """
+    SELECT 'good' AS dataset, 'healthy' AS status, count(*) AS rows, NULL::VARCHAR AS error FROM nation
+    UNION ALL SELECT 'mixed', 'healthy', count(*), 'UNREADABLE_FILES: 1' FROM region
+    UNION ALL SELECT 'text', 'healthy', NULL, 'UNREADABLE_FILES: 1'
+    UNION ALL SELECT 'gone', 'healthy', NULL, 'PATH_NOT_FOUND'
+    """,
+)
+add(
+    "missing_columns",
+    """
+    SELECT without, kind, CASE kind WHEN 'clean' THEN 0 ELSE (SELECT count(*) FROM raw_prices) END::BIGINT AS rows
+    FROM (SELECT unnest(['ticker', 'date', 'close']) AS without), (SELECT unnest(['clean', 'input']) AS kind)
+    """,
+    "raw_prices",
+)
 add("dataset_counts", "SELECT count(*) AS rows, count(DISTINCT ticker) AS keys FROM raw_prices", "raw_prices")
 add("date_span", "SELECT min(date)::DATE AS min_date, max(date)::DATE AS max_date FROM raw_prices", "raw_prices")
 add(
@@ -891,6 +989,14 @@ add(
 )
 add("blank_nulls", "SELECT url, coalesce(title, '') AS title, coalesce(description, '') AS description FROM headlines", "headlines")
 add("refresh_returns", "SELECT * FROM returns_clean", "returns_clean")
+add("incremental_silver", "SELECT * FROM cleaned_stable", "cleaned_stable")
+add("incremental_returns", "SELECT * FROM returns_clean", "returns_clean")
+add(
+    "incremental_gold",
+    "SELECT ticker, date, close, rsi_14, macd_line, macd_signal, bb_middle, bb_upper, vwap, sma_50, sma_200, ma_signal, vwap_signal FROM gold_clean",
+    "gold_clean",
+)
+add("bucketed_table", "SELECT ticker, date, close, rsi_14 FROM gold", "gold")
 add("refresh_movers", "SELECT * FROM movers_clean", "movers_clean")
 add(
     "refresh_checks",

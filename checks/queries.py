@@ -1,5 +1,7 @@
 """One runnable query per operator, over the given tables. ``QUERIES[name](spark, sf_dir)``."""
 
+import uuid
+
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from marketspark.operators import ranking as rk
 from marketspark.operators import retrieval as rt
 from marketspark.operators import sentiment as sm
 from marketspark.operators import windows as wn
-from marketspark.plans import clean, marts, refresh, reports
+from marketspark.plans import clean, incremental, marts, refresh, reports
 from marketspark.plans.indicators import add_indicators
 from marketspark.plans.indicators import latest_indicators as latest
 from marketspark.sources import readers, scratch, writers
@@ -283,6 +285,11 @@ def top_losers(spark, sf):
     return reports.top_movers(marts.mart_top_movers(stg(spark, sf))).losers
 
 
+@query
+def movers_date(spark, sf):
+    return reports.top_movers(marts.mart_top_movers(stg(spark, sf))).date
+
+
 @query
 def performance(spark, sf):
     return reports.performance(ag.daily_return_stats(stg(spark, sf), stable))
@@ -293,6 +300,16 @@ def display_names(spark, sf):
     return pj.display_names(reports.performance(ag.daily_return_stats(stg(spark, sf), stable)), "performance")
 
 
+@query
+def display_movers(spark, sf):
+    return pj.display_names(reports.top_movers(marts.mart_top_movers(stg(spark, sf))).gainers, "movers")
+
+
+@query
+def display_articles(spark, sf):
+    return pj.display_names(rk.top_articles(fx.scored_news(spark, sf), limit=25, rounding=stable), "articles")
+
+
 # --- sentiment ------------------------------------------------------------------
 
 
@@ -388,6 +405,21 @@ def sentiment_breakdown_mean(spark, sf):
     return reports.sentiment_breakdown(fx.scored_news(spark, sf), "T7", stable).mean
 
 
+@query
+def sentiment_breakdown_quantiles(spark, sf):
+    return reports.sentiment_breakdown(fx.scored_news(spark, sf), "T7", stable).quantiles
+
+
+@query
+def missing_columns(spark, sf):
+    """Batches without a required column give an empty clean table; their statistics only know their size."""
+    raw = fx.raw_prices(spark, sf)
+    batches = {name: raw.drop(name) for name in ("ticker", "date", "close", "volume")}
+    rows = [clean.clean_prices(batch, "feed", fx.ARRIVAL if name != "close" else ("a1",)).agg(F.lit(name).alias("without"), F.count(F.lit(1)).alias("rows")) for name, batch in batches.items() if name != "volume"]
+    sizes = [clean.clean_stats(batch, name, ("a1",)).select(F.col("source").alias("without"), F.col("input_rows").alias("rows")) for name, batch in batches.items() if name != "volume"]
+    return cb.union_sources(*[frame.withColumn("kind", F.lit(kind)) for kind, frames in (("clean", rows), ("input", sizes)) for frame in frames])
+
+
 # --- documents and retrieval ----------------------------------------------------
 
 
@@ -424,6 +456,17 @@ def collection_sizes(spark, sf):
     return rt.collection_sizes(documents)
 
 
+@query
+def model_embedder(spark, sf):
+    """The vectors of a Python model: bytes, words and lines of whole texts."""
+
+    def load():
+        return lambda texts: [[float(len(text.encode())), float(text.count(" ")), float(text.count("\n"))] for text in texts]
+
+    documents = fx.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rt.embed(documents, embedder=rt.model_embedder(load)).select("doc_id", "embedding")
+
+
 @query
 def embed_documents(spark, sf):
     """Default embedder over whole texts."""
@@ -544,6 +587,17 @@ def dataset_health(spark, sf):
     return q.dataset_health(spark, {name: f"{sf}/{name}.parquet" for name in names})
 
 
+@query
+def health_broken(spark, sf):
+    """A dataset with broken files beside good ones: text and nothing at all where Parquet should be."""
+    folder = scratch.new_folder(spark)
+    fx.table(spark, sf, "nation").write.parquet(f"{folder}/good")
+    fx.table(spark, sf, "region").select(F.col("r_name").alias("value")).coalesce(1).write.text(f"{folder}/text")
+    fx.table(spark, sf, "region").repartition(2, "r_regionkey").write.parquet(f"{folder}/mixed/a")
+    fx.table(spark, sf, "region").select(F.concat_ws(" ", F.array_sort(F.collect_list("r_name"))).alias("value")).coalesce(1).write.text(f"{folder}/mixed/b")
+    return q.dataset_health(spark, {name: f"{folder}/{name}" for name in ("good", "text", "mixed", "gone")})
+
+
 @query
 def dataset_counts(spark, sf):
     return ag.dataset_counts(fx.raw_prices(spark, sf), "ticker")
@@ -860,6 +914,45 @@ def staging_view(spark, sf):
     return writers.materialize(stg(spark, sf), "stg_prices_view", "view")
 
 
+@query
+def bucketed_table(spark, sf):
+    """RSI read from a stored table in buckets by ticker."""
+    name = f"bars_{uuid.uuid4().hex}"
+    bars = writers.materialize(fx.bars(spark, sf), name, "table", ("ticker",), 8, ("ticker", "date"), scratch.new_folder(spark))
+    return ind.rsi(bars, rounding=stable).select(*BAR, "close", "rsi_14")
+
+
+def _landed_in_parts(spark, sf):
+    """All bars but the last day's, the last day, and then again some of an earlier year, as corrections land late."""
+    raw = fx.raw_prices(spark, sf)
+    last = raw.agg(F.max("date")).scalar()
+    late = F.year("date") == 1997
+    lake = incremental.Lake(spark, scratch.new_folder(spark), "feed", fx.ARRIVAL, stable)
+    lake.refresh(raw.filter(F.coalesce(F.col("date") < last, F.lit(True)) & ~(F.coalesce(late, F.lit(False)) & (F.col("a1") % 5 == 0))))
+    lake.refresh(raw.filter(F.col("date") == last))
+    lake.refresh(raw.filter(late & (F.col("a1") % 5 == 0)))
+    return lake
+
+
+@query
+def incremental_silver(spark, sf):
+    """Silver after three landings; the same as from all rows at once."""
+    return _landed_in_parts(spark, sf).read("silver").drop("a1", "a2", "a3", "silver_processed_at", "year")
+
+
+@query
+def incremental_returns(spark, sf):
+    """The returns mart over it."""
+    return marts.mart_daily_returns(pj.stg_prices(_landed_in_parts(spark, sf).read("silver"), stable), stable)
+
+
+@query
+def incremental_gold(spark, sf):
+    """Indicators after three landings."""
+    gold = _landed_in_parts(spark, sf).read("gold")
+    return gold.select(*BAR, "close", "rsi_14", "macd_line", "macd_signal", "bb_middle", "bb_upper", "vwap", "sma_50", "sma_200", "ma_signal", "vwap_signal")
+
+
 def _refresh(spark, sf):
     raw = fx.raw_prices(spark, sf)
     return refresh.refresh({"feed": raw}, scratch.new_folder(spark), order=fx.ARRIVAL, rounding=stable)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from .aggregates import duplicates
+from ..sources.readers import files_in
 from .combine import union_sources
 
 
@@ -107,17 +108,64 @@ def test_summary(failing: DataFrame) -> DataFrame:
     )
 
 
+def _readable(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``rows`` of every Parquet file below a path whose footer can be read. Tasks read all footers."""
+    options = {"ignoreCorruptFiles": "true", "mergeSchema": "true", "recursiveFileLookup": "true"}
+    return spark.read.options(**options).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path``, ``bytes`` and ``error`` of every file below a path that is not readable Parquet.
+
+    Files with rows that Spark can read are fine; only the others are opened again, by tasks that parse their footer, to tell
+    those without rows from broken ones. Empty files are broken.
+    """
+    def probe(batches):
+        import io
+
+        import pandas as pd
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for name, size, content in zip(batch["path"], batch["bytes"], batch["content"], strict=True):
+                try:
+                    pq.read_metadata(io.BytesIO(content or b""))
+                except Exception as problem:
+                    found.append((name, size, f"{type(problem).__name__}: {problem}".splitlines()[0]))
+            yield pd.DataFrame(found, columns=["path", "bytes", "error"])
+
+    files = files_in(spark, path)
+    plain = F.regexp_replace("file", "^([^:/]+):/+", "$1:/").alias("plain")
+    suspects = files.select("path", "bytes", plain)
+    try:
+        suspects = suspects.join(_readable(spark, path).select(plain), "plain", "left_anti")
+    except AnalysisException as problem:
+        # Not one footer tells a schema.
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            raise
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("at"), "content")
+    opened = suspects.join(contents, F.col("path") == F.col("at"), "left").select("path", "bytes", "content")
+    return opened.mapInPandas(probe, "path string, bytes bigint, error string")
+
+
 def dataset_health(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Row count of each dataset, or the reason why it cannot be read. The status is always healthy."""
+    """Row count of each dataset, or the reason why it cannot be read. The status is always healthy. A dataset with broken files
+    has the rows of the others and the number of broken ones as its error; ``unreadable_files`` names them."""
 
     def one(name, path):
         shape = [F.lit(name).alias("dataset"), F.lit("healthy").alias("status")]
         try:
-            count = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+            broken = unreadable_files(spark, path).agg(F.count(F.lit(1)).alias("broken"))
+            try:
+                count = _readable(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+            except AnalysisException:
+                count = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
         except AnalysisException as problem:
             reason = problem.getCondition() or "UNREADABLE"
             return spark.range(1).select(*shape, F.lit(None).cast("bigint").alias("rows"), F.lit(reason).alias("error"))
-        return count.select(*shape, "rows", F.lit(None).cast("string").alias("error"))
+        error = F.when(F.col("broken") > 0, F.concat(F.lit("UNREADABLE_FILES: "), F.col("broken").cast("string")))
+        return count.join(broken).select(*shape, "rows", error.alias("error"))
 
     return union_sources(*[one(name, path) for name, path in paths.items()])
 

@@ -42,16 +42,21 @@ def survivors(df: DataFrame, order=("ingested_at",)) -> DataFrame:
 
 
 def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=half_up, audit=True,
-                 max_rows: int | None = None) -> DataFrame:
+                 max_rows: int | None = None, previous: DataFrame | None = None) -> DataFrame:
     """Cast, drop bad rows, de-duplicate (last to arrive wins), validate, enrich, tag with the source.
 
-    A batch without date, ticker or close gives an empty result of the full shape.
+    A batch without date, ticker or close gives an empty result of the full shape. ``previous``: the clean bar before the
+    batch of each ticker, whose close the first return needs.
     """
     if fl.missing_columns(df, KEYS):
         df, order = _empty(df), ()
     valid, _ = fl.apply_rules(survivors(df, order))
     added = {"silver_processed_at": None, "data_source": source} if audit else {"data_source": source}
-    return with_audit(enrich(valid, rounding, max_rows), **added)
+    if previous is None:
+        return with_audit(enrich(valid, rounding, max_rows), **added)
+    earlier = previous.select(*[name for name in valid.columns if name in previous.columns], F.lit(True).alias("_earlier"))
+    both = valid.withColumn("_earlier", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
+    return with_audit(enrich(both, rounding, max_rows).filter(~F.col("_earlier")).drop("_earlier"), **added)
 
 
 def rejects(df: DataFrame, order=("ingested_at",)) -> DataFrame:

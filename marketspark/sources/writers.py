@@ -61,12 +61,23 @@ def write_csv_summary(df: DataFrame, path: str, order=()) -> None:
     (one.sortWithinPartitions(*order) if order else one).write.mode("overwrite").option("header", True).csv(path)
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """``view`` registers the plan under a name; ``table`` runs it and stores the rows."""
+def materialize(df: DataFrame, name: str, kind: str = "view", bucket_by=(), buckets: int = 64, sort_by=(), path: str | None = None) -> DataFrame:
+    """``view`` registers the plan under a name; ``table`` runs it and stores the rows, at ``path`` if one is given.
+
+    With ``bucket_by`` the table is stored in ``buckets`` files by the hash of these columns, each in the order of ``sort_by``: windows,
+    aggregates and joins by them read it without a shuffle and, with
+    ``spark.sql.legacy.bucketedTableScan.outputOrdering``, without a sort. All rows of one key are in one file.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        if bucket_by:
+            writer = df.repartition(buckets, *bucket_by).write.bucketBy(buckets, *bucket_by).sortBy(*(sort_by or bucket_by))
+        else:
+            writer = df.write
+        if path is not None:
+            writer = writer.option("path", path)
+        writer.mode("overwrite").saveAsTable(name)
     else:
         raise ValueError(f"unknown kind: {kind}")
     return df.sparkSession.table(name)
