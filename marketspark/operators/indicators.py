@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import ma_signal, vwap_signal
 from ..functions.numeric import half_up, safe_div
+from .projections import unused
 from .windows import series, trailing
 
 
@@ -26,7 +27,13 @@ class Indicator:
 def stack(df: DataFrame, *indicators: Indicator) -> DataFrame:
     rolling = {name: column for one in indicators for name, column in one.rolling.items()}
     chained = {name: column for one in indicators for name, column in one.chained.items()}
-    kept = df.columns + [name for one in indicators for step in one.results for name in step]
+    kept = [F.col(name) for name in df.columns] + [F.col(name) for one in indicators for step in one.results for name in step]
+    clashing = [name for name in df.columns if name in rolling or name in chained]
+    if clashing:
+        # The caller's own columns of these names wait in a struct.
+        aside = unused(df, "_aside")
+        kept = [F.col(f"{aside}.{name}").alias(name) if name in clashing else column for name, column in zip(df.columns, kept)] + kept[len(df.columns) :]
+        df = df.withColumn(aside, F.struct(*clashing)).drop(*clashing)
     df = df.withColumns(rolling)
     if chained:
         df = df.withColumns(chained)

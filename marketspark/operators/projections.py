@@ -10,6 +10,14 @@ from ..functions import text as tx
 from ..functions.numeric import half_up, to_number, to_whole
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to be none of the frame's columns."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def normalise_name(name: str, aliases=None) -> str:
     plain = re.sub(r"\s", "_", name.strip().lower())
     return (fv.HEADER_ALIASES if aliases is None else aliases).get(plain, plain)

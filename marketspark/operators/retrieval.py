@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.text import filing_text, news_text
-from .projections import with_doc_id, with_meta
+from .projections import unused, with_doc_id, with_meta
 from .combine import union_sources
 from .pivots import nearest_rings
 from .windows import dedup_last
@@ -32,10 +32,11 @@ def hashing_embedder(dimensions: int = 256) -> Embedder:
         from pyspark.ml.functions import vector_to_array
 
         tokens = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
-        df = df.withColumn("_tokens", F.array_remove(tokens, ""))
-        df = HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=dimensions).transform(df)
-        df = Normalizer(inputCol="_counts", outputCol="_unit").transform(df)
-        return df.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_tokens", "_counts", "_unit")
+        words, counts, unit = (unused(df, name) for name in ("_words", "_counts", "_unit"))
+        df = df.withColumn(words, F.array_remove(tokens, ""))
+        df = HashingTF(inputCol=words, outputCol=counts, numFeatures=dimensions).transform(df)
+        df = Normalizer(inputCol=counts, outputCol=unit).transform(df)
+        return df.withColumn("embedding", vector_to_array(unit, "float32")).drop(words, counts, unit)
 
     return embed_column
 

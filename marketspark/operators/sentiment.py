@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.numeric import half_up
 from ..functions.text import count_words, words
+from .projections import unused
 
 Scorer = Callable[[Column], Column]
 
@@ -77,8 +78,9 @@ def score_sentiment(df: DataFrame, text: str = "title", scorer: Scorer | None =
 
     The label is the most probable class, the first of (positive, negative, neutral) on a tie.
     """
-    scored = df.withColumn("_p", (scorer or word_list_scorer())(F.col(text)))
-    share = {label: F.col(f"_p.{label}") for label in fv.SENTIMENT_LABELS}
+    shares = unused(df, "_shares")
+    scored = df.withColumn(shares, (scorer or word_list_scorer())(F.col(text)))
+    share = {label: F.col(f"{shares}.{label}") for label in fv.SENTIMENT_LABELS}
     best = F.greatest(*share.values())
     first_best = F.coalesce(*[F.when(value == best, F.lit(label)) for label, value in share.items()])
     return scored.withColumns(
@@ -87,4 +89,4 @@ def score_sentiment(df: DataFrame, text: str = "title", scorer: Scorer | None =
             "sentiment_score": rounding(best, 4),
             **{f"prob_{label}": rounding(value, 4) for label, value in share.items()},
         }
-    ).drop("_p")
+    ).drop(shares)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numeric import half_up, safe_div
+from .projections import unused
 from .ranges import ranged
 
 #: Rows that a range of long series holds at least, so that short runs do not make tiny tasks.
@@ -26,16 +27,17 @@ def prev_close(df: DataFrame, n: int = 1, by=("ticker",)) -> DataFrame:
 
 def daily_return(df: DataFrame, by=("ticker",), rounding=half_up) -> DataFrame:
     """Change against the previous bar; null on the first bar of a series."""
-    change = safe_div(F.col("close"), F.col("_previous")) - 1
-    with_previous = df.withColumn("_previous", F.lag("close").over(series(by)))
-    return with_previous.withColumn("daily_return", rounding(change, 6)).drop("_previous")
+    previous = unused(df, "_previous")
+    change = safe_div(F.col("close"), F.col(previous)) - 1
+    with_previous = df.withColumn(previous, F.lag("close").over(series(by)))
+    return with_previous.withColumn("daily_return", rounding(change, 6)).drop(previous)
 
 
 def _first_rows(df: DataFrame, by, order, n: int) -> DataFrame:
     # Spark keeps at most n rows per key in every task before the shuffle (WindowGroupLimit), so a
     # key that holds a large share of all rows does not end up whole in one task.
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    place, name = F.row_number().over(Window.partitionBy(*by).orderBy(*order)), unused(df, "_place")
+    return df.withColumn(name, place).filter(F.col(name) <= n).drop(name)
 
 
 def newest_first(order, columns) -> list[Column]:

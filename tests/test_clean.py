@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from marketspark.operators import filters as fl
+from marketspark.operators import indicators as ind
 from marketspark.operators import projections as pj
+from marketspark.operators import retrieval as rt
+from marketspark.operators import sentiment as sm
+from marketspark.operators import windows as wn
 from marketspark.plans import clean
 
 DAY = datetime(2024, 1, 2)
@@ -149,3 +153,18 @@ def test_many_copies_of_one_bar(spark):
     assert plan.count("WindowGroupLimit") == 2
     (stats,) = rows_of(clean.clean_stats(rows, "feed"))
     assert stats["input_rows"] - stats["dropped_dupes"] == stats["output_rows"] == cleaned.count()
+
+
+def test_columns_of_the_caller_stay(spark, make_bars):
+    """Columns with the names that the library works with go through unchanged."""
+    names = ["_previous", "_place", "_p", "_shares", "_tokens", "_words", "_counts", "_unit", "_gain", "_loss", "_mean", "_aside", "_volume"]
+    bars = make_bars({"A": [1.0, 2.0, 4.0], "B": [3.0, 3.0]}).withColumns({name: F.concat(F.lit(name), "ticker") for name in names})
+    texts = bars.withColumn("text", F.lit("profit rises"))
+    for found in (
+        wn.daily_return(bars), wn.dedup_last(bars, ("ticker", "date"), ("volume",)), wn.latest_n(bars, 5), ind.rsi(bars),
+        ind.bollinger(bars), sm.score_sentiment(texts, "text"), rt.embed(texts),
+    ):
+        assert found.select(*bars.columns).exceptAll(bars).isEmpty() and found.count() == 5
+        plain = found.select([column for column in found.columns if column not in bars.columns])
+        assert not [column for column in plain.columns if column.startswith("_")]
+    assert ind.rsi(bars).drop(*names).exceptAll(ind.rsi(bars.drop(*names))).isEmpty()
