@@ -82,13 +82,16 @@ def written(unit: str) -> str:
 
 
 class Remembered(dict):
-    """Unit to value; a missing one is taken from the previous generation or made."""
+    """Unit to value; a missing one is taken from the previous generation or made. A key longer than ``longest`` is made each
+    time, so that the bytes remembered are bounded too."""
 
-    def __init__(self, make, limit: int = LIMIT):
+    def __init__(self, make, limit: int = LIMIT, longest: int | None = None):
         super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
+        self.make, self.limit, self.older, self.longest = make, limit, {}, longest
 
     def __missing__(self, key):
+        if self.longest is not None and len(key) > self.longest:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
@@ -102,10 +105,10 @@ class Remembered(dict):
 class Pieces:
     """Ids of whole texts, given a function from one piece to its ids as bytes."""
 
-    def __init__(self, encode_piece, limit: int = LIMIT):
+    def __init__(self, encode_piece, limit: int = LIMIT, pieces: int | None = None, longest: int | None = None):
         self.encode_piece = encode_piece
-        self.of_piece = Remembered(encode_piece, limit)
-        self.of_unit = Remembered(self._unit, limit)
+        self.of_piece = Remembered(encode_piece, pieces or limit, longest)
+        self.of_unit = Remembered(self._unit, limit, longest)
 
     def _unit(self, unit: str) -> bytes:
         if unit.isalpha():

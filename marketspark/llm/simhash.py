@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm.components import components
+from marketspark.operators.projections import unused
 from marketspark.sources.scratch import stored
 
 SHINGLE = 3
@@ -136,9 +137,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
 def first_of_groups(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near-duplicates: the one with the smallest id, of several with this id the one with
     the smallest hash of the whole row. Rows of other groups stay, also under the same id; rows without an id stay."""
-    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    place = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_row")).alias("place")
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64(*docs.columns))
+    place = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", row)).alias("place")
     found = near_duplicates(keyed.select(place, "text"), size, max_bits, id_column="place")
-    kept = stored(found.where("place = component_id").select("place.doc_id", "place._row").distinct())
-    named = keyed.join(kept, ["doc_id", "_row"], "left_semi").dropDuplicates(["doc_id", "_row"])
+    kept = stored(found.where("place = component_id").select("place.doc_id", f"place.{row}").distinct())
+    named = keyed.join(kept, ["doc_id", row], "left_semi").dropDuplicates(["doc_id", row])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from marketspark.llm import bloom
 from marketspark.llm.fm_index import Index
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import _BASE, _INVERSE, Words, _power, mix, row_key, slices, text_bytes
+from marketspark.llm.words import _BASE, _INVERSE, Words, _power, mix, releasing, row_key, slices, text_bytes
+from marketspark.operators.projections import unused
 from marketspark.sources.scratch import stored
 
 WINDOW = 13
@@ -292,6 +293,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns[chars] = pa.array([None if x is None else len(x) for x in texts], pa.int64()).cast(columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    spans = repeated_windows(_texts(docs)).hint("shuffle_hash").withColumnRenamed("row", "_row").withColumnRenamed("spans", "_spans")
-    joined = docs.withColumn("_key", row_key("doc_id", "text")).join(spans, F.col("_key") == F.col("_row"), "left").drop("_key", "_row")
-    return joined.mapInArrow(run, docs.schema)
+    key, spans = unused(docs, "_key"), unused(docs, "_spans")
+    found = repeated_windows(_texts(docs)).select(F.col("row").alias(key), F.col("spans").alias(spans)).hint("shuffle_hash")
+    joined = docs.withColumn(key, row_key("doc_id", "text")).join(found, key, "left").select(*docs.columns, spans)
+    return joined.mapInArrow(releasing(run), docs.schema)

@@ -23,6 +23,10 @@ from tokenizers import Tokenizer
 from marketspark.llm.bpe import VOCABULARY, read_vocabulary
 from marketspark.llm.pieces import Pieces, alphabet
 
+#: Units and pieces that a worker remembers, in characters of at most ``LONGEST`` each: a corpus has many more units than pieces.
+UNITS = 500_000
+PIECES = 20_000
+LONGEST = 64
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 #: How the files are written: version 2 pages, so that numbers without a dictionary are delta encoded.
 LAYOUT = {
@@ -47,7 +51,7 @@ class Encoder:
         self.library.no_padding()
         self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
         self.letters = str.maketrans({chr(byte): letter for byte, letter in enumerate(alphabet())})
-        self.pieces = Pieces(self._piece)
+        self.pieces = Pieces(self._piece, UNITS, PIECES, LONGEST)
 
     def _piece(self, piece: str) -> bytes:
         """By the library's model, which takes the bytes in the vocabulary's own letters."""

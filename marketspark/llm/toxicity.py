@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm import training
-from marketspark.llm.words import Words, slices, text_bytes
+from marketspark.llm.words import Words, releasing, slices, text_bytes
 
 TABLE = 1 << 18
 DIMENSIONS = 8
@@ -72,7 +72,7 @@ class Network:
         fewer words than the filter is wide is followed by empty words."""
         padded = np.maximum(sizes, width) * (sizes > 0)
         begins = np.cumsum(padded) - padded
-        rows = np.zeros((int(padded.sum()) + width - 1, DIMENSIONS), dtype=np.float32)
+        rows = np.zeros((max(int(padded.sum()), 1) + width - 1, DIMENSIONS), dtype=np.float32)
         at = np.arange(len(embedded)) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
         rows[at] = embedded
         windows = np.lib.stride_tricks.sliding_window_view(rows.reshape(-1), width * DIMENSIONS)[::DIMENSIONS]
@@ -282,4 +282,4 @@ def without_toxic(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
             scores, thresholds = scorer(texts, batch.column(lang).to_pylist())
             yield batch.filter(pa.array(scores < thresholds))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

@@ -5,6 +5,9 @@ other than those. Hashes are polynomials modulo 2**64 with an avalanche step; eq
 different words collide with a chance of about 2**-64.
 """
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,20 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def releasing(run):
+    """The map, which gives its worker's free memory back to the system when a task ends: an idle worker keeps it otherwise."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _powers.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers in which every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(32))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from llm_fixtures import no_docs, odd_docs, odd_rows, passage  # noqa: F401
 
-from marketspark.llm import centroids, prefix_trie, repeated_bytes
+from marketspark.llm import centroids, prefix_trie, repeated_bytes, simhash, substrings
 from marketspark.llm.interval_expansion import repeated, sorted_suffixes
 
 LENGTH = repeated_bytes.LENGTH
@@ -254,3 +254,44 @@ def test_repeated_turns_and_negative_ids(spark):
 
 def test_no_conversation(spark):
     assert prefix_trie.prefix_trie(talk_frame(spark, [])).isEmpty()
+
+
+# --- callers' columns and odd tables through the pipeline ---------------------------
+
+
+def clashing(spark):
+    near = passage(2, 200)
+    rows = [(1, near, "en", "a", 1), (2, near, "en", "a", 1), (3, passage(9, 60) + " " + passage(1, 40), "fr", "b", 1), (4, passage(8, 60) + " " + passage(1, 40), None, None, 1), (None, None, None, "a", None), (5, "", "en", "b", 0)]
+    names = ["_row", "_key", "_spans", "row", "key", "spans", "place", "hash", "anchor"]
+    return spark.createDataFrame([(*row, *names) for row in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{name}` string" for name in names)), names
+
+
+def test_working_names_are_the_callers(spark):
+    docs, names = clashing(spark)
+    for found in (simhash.first_of_groups(docs), substrings.without_repeats(docs)):
+        assert found.columns == docs.columns
+        assert {tuple(row) for row in found.select(*names).collect()} == {tuple(names)}
+    assert sorted(row["doc_id"] for row in simhash.first_of_groups(docs).where("doc_id IS NOT NULL").collect()) == [1, 3, 4, 5]
+    assert substrings.without_repeats(docs).where("doc_id = 4").first()["text"].count(" ") < 99
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_over_odd_documents(spark, tmp_path, empty):
+    import corpus_pipeline
+
+    docs, _ = clashing(spark)
+    (docs.limit(0) if empty else docs).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (3, 1, 1), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() == 0 if empty else found.where("NOT round_trip").isEmpty()
+
+
+def test_long_units_are_not_remembered():
+    from marketspark.llm.pieces import Pieces
+
+    asked = []
+    pieces = Pieces(lambda piece: asked.append(piece) or b"", 4, 2, 10)
+    for _ in range(2):
+        pieces.encode("x" * 50 + " short")
+    assert sum(len(piece) > 10 for piece in asked) == 2 and sum(piece == " short" for piece in asked) == 1
+    assert all(len(key) <= 10 for key in (*pieces.of_unit, *pieces.of_piece))
