@@ -1,7 +1,9 @@
 """Near-duplicate vectors by a subspace pigeonhole join.
 
 Vectors of unit length have a cosine of at least t exactly if their squared distance is at most 2 - 2t. All are
-turned by the same random rotation and cut into blocks of a few dimensions. If two vectors are that close,
+turned by the same rotation and cut into blocks of a few dimensions. The rotation is fitted on a sample of about
+``SAMPLE`` vectors: its axes are the sample's principal axes, dealt to the blocks in turn, so that every block starts
+with a wide one. It bears on the work only; any rotation gives the same links. If two vectors are that close,
 then in some block their squared distance is at most the block's share of the budget, in proportion to its
 dimensions. So every block is joined on its own by range: its first coordinate is cut into slabs as wide as
 the block's radius, only neighbouring slabs meet, and inside them distances in the block are compared. The
@@ -19,7 +21,6 @@ of different length. Repeated rows are vectors of their own with their own links
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ from marketspark.sources.scratch import stored
 THRESHOLD = 0.9
 BLOCKS = 4
 #: Rows of one side of a group.
-CHUNK = 8192
+CHUNK = 16384
+#: Vectors that the rotation is fitted on.
+SAMPLE = 4096
 #: Added to squared distances of candidates, so that rounding loses none.
 SLACK = 1e-5
 SEED = 20
@@ -42,21 +45,24 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Scaled by the largest component first, so that squares neither overflow nor vanish."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
+
+
 class Blocks:
-    """The rotation and the blocks for vectors of one length."""
+    """The rotation and the blocks for vectors of one length. Without a rotation for the length it is a random one."""
 
-    def __init__(self, size: int, threshold: float, blocks: int):
-        turn = np.random.default_rng(SEED + size).standard_normal((size, size))
-        self.rotation = np.linalg.qr(turn)[0]
+    def __init__(self, size: int, threshold: float, blocks: int, rotations: dict[int, np.ndarray] | None = None):
+        self.rotation = (rotations or {}).get(size)
+        if self.rotation is None:
+            turn = np.random.default_rng(SEED + size).standard_normal((size, size))
+            self.rotation = np.linalg.qr(turn)[0]
         self.parts = [part for part in np.array_split(np.arange(size), min(blocks, size)) if len(part)]
         self.budgets = [(2 - 2 * threshold) * len(part) / size for part in self.parts]
         self.widths = [max(np.sqrt(budget + SLACK), 1e-3) + 1e-6 for budget in self.budgets]
 
-    def unit(self, vectors: np.ndarray) -> np.ndarray:
-        """Scaled by the largest component first, so that squares neither overflow nor vanish."""
-        vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-        return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
-
     def rotated(self, units: np.ndarray) -> np.ndarray:
         return units @ self.rotation
 
@@ -75,14 +81,30 @@ def _by_size(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.Recor
         yield int(size), batch.filter(pa.array(sizes == size)) if (sizes != size).any() else batch
 
 
-def slab_counts(classes: DataFrame, threshold: float, blocks: int) -> dict[tuple[int, int, int], int]:
+def principal_axes(classes: DataFrame, blocks: int) -> dict[int, np.ndarray]:
+    """By vector length, a rotation whose columns are principal axes, the widest ones first in their blocks. Fitted on the
+    classes whose ``node``, a hash, is in a range that holds about ``SAMPLE`` of them."""
+    share = min(1.0, SAMPLE / max(1, classes.count()))
+    sample = classes.where(F.col("node") <= int(-(2.0**63) + share * 2.0**64) - 1 if share < 1 else F.lit(True)).select("vector").toArrow()
+    rotations = {}
+    for batch in sample.to_batches():
+        for size, rows in _by_size(batch, "vector"):
+            units = unit(_matrix(rows.column("vector"), size))
+            rotations[size] = rotations.get(size, 0) + units.T @ units
+    for size, moments in rotations.items():
+        axes = np.linalg.eigh(moments)[1][:, ::-1]
+        rotations[size] = np.concatenate([axes[:, block::blocks] for block in range(min(blocks, size))], axis=1)
+    return rotations
+
+
+def slab_counts(classes: DataFrame, threshold: float, blocks: int, rotations: dict[int, np.ndarray]) -> dict[tuple[int, int, int], int]:
     """Rows by vector length, block and slab. A block has at most 2 / width slabs, whatever the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for size, rows in _by_size(batch, "vector"):
-                cut = Blocks(size, threshold, blocks)
-                slabs = cut.slabs(cut.rotated(cut.unit(_matrix(rows.column("vector"), size))))
+                cut = Blocks(size, threshold, blocks, rotations)
+                slabs = cut.slabs(cut.rotated(unit(_matrix(rows.column("vector"), size))))
                 for block in range(slabs.shape[1]):
                     found, counts = np.unique(slabs[:, block], return_counts=True)
                     yield pa.RecordBatch.from_pydict({"size": np.full(len(found), size), "block": np.full(len(found), block), "slab": found, "n": counts})
@@ -94,7 +116,8 @@ def slab_counts(classes: DataFrame, threshold: float, blocks: int) -> dict[tuple
 def linked(classes: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
     """For classes (``node`` long, ``vector``, ``n`` rows): rows ``a, b, rows``. With ``b`` null, the node a has
     ``rows`` more rows linked to it; else a and b are linked, and such rows connect all that links connect."""
-    counts = slab_counts(classes, threshold, blocks)
+    rotations = principal_axes(classes, blocks)
+    counts = slab_counts(classes, threshold, blocks, rotations)
     chunks = {key: -(-n // chunk) for key, n in counts.items()}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,8 +125,8 @@ def linked(classes: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCK
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 for size, rows in _by_size(batch.slice(start, 2048), "vector"):
-                    cut = Blocks(size, threshold, blocks)
-                    slabs = cut.slabs(cut.rotated(cut.unit(_matrix(rows.column("vector"), size))))
+                    cut = Blocks(size, threshold, blocks, rotations)
+                    slabs = cut.slabs(cut.rotated(unit(_matrix(rows.column("vector"), size))))
                     nodes = rows.column("node").to_numpy()
                     for block in range(slabs.shape[1]):
                         for slab in np.unique(slabs[:, block]):
@@ -132,37 +155,42 @@ def linked(classes: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCK
         deal, f"size long, block long, slab long, next long, low long, high long, side int, node long, n long, vector {kind}"
     )
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        size, block = int(rows["size"].iloc[0]), int(rows["block"].iloc[0])
-        cut = Blocks(size, threshold, blocks)
-        return _compare(rows, np.stack(rows["vector"].to_numpy()).astype(np.float64), cut, block, threshold)
+    def compare(rows: pa.Table) -> pa.Table:
+        size, block = rows.column("size")[0].as_py(), rows.column("block")[0].as_py()
+        cut = Blocks(size, threshold, blocks, rotations)
+        side, nodes, weights = (rows.column(name).to_numpy() for name in ("side", "node", "n"))
+        return _compare(side, nodes, weights, _matrix(rows.column("vector").combine_chunks(), size), cut, block, threshold)
 
-    return dealt.groupBy("size", "block", "slab", "next", "low", "high").applyInPandas(compare, "a long, b long, rows long")
+    return dealt.groupBy("size", "block", "slab", "next", "low", "high").applyInArrow(compare, "a long, b long, rows long")
 
 
-def _compare(rows: pd.DataFrame, vectors: np.ndarray, cut: Blocks, block: int, threshold: float) -> pd.DataFrame:
+def _compare(side: np.ndarray, nodes: np.ndarray, weights: np.ndarray, vectors: np.ndarray, cut: Blocks, block: int, threshold: float) -> pa.Table:
     """One pair of chunks, or a chunk with itself (side 0)."""
-    units = cut.unit(vectors)
+    units = unit(vectors)
     turned = cut.rotated(units)
     part, budget, width = cut.parts[block], cut.budgets[block], cut.widths[block]
     order = np.argsort(turned[:, part[0]], kind="stable")
-    side = rows["side"].to_numpy()[order]
-    nodes, weights = rows["node"].to_numpy()[order], rows["n"].to_numpy()[order]
+    side, nodes, weights = side[order], nodes[order], weights[order]
     units, turned = units[order], turned[order]
     own = np.flatnonzero(side <= 1)
     other = np.flatnonzero(side != 1)
     near = turned[:, part].astype(np.float32)
     squares = np.einsum("ij,ij->i", near, near)
+    # One product gives squared distances less the budget. What rounding can add to one in single precision is allowed for.
+    loose = np.float32(budget + SLACK / 2 + 4 * (len(part) + 2) * np.finfo(np.float32).eps)
+    ones = np.ones_like(squares)
+    rows, columns = np.column_stack([-2 * near, squares - loose, ones]), np.column_stack([near, ones, squares]).T.copy()
     line = turned[:, part[0]]
     links = np.zeros(len(nodes), dtype=np.int64)
     label = np.arange(len(nodes))
     for start in range(0, len(own), 512):
         left = own[start : start + 512]
         low, high = np.searchsorted(line[other], [line[left[0]] - width, line[left[-1]] + width])
+        if side[0] == 0:
+            low = start
         for begin in range(low, high, 4096):
             right = other[begin : min(begin + 4096, high)]
-            distance = squares[left][:, None] + squares[right][None, :] - 2 * (near[left] @ near[right].T)
-            i, j = np.nonzero(distance <= budget + SLACK)
+            i, j = np.divmod(np.flatnonzero(rows[left] @ columns[:, right] <= 0), len(right))
             i, j = left[i], right[j]
             if side[0] == 0:
                 i, j = i[i < j], j[i < j]
@@ -184,9 +212,8 @@ def _compare(rows: pd.DataFrame, vectors: np.ndarray, cut: Blocks, block: int, t
                 _join(label, a, b)
     some = np.flatnonzero(links)
     tied = np.flatnonzero(label != np.arange(len(nodes)))
-    counts = pd.DataFrame({"a": nodes[some], "b": pd.array([None] * len(some), dtype="Int64"), "rows": links[some]})
-    forest = pd.DataFrame({"a": nodes[tied], "b": pd.array(nodes[label[tied]], dtype="Int64"), "rows": np.zeros(len(tied), dtype=np.int64)})
-    return pd.concat([counts, forest])
+    ends = pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(nodes[label[tied]])])
+    return pa.table({"a": np.concatenate([nodes[some], nodes[tied]]), "b": ends, "rows": np.concatenate([links[some], np.zeros(len(tied), dtype=np.int64)])})
 
 
 def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

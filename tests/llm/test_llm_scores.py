@@ -318,6 +318,22 @@ def test_embeddings(spark, chunk):
     assert embeddings.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [1.0, 0.05])
+def test_embeddings_by_fitted_axes(spark, monkeypatch, spread):
+    """Noise and narrow clusters, some pairs close to the threshold, with axes fitted on a few of the rows."""
+    monkeypatch.setattr(embeddings, "SAMPLE", 50)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((400, 24)) * np.where(np.arange(24) < 3, 1.0, spread)
+    near_rows = base[:150] + rng.uniform(0.02, 0.12, (150, 1)) * np.linalg.norm(base[:150], axis=1, keepdims=True) * rng.standard_normal((150, 24))
+    vectors = [(k, [float(x) for x in vector]) for k, vector in enumerate(np.concatenate([base, near_rows]))]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    axes = embeddings.principal_axes(table.select(F.xxhash64("embedding").alias("node"), F.col("embedding").alias("vector")), embeddings.BLOCKS)[24]
+    assert np.allclose(axes.T @ axes, np.eye(24))
+    found = embeddings.near_duplicates(table, chunk=64).collect()
+    assert Counter(map(tuple, found)) == near(vectors)
+    assert sum(row.n_links > 0 for row in found) > 100
+
+
 def test_gap_within_the_slack_of_a_block(spark):
     """Two vectors whose gap lies in the first coordinate and is a little over the block's budget are linked."""
     cut = embeddings.Blocks(2, 0.9, 4)
