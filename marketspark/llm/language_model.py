@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import Words, mix, slices, text_bytes
+from marketspark.llm.words import Words, mix, releasing, slices, text_bytes
 from marketspark.sources.scratch import stored
 
 FREQUENT = 1 << 22
@@ -42,6 +42,8 @@ SIGN = -(1 << 63)
 #: What stands for the end of a text among the hashes of words.
 END = np.uint64(0x5DEECE66D)
 SLICE = 1 << 22
+#: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
+PART = 1 << 21
 #: The middle of a level, as a multiple of its lower end.
 MIDDLE = 2**0.5
 
@@ -95,8 +97,9 @@ class Vocabulary:
         """The number of each token, -1 for a rare one."""
         if not len(self.hashes):
             return np.full(len(hashes), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        asked, back = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == asked, at, -1)[back]
 
     def codes(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
         return np.where(places >= 0, places, (hashes >> np.uint64(2) | np.uint64(RARE)).view(np.int64))
@@ -116,19 +119,51 @@ class Vocabulary:
         return before, pair_ids(before, codes)
 
 
-def pair_counts(docs: DataFrame, vocabulary) -> DataFrame:
-    """Codes ``h``, ``w`` and ``n`` of all pairs. Counted within parts of a task first, so a very common pair is few rows."""
+def dealt(keys: np.ndarray, parts: int, kind: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows ``part, kind, packed``: the columns (int64) of all keys of a part, low and high halves of each column one
+    behind the other, which compresses well."""
+    part = (mix(keys.view(np.uint64)) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, dtype=np.int64)
+    halves = np.stack([column[order] for column in columns]).view(np.uint32).reshape(len(columns), -1, 2)
+    packed = [halves[:, begin:end].transpose(0, 2, 1).tobytes() for begin, end in zip(starts, [*starts[1:], len(part)], strict=True)]
+    kinds = np.full(len(starts), kind, dtype=np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int64)), pa.array(kinds), pa.array(packed, pa.binary())], ["part", "kind", "packed"])
+
+
+DEALT = "part long, kind int, packed binary"
+
+
+def gathered(blobs: list[bytes], columns: int) -> np.ndarray:
+    """One row for each column of such rows together."""
+    found = [np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint32).reshape(columns, 2, -1).transpose(0, 2, 1)).view(np.int64)[:, :, 0] for blob in blobs]
+    return np.concatenate(found, axis=1) if found else np.zeros((columns, 0), dtype=np.int64)
+
+
+def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
+    """Codes ``h``, ``w`` and ``level`` of all pairs, in the order of their ids. Counted within slices first, so a very
+    common pair is few entries; then part by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(unpacked(vocabulary.value))
         for batch in batches:
-            for _, data, offsets in slices(batch, "text"):
+            for _, data, offsets in slices(batch, "text", SLICE):
                 tokens = Tokens(data, offsets)
                 h, w = known.neighbours(tokens, known.places(tokens.hashes))
-                _, first, counts = np.unique(pair_ids(h, w), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(w[first]), pa.array(counts)], ["h", "w", "n"])
+                pairs, first, counts = np.unique(pair_ids(h, w), return_index=True, return_counts=True)
+                yield from dealt(pairs, parts, 0, [h[first], w[first], counts.astype(np.int64)])
 
-    return docs.select("text").mapInArrow(run, "h long, w long, n long").groupBy("h", "w").agg(F.sum("n").alias("n"))
+    def count(rows: pa.Table) -> pa.Table:
+        h, w, n = gathered(rows.column("packed").to_pylist(), 3)
+        ids = pair_ids(h, w)
+        order = np.argsort(ids)
+        ids = ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        level = np.frexp(np.add.reduceat(n[order], starts).astype(np.float64))[1] - 1
+        return pa.table({"h": h[order[starts]], "w": w[order[starts]], "level": level.astype(np.int32)})
+
+    return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int")
 
 
 def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
@@ -239,6 +274,55 @@ def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model:
     return reduce(DataFrame.unionByName, parts)
 
 
+def parts_for(n: int) -> int:
+    return max(1, -(-n // PART))
+
+
+def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
+    """``row``, ``known``, ``single``, ``model``: what ``joined`` adds to the rows that ask for ``keys``, by part, so a row
+    may come several times. A task holds the table of one part, sorted; what is asked streams by."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("keys")
+            row = np.repeat(batch.column("row").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            yield from dealt(lists.flatten().to_numpy(), parts, 1, [lists.flatten().to_numpy(), row])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, gain = (column.to_numpy() for column in batch.columns)
+            yield from dealt(key, parts, 0, [key, gain.view(np.int32).astype(np.int64)])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blobs, table = -1, [], None
+        for batch in batches:
+            for own, kind, blob in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if own != part:
+                    part, blobs, table = own, [], None
+                if kind == 0:
+                    blobs.append(blob)
+                    continue
+                if table is None:
+                    keys, bits = gathered(blobs, 2)
+                    order = np.argsort(keys)
+                    table, blobs = (keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)), []
+                asked, row = gathered([blob], 2)
+                at = np.searchsorted(table[0], asked)
+                at[at == len(table[0])] = 0
+                hit = table[0][at] == asked if len(table[0]) else np.zeros(len(asked), dtype=bool)
+                asked, gain = asked[hit], table[1][at[hit]]
+                # A word's code is positive, its complement is negative; both have the other bits of a code.
+                word = asked >= RARE
+                either = word | (asked < -RARE)
+                log = np.log10(np.where(either, gain, 0.0) + 1)
+                single, back = np.unique(row[hit], return_inverse=True)
+                sums = [np.bincount(back, x, len(single)) for x in (either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain)))]
+                yield pa.RecordBatch.from_arrays([pa.array(single), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], ["row", "known", "single", "model"])
+
+    both = rows.select("row", "keys").mapInArrow(releasing(ask), DEALT).unionByName(joined.select("key", "gain").mapInArrow(tell, DEALT))
+    return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(releasing(find), "row long, known long, single double, model double")
+
+
 def _release(spark: SparkSession) -> None:
     """Lets Spark delete the files of shuffles whose results are stored; it does so when the driver collects garbage."""
     spark.sparkContext._jvm.System.gc()
@@ -256,8 +340,7 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     counts = common.column("n").to_numpy().astype(np.int64)[order]
     model = {"hashes": hashes[order], "counts": counts}
     sent = spark.sparkContext.broadcast(packed(model))
-    level = F.floor(F.log2("n") + 1e-12).cast("int").alias("level")
-    pairs = stored(pair_counts(texts, sent).select("h", "w", level))
+    pairs = stored(pair_counts(texts, sent, parts_for(n)))
     _release(spark)
     coded = coded_counts(counted, sent)
     priced = with_words(pairs, coded, sent)
@@ -299,7 +382,8 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
                 single[frequent] = logs[places[frequent]]
                 model_part = single.copy()
                 model_part[some] += arrays["backoff"][before[some]]
-                level = levels(np.where(some, pairs, -1), filled)
+                different, back = np.unique(np.where(some, pairs, -1), return_inverse=True)
+                level = levels(different, filled)[back]
                 seen = level > 0
                 level[seen] += max(base, 1) - 1
                 if base == 0:
@@ -318,13 +402,8 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
     kind = docs.schema["doc_id"].dataType.simpleString()
     summed = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
     rows = stored(summed.withColumn("row", F.monotonically_increasing_id()))
-    asked = rows.select("row", F.explode("keys").alias("key")).join(joined, "key")
-    # A word's code is positive, its complement is negative; both have the other bits of a code.
-    gain, word = F.col("gain").cast("double"), F.col("key") >= RARE
-    either = word | F.col("key").between(SIGN, -RARE - 1)
-    log = F.log10(gain + 1)
-    parts = {"known": either.cast("int"), "single": F.when(either, log).otherwise(0.0), "model": F.when(word, log).when(~either, gain).otherwise(0.0)}
-    found = asked.groupBy("row").agg(*[F.sum(part).alias(f"more_{name}") for name, part in parts.items()])
+    found = answers(rows, joined, parts_for(int(model["n"][0])))
+    found = found.groupBy("row").agg(*[F.sum(name).alias(f"more_{name}") for name in ("known", "single", "model")])
     n, v = int(model["n"][0]), int(model["v"][0])
     none = F.lit(float(np.log10(n + v + 1)))
     both = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0))
