@@ -43,7 +43,7 @@ SIGN = -(1 << 63)
 END = np.uint64(0x5DEECE66D)
 SLICE = 1 << 22
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
-PART = 1 << 21
+PART = 1 << 20
 #: The middle of a level, as a multiple of its lower end.
 MIDDLE = 2**0.5
 
@@ -135,10 +135,15 @@ def dealt(keys: np.ndarray, parts: int, kind: int, columns: list[np.ndarray]) ->
 DEALT = "part long, kind int, packed binary"
 
 
-def gathered(blobs: list[bytes], columns: int) -> np.ndarray:
-    """One row for each column of such rows together."""
-    found = [np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint32).reshape(columns, 2, -1).transpose(0, 2, 1)).view(np.int64)[:, :, 0] for blob in blobs]
-    return np.concatenate(found, axis=1) if found else np.zeros((columns, 0), dtype=np.int64)
+def gathered(blobs: list, columns: int) -> np.ndarray:
+    """One row for each column of such buffers together, filled in one by one."""
+    halves = [np.frombuffer(blob, dtype=np.uint32).reshape(columns, 2, -1) for blob in blobs]
+    found = np.empty((columns, sum(half.shape[2] for half in halves), 2), dtype=np.uint32)
+    start = 0
+    for half in halves:
+        found[:, start : start + half.shape[2]] = half.transpose(0, 2, 1)
+        start += half.shape[2]
+    return found.view(np.int64)[:, :, 0]
 
 
 def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
@@ -155,13 +160,15 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
                 yield from dealt(pairs, parts, 0, [h[first], w[first], counts.astype(np.int64)])
 
     def count(rows: pa.Table) -> pa.Table:
-        h, w, n = gathered(rows.column("packed").to_pylist(), 3)
+        h, w, n = gathered([blob.as_buffer() for blob in rows.column("packed")], 3)
         ids = pair_ids(h, w)
         order = np.argsort(ids)
         ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        level = np.frexp(np.add.reduceat(n[order], starts).astype(np.float64))[1] - 1
-        return pa.table({"h": h[order[starts]], "w": w[order[starts]], "level": level.astype(np.int32)})
+        del ids
+        level = (np.frexp(np.add.reduceat(n[order], starts).astype(np.float64))[1] - 1).astype(np.int32)
+        order = order[starts]
+        return pa.table({"h": h[order], "w": w[order], "level": level})
 
     return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int")
 
@@ -296,17 +303,17 @@ def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blobs, table = -1, [], None
         for batch in batches:
-            for own, kind, blob in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for own, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("packed"), strict=True):
                 if own != part:
                     part, blobs, table = own, [], None
                 if kind == 0:
-                    blobs.append(blob)
+                    blobs.append(blob.as_buffer())
                     continue
                 if table is None:
                     keys, bits = gathered(blobs, 2)
                     order = np.argsort(keys)
                     table, blobs = (keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)), []
-                asked, row = gathered([blob], 2)
+                asked, row = gathered([blob.as_buffer()], 2)
                 at = np.searchsorted(table[0], asked)
                 at[at == len(table[0])] = 0
                 hit = table[0][at] == asked if len(table[0]) else np.zeros(len(asked), dtype=bool)
