@@ -41,7 +41,7 @@ MIXED = 1 << 61
 SIGN = -(1 << 63)
 #: What stands for the end of a text among the hashes of words.
 END = np.uint64(0x5DEECE66D)
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
 PART = 1 << 20
 #: The middle of a level, as a multiple of its lower end.
@@ -73,7 +73,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 found, counts = np.unique(Tokens(data, offsets).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["hash", "n"])
 
-    return docs.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(releasing(run), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def pair_ids(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -153,7 +153,7 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(unpacked(vocabulary.value))
         for batch in batches:
-            for _, data, offsets in slices(batch, "text", SLICE):
+            for _, data, offsets in slices(batch, "text"):
                 tokens = Tokens(data, offsets)
                 h, w = known.neighbours(tokens, known.places(tokens.hashes))
                 pairs, first, counts = np.unique(pair_ids(h, w), return_index=True, return_counts=True)
@@ -407,7 +407,7 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(add(single)), pa.array(add(model_part)), lists], ["doc_id", "n_tokens", "n_frequent", "n_seen", "single", "model", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    summed = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
+    summed = docs.select("doc_id", "text").mapInArrow(releasing(run), f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
     rows = stored(summed.withColumn("row", F.monotonically_increasing_id()))
     found = answers(rows, joined, parts_for(int(model["n"][0])))
     found = found.groupBy("row").agg(*[F.sum(name).alias(f"more_{name}") for name in ("known", "single", "model")])
