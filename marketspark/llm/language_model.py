@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import Words, mix, releasing, slices, text_bytes
+from marketspark.llm.words import Words, mix, release, releasing, slices, text_bytes
 from marketspark.sources.scratch import stored
 
 FREQUENT = 1 << 22
@@ -43,7 +43,7 @@ SIGN = -(1 << 63)
 END = np.uint64(0x5DEECE66D)
 SLICE = 1 << 21
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
-PART = 1 << 20
+PART = 1 << 19
 #: The middle of a level, as a multiple of its lower end.
 MIDDLE = 2**0.5
 
@@ -168,7 +168,10 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
         del ids
         level = (np.frexp(np.add.reduceat(n[order], starts).astype(np.float64))[1] - 1).astype(np.int32)
         order = order[starts]
-        return pa.table({"h": h[order], "w": w[order], "level": level})
+        found = pa.table({"h": h[order], "w": w[order], "level": level})
+        del h, w, n, order, rows
+        release()
+        return found
 
     return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int")
 

@@ -35,16 +35,21 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def release() -> None:
+    """Gives the worker's free memory back to the system: an idle worker keeps it otherwise."""
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def releasing(run):
-    """The map, which gives its worker's free memory back to the system when a task ends: an idle worker keeps it otherwise."""
+    """The map, which gives its worker's free memory back when a task ends."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        _powers.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        release()
 
     return wrapped
 
