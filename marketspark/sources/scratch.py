@@ -25,9 +25,14 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/marketspark-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame's rows from a table in the shared folder: computed once, whatever reads them later,
-    and still there when an executor is lost. Runs a job."""
-    folder = new_folder(df.sparkSession)
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The frame's rows from a table in the shared folder (in ``folder``, if given, a new one of it): computed once,
+    whatever reads them later, and still there when an executor is lost. Runs a job."""
+    folder = folder or new_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def emptied(df: DataFrame, folder: str) -> None:
+    """Gives back the space of a table stored in ``folder`` that nothing reads any more: an empty one takes its place."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
