@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
 from marketspark.llm.words import Words, mix, release, releasing, slices, text_bytes
-from marketspark.sources.scratch import stored
+from marketspark.sources.scratch import emptied, new_folder, stored
 
 FREQUENT = 1 << 22
 PAIRS = 1 << 25
@@ -41,7 +41,6 @@ MIXED = 1 << 61
 SIGN = -(1 << 63)
 #: What stands for the end of a text among the hashes of words.
 END = np.uint64(0x5DEECE66D)
-SLICE = 1 << 21
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
 PART = 1 << 19
 #: The middle of a level, as a multiple of its lower end.
@@ -69,7 +68,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in slices(batch, "text", SLICE):
+            for _, data, offsets in slices(batch, "text"):
                 found, counts = np.unique(Tokens(data, offsets).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["hash", "n"])
 
@@ -350,7 +349,8 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     counts = common.column("n").to_numpy().astype(np.int64)[order]
     model = {"hashes": hashes[order], "counts": counts}
     sent = spark.sparkContext.broadcast(packed(model))
-    pairs = stored(pair_counts(texts, sent, parts_for(n)))
+    folder = new_folder(spark)
+    pairs = stored(pair_counts(texts, sent, parts_for(n)), folder)
     _release(spark)
     coded = coded_counts(counted, sent)
     priced = with_words(pairs, coded, sent)
@@ -365,7 +365,11 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     filled = count_filter(after_frequent.where(F.col("level") >= base), base, entries(sizes, base))
     model |= {"backoff": backoff, "shrink": shrink, "filter": filled, "base": np.array([base]), "n": np.array([n]), "v": np.array([v])}
     _release(spark)
-    return joined_counts(priced, coded, found, model), model
+    joined = stored(joined_counts(priced, coded, found, model))
+    # The shuffles of these joins and the pairs themselves are not needed beside those of the scoring.
+    emptied(pairs, folder)
+    _release(spark)
+    return joined, model
 
 
 def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
