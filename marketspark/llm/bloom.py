@@ -68,6 +68,15 @@ def _given(filled: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(filled), pa.int64()), pa.array(bits, pa.binary())], ["block", "bits"])
 
 
+def filled(items: np.ndarray, blocks: int) -> np.ndarray:
+    """The filter over items at hand, as bytes."""
+    block, spread = _positions(items.view(np.uint64), blocks)
+    bits = np.zeros(blocks * BLOCK, dtype=bool)
+    for probe in range(PROBES):
+        bits[block * BLOCK + _bit(spread, probe).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
 def contains(items: np.ndarray, filled: np.ndarray) -> np.ndarray:
     """Places of the items that the filter takes for its own."""
     left = np.arange(len(items))

@@ -5,11 +5,13 @@ neighbours in the documents to learn from are counted, whatever their number. A
 level floor(log2(n)); a level stands for one number of occurrences, the middle of its range.
 
 Words with at least one in ``FREQUENT`` of all tokens are broadcast with their exact counts, which are ``FREQUENT`` at
-most. The filter holds pairs whose first word is one of them: (pair, 1) to (pair, level), or (pair, 0) for a pair that
-occurs once. It is as large as its entries need. Where they would be more than ``PAIRS``, the filter holds the levels
-from the lowest one with which they are not, and says so with ``base``. Everything else - rare words, pairs after rare
-words, levels below the base - is joined exactly to the tokens that ask for it. So the bounds say where a count is
-looked up, not what the model knows. A pair's level is found by asking the filter for one level after the other.
+most. Pairs of two of them lie in log-frequency Bloom filters: (pair, 1) to (pair, level), or (pair, 0) for a pair that
+occurs once. There is one filter for each part of the pairs by their hash, filled where the pairs are counted and
+probed there by the tokens that ask; it holds all levels. A further one is broadcast and answers for common pairs, also
+those of a frequent word and a rare one. It is as large as its entries need; where they would be more than ``PAIRS``, it
+holds the levels from the lowest one with which they are not, and says so with ``base``. Rare words, pairs after rare
+words, and pairs before rare words below the base are joined exactly to the tokens that ask for them. So the bounds say
+where a count is looked up, not what the model knows. A pair's level is found by asking the filter for one level after the other.
 
 The model backs off: P(w | h) is the pair's share of h, scaled so that all pairs of h have c(h) / (c(h) + different
 words after h) at most (Witten and Bell); for a pair that was not met it is the word's own probability
@@ -132,6 +134,7 @@ def dealt(keys: np.ndarray, parts: int, kind: int, columns: list[np.ndarray]) ->
 
 
 DEALT = "part long, kind int, packed binary"
+COUNTED = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("bits", pa.binary())])
 
 
 def gathered(blobs: list, columns: int) -> np.ndarray:
@@ -145,9 +148,21 @@ def gathered(blobs: list, columns: int) -> np.ndarray:
     return found.view(np.int64)[:, :, 0]
 
 
+def _items(pairs: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    return pairs.astype(np.uint64) + (np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, dtype=np.uint64))
+
+
+def unary(pairs: np.ndarray, level: np.ndarray, base: int) -> np.ndarray:
+    """The entries of pairs in a filter that holds the levels from ``base``."""
+    times = np.maximum(level - max(base, 1) + 1, 1)
+    rank = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(level > 0, times)
+    return _items(np.repeat(pairs, times), rank)
+
+
 def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
     """Codes ``h``, ``w`` and ``level`` of all pairs, in the order of their ids. Counted within slices first, so a very
-    common pair is few entries; then part by part."""
+    common pair is few entries; then part by part. One more row of each part, without codes, has the filter of the
+    part's pairs of frequent words in ``part``, ``bits``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(unpacked(vocabulary.value))
@@ -164,15 +179,22 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
         order = np.argsort(ids)
         ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        del ids
         level = (np.frexp(np.add.reduceat(n[order], starts).astype(np.float64))[1] - 1).astype(np.int32)
-        order = order[starts]
-        found = pa.table({"h": h[order], "w": w[order], "level": level})
-        del h, w, n, order, rows
+        order, ids = order[starts], ids[starts]
+        frequent = ids < MIXED
+        entered = unary(ids[frequent], level[frequent].astype(np.int64), 0)
+        filled = bloom.filled(entered, bloom.blocks_for(len(entered)))
+        one = {"h": [None], "w": [None], "level": [None], "part": [rows.column("part")[0].as_py()], "bits": [filled.tobytes()]}
+        none = pa.nulls(len(order))
+        found = pa.concat_tables([
+            pa.table({"h": h[order], "w": w[order], "level": level, "part": none.cast(pa.int64()), "bits": none.cast(pa.binary())}, COUNTED),
+            pa.table(one, COUNTED),
+        ])
+        del h, w, n, order, rows, ids, entered
         release()
         return found
 
-    return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int")
+    return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int, part long, bits binary")
 
 
 def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
@@ -188,7 +210,8 @@ def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
 
 
 def with_words(pairs: DataFrame, coded: DataFrame, vocabulary) -> DataFrame:
-    """``h``, ``w``, ``level``, and ``c``, the count of w. Only rare words are joined, so no key has many rows."""
+    """``h``, ``w``, ``level``, and ``c``, the count of w. Only rare words are joined, so no key has many rows; these
+    pairs are stored, as they are read repeatedly. Runs a job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = unpacked(vocabulary.value)["counts"]
@@ -197,7 +220,7 @@ def with_words(pairs: DataFrame, coded: DataFrame, vocabulary) -> DataFrame:
 
     frequent = pairs.where(F.col("w") < RARE).select("h", "w", "level").mapInArrow(run, "h long, w long, level int, c long")
     words = coded.where(F.col("code") >= RARE).select(F.col("code").alias("w"), F.col("n").alias("c"))
-    return frequent.unionByName(pairs.where(F.col("w") >= RARE).join(words, "w").select("h", "w", "level", "c"))
+    return frequent.unionByName(stored(pairs.where(F.col("w") >= RARE).join(words, "w").select("h", "w", "level", "c")))
 
 
 def contexts(priced: DataFrame, coded: DataFrame, total: int) -> DataFrame:
@@ -212,10 +235,6 @@ def contexts(priced: DataFrame, coded: DataFrame, total: int) -> DataFrame:
     return sums.join(words, "h").select("h", "c", F.log10(shrink).alias("shrink"), F.log10(left).alias("backoff"))
 
 
-def _items(pairs: np.ndarray, level: np.ndarray | int) -> np.ndarray:
-    return pairs.astype(np.uint64) + (np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, dtype=np.uint64))
-
-
 def entries(sizes: dict[int, int], base: int) -> int:
     """What the filter holds of so many pairs of each level if it holds the levels from ``base``."""
     return sum(n * max(1, level - max(base, 1) + 1) for level, n in sizes.items() if level >= base)
@@ -224,15 +243,13 @@ def entries(sizes: dict[int, int], base: int) -> int:
 def count_filter(kept: DataFrame, base: int, size: int) -> np.ndarray:
     """The filter over the levels of ``h``, ``w``, ``level``, with ``size`` entries."""
 
-    def unary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = pair_ids(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            level = batch.column(2).to_numpy().astype(np.int64)
-            times = np.maximum(level - max(base, 1) + 1, 1)
-            rank = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(level > 0, times)
-            yield pa.RecordBatch.from_arrays([pa.array(_items(np.repeat(pairs, times), rank).view(np.int64))], ["item"])
+            items = unary(pairs, batch.column(2).to_numpy().astype(np.int64), base)
+            yield pa.RecordBatch.from_arrays([pa.array(items.view(np.int64))], ["item"])
 
-    return bloom.build(kept.select("h", "w", "level").mapInArrow(unary, "item long"), bloom.blocks_for(size))
+    return bloom.build(kept.select("h", "w", "level").mapInArrow(run, "item long"), bloom.blocks_for(size))
 
 
 def levels(pairs: np.ndarray, filled: np.ndarray) -> np.ndarray:
@@ -247,19 +264,38 @@ def levels(pairs: np.ndarray, filled: np.ndarray) -> np.ndarray:
     return found
 
 
+def met(pairs: np.ndarray, filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The level of each pair in a filter that holds all levels, and whether the pair is there at all."""
+    level = levels(pairs, filled)
+    there = level > 0
+    rest = np.flatnonzero(~there)
+    there[rest[bloom.contains(_items(pairs[rest], 0), filled)]] = True
+    return level, there
+
+
+def log_total(model: dict[str, np.ndarray]) -> float:
+    """Log10 of what the words' own probabilities are shares of."""
+    return float(np.log10(model["n"][0] + model["v"][0] + 1))
+
+
+def weights(arrays: dict[str, np.ndarray]) -> np.ndarray:
+    """Log10 of what an occurrence of a pair is worth after each frequent word."""
+    return arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1))
+
+
 def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """What is not broadcast: ``key`` and ``gain``, in single precision for a small shuffle.
+    """What is neither broadcast nor in the parts' filters: ``key`` and ``gain``, in single precision for a small shuffle.
 
     Keys are codes of rare words and their complements, for words whose pair the filter knows, both with the word's
     count, which is less than 2^24; codes of rare contexts with the sign bit, with what they add to a score; and ids
     of pairs, which put the pair's probability in place of the word's own.
     """
-    base, none = int(model["base"][0]), float(np.log10(model["n"][0] + model["v"][0] + 1))
+    base, none = int(model["base"][0]), log_total(model)
     sent = priced.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = unpacked(sent.value)
-        gains = np.append(arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1)) - arrays["backoff"], 0.0)
+        gains = np.append(weights(arrays) - arrays["backoff"], 0.0)
         for batch in batches:
             h, w, level, c = (column.to_numpy() for column in batch.columns)
             gain = worth(level) - np.log10(c + 1.0) + none + gains[np.where(h < RARE, h, -1)]
@@ -267,7 +303,7 @@ def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model:
 
     rare = F.col("h") >= RARE
     shape = "key long, h long, gain double"
-    after_frequent = priced.where(~rare & (F.col("level") < base)).mapInArrow(run, shape)
+    after_frequent = priced.where(~rare & (F.col("w") >= RARE) & (F.col("level") < base)).mapInArrow(run, shape)
     rare_contexts = found.where(rare)
     gain = F.col("gain") + F.col("shrink") - F.log10("c") - F.col("backoff")
     after_rare = priced.where(rare).mapInArrow(run, shape).join(rare_contexts, "h")
@@ -287,9 +323,19 @@ def parts_for(n: int) -> int:
     return max(1, -(-n // PART))
 
 
-def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
-    """``row``, ``known``, ``single``, ``model``: what ``joined`` adds to the rows that ask for ``keys``, by part, so a row
-    may come several times. A task holds the table of one part, sorted; what is asked streams by."""
+def summed(row: np.ndarray, known: np.ndarray, single: np.ndarray, model: np.ndarray) -> pa.RecordBatch:
+    """The sums of each row."""
+    rows, back = np.unique(row, return_inverse=True)
+    sums = [np.bincount(back, x, len(rows)).astype(kind) for x, kind in ((known, np.int64), (single, np.float64), (model, np.float64))]
+    return pa.RecordBatch.from_arrays([pa.array(rows), *map(pa.array, sums)], ["row", "known", "single", "model"])
+
+
+def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    """``row``, ``known``, ``single``, ``model``: what ``joined`` and the parts' ``filters`` add to the rows that ask for
+    ``keys``, by part, so a row may come several times. A task holds the filter and the sorted table of one part; what is
+    asked streams by."""
+    parts, below, none = parts_for(int(model["n"][0])), int(model["base"][0]) - 1, log_total(model)
+    sent = rows.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,11 +349,16 @@ def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
             yield from dealt(key, parts, 0, [key, gain.view(np.int32).astype(np.int64)])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, blobs, table = -1, [], None
+        arrays = unpacked(sent.value)
+        logs, after = np.log10(arrays["counts"] + 1.0), weights(arrays)
+        part, blobs, table, filled = -1, [], None, None
         for batch in batches:
             for own, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("packed"), strict=True):
                 if own != part:
-                    part, blobs, table = own, [], None
+                    part, blobs, table, filled = own, [], None, None
+                if kind < 0:
+                    filled = np.frombuffer(blob.as_buffer(), dtype=np.uint8)
+                    continue
                 if kind == 0:
                     blobs.append(blob.as_buffer())
                     continue
@@ -316,6 +367,16 @@ def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
                     order = np.argsort(keys)
                     table, blobs = (keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)), []
                 asked, row = gathered([blob.as_buffer()], 2)
+                both = (asked >= 0) & (asked < MIXED)
+                if filled is not None and both.any():
+                    pairs = asked[both]
+                    level, hit = met(pairs, filled)
+                    # Higher levels are in the filter that was asked before.
+                    pairs, level = pairs[hit], np.minimum(level[hit], below)
+                    h, w = pairs >> 32, pairs & 0xFFFFFFFF
+                    gain = np.minimum(worth(level) + after[h], 0) - logs[w] + none - arrays["backoff"][h]
+                    yield summed(row[both][hit], np.zeros(len(gain)), np.zeros(len(gain)), gain)
+                asked, row = asked[~both], row[~both]
                 at = np.searchsorted(table[0], asked)
                 at[at == len(table[0])] = 0
                 hit = table[0][at] == asked if len(table[0]) else np.zeros(len(asked), dtype=bool)
@@ -324,11 +385,10 @@ def answers(rows: DataFrame, joined: DataFrame, parts: int) -> DataFrame:
                 word = asked >= RARE
                 either = word | (asked < -RARE)
                 log = np.log10(np.where(either, gain, 0.0) + 1)
-                single, back = np.unique(row[hit], return_inverse=True)
-                sums = [np.bincount(back, x, len(single)) for x in (either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain)))]
-                yield pa.RecordBatch.from_arrays([pa.array(single), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], ["row", "known", "single", "model"])
+                yield summed(row[hit], either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain)))
 
-    both = rows.select("row", "keys").mapInArrow(releasing(ask), DEALT).unionByName(joined.select("key", "gain").mapInArrow(tell, DEALT))
+    asks, tells = rows.select("row", "keys").mapInArrow(releasing(ask), DEALT), joined.select("key", "gain").mapInArrow(tell, DEALT)
+    both = asks.unionByName(tells).unionByName(filters.select("part", F.lit(-1).alias("kind"), F.col("bits").alias("packed")))
     return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(releasing(find), "row long, known long, single double, model double")
 
 
@@ -337,8 +397,9 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
-    """From ``text`` (bytes): the table of what has to be joined, and the model's arrays. Runs jobs."""
+def learn(texts: DataFrame) -> tuple[tuple[DataFrame, DataFrame], dict[str, np.ndarray]]:
+    """From ``text`` (bytes): the table of what has to be joined and that of the parts' filters, and the model's arrays.
+    Runs jobs."""
     spark = texts.sparkSession
     counted = stored(word_counts(texts))
     whole = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -350,7 +411,9 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     model = {"hashes": hashes[order], "counts": counts}
     sent = spark.sparkContext.broadcast(packed(model))
     folder = new_folder(spark)
-    pairs = stored(pair_counts(texts, sent, parts_for(n)), folder)
+    both = stored(pair_counts(texts, sent, parts_for(n)), folder)
+    pairs = both.where(F.col("h").isNotNull()).select("h", "w", "level")
+    filters = stored(both.where(F.col("bits").isNotNull()).select("part", "bits"))
     _release(spark)
     coded = coded_counts(counted, sent)
     priced = with_words(pairs, coded, sent)
@@ -367,16 +430,16 @@ def learn(texts: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
     _release(spark)
     joined = stored(joined_counts(priced, coded, found, model))
     # The shuffles of these joins and the pairs themselves are not needed beside those of the scoring.
-    emptied(pairs, folder)
+    emptied(both, folder)
     _release(spark)
-    return joined, model
+    return (joined, filters), model
 
 
-def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+def score(docs: DataFrame, joined: tuple[DataFrame, DataFrame], model: dict[str, np.ndarray]) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of ``doc_id``, ``text`` (bytes).
 
     One pass over the texts sums what the broadcast tables know and lists the keys of what they do not; these are
-    joined to ``joined``, and the sums come back to the rows, which are numbered when they are stored.
+    joined to what ``learn`` returns, and the sums come back to the rows, which are numbered when they are stored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(packed(model))
 
@@ -384,7 +447,7 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
         arrays = unpacked(sent.value)
         known, filled, base = Vocabulary(arrays), arrays["filter"], int(arrays["base"][0])
         logs = np.log10(arrays["counts"] + 1.0)
-        weights = arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1))
+        after = weights(arrays)
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 tokens = Tokens(data, offsets)
@@ -404,7 +467,7 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
                     rest = np.flatnonzero(some & ~seen)
                     seen[rest[bloom.contains(_items(pairs[rest], 0), filled)]] = True
                 # A pair that the filter takes for its own may stand for more than its context has.
-                model_part[seen] = np.minimum(worth(level[seen]) + weights[before[seen]], 0)
+                model_part[seen] = np.minimum(worth(level[seen]) + after[before[seen]], 0)
                 add = lambda x: np.add.reduceat(x, tokens.starts)
                 asked = np.stack([~frequent, ~some, ~seen & (~some | (base > 0))], axis=1)
                 keys = np.stack([np.where(seen, ~codes, codes), before ^ SIGN, pairs], axis=1)[asked]
@@ -416,10 +479,10 @@ def score(docs: DataFrame, joined: DataFrame, model: dict[str, np.ndarray]) -> D
     kind = docs.schema["doc_id"].dataType.simpleString()
     summed = docs.select("doc_id", "text").mapInArrow(releasing(run), f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
     rows = stored(summed.withColumn("row", F.monotonically_increasing_id()))
-    found = answers(rows, joined, parts_for(int(model["n"][0])))
+    found = answers(rows, *joined, model)
     found = found.groupBy("row").agg(*[F.sum(name).alias(f"more_{name}") for name in ("known", "single", "model")])
-    n, v = int(model["n"][0]), int(model["v"][0])
-    none = F.lit(float(np.log10(n + v + 1)))
+    n = int(model["n"][0])
+    none = F.lit(log_total(model))
     both = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0))
     return rows.drop("keys").join(found, "row", "left").select(
         "doc_id", "n_tokens", both("n_frequent", "more_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
