@@ -45,6 +45,8 @@ SIGN = -(1 << 63)
 END = np.uint64(0x5DEECE66D)
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
 PART = 1 << 19
+#: A task adds up so many answers before it gives them out.
+ANSWERS = 1 << 20
 #: The middle of a level, as a multiple of its lower end.
 MIDDLE = 2**0.5
 
@@ -323,8 +325,9 @@ def parts_for(n: int) -> int:
     return max(1, -(-n // PART))
 
 
-def summed(row: np.ndarray, known: np.ndarray, single: np.ndarray, model: np.ndarray) -> pa.RecordBatch:
-    """The sums of each row."""
+def summed(answered: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The sums of each row over arrays of rows, ``known``, ``single`` and ``model``."""
+    row, known, single, model = (np.concatenate(arrays) for arrays in zip(*answered, strict=True))
     rows, back = np.unique(row, return_inverse=True)
     sums = [np.bincount(back, x, len(rows)).astype(kind) for x, kind in ((known, np.int64), (single, np.float64), (model, np.float64))]
     return pa.RecordBatch.from_arrays([pa.array(rows), *map(pa.array, sums)], ["row", "known", "single", "model"])
@@ -352,6 +355,7 @@ def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[
         arrays = unpacked(sent.value)
         logs, after = np.log10(arrays["counts"] + 1.0), weights(arrays)
         part, blobs, table, filled = -1, [], None, None
+        answered, waiting = [], 0
         for batch in batches:
             for own, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("packed"), strict=True):
                 if own != part:
@@ -375,7 +379,8 @@ def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[
                     pairs, level = pairs[hit], np.minimum(level[hit], below)
                     h, w = pairs >> 32, pairs & 0xFFFFFFFF
                     gain = np.minimum(worth(level) + after[h], 0) - logs[w] + none - arrays["backoff"][h]
-                    yield summed(row[both][hit], np.zeros(len(gain)), np.zeros(len(gain)), gain)
+                    answered.append((row[both][hit], np.zeros(len(gain)), np.zeros(len(gain)), gain))
+                    waiting += len(gain)
                 asked, row = asked[~both], row[~both]
                 at = np.searchsorted(table[0], asked)
                 at[at == len(table[0])] = 0
@@ -385,7 +390,13 @@ def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[
                 word = asked >= RARE
                 either = word | (asked < -RARE)
                 log = np.log10(np.where(either, gain, 0.0) + 1)
-                yield summed(row[hit], either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain)))
+                answered.append((row[hit], either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain))))
+                waiting += len(gain)
+                if waiting > ANSWERS:
+                    yield summed(answered)
+                    answered, waiting = [], 0
+        if answered:
+            yield summed(answered)
 
     asks, tells = rows.select("row", "keys").mapInArrow(releasing(ask), DEALT), joined.select("key", "gain").mapInArrow(tell, DEALT)
     both = asks.unionByName(tells).unionByName(filters.select("part", F.lit(-1).alias("kind"), F.col("bits").alias("packed")))
