@@ -47,6 +47,8 @@ END = np.uint64(0x5DEECE66D)
 PART = 1 << 19
 #: A task adds up so many answers before it gives them out.
 ANSWERS = 1 << 20
+#: Rows of the joined table that a task deals to parts at once.
+TOLD = 1 << 18
 #: The middle of a level, as a multiple of its lower end.
 MIDDLE = 2**0.5
 
@@ -325,6 +327,19 @@ def parts_for(n: int) -> int:
     return max(1, -(-n // PART))
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to tables of about ``TOLD`` rows, which make fewer and longer rows of each part."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= TOLD:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def summed(answered: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """The sums of each row over arrays of rows, ``known``, ``single`` and ``model``."""
     row, known, single, model = (np.concatenate(arrays) for arrays in zip(*answered, strict=True))
@@ -347,8 +362,8 @@ def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[
             yield from dealt(lists.flatten().to_numpy(), parts, 1, [lists.flatten().to_numpy(), row])
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, gain = (column.to_numpy() for column in batch.columns)
+        for some in together(batches):
+            key, gain = (column.to_numpy() for column in some.columns)
             yield from dealt(key, parts, 0, [key, gain.view(np.int32).astype(np.int64)])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
