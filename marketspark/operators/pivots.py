@@ -8,6 +8,10 @@ questions, one for each ring in reach.
 
 Equal vectors would fill blocks of the same distance that every question in reach has to see, so of equal ones only the
 k smallest ids are kept: no other can be among the k nearest. Blocks that many questions visit meet them in parts.
+
+What is shuffled is questions times rings in reach, so rings and parts that travel have a least size, however small the blocks
+asked for: those are what a task looks at in turn, so many questions against so many documents, leaving out what none of the
+questions reaches.
 """
 
 from collections.abc import Iterator
@@ -20,6 +24,9 @@ from ..sources.scratch import stored
 
 #: Pivots at most, whatever the number of documents: they are sent to every task.
 MOST_PIVOTS = 512
+#: Rows of a ring, and questions of a part that meets it, at least.
+RING_ROWS = 8192
+PART_QUESTIONS = 4096
 #: Relative slack of distances from pivots, which come from one matrix product.
 SLACK = 1e-6
 
@@ -169,15 +176,16 @@ class Rings:
         reachable = (F.col("away") - F.col("reach") <= F.col("high")) & (F.col("away") + F.col("reach") >= F.col("low")) & (F.col("block") != F.col("first"))
         return met.filter(reachable).select(*visits.columns)
 
-    def meet(self, visits: DataFrame, places: int, block_questions: int) -> DataFrame:
-        """The k nearest documents of every visit's block within its radius: (row, question_id, collection, id, distance)."""
-        k = self.k
+    def meet(self, visits: DataFrame, places: int, block_questions: int, look: tuple[int, int] | None = None) -> DataFrame:
+        """The k nearest documents of every visit's block within its radius: (row, question_id, collection, id, distance). At most
+        ``block_questions`` meet a block in one group, and ``look`` of them, (questions, documents), are compared at a time."""
+        k, look_questions, look_rows = self.k, *(look or (block_questions, RING_ROWS))
         sizes = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_questions).alias("parts"))
         sizes = stored(sizes)
         part = F.pmod(F.xxhash64("row"), F.col("parts")).alias("part")
-        left = visits.join(sizes, "block").select("block", part, "row", "question_id", "embedding", "reach")
+        left = visits.join(sizes, "block").select("block", part, "row", "question_id", "embedding", "away", "reach")
         right = self.blocks.join(sizes, "block").select(
-            "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "collection", "id", "embedding"
+            "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "collection", "id", "embedding", "away"
         )
         kind = visits.schema["question_id"].dataType.simpleString()
 
@@ -188,26 +196,38 @@ class Rings:
             names = ["row", "question_id", "collection", "id", "distance"]
             if asked.empty or held.empty:
                 return pd.DataFrame({name: pd.Series(dtype=object) for name in names})
+            # Neighbours by their distance from the pivot stand together, so that a block of questions leaves out blocks of documents.
+            held, asked = held.sort_values("away"), asked.sort_values("away")
             ids, collection = held["id"].to_numpy(dtype=object), held["collection"].iat[0]
             vectors = np.stack(held["embedding"].to_numpy()).astype("float64")
             matrix = np.stack(asked["embedding"].to_numpy()).astype("float64")
             sizes, lengths = (vectors**2).sum(axis=1), (matrix**2).sum(axis=1)
             margin = 10.0**-places + 1e-9 * (sizes.max() + lengths)
-            limit = asked["reach"].to_numpy() ** 2
+            reach, own, beside = asked["reach"].to_numpy(), asked["away"].to_numpy(), held["away"].to_numpy()
+            starts = np.arange(0, len(ids), look_rows)
+            low, high = beside[starts], beside[np.append(starts[1:], len(ids)) - 1]
             parts = []
-            # So many questions at a time that their distances to the block stay small.
-            step = max(1, (1 << 22) // len(ids))
+            # So many questions at a time that their distances to the ring stay small.
+            step = max(1, min(look_questions, (1 << 22) // len(ids)))
             for begin in range(0, len(matrix), step):
                 some = slice(begin, begin + step)
-                rough = lengths[some, None] + sizes - 2 * matrix[some] @ vectors.T
-                bound = limit[some]
-                if len(ids) > k:
+                gap = np.maximum(own[some, None] - high, low - own[some, None])
+                seen = (gap <= reach[some, None]).any(axis=0)
+                at = np.flatnonzero(np.repeat(seen, look_rows)[: len(ids)])
+                if not len(at):
+                    continue
+                near = vectors if len(at) == len(ids) else vectors[at]
+                rough = lengths[some, None] + sizes[at] - 2 * matrix[some] @ near.T
+                bound = reach[some] ** 2
+                if len(at) > k:
                     bound = np.minimum(bound, np.partition(rough, k - 1, axis=1)[:, k - 1])
                 question, document = np.nonzero(rough <= (bound + margin[some])[:, None])
                 # The product ranks well but is not exact in its last digits: what is near is measured again.
-                distance = np.round(((vectors[document] - matrix[begin + question]) ** 2).sum(axis=1), places)
-                best = pd.DataFrame({"at": begin + question, "id": ids[document], "distance": distance}).sort_values(["at", "distance", "id"])
+                distance = np.round(((near[document] - matrix[begin + question]) ** 2).sum(axis=1), places)
+                best = pd.DataFrame({"at": begin + question, "id": ids[at[document]], "distance": distance}).sort_values(["at", "distance", "id"])
                 parts.append(best[best.groupby("at").cumcount() < k])
+            if not parts:
+                return pd.DataFrame({name: pd.Series(dtype=object) for name in names})
             best = pd.concat(parts)
             at = best.pop("at").to_numpy()
             best.insert(0, "row", asked["row"].to_numpy()[at])
@@ -257,16 +277,18 @@ def nearest_rings(questions: DataFrame, documents: DataFrame, k: int, places: in
 
     ``questions`` (question_id, embedding), ``documents`` (collection, id, embedding). Runs jobs.
     """
+    look = block_questions, block_rows
+    block_questions, block_rows = max(block_questions, PART_QUESTIONS), max(block_rows, RING_ROWS)
     rings = Rings(documents, k, block_rows)
     if not len(rings.pivots.value):
         kind = questions.schema["question_id"].dataType.simpleString()
         return rings.spark.createDataFrame([], f"question_id {kind}, collection string, id string, distance double")
     asked = stored(questions.select(F.monotonically_increasing_id().alias("row"), "question_id", "embedding"))
     homes = stored(rings.homes(asked))
-    first = stored(rings.meet(homes, places, block_questions))
+    first = stored(rings.meet(homes, places, block_questions, look))
     full = first.groupBy("row", "collection").agg(F.count(F.lit(1)).alias("found"), F.max("distance").alias("kth")).filter(F.col("found") >= k)
     # A rounded distance hides half a unit of the last place on either side.
     radius = F.sqrt(F.col("kth") + 10.0**-places)
     bounded = homes.join(full, ["row", "collection"], "left").withColumn("reach", F.least("reach", F.coalesce(radius, "reach")))
     further = stored(rings.others(bounded.select(*homes.columns)))
-    return first.unionByName(rings.meet(further, places, block_questions)).drop("row")
+    return first.unionByName(rings.meet(further, places, block_questions, look)).drop("row")

@@ -188,10 +188,10 @@ def _vectors_of(questions: DataFrame, documents: DataFrame) -> tuple[DataFrame,
 
 def nearest_join(questions: DataFrame, documents: DataFrame, k: int = 5, places: int = 6,
                  block_questions: int = 4096, block_rows: int = 8192) -> DataFrame:
-    """The same for any number of questions, through the pivot partition of ``pivots``: documents are stored once in blocks
-    of at most ``block_rows``, and a question meets only the blocks that the radius of its k-th candidate reaches.
-    Where vectors form clusters these are few; where they do not, every block is in reach. Vectors have one length.
-    Runs jobs.
+    """The same for any number of questions, through the pivot partition of ``pivots``: documents are stored once in rings,
+    and a question meets only the rings that the radius of its k-th candidate reaches. Where vectors form clusters these are
+    few; where they do not, every ring is in reach. A task compares ``block_questions`` with ``block_rows`` at a time; rings hold
+    at least ``pivots.RING_ROWS``, as questions are copied to each. Vectors have one length. Runs jobs.
     """
     wanted, held, _ = _vectors_of(questions, documents)
     return _ranked(nearest_rings(wanted, held, k, places, block_questions, block_rows), k)

@@ -108,6 +108,27 @@ def test_pivots_against_brute_force(spark, spread):
     assert {tuple(row[name] for name in ("question_id", "collection", "id", "distance", "rank")) for row in rows_of(found)} == brute(asked, stored, 4)
 
 
+def test_small_blocks_copy_no_questions(spark, monkeypatch):
+    """Blocks of 20 rows make no more rings, to each of which questions are copied, than large ones; smaller rings agree."""
+    stored = [("c" if n % 5 else "few", f"d{n:04}", vector) for n, vector in vectors(spark, 900, 3)]
+    asked = vectors(spark, 120, 4)
+    questions = spark.createDataFrame(asked, "question_id bigint, embedding array<double>").repartition(3)
+    documents = spark.createDataFrame(stored, "collection string, id string, embedding array<double>").repartition(5)
+    names = ("question_id", "collection", "id", "distance", "rank")
+    made, chosen = [], pivots.Rings
+
+    def rings(*options):
+        made.append(chosen(*options))
+        return made[-1]
+
+    monkeypatch.setattr(pivots, "Rings", rings)
+    for rows in (8192, 50):
+        monkeypatch.setattr(pivots, "RING_ROWS", rows, raising=False)
+        found = rt.nearest_join(questions, documents, 4, block_questions=16, block_rows=20)
+        assert {tuple(row[name] for name in names) for row in rows_of(found)} == brute(asked, stored, 4)
+    assert made[0].rings.count() == 2  # one of each collection, not one for every 20 rows
+
+
 def test_questions_meet_few_rings_of_clusters(spark):
     """Ten times the clusters are ten times the rings, but a question meets no more of them."""
     met = []
