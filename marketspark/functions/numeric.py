@@ -4,21 +4,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _away_from_ties(value: Column, places: int, near_tie: Column) -> Column:
-    """Rounding to the nearest in plain double arithmetic, ``near_tie`` where that could go wrong.
+def _nearest(value: Column, places: int) -> tuple[Column, Column, float]:
+    """The nearest whole number of units of the last place, whether it is far enough from a tie to be sure, and the scale.
 
     Spark's ``round`` takes every double through a decimal, most of the cost of a projection that
-    rounds. Off a tie both ways give the same double: the quotient of two exact numbers.
+    rounds. Off a tie both ways give the same double: the quotient of two exact numbers. Beyond 1e12 units none is sure. Few
+    operations, as many roundings share a projection, whose compiled method the JVM interprets when it is too long.
     """
     scale = 10.0**places
     scaled = value * scale
-    clear = (F.abs(scaled) < 1e12) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
-    return F.when(clear, F.floor(scaled + 0.5) / scale).otherwise(near_tie)
+    whole = F.rint(scaled)
+    clear = F.abs(scaled - whole) + F.abs(scaled) * 4.99e-13 < 0.499
+    # Zero loses its sign.
+    return whole + 0.0, clear, scale
 
 
 def half_up(value: Column, places: int) -> Column:
     """Library default: the value of Spark's own ``round``."""
-    return _away_from_ties(value, places, F.round(value, places))
+    whole, clear, scale = _nearest(value, places)
+    return F.when(clear, whole / scale).otherwise(F.round(value, places))
 
 
 def stable(value: Column, places: int) -> Column:
@@ -27,8 +31,8 @@ def stable(value: Column, places: int) -> Column:
     Rolling sums differ in their final bits from one engine (or partitioning) to another. Rounding
     four places finer first removes that noise, so equal data always gives equal output.
     """
-    scale = 10.0**places
-    return _away_from_ties(value, places, F.floor(F.round(value, places + 4) * scale + 0.5) / scale)
+    whole, clear, scale = _nearest(value, places)
+    return F.when(clear, whole).otherwise(F.floor(F.round(value, places + 4) * scale + 0.5)) / scale
 
 
 def safe_div(numerator: Column, denominator: Column) -> Column:

@@ -22,12 +22,14 @@ class Indicator:
     rolling: dict[str, Column]
     results: tuple[dict[str, Column], ...]
     chained: dict[str, Column] = field(default_factory=dict)
+    #: Results that the second windows read.
+    early: dict[str, Column] = field(default_factory=dict)
 
 
 def stack(df: DataFrame, *indicators: Indicator) -> DataFrame:
     rolling = {name: column for one in indicators for name, column in one.rolling.items()}
     chained = {name: column for one in indicators for name, column in one.chained.items()}
-    kept = [F.col(name) for name in df.columns] + [F.col(name) for one in indicators for step in one.results for name in step]
+    kept = [F.col(name) for name in df.columns] + [F.col(name) for one in indicators for step in (one.early, *one.results) for name in step]
     clashing = [name for name in df.columns if name in rolling or name in chained]
     if clashing:
         # The caller's own columns of these names wait in a struct.
@@ -35,10 +37,12 @@ def stack(df: DataFrame, *indicators: Indicator) -> DataFrame:
         kept = [F.col(f"{aside}.{name}").alias(name) if name in clashing else column for name, column in zip(df.columns, kept)] + kept[len(df.columns) :]
         df = df.withColumn(aside, F.struct(*clashing)).drop(*clashing)
     df = df.withColumns(rolling)
-    if chained:
-        df = df.withColumns(chained)
-    for steps in zip_longest(*[one.results for one in indicators], fillvalue={}):
-        df = df.withColumns({name: column for step in steps for name, column in step.items()})
+    # Results that need no second pass are projected before it: two projections around the windows compile to shorter methods than one.
+    for some in ([one for one in indicators if not one.chained], [one for one in indicators if one.chained]):
+        for windows in ("early", "chained"):
+            df = df.withColumns({name: column for one in some for name, column in getattr(one, windows).items()})
+        for steps in zip_longest(*[one.results for one in some], fillvalue={}):
+            df = df.withColumns({name: column for step in steps for name, column in step.items()})
     return df.select(*kept)
 
 
@@ -66,9 +70,10 @@ def macd_of(price="close", fast=12, slow=26, signal=9, by=("ticker",), rounding=
             "_fast": F.avg(price).over(trailing(fast, by)),
             "_slow": F.avg(price).over(trailing(slow, by)),
         },
-        chained={"_signal": F.avg(line).over(trailing(signal, by))},
+        early={"macd_line": line},
+        chained={"_signal": F.avg("macd_line").over(trailing(signal, by))},
         results=(
-            {"macd_line": line, "macd_signal": rounding(F.col("_signal"), 4)},
+            {"macd_signal": rounding(F.col("_signal"), 4)},
             {"macd_histogram": rounding(F.col("macd_line") - F.col("macd_signal"), 4)},
         ),
     )
