@@ -1,5 +1,8 @@
 import random
+import re
 import statistics
+from contextlib import redirect_stdout
+from io import StringIO
 
 import pytest
 from conftest import rows_of
@@ -10,6 +13,7 @@ from marketspark.functions.numeric import stable
 from marketspark.operators import indicators as ind
 from marketspark.operators import ranges
 from marketspark.operators import windows as wn
+from marketspark.operators.projections import indicator_view
 from marketspark.plans.clean import enrich
 from marketspark.plans.indicators import add_indicators
 
@@ -187,3 +191,38 @@ def test_parameters_and_labels(spark, make_bars):
     values = spark.createDataFrame([(70.0, 0.0), (70.1, 0.1), (29.9, -1.0), (None, None)], "rsi double, line double")
     found = values.select(labels.rsi_band(F.col("rsi")).alias("band"), labels.macd_sign(F.col("line")).alias("sign")).collect()
     assert [tuple(row) for row in found] == [("neutral", "bearish"), ("overbought", "bullish"), ("oversold", "bearish"), ("neutral", "bearish")]
+
+
+def test_projections_compile_to_short_methods(spark, make_bars):
+    """The JVM interprets a method of more than 8000 bytes, which makes a projection several times slower."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with redirect_stdout(StringIO()) as shown:
+            indicator_view(gold(make_bars({"A": walk(40, 14)})), stable).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("rows", [7, 200, 450])
+def test_ranges_are_cut_from_tasks(spark, monkeypatch, rows):
+    """Short ranges make no tasks and files of their own, and follow each other in order, over several tasks as well."""
+    monkeypatch.setattr(ranges, "TASK_ROWS", 300, raising=False)
+    frame = spark.range(2000).select((F.col("id") * 7919 % 1000).alias("x"), "id")
+    dealt = ranges.ranged(frame, ["x"], rows)
+    assert len(dealt.inputFiles()) <= 10 and dealt.select(*frame.columns).exceptAll(frame).isEmpty()
+    parts = sorted(tuple(row) for row in dealt.groupBy("_part").agg(F.min("x"), F.max("x"), F.count("*")).collect())
+    assert sum(part[3] for part in parts) == 2000 and max(part[3] for part in parts) <= 2 * rows
+    assert all(one[2] <= other[1] for one, other in zip(parts, parts[1:]))
+
+
+def test_split_series_over_many_tasks(spark, make_bars, monkeypatch):
+    """Tasks of 60 rows, fewer than a look-back: lead rows come over several of them. Nothing is joined by key or numbered again."""
+    monkeypatch.setattr(ranges, "TASK_ROWS", 60, raising=False)
+    monkeypatch.setattr(wn, "RANGE_ROWS", 60)
+    bars = make_bars({"A": walk(750, 15), "B": walk(200, 16), "C": walk(3, 17)})
+    whole, split = gold(bars), gold(bars, max_rows=200)
+    assert split.count() == 953 and whole.exceptAll(split).isEmpty()
+    plan = wn.split_series(bars, 200, 199)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
