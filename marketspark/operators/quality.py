@@ -118,7 +118,8 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``bytes`` and ``error`` of every file below a path that is not readable Parquet.
 
     Files with rows that Spark can read are fine; only the others are opened again, by tasks that parse their footer, to tell
-    those without rows from broken ones. Empty files are broken.
+    those without rows from broken ones. Empty files are broken. Runs a job: the names of the others reach the driver, as only
+    files that are named in the scan's filter are left closed or opened.
     """
     def probe(batches):
         import io
@@ -137,14 +138,16 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
 
     files = files_in(spark, path)
     plain = F.regexp_replace("file", "^([^:/]+):/+", "$1:/").alias("plain")
-    suspects = files.select("path", "bytes", plain)
+    suspects = files.select("path", "bytes", "file", plain)
     try:
         suspects = suspects.join(_readable(spark, path).select(plain), "plain", "left_anti")
     except AnalysisException as problem:
         # Not one footer tells a schema.
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise
-    contents = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("at"), "content")
+    names = [row["file"] for row in suspects.filter(F.col("bytes") > 0).select("file").collect()]
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    contents = contents.filter(F.col("_metadata.file_path").isin(names)).select(F.col("path").alias("at"), "content")
     opened = suspects.join(contents, F.col("path") == F.col("at"), "left").select("path", "bytes", "content")
     return opened.mapInPandas(probe, "path string, bytes bigint, error string")
 

@@ -65,6 +65,22 @@ def test_health(spark):
     assert {row["status"] for row in found.values()} == {"healthy"}
 
 
+def test_health_opens_no_readable_file_again(spark, tmp_path):
+    """A file longer than Spark may read whole is fine as long as its rows can be read; odd names of broken ones are found."""
+    spark.range(5000).coalesce(1).write.parquet(str(tmp_path / "a b" / "good"))
+    for name in ("a b/broken {1}.parquet", "50%25+[x].parquet"):
+        (tmp_path / name).write_text("no table")
+    (tmp_path / "empty.parquet").touch()
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        broken = {row["path"].rsplit("/", 1)[1]: row["bytes"] for row in rows_of(q.unreadable_files(spark, str(tmp_path)))}
+        (health,) = rows_of(q.dataset_health(spark, {"all": str(tmp_path)}))
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert broken == {"broken {1}.parquet": 8, "50%25+[x].parquet": 8, "empty.parquet": 0}
+    assert health["rows"] == 5000 and health["error"] == "UNREADABLE_FILES: 3"
+
+
 def test_universe_values(spark):
     tickers = spark.createDataFrame([(name,) for name in fv.TICKERS], "ticker string")
     assert {row["status"] for row in rows_of(q.evaluate(tickers, *q.universe_check()))} == {"passed"}
