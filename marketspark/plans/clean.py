@@ -11,6 +11,8 @@ from ..operators.windows import arrival_columns, daily_return, dedup_last, over_
 
 KEYS = ("date", "close", "ticker")
 
+#: Rows of a ticker, more than its calendar has days, from which on copies of its bars are dropped before the shuffle by ticker.
+CROWDED = 1 << 20
 
 
 def enrich(df: DataFrame, rounding=half_up, max_rows: int | None = None) -> DataFrame:
@@ -37,8 +39,20 @@ def _empty(df: DataFrame) -> DataFrame:
 
 def survivors(df: DataFrame, order=("ingested_at",)) -> DataFrame:
     """Typed rows with all keys, a positive close and sane highs and lows; one per ticker and date."""
-    kept = safe_cast(df).filter(_drop_reason().isNull())
-    return dedup_last(kept, ("ticker", "date"), order)
+    return dedup_last(_typed(df), ("ticker", "date"), order)
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    return safe_cast(df).filter(_drop_reason().isNull())
+
+
+def _by_ticker(df: DataFrame, order, keys=("ticker", "date")) -> DataFrame:
+    """The last copy of each bar, in a shuffle by ticker. Of crowded tickers, whose names are broadcast, no other copies enter it."""
+    sizes = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+    crowded = F.broadcast(sizes.filter(F.col("rows") > CROWDED).select("ticker"))
+    last = dedup_last(df.join(crowded, "ticker", "left_semi"), keys, order)
+    shuffled = df.join(crowded, "ticker", "left_anti").unionByName(last).select(*df.columns).repartition("ticker")
+    return dedup_last(shuffled, keys, order)
 
 
 def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=half_up, audit=True,
@@ -47,16 +61,28 @@ def clean_prices(df: DataFrame, source: str, order=("ingested_at",), rounding=ha
 
     A batch without date, ticker or close gives an empty result of the full shape. ``previous``: the clean bar before the
     batch of each ticker, whose close the first return needs.
+
+    The rows of a ticker meet in one shuffle and one sort, for the last copy of a bar and for the returns; before it the rows of
+    each ticker are counted, so that a bar of very many copies is not gathered. With ``max_rows`` copies are dropped in a
+    shuffle of their own.
     """
     if fl.missing_columns(df, KEYS):
         df, order = _empty(df), ()
-    valid, _ = fl.apply_rules(survivors(df, order))
     added = {"silver_processed_at": None, "data_source": source} if audit else {"data_source": source}
+    passes = F.coalesce(fl.follows_all(fl.price_rules()), F.lit(False))
     if previous is None:
-        return with_audit(enrich(valid, rounding, max_rows), **added)
-    earlier = previous.select(*[name for name in valid.columns if name in previous.columns], F.lit(True).alias("_earlier"))
-    both = valid.withColumn("_earlier", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
-    return with_audit(enrich(both, rounding, max_rows).filter(~F.col("_earlier")).drop("_earlier"), **added)
+        one = survivors(df, order) if max_rows is not None else _by_ticker(_typed(df), order)
+        return with_audit(enrich(one.filter(passes), rounding, max_rows), **added)
+    kept, mark = _typed(df), F.col("_earlier")
+    earlier = previous.select(*[name for name in kept.columns if name in previous.columns], F.lit(True).alias("_earlier"))
+    if max_rows is not None:
+        valid = survivors(df, order).filter(passes).withColumn("_earlier", F.lit(False))
+        both = valid.unionByName(earlier, allowMissingColumns=True)
+    else:
+        # Earlier bars share the shuffle; they are neither copies of the batch's bars nor judged again.
+        landed = kept.withColumn("_earlier", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
+        both = _by_ticker(landed, order, ("ticker", "date", "_earlier")).filter(passes | mark)
+    return with_audit(enrich(both, rounding, max_rows).filter(~mark).drop("_earlier"), **added)
 
 
 def rejects(df: DataFrame, order=("ingested_at",)) -> DataFrame:

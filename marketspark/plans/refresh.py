@@ -16,7 +16,7 @@ def refresh_source(bronze: DataFrame, source: str, root: str, order=("ingested_a
     """Silver and gold of one feed. ``max_rows`` cuts series that are no daily bars, as for the indicators."""
     spark = bronze.sparkSession
     cleaned = clean_prices(bronze, source, order, rounding, max_rows=max_rows)
-    writers.write_silver(cleaned, f"{root}/silver/prices/{source}")
+    writers.write_silver(cleaned, f"{root}/silver/prices/{source}", dealt=True)
     silver = readers.read_silver(spark, root, source).drop("year")
     gold = add_indicators(silver, max_rows=max_rows, rounding=rounding)
     writers.write_gold(gold, f"{root}/gold/indicators/{source}")

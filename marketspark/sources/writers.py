@@ -2,7 +2,8 @@
 
 Yearly tables are shuffled with the ``rebalance`` hint rather than ``repartition("year")``: small
 years end up in one file each, while adaptive execution splits a year that holds much of the data
-over many tasks and files.
+over many tasks and files. Rows that come out of a shuffle by ticker are already dealt evenly; ``dealt`` writes them from
+where they lie, one file per task and year, without a second shuffle.
 """
 
 from pyspark.sql import DataFrame
@@ -10,10 +11,15 @@ from pyspark.sql import DataFrame
 from ..operators.projections import with_year
 
 
-def _write_by_year(df: DataFrame, path: str, column: str = "date") -> None:
-    by_year = with_year(df, column).hint("rebalance", "year").sortWithinPartitions("year", "ticker", column)
+def by_year(df: DataFrame, column: str = "date", dealt: bool = False) -> DataFrame:
+    """The rows with their ``year``, in the order of a yearly table's files."""
+    rows = with_year(df, column)
+    return (rows if dealt else rows.hint("rebalance", "year")).sortWithinPartitions("year", "ticker", column)
+
+
+def _write_by_year(df: DataFrame, path: str, dealt: bool = False) -> None:
     (
-        by_year.write.mode("overwrite")
+        by_year(df, dealt=dealt).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
         .parquet(path)
@@ -25,10 +31,10 @@ def write_bronze_prices(df: DataFrame, path: str) -> None:
     _write_by_year(df, path)
 
 
-def write_silver(df: DataFrame, path: str) -> None:
+def write_silver(df: DataFrame, path: str, dealt: bool = False) -> None:
     """Silver prices by year, ordered by ticker in each file so that one ticker's row groups can be
-    skipped to; only the years present are replaced."""
-    _write_by_year(df, path)
+    skipped to; only the years present are replaced. ``dealt``: the rows come out of a shuffle by ticker."""
+    _write_by_year(df, path, dealt)
 
 
 def write_gold(df: DataFrame, path: str) -> None:

@@ -168,3 +168,24 @@ def test_columns_of_the_caller_stay(spark, make_bars):
         plain = found.select([column for column in found.columns if column not in bars.columns])
         assert not [column for column in plain.columns if column.startswith("_")]
     assert ind.rsi(bars).drop(*names).exceptAll(ind.rsi(bars.drop(*names))).isEmpty()
+
+
+def test_cleaning_shuffles_rows_once(spark, make_bars, monkeypatch):
+    """Copies and returns share the shuffle by ticker; of a crowded ticker only last copies enter it, with the same result."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    raw = make_bars({"A": [float(n + 1) for n in range(40)], "B": [3.0, 4.0, 2.0]})
+    copies = raw.withColumn("ingested_at", F.lit(1)).unionByName(
+        raw.filter("ticker = 'A'").withColumns({"close": F.col("close") + 0.5, "ingested_at": F.lit(2)})
+    )
+    cleaned = clean.clean_prices(copies, "feed", audit=False)
+    by_ticker = [line for line in plan(cleaned).splitlines() if "Exchange hashpartitioning(ticker" in line and "REPARTITION_BY_COL" in line]
+    assert len(by_ticker) == 1 and "WindowGroupLimit" in plan(cleaned)
+    # Above the repartition neither copies nor returns need another exchange.
+    assert "Exchange" not in plan(cleaned).split("REPARTITION_BY_COL")[0].rsplit("Exchange hashpartitioning(ticker", 1)[0]
+    plain = rows_of(cleaned, "ticker", "date")
+    assert [row["close"] for row in plain][:2] == [1.5, 2.5] and len(plain) == 43
+    monkeypatch.setattr(clean, "CROWDED", 10)
+    assert rows_of(clean.clean_prices(copies, "feed", audit=False), "ticker", "date") == plain
+    assert rows_of(clean.clean_prices(copies, "feed", audit=False, max_rows=5), "ticker", "date") == plain

@@ -3,7 +3,7 @@ from conftest import TINY, rows_of
 from checks import fixtures as fx
 from marketspark.plans import clean, marts, refresh
 from marketspark.operators.projections import stg_prices
-from marketspark.sources import readers
+from marketspark.sources import readers, writers
 
 
 def test_full_run_over_two_feeds(spark, tmp_path):
@@ -28,3 +28,20 @@ def test_rerun_gives_the_same_tables(spark, tmp_path):
     first = rows_of(refresh.refresh({"feed": raw}, str(tmp_path), order=fx.ARRIVAL)["tables"]["mart_daily_returns"], "ticker")
     again = rows_of(refresh.refresh({"feed": raw}, str(tmp_path), order=fx.ARRIVAL)["tables"]["mart_daily_returns"], "ticker")
     assert first == again
+
+
+def test_silver_is_written_without_a_second_shuffle(spark, tmp_path, monkeypatch):
+    """Rows dealt by ticker are written by year from where they lie."""
+    plans = []
+    written = writers.by_year
+
+    def seen(df, *args, **options):
+        plans.append(written(df, *args, **options))
+        return plans[-1]
+
+    monkeypatch.setattr(writers, "by_year", seen)
+    raw = fx.raw_prices(spark, TINY)
+    refresh.refresh_source(raw, "feed", str(tmp_path), fx.ARRIVAL)
+    (plan,) = [df._jdf.queryExecution().optimizedPlan().toString() for df in plans]
+    assert "RebalancePartitions" not in plan
+    assert readers.read_silver(spark, str(tmp_path), "feed").count() == clean.clean_prices(raw, "feed", fx.ARRIVAL).count()
