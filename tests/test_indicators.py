@@ -226,3 +226,20 @@ def test_split_series_over_many_tasks(spark, make_bars, monkeypatch):
     assert split.count() == 953 and whole.exceptAll(split).isEmpty()
     plan = wn.split_series(bars, 200, 199)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_slow_mean_adds_fast_sums(spark, make_bars):
+    """The slow window is no frame of its own, and is the mean over it: at a start, over gaps, over very large and tiny closes."""
+    closes = [float(n * n % 97 + 1) * (1e9 if 300 < n < 330 else 1e-3 if n % 11 == 0 else 1.0) for n in range(700)]
+    bars = make_bars({"A": closes, "B": [0.1] * 260, "C": [-1.0] * 60 + [2.0] * 3}).withColumn("close", F.nullif("close", F.lit(-1.0)))
+    found = ind.moving_averages(bars, rounding=lambda value, places: value)
+    assert "-199" not in found._jdf.queryExecution().optimizedPlan().toString()
+    wanted = bars.withColumn("mean", F.avg("close").over(wn.trailing(200)))
+    rows = rows_of(found.join(wanted.select("ticker", "date", "mean"), ["ticker", "date"]), "ticker", "date")
+    assert len(rows) == 1023
+    for row in rows:
+        assert (row["sma_200"] is None) == (row["mean"] is None)
+        assert row["mean"] is None or row["sma_200"] == pytest.approx(row["mean"], rel=1e-13)
+    odd = ind.moving_averages(bars, fast=7, slow=20)
+    plain = bars.withColumn("sma", F.round(F.avg("close").over(wn.trailing(20)), 4))
+    assert odd.join(plain, ["ticker", "date"]).filter(~F.col("sma_20").eqNullSafe(F.col("sma"))).isEmpty()
