@@ -96,3 +96,19 @@ def test_broken_files_are_rows(spark, tmp_path):
     (only / "a.parquet").write_bytes(whole[:-20])
     (row,) = rows_of(q.dataset_health(spark, {"only": str(only)}))
     assert (row["rows"], row["error"]) == (None, "UNREADABLE_FILES: 1")
+
+
+def test_only_bronze_is_dealt_by_year(spark, tmp_path, monkeypatch):
+    """Silver and gold come out of a shuffle by ticker and are written from where they lie."""
+    plans, written = [], incremental.by_year
+
+    def seen(df, **options):
+        plans.append(written(df, **options))
+        return plans[-1]
+
+    monkeypatch.setattr(incremental, "by_year", seen)
+    first = bars(spark, {"A": [1.0 + n for n in range(80)], "B": [5.0, 6.0]})
+    lake = incremental.Lake(spark, str(tmp_path), "feed", ("arrival",))
+    lake.refresh(first)
+    assert ["RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString() for df in plans] == [True, False, False]
+    same(lake, first)
