@@ -31,36 +31,50 @@ def files_in(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     names = found.inputFiles()
-    listed = spark.createDataFrame([(name,) for name in names], "file string")
-    sizes = found.select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
     # The two differ in the slashes behind the scheme.
     plain = F.regexp_replace("file", "^([^:/]+):/+", "$1:/").alias("plain")
-    empty = listed.select("file", plain).join(sizes.select(plain), "plain", "left_anti").select(F.url_decode(F.replace("plain", F.lit("+"), F.lit("%2B"))).alias("path"), "file", F.lit(0).cast("bigint").alias("bytes"))
-    return sizes.unionByName(empty)
+    listed = spark.createDataFrame([(name,) for name in names], "file string").select(F.col("file").alias("name"), plain)
+    sizes = found.select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes")).select("*", plain)
+    return sizes.join(listed, "plain", "full").select(
+        F.coalesce("path", F.url_decode(F.replace("plain", F.lit("+"), F.lit("%2B")))).alias("path"),
+        F.coalesce("file", "name").alias("file"),
+        F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"),
+    )
 
 
 #: How landed CSV files are written: quotes are doubled inside quotes, blanks around fields do not count.
 _CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
 
 
+_NUMBERS = ("open", "high", "low", "close", "volume")
+
+
 def _positions(number: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{place}", T.StringType()) for place in range(number)])
 
 
-def _headers(spark: SparkSession, paths) -> DataFrame:
-    """``file`` and ``names``: the first line of each file that is not blank, as normalised names. Only beginnings of files are
-    parsed; the first of a file's lines in a task is the first of its first split."""
-    lines = _landed(spark, paths).text(paths).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
-    place = F.monotonically_increasing_id()
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
-    first = stored(first.groupBy("file").agg(F.min_by("value", "place").alias("line")))
+def _ddl(shape: T.StructType) -> str:
+    return ", ".join(f"{name} string" for name in shape.names)
+
+
+def _lines(spark: SparkSession, paths) -> DataFrame:
+    """``file``, ``value`` and ``place`` of every line; ``place`` is null behind a file's first split and grows within the first,
+    which one task reads."""
+    first = F.col("_metadata.file_block_start") == 0
+    return _landed(spark, paths).text(paths).select(F.col("_metadata.file_path").alias("file"), "value", F.when(first, F.monotonically_increasing_id()).alias("place"))
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """``file``, ``first`` and ``names``: the first line of each file that is not blank, its place and its normalised names."""
+    begun = lines.filter(F.col("place").isNotNull() & (F.trim("value") != ""))
+    first = stored(begun.groupBy("file").agg(F.min_by("value", "place").alias("line"), F.min("place").alias("first")))
     # No more fields than commas.
     commas = first.agg(F.max(F.length("line") - F.length(F.replace("line", F.lit(","), F.lit(""))))).first()[0] or 0
     shape = _positions(commas + 1)
-    fields = F.from_csv("line", F.lit(shape.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), _CSV)
-    names = first.select("file", fields.alias("fields")).select("file", F.array(*[F.col(f"fields.{name}") for name in shape.names]).alias("names"))
+    fields = F.from_csv("line", F.lit(_ddl(shape)), _CSV)
+    names = first.select("file", "first", fields.alias("fields")).select("file", "first", F.array(*[F.col(f"fields.{name}") for name in shape.names]).alias("names"))
     plain = F.transform("names", lambda name: normalised(F.replace(name, F.lit("\ufeff"), F.lit(""))))
-    return names.select("file", plain.alias("names"))
+    return names.select("file", "first", plain.alias("names"))
 
 
 def _landed(spark: SparkSession, paths):
@@ -76,7 +90,9 @@ def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int
     be quoted and hold commas then. Files without a date column give no rows, as do lines without a
     readable date. Files are split like any text, so a single very long one is still read by many tasks; with
     ``quoted_breaks`` quoted fields may hold line breaks, and a file is then read by one task.
-    ``with_file`` adds the path of each row's file. Runs a job that reads the headers and stores them, one row per file.
+    ``with_file`` adds the path of each row's file. Runs jobs that read the headers and store them, one row per file. Opening
+    many small files costs more than their lines, so files are listed and opened once and all lines stored; with ``quoted_breaks``,
+    where a record is not a line, files are opened twice.
     """
     paths = path
     if limit_files is not None:
@@ -84,21 +100,32 @@ def read_bulk_csv(spark: SparkSession, path: str, source: str, limit_files: int
         paths = [row.path for row in first.collect()]
         if not paths:
             raise FileNotFoundError(f"no CSV files below {path}")
-    headers = _headers(spark, paths)
+    lines = _lines(spark, paths)
+    if not quoted_breaks:
+        lines = stored(lines)
+    headers = _headers(lines)
     number = headers.agg(F.max(F.size("names"))).first()[0] or 1
+    # Where a file has a field, from 0; null, as is every value there, where it has none.
+    places = [(F.nullif(F.array_position("names", name), F.lit(0)) - 1).cast("int").alias(name) for name in ("date", *_NUMBERS, "open_interest")]
+    headers = headers.select("file", "first", F.struct(*places).alias("places"))
     shape = _positions(number)
-    # The reader drops each file's header and takes the columns by their place.
-    rows = _landed(spark, paths).options(**_CSV, header="true", multiLine=str(quoted_breaks).lower()).schema(shape).csv(paths)
-    values = F.array(*[F.trim(name) for name in shape.names]).alias("values")
-    # One header row per file; how it is joined is left to its measured size.
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), values).join(headers, "file")
+    values = F.array(*[F.trim(f"fields.{name}") for name in shape.names]).alias("values")
+    if quoted_breaks:
+        # The reader drops each file's header and takes the columns by their place.
+        rows = _landed(spark, paths).options(**_CSV, header="true", multiLine="true").schema(shape).csv(paths)
+        rows = rows.select(F.col("_metadata.file_path").alias("file"), F.struct(*shape.names).alias("fields"))
+        # One header row per file; how it is joined is left to its measured size.
+        rows = rows.join(headers, "file")
+    else:
+        rows = lines.join(headers, "file").filter(F.col("place").isNull() | (F.col("place") > F.col("first")))
+        rows = rows.select("file", "places", F.from_csv("value", F.lit(_ddl(shape)), _CSV).alias("fields"))
+    rows = rows.select("file", "places", values)
 
     def field(name: str) -> Column:
-        place = F.array_position("names", name)
-        return F.when(place > 0, F.get("values", (place - 1).cast("int")))
+        return F.get("values", F.col("places")[name])
 
     date = field("date").try_cast("timestamp_ntz")
-    numbers = [field(name).try_cast("double").alias(name) for name in ("open", "high", "low", "close", "volume")]
+    numbers = [field(name).try_cast("double").alias(name) for name in _NUMBERS]
     return rows.select(
         date.alias("date"),
         ticker_of(F.col("file")).alias("ticker"),

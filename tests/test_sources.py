@@ -7,6 +7,7 @@ from conftest import TINY, rows_of
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from checks import queries
 from marketspark import fixed_values as fv
 from marketspark import schemas
 from marketspark.functions.text import cik_of
@@ -41,6 +42,25 @@ def test_bulk_csv(spark, bulk):
     assert {row["source"] for row in rows} == {"bulk"}
 
 
+def test_bulk_csv_opens_files_once(spark, bulk):
+    """The headers and the rows come from lines that one scan of the landed files has stored."""
+    rows = readers.read_bulk_csv(spark, bulk, "bulk")
+    assert not [name for name in rows.inputFiles() if name.endswith((".csv", ".txt"))]
+    assert len(rows_of(rows)) == 4
+
+
+def test_bulk_csv_long_file(spark, tmp_path):
+    """A file of many splits: one header, lines that look like it are data, and all rows are there."""
+    (tmp_path / "a.csv").write_text("Close,Date\n" + "".join(f"{k},2020-01-{k % 28 + 1:02}\n" for k in range(40000)) + "Close,Date\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        rows = readers.read_bulk_csv(spark, str(tmp_path), "bulk")
+        assert [tuple(row) for row in rows.agg(F.count("date"), F.sum("close"), F.count("*")).collect()] == [(40000, 799980000.0, 40000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_bulk_csv_quotes(spark, tmp_path):
     folder = tmp_path / "quoted"
     folder.mkdir()
@@ -76,6 +96,24 @@ def test_files_in_lists_empty_files(spark, bulk, tmp_path):
     assert rows["empty.txt"] == 0 and rows["odd name+%.csv"] == 0 and rows["nodate.csv"] == 15 and len(rows) == 6
 
 
+def test_land(spark, tmp_path):
+    """One file for each key, header first, in the folders of ``partitionBy``; tasks write it, so there are no checksums beside it."""
+    folder = str(tmp_path / "landed")
+    rows = [("T1", 0, 1, "b"), ("T1", 0, 0, "head"), ("T1", 0, 1, "a"), ("T1", 1, 1, "c"), ("T2", None, 1, "d"), (None, 1, 1, '"two\nlines"')]
+    queries._land(spark.createDataFrame(rows, "ticker string, half int, place int, value string"), folder, ["ticker", "half"], "csv")
+    found = {str(file.parent.relative_to(folder)): file.read_text() for file in Path(folder).rglob("*") if file.is_file()}
+    none = "__HIVE_DEFAULT_PARTITION__"
+    assert found == {
+        "ticker=T1/half=0": "head\na\nb\n", "ticker=T1/half=1": "c\n", f"ticker=T2/half={none}": "d\n", f"ticker={none}/half=1": '"two\nlines"\n',
+    }
+    assert len([file for file in Path(folder).rglob("*") if file.is_file()]) == 4
+
+
+def test_files_in_scans_once(spark, bulk, capsys):
+    readers.files_in(spark, bulk, "*.{csv,txt}").explain()
+    assert capsys.readouterr().out.count("FileScan binaryFile") == 1
+
+
 def test_load_summary(spark, bulk, tmp_path):
     written = str(tmp_path / "bronze")
     writers.write_bronze_prices(readers.read_bulk_csv(spark, bulk, "bulk", with_file=True), written)
