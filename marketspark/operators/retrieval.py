@@ -148,8 +148,12 @@ def _best(k: int, places: int):
     return best
 
 
+#: Questions that one scan of the documents answers.
+FEW_QUESTIONS = 1024
+
+
 def nearest(questions: DataFrame, documents: DataFrame, k: int = 5, places: int = 6,
-            max_questions: int = 1024) -> DataFrame:
+            max_questions: int = FEW_QUESTIONS) -> DataFrame:
     """The k nearest documents of each collection for a few questions, by exact squared distance.
 
     ``questions``: (question_id, embedding); ``documents``: (collection, id, embedding). Distances

@@ -79,10 +79,11 @@ def performance(returns: DataFrame, limit: int = 10) -> DataFrame:
 
 def retrieve(questions: DataFrame, documents: DataFrame, n: int = 5, embedder: rt.Embedder | None = None, instruction: str = rt.INSTRUCTION) -> DataFrame:
     """Context and prompt for every row of (question_id, question), whatever their number. Runs jobs: the documents are
-    stored first, as search and text both read them."""
+    stored first, as search and text both read them. Up to ``rt.FEW_QUESTIONS`` are sent to the documents; for more these are dealt to rings."""
     documents = stored(documents.select("collection", "id", "text", "embedding"))
     asked = rt.embed(questions, "question", embedder)
-    hits = rt.with_text(rt.nearest_join(asked, documents, n), documents)
+    few = asked.limit(rt.FEW_QUESTIONS + 1).count() <= rt.FEW_QUESTIONS
+    hits = rt.with_text((rt.nearest if few else rt.nearest_join)(asked, documents, n), documents)
     found = questions.join(rt.assemble_context(hits), "question_id", "left")
     context = F.coalesce(F.col("context"), F.lit(fv.NO_DOCUMENTS))
     return found.select(

@@ -237,3 +237,17 @@ def test_search_moves_no_documents(spark, filings, news):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
     assert documents.select(F.size("embedding")).first()[0] == 256
+
+
+def test_retrieve_deals_only_many_questions_to_rings(spark, filings, news, monkeypatch):
+    """Few questions are answered by one scan, with the same contexts as those that the rings give."""
+    documents = rt.build_documents(filings, news)
+    questions = spark.createDataFrame([(1, "T1 annual report"), (2, "good news"), (2, "bad news"), (None, "T2")], "question_id int, question string")
+    asked = []
+    rings = rt.nearest_join
+    monkeypatch.setattr(rt, "nearest_join", lambda *given: asked.append(given) or rings(*given))
+    scanned = [tuple(row) for row in reports.retrieve(questions, documents, 2).orderBy("question_id", "question").collect()]
+    assert not asked
+    monkeypatch.setattr(rt, "FEW_QUESTIONS", 3)
+    assert [tuple(row) for row in reports.retrieve(questions, documents, 2).orderBy("question_id", "question").collect()] == scanned
+    assert len(asked) == 1
