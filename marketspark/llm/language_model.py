@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from marketspark.llm import bloom
 from marketspark.llm.training import packed, unpacked
-from marketspark.llm.words import Words, mix, release, releasing, slices, text_bytes
+from marketspark.llm.words import Words, mix, release, releasing, row_key, slices, text_bytes
 from marketspark.sources.scratch import emptied, new_folder, stored
 
 FREQUENT = 1 << 22
@@ -45,8 +45,10 @@ SIGN = -(1 << 63)
 END = np.uint64(0x5DEECE66D)
 #: Pairs and keys are split by hash into one part for so many tokens to learn from. A part of a table fits a task.
 PART = 1 << 19
-#: A task adds up so many answers before it gives them out.
+#: A task adds up so many entries, and gives them out when half as many different keys are left. Asks are dealt in the same numbers.
 ANSWERS = 1 << 20
+#: Scored texts are put together in groups by hash, so many at least, of about so many texts.
+GROUPS, GROUP = 256, 1 << 17
 #: Rows of the joined table that a task deals to parts at once.
 TOLD = 1 << 18
 #: The middle of a level, as a multiple of its lower end.
@@ -69,14 +71,49 @@ class Tokens:
         self.starts = self.ends - counts
 
 
+class Sums:
+    """Adds up values by key as they come, in bounded memory."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def total(self) -> tuple[np.ndarray, ...]:
+        """The different keys and the sum of each of their values."""
+        key, *values = (np.concatenate(arrays) for arrays in zip(*self.held, strict=True))
+        keys, back = np.unique(key, return_inverse=True)
+        return keys, *[np.bincount(back, x, len(keys)).astype(x.dtype) for x in values]
+
+    def add(self, *arrays: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Takes keys and their values; gives the sums out if they are too many to hold."""
+        self.held.append(arrays)
+        self.size += len(arrays[0])
+        if self.size > ANSWERS:
+            self.held = [self.total()]
+            self.size = len(self.held[0][0])
+            if self.size > ANSWERS // 2:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[tuple[np.ndarray, ...]]:
+        if self.size:
+            yield self.total()
+        self.held, self.size = [], 0
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``hash``, ``n`` of every token of ``text`` (bytes)."""
 
+    def given(found: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["hash", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
         for batch in batches:
             for _, data, offsets in slices(batch, "text"):
-                found, counts = np.unique(Tokens(data, offsets).hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["hash", "n"])
+                for one in sums.add(*np.unique(Tokens(data, offsets).hashes, return_counts=True)):
+                    yield given(*one)
+        for one in sums.rest():
+            yield given(*one)
 
     return docs.select("text").mapInArrow(releasing(run), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
@@ -138,7 +175,9 @@ def dealt(keys: np.ndarray, parts: int, kind: int, columns: list[np.ndarray]) ->
 
 
 DEALT = "part long, kind int, packed binary"
-COUNTED = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("level", pa.int32()), ("part", pa.int64()), ("bits", pa.binary())])
+#: What the broadcast tables know of a text.
+COUNTS, SUMS = ["n_tokens", "n_frequent", "n_seen"], ["single", "model"]
+COUNTED = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("level", pa.int32()), ("c", pa.int64()), ("part", pa.int64()), ("bits", pa.binary())])
 
 
 def gathered(blobs: list, columns: int) -> np.ndarray:
@@ -164,9 +203,10 @@ def unary(pairs: np.ndarray, level: np.ndarray, base: int) -> np.ndarray:
 
 
 def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
-    """Codes ``h``, ``w`` and ``level`` of all pairs, in the order of their ids. Counted within slices first, so a very
-    common pair is few entries; then part by part. One more row of each part, without codes, has the filter of the
-    part's pairs of frequent words in ``part``, ``bits``."""
+    """Codes ``h``, ``w`` and ``level`` of all pairs, in the order of their ids, and ``c``, the count of w if it is frequent.
+    Counted within slices first, so a very common pair is few entries; then part by part. One more row of each part,
+    without codes, has the filter of the part's pairs of frequent words in ``part``, ``bits``."""
+    words: list[np.ndarray] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(unpacked(vocabulary.value))
@@ -188,17 +228,23 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
         frequent = ids < MIXED
         entered = unary(ids[frequent], level[frequent].astype(np.int64), 0)
         filled = bloom.filled(entered, bloom.blocks_for(len(entered)))
-        one = {"h": [None], "w": [None], "level": [None], "part": [rows.column("part")[0].as_py()], "bits": [filled.tobytes()]}
+        if not words:
+            # A task's copy of the function counts part after part.
+            words.append(unpacked(vocabulary.value)["counts"])
+        h, w = h[order], w[order]
+        rare = w >= RARE
+        c = pa.array(np.append(words[0], 0)[np.where(rare, -1, w)], mask=rare)
+        one = {"h": [None], "w": [None], "level": [None], "c": [None], "part": [rows.column("part")[0].as_py()], "bits": [filled.tobytes()]}
         none = pa.nulls(len(order))
         found = pa.concat_tables([
-            pa.table({"h": h[order], "w": w[order], "level": level, "part": none.cast(pa.int64()), "bits": none.cast(pa.binary())}, COUNTED),
+            pa.table({"h": h, "w": w, "level": level, "c": c, "part": none.cast(pa.int64()), "bits": none.cast(pa.binary())}, COUNTED),
             pa.table(one, COUNTED),
         ])
-        del h, w, n, order, rows, ids, entered
+        del h, w, n, c, rare, order, rows, ids, entered
         release()
         return found
 
-    return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int, part long, bits binary")
+    return docs.select("text").mapInArrow(releasing(run), DEALT).groupBy("part").applyInArrow(count, "h long, w long, level int, c long, part long, bits binary")
 
 
 def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
@@ -213,18 +259,12 @@ def coded_counts(counted: DataFrame, vocabulary) -> DataFrame:
     return counted.select("hash", "n").mapInArrow(run, "code long, n long")
 
 
-def with_words(pairs: DataFrame, coded: DataFrame, vocabulary) -> DataFrame:
-    """``h``, ``w``, ``level``, and ``c``, the count of w. Only rare words are joined, so no key has many rows; these
-    pairs are stored, as they are read repeatedly. Runs a job."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = unpacked(vocabulary.value)["counts"]
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts[batch.column(1).to_numpy()])], ["h", "w", "level", "c"])
-
-    frequent = pairs.where(F.col("w") < RARE).select("h", "w", "level").mapInArrow(run, "h long, w long, level int, c long")
+def with_words(pairs: DataFrame, coded: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``h``, ``w``, ``level``, and ``c``, the count of w: of frequent words, which have it, and of rare ones. Only rare
+    words are joined, so no key has many rows; these pairs are stored in ``folder``, as they are read repeatedly. Runs a job."""
     words = coded.where(F.col("code") >= RARE).select(F.col("code").alias("w"), F.col("n").alias("c"))
-    return frequent.unionByName(stored(pairs.where(F.col("w") >= RARE).join(words, "w").select("h", "w", "level", "c")))
+    rare = pairs.where(F.col("w") >= RARE).select("h", "w", "level").join(words, "w").select("h", "w", "level", "c")
+    return pairs.where(F.col("w") < RARE).select("h", "w", "level", "c"), stored(rare, folder)
 
 
 def contexts(priced: DataFrame, coded: DataFrame, total: int) -> DataFrame:
@@ -287,15 +327,16 @@ def weights(arrays: dict[str, np.ndarray]) -> np.ndarray:
     return arrays["shrink"] - np.log10(np.maximum(arrays["counts"], 1))
 
 
-def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+def joined_counts(before_frequent: DataFrame, before_rare: DataFrame, coded: DataFrame, found: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """What is neither broadcast nor in the parts' filters: ``key`` and ``gain``, in single precision for a small shuffle.
+    The pairs come as ``with_words`` gives them.
 
     Keys are codes of rare words and their complements, for words whose pair the filter knows, both with the word's
     count, which is less than 2^24; codes of rare contexts with the sign bit, with what they add to a score; and ids
     of pairs, which put the pair's probability in place of the word's own.
     """
     base, none = int(model["base"][0]), log_total(model)
-    sent = priced.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
+    sent = coded.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = unpacked(sent.value)
@@ -307,10 +348,10 @@ def joined_counts(priced: DataFrame, coded: DataFrame, found: DataFrame, model:
 
     rare = F.col("h") >= RARE
     shape = "key long, h long, gain double"
-    after_frequent = priced.where(~rare & (F.col("w") >= RARE) & (F.col("level") < base)).mapInArrow(run, shape)
+    after_frequent = before_rare.where(~rare & (F.col("level") < base)).mapInArrow(run, shape)
     rare_contexts = found.where(rare)
     gain = F.col("gain") + F.col("shrink") - F.log10("c") - F.col("backoff")
-    after_rare = priced.where(rare).mapInArrow(run, shape).join(rare_contexts, "h")
+    after_rare = before_frequent.where(rare).unionByName(before_rare.where(rare)).mapInArrow(run, shape).join(rare_contexts, "h")
     words = coded.where(F.col("code") >= RARE)
     columns = lambda key, gain: [key.alias("key"), gain.cast("float").alias("gain")]
     parts = [
@@ -340,82 +381,131 @@ def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def summed(answered: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """The sums of each row over arrays of rows, ``known``, ``single`` and ``model``."""
-    row, known, single, model = (np.concatenate(arrays) for arrays in zip(*answered, strict=True))
-    rows, back = np.unique(row, return_inverse=True)
-    sums = [np.bincount(back, x, len(rows)).astype(kind) for x, kind in ((known, np.int64), (single, np.float64), (model, np.float64))]
-    return pa.RecordBatch.from_arrays([pa.array(rows), *map(pa.array, sums)], ["row", "known", "single", "model"])
+def widened(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
+    """The batch with nulls in the columns of the schema that it does not have."""
+    own = set(batch.schema.names)
+    return pa.RecordBatch.from_arrays([batch.column(one.name) if one.name in own else pa.nulls(len(batch), one.type) for one in schema], schema=schema)
 
 
-def answers(rows: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """``row``, ``known``, ``single``, ``model``: what ``joined`` and the parts' ``filters`` add to the rows that ask for
-    ``keys``, by part, so a row may come several times. A task holds the filter and the sorted table of one part; what is
-    asked streams by."""
+def answered(asks: DataFrame, joined: DataFrame, filters: DataFrame, model: dict[str, np.ndarray], groups: int) -> DataFrame:
+    """What ``joined`` and the parts' ``filters`` answer to the ``asks`` (kind 1), part by part. A task holds the filter and the
+    sorted table of one part; what is asked streams by. Out of all its parts a task adds up the answers to each row, and
+    deals ``row``, ``known``, ``single``, ``model`` to groups by the row; texts (kind 2) go to the same groups unchanged."""
     parts, below, none = parts_for(int(model["n"][0])), int(model["base"][0]) - 1, log_total(model)
-    sent = rows.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("keys")
-            row = np.repeat(batch.column("row").to_numpy(), np.diff(lists.offsets.to_numpy()))
-            yield from dealt(lists.flatten().to_numpy(), parts, 1, [lists.flatten().to_numpy(), row])
+    sent = asks.sparkSession.sparkContext.broadcast(packed({name: model[name] for name in ("counts", "shrink", "backoff")}))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in together(batches):
             key, gain = (column.to_numpy() for column in some.columns)
             yield from dealt(key, parts, 0, [key, gain.view(np.int32).astype(np.int64)])
 
+    def found(part: int, blobs: list, filled: np.ndarray | None, table: list, blob, arrays: tuple) -> Iterator[tuple[np.ndarray, ...]]:
+        logs, after, backoff = arrays
+        if not table:
+            keys, bits = gathered(blobs, 2)
+            order = np.argsort(keys)
+            table += [keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)]
+            blobs.clear()
+        asked, row = gathered([blob.as_buffer()], 2)
+        both = (asked >= 0) & (asked < MIXED)
+        if filled is not None and both.any():
+            pairs = asked[both]
+            level, hit = met(pairs, filled)
+            # Higher levels are in the filter that was asked before.
+            pairs, level = pairs[hit], np.minimum(level[hit], below)
+            h, w = pairs >> 32, pairs & 0xFFFFFFFF
+            gain = np.minimum(worth(level) + after[h], 0) - logs[w] + none - backoff[h]
+            yield row[both][hit], np.zeros(len(gain), dtype=np.int64), np.zeros(len(gain)), gain
+        asked, row = asked[~both], row[~both]
+        at = np.searchsorted(table[0], asked)
+        at[at == len(table[0])] = 0
+        hit = table[0][at] == asked if len(table[0]) else np.zeros(len(asked), dtype=bool)
+        asked, gain = asked[hit], table[1][at[hit]]
+        # A word's code is positive, its complement is negative; both have the other bits of a code.
+        word = asked >= RARE
+        either = word | (asked < -RARE)
+        log = np.log10(np.where(either, gain, 0.0) + 1)
+        yield row[hit], either.astype(np.int64), np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain))
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = unpacked(sent.value)
-        logs, after = np.log10(arrays["counts"] + 1.0), weights(arrays)
-        part, blobs, table, filled = -1, [], None, None
-        answered, waiting = [], 0
+        known = np.log10(arrays["counts"] + 1.0), weights(arrays), arrays["backoff"]
+        part, blobs, table, filled = -1, [], [], None
+        sums, schema = Sums(), None
+
+        def given(row: np.ndarray, count: np.ndarray, single: np.ndarray, gain: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for one in dealt(row, groups, 1, [row, count, single.view(np.int64), gain.view(np.int64)]):
+                yield widened(one, schema)
+
         for batch in batches:
-            for own, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("packed"), strict=True):
+            schema, kinds = batch.schema, batch.column("kind").to_numpy()
+            if (kinds == 2).any():
+                texts = batch.filter(pa.array(kinds == 2))
+                group = mix(texts.column("row").to_numpy().view(np.uint64)) % np.uint64(groups)
+                yield texts.set_column(schema.get_field_index("part"), schema.field("part"), pa.array(group.astype(np.int64)))
+            for own, kind, blob in zip(batch.column("part").to_pylist(), kinds.tolist(), batch.column("packed"), strict=True):
                 if own != part:
-                    part, blobs, table, filled = own, [], None, None
+                    part, blobs, table, filled = own, [], [], None
                 if kind < 0:
                     filled = np.frombuffer(blob.as_buffer(), dtype=np.uint8)
-                    continue
-                if kind == 0:
+                elif kind == 0:
                     blobs.append(blob.as_buffer())
-                    continue
-                if table is None:
-                    keys, bits = gathered(blobs, 2)
-                    order = np.argsort(keys)
-                    table, blobs = (keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)), []
-                asked, row = gathered([blob.as_buffer()], 2)
-                both = (asked >= 0) & (asked < MIXED)
-                if filled is not None and both.any():
-                    pairs = asked[both]
-                    level, hit = met(pairs, filled)
-                    # Higher levels are in the filter that was asked before.
-                    pairs, level = pairs[hit], np.minimum(level[hit], below)
-                    h, w = pairs >> 32, pairs & 0xFFFFFFFF
-                    gain = np.minimum(worth(level) + after[h], 0) - logs[w] + none - arrays["backoff"][h]
-                    answered.append((row[both][hit], np.zeros(len(gain)), np.zeros(len(gain)), gain))
-                    waiting += len(gain)
-                asked, row = asked[~both], row[~both]
-                at = np.searchsorted(table[0], asked)
-                at[at == len(table[0])] = 0
-                hit = table[0][at] == asked if len(table[0]) else np.zeros(len(asked), dtype=bool)
-                asked, gain = asked[hit], table[1][at[hit]]
-                # A word's code is positive, its complement is negative; both have the other bits of a code.
-                word = asked >= RARE
-                either = word | (asked < -RARE)
-                log = np.log10(np.where(either, gain, 0.0) + 1)
-                answered.append((row[hit], either, np.where(either, log, 0.0), np.where(word, log, np.where(either, 0.0, gain))))
-                waiting += len(gain)
-                if waiting > ANSWERS:
-                    yield summed(answered)
-                    answered, waiting = [], 0
-        if answered:
-            yield summed(answered)
-
-    asks, tells = rows.select("row", "keys").mapInArrow(releasing(ask), DEALT), joined.select("key", "gain").mapInArrow(tell, DEALT)
-    both = asks.unionByName(tells).unionByName(filters.select("part", F.lit(-1).alias("kind"), F.col("bits").alias("packed")))
-    return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(releasing(find), "row long, known long, single double, model double")
+                elif kind == 1:
+                    for one in found(part, blobs, filled, table, blob, known):
+                        for full in sums.add(*one):
+                            yield from given(*full)
+        for full in sums.rest():
+            yield from given(*full)
+
+    tells = joined.select("key", "gain").mapInArrow(tell, DEALT)
+    every = tells.unionByName(filters.select("part", F.lit(-1).alias("kind"), F.col("bits").alias("packed")))
+    both = asks.unionByName(every, allowMissingColumns=True)
+    return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(releasing(find), asks.schema)
+
+
+def finished(answers: DataFrame) -> DataFrame:
+    """The texts of ``answered`` with ``more_known``, ``more_single``, ``more_model``, the sums of their answers. A task holds the
+    texts of a group and their sums; the answers stream by. Equal texts of one id have one row; each of them has asked."""
+    shape = answers.drop("part", "kind", "packed", "row").schema
+    names = list(shape.names)
+
+    def given(texts: list[pa.RecordBatch], sums: tuple[np.ndarray, ...] | None) -> Iterator[pa.RecordBatch]:
+        for one in texts:
+            more = [np.zeros(len(one), dtype=np.int64), np.zeros(len(one)), np.zeros(len(one))]
+            if sums is not None:
+                rows, copies, *added = sums
+                at = np.searchsorted(rows, one.column("row").to_numpy())
+                more = [added[0][at] // copies[at], added[1][at] / copies[at], added[2][at] / copies[at]]
+            yield pa.RecordBatch.from_arrays([*[one.column(name) for name in names], *map(pa.array, more)], [*names, "more_known", "more_single", "more_model"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, texts, sums = -1, [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            groups, kinds = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+            cuts = (np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist()
+            for begin, until in zip([0, *cuts], [*cuts, len(groups)], strict=True):
+                if groups[begin] != group:
+                    yield from given(texts, sums)
+                    group, texts, sums = groups[begin], [], None
+                first = begin + int((kinds[begin:until] == 2).sum())
+                if first > begin:
+                    texts.append(batch.slice(begin, first - begin))
+                for blob in batch.column("packed").slice(first, until - first):
+                    if sums is None:
+                        rows, copies = np.unique(np.concatenate([one.column("row").to_numpy() for one in texts]), return_counts=True)
+                        sums = rows, copies, np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows)), np.zeros(len(rows))
+                    row, known, single, model = gathered([blob.as_buffer()], 4)
+                    # A row is in a buffer once.
+                    at = np.searchsorted(sums[0], row)
+                    sums[2][at] += known
+                    sums[3][at] += single.view(np.float64)
+                    sums[4][at] += model.view(np.float64)
+        yield from given(texts, sums)
+
+    shape = shape.add("more_known", "long").add("more_single", "double").add("more_model", "double")
+    return answers.repartition("part").sortWithinPartitions("part", F.desc("kind")).mapInArrow(releasing(run), shape)
 
 
 def _release(spark: SparkSession) -> None:
@@ -427,7 +517,8 @@ def learn(texts: DataFrame) -> tuple[tuple[DataFrame, DataFrame], dict[str, np.n
     """From ``text`` (bytes): the table of what has to be joined and that of the parts' filters, and the model's arrays.
     Runs jobs."""
     spark = texts.sparkSession
-    counted = stored(word_counts(texts))
+    folders = [new_folder(spark) for _ in range(4)]
+    counted = stored(word_counts(texts), folders[0])
     whole = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = whole["n"], whole["v"]
     common = counted.where(F.col("n") * FREQUENT >= n).toArrow()
@@ -436,14 +527,13 @@ def learn(texts: DataFrame) -> tuple[tuple[DataFrame, DataFrame], dict[str, np.n
     counts = common.column("n").to_numpy().astype(np.int64)[order]
     model = {"hashes": hashes[order], "counts": counts}
     sent = spark.sparkContext.broadcast(packed(model))
-    folder = new_folder(spark)
-    both = stored(pair_counts(texts, sent, parts_for(n)), folder)
-    pairs = both.where(F.col("h").isNotNull()).select("h", "w", "level")
+    both = stored(pair_counts(texts, sent, parts_for(n)), folders[1])
+    pairs = both.where(F.col("h").isNotNull()).select("h", "w", "level", "c")
     filters = stored(both.where(F.col("bits").isNotNull()).select("part", "bits"))
     _release(spark)
     coded = coded_counts(counted, sent)
-    priced = with_words(pairs, coded, sent)
-    found = stored(contexts(priced, coded, n + v + 1))
+    priced = with_words(pairs, coded, folders[2])
+    found = stored(contexts(priced[0].unionByName(priced[1]), coded, n + v + 1), folders[3])
     shrink, backoff = np.zeros(len(counts)), np.zeros(len(counts))
     table = found.where(F.col("h") < RARE).select("h", "shrink", "backoff").toArrow()
     at = table.column("h").to_numpy().astype(np.int64)
@@ -454,9 +544,10 @@ def learn(texts: DataFrame) -> tuple[tuple[DataFrame, DataFrame], dict[str, np.n
     filled = count_filter(after_frequent.where(F.col("level") >= base), base, entries(sizes, base))
     model |= {"backoff": backoff, "shrink": shrink, "filter": filled, "base": np.array([base]), "n": np.array([n]), "v": np.array([v])}
     _release(spark)
-    joined = stored(joined_counts(priced, coded, found, model))
-    # The shuffles of these joins and the pairs themselves are not needed beside those of the scoring.
-    emptied(both, folder)
+    joined = stored(joined_counts(*priced, coded, found, model))
+    # The shuffles of these joins and what they read are not needed beside those of the scoring.
+    for one, folder in zip((counted, both, priced[1], found), folders, strict=True):
+        emptied(one, folder)
     _release(spark)
     return (joined, filters), model
 
@@ -464,9 +555,10 @@ def learn(texts: DataFrame) -> tuple[tuple[DataFrame, DataFrame], dict[str, np.n
 def score(docs: DataFrame, joined: tuple[DataFrame, DataFrame], model: dict[str, np.ndarray]) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of ``doc_id``, ``text`` (bytes).
 
-    One pass over the texts sums what the broadcast tables know and lists the keys of what they do not; these are
-    joined to what ``learn`` returns, and the sums come back to the rows, which are numbered when they are stored.
+    One pass over the texts sums what the broadcast tables know and deals the keys of what they do not to the parts of what
+    ``learn`` returns. Texts go the same way, so that nothing of this is stored, and meet the sums of their answers.
     """
+    parts, groups = parts_for(int(model["n"][0])), max(GROUPS, -(-docs.count() // GROUP))
     sent = docs.sparkSession.sparkContext.broadcast(packed(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,7 +566,16 @@ def score(docs: DataFrame, joined: tuple[DataFrame, DataFrame], model: dict[str,
         known, filled, base = Vocabulary(arrays), arrays["filter"], int(arrays["base"][0])
         logs = np.log10(arrays["counts"] + 1.0)
         after = weights(arrays)
+        held, size, schema = [], 0, None
+
+        def asks() -> Iterator[pa.RecordBatch]:
+            keys, row = (np.concatenate(arrays) for arrays in zip(*held, strict=True))
+            for one in dealt(keys, parts, 1, [keys, row]):
+                yield widened(one, schema)
+
         for batch in batches:
+            ids = [("row", pa.int64()), ("doc_id", batch.column("doc_id").type)]
+            schema = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("packed", pa.binary()), *ids, *[(name, pa.int64()) for name in COUNTS], *[(name, pa.float64()) for name in SUMS]])
             for rows, data, offsets in slices(batch, "text"):
                 tokens = Tokens(data, offsets)
                 places = known.places(tokens.hashes)
@@ -497,21 +598,27 @@ def score(docs: DataFrame, joined: tuple[DataFrame, DataFrame], model: dict[str,
                 add = lambda x: np.add.reduceat(x, tokens.starts)
                 asked = np.stack([~frequent, ~some, ~seen & (~some | (base > 0))], axis=1)
                 keys = np.stack([np.where(seen, ~codes, codes), before ^ SIGN, pairs], axis=1)[asked]
-                ends = np.concatenate([[0], np.cumsum(add(asked.sum(axis=1)))])
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys))
-                columns = [rows.column("doc_id"), pa.array(tokens.sizes), pa.array(add(frequent.astype(np.int64))), pa.array(add(seen.astype(np.int64)))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(add(single)), pa.array(add(model_part)), lists], ["doc_id", "n_tokens", "n_frequent", "n_seen", "single", "model", "keys"])
+                row = rows.column("row").to_numpy()
+                held.append((keys, np.repeat(row, add(asked.sum(axis=1)))))
+                size += len(keys)
+                if size >= ANSWERS // 2:
+                    yield from asks()
+                    held, size = [], 0
+                to = [pa.array((mix(row.view(np.uint64)) % np.uint64(parts)).astype(np.int64)), pa.array(np.full(len(row), 2, dtype=np.int32))]
+                columns = [tokens.sizes, add(frequent.astype(np.int64)), add(seen.astype(np.int64)), add(single), add(model_part)]
+                found = [*to, rows.column("row"), rows.column("doc_id"), *map(pa.array, columns)]
+                yield widened(pa.RecordBatch.from_arrays(found, ["part", "kind", "row", "doc_id", *COUNTS, *SUMS]), schema)
+        if size:
+            yield from asks()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    summed = docs.select("doc_id", "text").mapInArrow(releasing(run), f"doc_id {kind}, n_tokens long, n_frequent long, n_seen long, single double, model double, keys array<bigint>")
-    rows = stored(summed.withColumn("row", F.monotonically_increasing_id()))
-    found = answers(rows, *joined, model)
-    found = found.groupBy("row").agg(*[F.sum(name).alias(f"more_{name}") for name in ("known", "single", "model")])
+    shape = [f"{DEALT}, row long, doc_id {kind}", *[f"{name} long" for name in COUNTS], *[f"{name} double" for name in SUMS]]
+    asked = docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(releasing(run), ", ".join(shape))
     n = int(model["n"][0])
     none = F.lit(log_total(model))
-    both = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0))
-    return rows.drop("keys").join(found, "row", "left").select(
-        "doc_id", "n_tokens", both("n_frequent", "more_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+    both = lambda own, more: F.col(own) + F.col(more)
+    return finished(answered(asked, *joined, model, groups)).select(
+        "doc_id", "n_tokens", both("n_frequent", "more_known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (both("single", "more_single") - F.col("n_tokens") * none).alias("base_score"),
         (both("model", "more_model") - (F.col("n_tokens") - F.col("n_seen")) * none).alias("score"),
     )

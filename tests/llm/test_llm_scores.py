@@ -203,6 +203,46 @@ def test_all_pairs_of_all_words_count(spark, monkeypatch, bounds):
     assert all(math.isclose(found[key], expected[key], abs_tol=1e-4) for key in found)
 
 
+def test_answers_are_added_up_before_they_leave_a_task(spark, monkeypatch):
+    """Rows from the parts follow the tasks, not what is asked, and a text asked for twice, without id, has one text's score."""
+    for name, value in {"FREQUENT": 40, "PAIRS": 10, "PART": 64, "GROUPS": 2, "ANSWERS": 256}.items():
+        monkeypatch.setattr(language_model, name, value)
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 30) if x < 500)) for k in range(150)]
+    rows += [(None, rows[0][1])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.col("text").cast("binary").alias("text"))
+    (joined, filters), model = language_model.learn(docs.where("doc_id % 4 > 0").select("text"))
+    assert model["base"][0] > 0 and filters.count() > 20
+    seen, tables = [], []
+    finished, stored = language_model.finished, language_model.stored
+    monkeypatch.setattr(language_model, "finished", lambda answers: seen.append(answers.coalesce(3)) or finished(answers))
+    monkeypatch.setattr(language_model, "stored", lambda df, *folder: tables.append(df) or stored(df, *folder))
+    found = language_model.score(docs, (joined, filters), model).collect()
+    kinds = Counter(row["kind"] for row in seen[0].collect())
+    # Without sums over the parts there are more than 20 rows for each text.
+    assert kinds[2] == len(rows) and kinds[1] < len(rows) and not tables
+    scores = {row.score for row in found if row.doc_id in (None, 0)}
+    assert len(found) == len(rows) and max(scores) - min(scores) < 1e-9
+
+
+def test_sums_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(language_model, "ANSWERS", 16)
+    rng, sums, given, expected = np.random.default_rng(2), language_model.Sums(), [], Counter()
+    for _ in range(40):
+        key, n = rng.integers(0, 30, 7), rng.integers(0, 9, 7)
+        for one in zip(key.tolist(), n.tolist(), strict=True):
+            expected[one[0]] += one[1]
+        given += sums.add(key, n)
+        assert sums.size <= 16
+    given += sums.rest()
+    found = Counter()
+    for key, n in given:
+        assert len(set(key.tolist())) == len(key) <= 16 + 7
+        for one in zip(key.tolist(), n.tolist(), strict=True):
+            found[one[0]] += one[1]
+    assert found == expected and not list(sums.rest())
+
+
 def test_bloom_filter(spark):
     items = np.random.default_rng(1).integers(-(2**62), 2**62, 20_000)
     filled = bloom.build(spark.createDataFrame([(int(x),) for x in items], "item long"), bloom.blocks_for(len(items)))
