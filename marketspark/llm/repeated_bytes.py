@@ -167,7 +167,9 @@ def _indexed(classes: DataFrame) -> DataFrame:
 
 
 def _hot_windows(classes: DataFrame) -> DataFrame:
-    """The same for anchors with very many segments, through a longer anchor."""
+    """The same for anchors with very many segments, through a longer anchor. Equal windows of a slice of segments are one row
+    with all their places, so that a window which is in every segment is joined once for each slice. A slice goes by its
+    first segment; one more row of each, without a window, has the keys of its segments."""
     length = LENGTH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,22 +179,43 @@ def _hot_windows(classes: DataFrame) -> DataFrame:
                 # With an anchor as long as a window each window that differs from its neighbour is a segment.
                 place = np.repeat(every.start, every.n) + np.arange(every.n.sum()) - np.repeat(np.cumsum(every.n) - every.n, every.n)
                 document = np.repeat(every.document, every.n)
-                taken = [rows.column(name).take(pa.array(document)) for name in ("anchor", "segment", "weight")]
+                window = np.repeat(every.anchor, every.n)
+                order = np.argsort(window, kind="stable")
+                window, document = window[order], document[order]
+                places = (document * RUN + place[order] - offsets[document]).astype(np.int32)
+                starts = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
+                anchor, segment, weight = (rows.column(name).to_numpy() for name in ("anchor", "segment", "weight"))
+                blobs = [places[begin:end].tobytes() for begin, end in zip(starts, [*starts[1:], len(places)], strict=True)]
+                one, n = document[starts], len(starts) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [*taken, pa.array((place - offsets[document]).astype(np.int32)), pa.array(np.repeat(every.anchor, every.n))],
-                    ["anchor", "segment", "weight", "place", "window"],
-                )
+                    [
+                        pa.array(np.full(n, anchor[0])), pa.array(np.full(n, segment[0])),
+                        *[pa.array(np.append(x, 0), mask=np.arange(n) == n - 1) for x in (window[starts], np.add.reduceat(weight[document], starts), anchor[one], segment[one], places[starts] % RUN)],
+                        pa.array([*blobs, np.stack([anchor, segment]).tobytes()], pa.binary()),
+                    ],
+                    ["slice_anchor", "slice_segment", "window", "weight", "anchor", "segment", "place", "places"],
+                )
 
-    windows = stored(classes.select("anchor", "segment", "weight", "bytes").mapInArrow(run, "anchor long, segment long, weight long, place int, window long"))
+    def masks(rows: pa.Table) -> pa.Table:
+        hit = rows.column("window").is_valid()
+        anchor, segment = np.frombuffer(rows.filter(pc.invert(hit)).column("places")[0].as_buffer(), dtype=np.int64).reshape(2, -1)
+        bits = np.zeros(len(anchor) * RUN, dtype=bool)
+        for blob in rows.filter(hit).column("places"):
+            bits[np.frombuffer(blob.as_buffer(), dtype=np.int32)] = True
+        found = np.packbits(bits.reshape(-1, RUN), axis=1, bitorder="little").view(np.int64)
+        some = np.flatnonzero(found.any(axis=1))
+        return pa.table([pa.array(x) for x in (anchor[some], segment[some], *found[some].T.copy())], ["anchor", "segment", *_MASK])
+
+    shape = "slice_anchor long, slice_segment long, window long, weight long, anchor long, segment long, place long, places binary"
+    sliced = stored(classes.select("anchor", "segment", "weight", "bytes").mapInArrow(run, shape))
+    windows = sliced.where("window IS NOT NULL")
     again = windows.groupBy("window").agg(F.sum("weight").alias("total"), F.min(F.struct("anchor", "segment", "place")).alias("one")).where("total > 1")
     again = again.select("window", "total", "one.*").join(classes.select("anchor", "segment", "bytes"), ["anchor", "segment"])
-    whole = again.select(F.col("window").alias("anchor"), F.col("window").alias("segment"), F.col("total").alias("weight"), F.substring("bytes", F.col("place") + 1, F.lit(length)).alias("bytes"))
+    whole = again.select(F.col("window").alias("anchor"), F.col("window").alias("segment"), F.col("total").alias("weight"), F.substring("bytes", F.col("place").cast("int") + 1, F.lit(length)).alias("bytes"))
     found = stored(_indexed(whole).select(F.col("segment").alias("window")))
-    bits = [
-        F.coalesce(F.bit_or(F.when(F.floor(F.col("place") / 64) == part, F.expr("shiftleft(1L, place % 64)"))), F.lit(0).cast("long")).alias(name)
-        for part, name in enumerate(_MASK)
-    ]
-    return windows.join(found, "window").groupBy("anchor", "segment").agg(*bits)
+    columns = ["slice_anchor", "slice_segment", "window", "places"]
+    hits = windows.join(found, "window").select(*columns).unionByName(sliced.where("window IS NULL").select(*columns))
+    return hits.groupBy("slice_anchor", "slice_segment").applyInArrow(masks, "anchor long, segment long, " + ", ".join(f"{name} long" for name in _MASK))
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:

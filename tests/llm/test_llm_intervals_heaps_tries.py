@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_fixtures import no_docs, odd_docs, odd_rows, passage  # noqa: F401
+from pyspark.sql import functions as F
 
 from marketspark.llm import centroids, prefix_trie, repeated_bytes, simhash, substrings
 from marketspark.llm.interval_expansion import repeated, sorted_suffixes
@@ -98,6 +99,25 @@ def test_repeated_bytes(spark, odd_rows, odd_docs, monkeypatch, hot):
         assert sorted(whole, key=str) == sorted(((k, kept, edges) for k, _, _, _, kept, edges in expected), key=str)
 
 
+def test_common_windows_meet_once_for_each_slice(spark, monkeypatch):
+    """A passage in very many segments is joined by slice, not by segment."""
+    common = passage(50, 60).encode()
+    assert len(common) > LENGTH + 20
+    texts = [passage(300 + k, 3).encode()[-12:] + common[: LENGTH + 20] + passage(400 + k, 3).encode()[:12] for k in range(40)]
+    rows = [(7, k, 1, text) for k, text in enumerate(texts)]
+    classes = spark.createDataFrame(rows, "anchor long, segment long, weight long, bytes binary").coalesce(1)
+    tables, stored = [], repeated_bytes.stored
+    monkeypatch.setattr(repeated_bytes, "stored", lambda df, *folder: tables.append(stored(df, *folder)) or tables[-1])
+    found = {row["segment"]: [row[name] for name in ("m0", "m1", "m2", "m3")] for row in repeated_bytes._hot_windows(classes).collect()}
+    counts = Counter(text[at : at + LENGTH] for text in texts for at in range(len(text) - LENGTH + 1))
+    for k, text in enumerate(texts):
+        bits = sum(1 << at for at in range(len(text) - LENGTH + 1) if counts[text[at : at + LENGTH]] > 1)
+        assert bits.bit_count() >= 20
+        assert [one % 2**64 for one in found[k]] == [bits >> 64 * part & (2**64 - 1) for part in range(4)]
+    each = tables[0].where("window IS NOT NULL").groupBy("window").count()
+    assert each.agg(F.max("count")).first()[0] == 1 and each.count() == len(counts)
+
+
 def test_no_texts(no_docs):
     assert repeated_bytes.digests(no_docs).isEmpty() and repeated_bytes.without_repeats(no_docs).isEmpty()
 
