@@ -49,6 +49,8 @@ PART = 1 << 19
 ANSWERS = 1 << 20
 #: Scored texts are put together in groups by hash, so many at least, of about so many texts.
 GROUPS, GROUP = 256, 1 << 17
+#: About so many asks of a part are looked up at once.
+ASKED = 1 << 17
 #: Rows of the joined table that a task deals to parts at once.
 TOLD = 1 << 18
 #: The middle of a level, as a multiple of its lower end.
@@ -214,8 +216,12 @@ def pair_counts(docs: DataFrame, vocabulary, parts: int) -> DataFrame:
             for _, data, offsets in slices(batch, "text"):
                 tokens = Tokens(data, offsets)
                 h, w = known.neighbours(tokens, known.places(tokens.hashes))
-                pairs, first, counts = np.unique(pair_ids(h, w), return_index=True, return_counts=True)
-                yield from dealt(pairs, parts, 0, [h[first], w[first], counts.astype(np.int64)])
+                pairs = pair_ids(h, w)
+                order = np.argsort(pairs)
+                pairs = pairs[order]
+                starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+                first = order[starts]
+                yield from dealt(pairs[starts], parts, 0, [h[first], w[first], np.diff(np.append(starts, len(pairs)))])
 
     def count(rows: pa.Table) -> pa.Table:
         h, w, n = gathered([blob.as_buffer() for blob in rows.column("packed")], 3)
@@ -399,14 +405,14 @@ def answered(asks: DataFrame, joined: DataFrame, filters: DataFrame, model: dict
             key, gain = (column.to_numpy() for column in some.columns)
             yield from dealt(key, parts, 0, [key, gain.view(np.int32).astype(np.int64)])
 
-    def found(part: int, blobs: list, filled: np.ndarray | None, table: list, blob, arrays: tuple) -> Iterator[tuple[np.ndarray, ...]]:
+    def found(asking: list, blobs: list, filled: np.ndarray | None, table: list, arrays: tuple) -> Iterator[tuple[np.ndarray, ...]]:
         logs, after, backoff = arrays
         if not table:
             keys, bits = gathered(blobs, 2)
             order = np.argsort(keys)
             table += [keys[order], bits[order].astype(np.int32).view(np.float32).astype(np.float64)]
             blobs.clear()
-        asked, row = gathered([blob.as_buffer()], 2)
+        asked, row = gathered(asking, 2)
         both = (asked >= 0) & (asked < MIXED)
         if filled is not None and both.any():
             pairs = asked[both]
@@ -431,12 +437,21 @@ def answered(asks: DataFrame, joined: DataFrame, filters: DataFrame, model: dict
         arrays = unpacked(sent.value)
         known = np.log10(arrays["counts"] + 1.0), weights(arrays), arrays["backoff"]
         part, blobs, table, filled = -1, [], [], None
+        asking, size = [], 0
         sums, schema = Sums(), None
 
         def given(row: np.ndarray, count: np.ndarray, single: np.ndarray, gain: np.ndarray) -> Iterator[pa.RecordBatch]:
             for one in dealt(row, groups, 1, [row, count, single.view(np.int64), gain.view(np.int64)]):
                 yield widened(one, schema)
 
+        def told() -> Iterator[pa.RecordBatch]:
+            nonlocal asking, size
+            if size:
+                for one in found(asking, blobs, filled, table, known):
+                    for full in sums.add(*one):
+                        yield from given(*full)
+            asking, size = [], 0
+
         for batch in batches:
             schema, kinds = batch.schema, batch.column("kind").to_numpy()
             if (kinds == 2).any():
@@ -445,15 +460,19 @@ def answered(asks: DataFrame, joined: DataFrame, filters: DataFrame, model: dict
                 yield texts.set_column(schema.get_field_index("part"), schema.field("part"), pa.array(group.astype(np.int64)))
             for own, kind, blob in zip(batch.column("part").to_pylist(), kinds.tolist(), batch.column("packed"), strict=True):
                 if own != part:
+                    yield from told()
                     part, blobs, table, filled = own, [], [], None
                 if kind < 0:
                     filled = np.frombuffer(blob.as_buffer(), dtype=np.uint8)
                 elif kind == 0:
                     blobs.append(blob.as_buffer())
                 elif kind == 1:
-                    for one in found(part, blobs, filled, table, blob, known):
-                        for full in sums.add(*one):
-                            yield from given(*full)
+                    asking.append(blob.as_buffer())
+                    size += len(asking[-1]) // 16
+                    if size >= ASKED:
+                        yield from told()
+            # What is held of a batch goes with it.
+            yield from told()
         for full in sums.rest():
             yield from given(*full)
 

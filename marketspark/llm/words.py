@@ -20,8 +20,6 @@ SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -81,9 +79,9 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
         if lower:
-            data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+            data = data + ((data - np.uint8(65)) < 26).view(np.uint8) * np.uint8(32)
         self.data, self.offsets = data, offsets
-        inside = ~_IS_SPACE[data]
+        inside = (data != 0x20) & ((data - np.uint8(0x09)) > 0x0D - 0x09)
         starts = inside.copy()
         starts[1:] &= ~inside[:-1]
         ends = inside.copy()
@@ -112,7 +110,9 @@ class Words:
         """The hash of each word, or of its first bytes."""
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _power("base", _BASE, len(self.data)), out=self._sums[1:])
+            own = np.add(self.data, 1, dtype=np.uint64)
+            np.multiply(own, _power("base", _BASE, len(self.data)), out=own)
+            np.cumsum(own, out=self._sums[1:])
         ends = self.ends if prefix is None else np.minimum(self.ends, self.starts + prefix)
         if not len(self):
             return np.zeros(0, dtype=np.uint64)
