@@ -95,7 +95,8 @@ def near_pairs(distinct: DataFrame, max_bits: int = MAX_BITS, node: str = "node"
     each pair once. Takes one row per fingerprint.
 
     A pair meets in several variants where a whole segment agrees; it is reported in the first of them, so that
-    no step behind the join has to remove repeats. Spark splits the rows of a variant that many share.
+    no step behind the join has to remove repeats. Spark splits the rows of a variant that many share. It takes the
+    variants for as many rows as there are fingerprints, so the join is told not to broadcast them.
     """
     if max_bits <= 0:
         return distinct.select(F.col(node).alias("a"), F.col(node).alias("b")).limit(0)
@@ -116,7 +117,7 @@ def near_pairs(distinct: DataFrame, max_bits: int = MAX_BITS, node: str = "node"
         earlier = earlier & (F.bit_count(own) > 1)
     on = (F.col("left.slot") == F.col("right.slot")) & (F.col("left.variant") == F.col("right.variant"))
     on = on & (F.col("bits_a") < F.col("bits_b")) & (F.bit_count(differing) <= max_bits) & first
-    return left.alias("left").join(right.alias("right"), on).select("a", "b")
+    return left.alias("left").hint("merge").join(right.alias("right").hint("merge"), on).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

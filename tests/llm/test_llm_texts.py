@@ -10,10 +10,11 @@ import public_tokenizers
 import pytest
 import xxhash
 from llm_fixtures import no_docs, odd_docs, odd_rows, passage  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketspark.llm import bpe, pieces, simhash, substrings, token_files
-from marketspark.sources.scratch import new_folder
+from marketspark.sources.scratch import new_folder, stored
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -133,6 +134,15 @@ def test_simhash_chain_and_many_copies(spark):
     assert found == Counter(frozenset((a, b)) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3)
 
 
+def test_variants_are_not_broadcast(spark):
+    """A table of fingerprints is 64 times its size once it is exploded, which Spark's estimate leaves out."""
+    distinct = spark.range(1000).select(F.xxhash64("id").alias("bits"))
+    pairs = simhash.near_pairs(stored(distinct).select(F.col("bits").alias("node"), "bits"))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_first_of_groups_keeps_columns(odd_docs, odd_rows):
     found = simhash.first_of_groups(odd_docs)
     assert found.columns == odd_docs.columns
