@@ -2,7 +2,7 @@
 
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
@@ -13,6 +13,11 @@ TASK_ROWS = 1 << 17
 _INSIDE = (1 << 33) - 1
 
 
+def row_inside() -> Column:
+    """The place of a row in its partition, as it lies there."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit(_INSIDE))
+
+
 def ranged(df: DataFrame, order, rows: int) -> DataFrame:
     """The rows with ``_row``, which ascends in ``order``, and ``_part``, the first ``_row`` of their range; ranges follow each
     other in ``order`` and hold at most ``rows`` rows, or about that many where a range is as long as a task's rows.

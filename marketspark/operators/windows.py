@@ -1,16 +1,20 @@
 """Per-key ordered operators: lag, last-wins, newest n, look-back reads, splitting of long series."""
 
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numeric import half_up, safe_div
+from ..sources.scratch import stored
+from .combine import union_sources
 from .projections import unused
-from .ranges import ranged
+from .ranges import ranged, row_inside
 
-#: Rows that a range of long series holds at least, so that short runs do not make tiny tasks.
+#: Rows that a range of long series holds at least, so that short runs do not make tiny tasks. Shorter series stay in one task.
 RANGE_ROWS = 1 << 17
 
 
@@ -81,25 +85,14 @@ def with_look_back(df: DataFrame, start, rows: int, by=("ticker",), order: str =
     return earlier.unionByName(df.filter(F.col(order) >= bound))
 
 
-def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), order: str = "date") -> DataFrame:
-    """Cut long series into runs so that no window task holds more than ``max_rows + look_back`` rows.
+def _long_series(df: DataFrame, rows: int, by) -> DataFrame:
+    """Keys of the series with more than ``rows`` rows, at most one for so many rows of the table. Runs a job, which reads no other column."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    return stored(sizes.filter(F.col("_rows") > rows).select(*by))
 
-    Adds ``_run`` (number of the run) and ``_lead``. A run is led by copies of the
-    ``look_back`` rows before it, marked ``_lead``; windows over ``(*by, _run)`` that look back no
-    further than that give exactly the values of windows over ``by``. Drop the lead rows afterwards.
 
-    Rows are dealt to ranges of key, time and row, in which they have their place, and a run is so many rows of that order: a series
-    is cut wherever it is long, be it on one day, and a run that holds several short series is one of each. Where a range starts is told by
-    the sizes of those before it. Runs jobs; one number per range reaches the driver.
-    """
-    if max_rows < look_back:
-        raise ValueError("max_rows must not be smaller than look_back")
-    columns = df.columns
-    dealt = ranged(df, [*by, order], max(max_rows, RANGE_ROWS))
-    sizes = sorted(dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).collect())
-    before = accumulate((rows for _, rows in sizes), initial=0)
-    starts = df.sparkSession.createDataFrame([(part, start) for (part, _), start in zip(sizes, before)], "_part bigint, _before bigint")
-    placed = dealt.join(F.broadcast(starts), "_part").withColumn("_at", F.col("_before") + F.col("_row") - F.col("_part"))
+def _in_runs(placed: DataFrame, columns, max_rows: int, look_back: int) -> DataFrame:
+    """Rows with their place ``_at`` in runs of ``max_rows``, each led by copies of the ``look_back`` rows before it."""
     run = F.floor(F.col("_at") / max_rows)
 
     def copy(number, lead):
@@ -110,6 +103,42 @@ def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), o
     return placed.select(*columns, F.inline(copies))
 
 
+def _split(df: DataFrame, max_rows: int, look_back: int, by, order: str) -> list[DataFrame]:
+    """The runs of series that a task can sort, and of longer ones, if there are any: frames without a key in common."""
+    if max_rows < look_back:
+        raise ValueError("max_rows must not be smaller than look_back")
+    columns, rows = df.columns, max(max_rows, RANGE_ROWS)
+    keys, short, parts = _long_series(df, rows, by), df, []
+    if not keys.isEmpty():
+        named = F.broadcast(keys.select(*[F.col(name).alias(f"_long_{name}") for name in by]))
+        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_long_{name}")) for name in by])
+        short = df.join(named, same, "left_anti")
+        dealt = ranged(df.join(named, same, "left_semi"), [*by, order], rows)
+        sizes = sorted(dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).collect())
+        before = accumulate((rows for _, rows in sizes), initial=0)
+        starts = df.sparkSession.createDataFrame([(part, start) for (part, _), start in zip(sizes, before)], "_part bigint, _before bigint")
+        placed = dealt.join(F.broadcast(starts), "_part").withColumn("_at", F.col("_before") + F.col("_row") - F.col("_part"))
+        parts.append(_in_runs(placed, columns, max_rows, look_back))
+    # Rows keep their partitioning by series, so that windows over the runs need no shuffle of the copies.
+    gathered = short.repartition(*by).sortWithinPartitions(*by, order, F.xxhash64(*columns)).withColumn("_at", row_inside())
+    return [_in_runs(gathered, columns, max_rows, look_back), *parts]
+
+
+def split_series(df: DataFrame, max_rows: int, look_back: int, by=("ticker",), order: str = "date") -> DataFrame:
+    """Cut long series into runs so that no window holds more than ``max_rows + look_back`` rows.
+
+    Adds ``_run`` (number of the run) and ``_lead``. A run is led by copies of the
+    ``look_back`` rows before it, marked ``_lead``; windows over ``(*by, _run)`` that look back no
+    further than that give exactly the values of windows over ``by``. Drop the lead rows afterwards.
+
+    A run is so many rows in the order of key, time and row, and a run that holds several short series is one of each. Series are dealt
+    to tasks by key and cut there. Those of over ``RANGE_ROWS`` rows are dealt to ranges of that order, so that a series
+    is cut wherever it is long, be it on one day; where a range starts is told by
+    the sizes of those before it. Runs jobs: ``df`` is counted by key; of ranges one number each reaches the driver.
+    """
+    return union_sources(*_split(df, max_rows, look_back, by, order))
+
+
 def over_series(df: DataFrame, compute, look_back: int, max_rows: int | None = None, by=("ticker",), order: str = "date") -> DataFrame:
     """``compute(df, by)``, whose windows run over ``by`` and look back at most ``look_back`` rows.
 
@@ -117,5 +146,5 @@ def over_series(df: DataFrame, compute, look_back: int, max_rows: int | None = N
     """
     if max_rows is None:
         return compute(df, tuple(by))
-    cut = split_series(df, max_rows, look_back, by, order)
-    return compute(cut, (*by, "_run")).filter(~F.col("_lead")).drop("_run", "_lead")
+    parts = _split(df, max_rows, look_back, by, order)
+    return union_sources(*[compute(cut, (*by, "_run")).filter(~F.col("_lead")).drop("_run", "_lead") for cut in parts])

@@ -163,6 +163,21 @@ def test_split_series_over_many_ranges(spark, monkeypatch, rows):
     assert dealt.agg(F.max("count")).first()[0] <= 2 * rows
 
 
+def test_runs_of_short_series_share_one_shuffle(make_bars):
+    """Series that a task can sort are cut there: neither they nor the copies that lead their runs are stored, ranged or dealt again."""
+    plan = gold(make_bars({"A": walk(700, 18), "B": walk(30, 19)}), max_rows=200)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange hashpartitioning(ticker" in plan
+
+
+def test_split_series_of_both_kinds(spark, make_bars, monkeypatch):
+    """Series for ranges, the one without a ticker among them, beside series for one task."""
+    monkeypatch.setattr(wn, "RANGE_ROWS", 300)
+    bars = make_bars({"A": walk(750, 20), "B": walk(290, 21), "C": walk(400, 22), "D": walk(5, 23)})
+    bars = bars.withColumn("ticker", F.nullif("ticker", F.lit("C")))
+    split = gold(bars, max_rows=200)
+    assert split.count() == 1445 and gold(bars).exceptAll(split).isEmpty()
+
+
 def test_since_reads_only_the_look_back(make_bars):
     bars = make_bars({"A": walk(500, 10), "B": walk(30, 11)})
     whole = gold(bars).filter(F.col("date") >= F.lit("2025-01-01").cast("timestamp_ntz"))
