@@ -8,7 +8,7 @@ from conftest import TINY
 from test_llm_texts import fingerprint, groups, kept_words
 
 import corpus_pipeline
-from marketspark.llm import toxicity
+from marketspark.llm import simhash, toxicity
 from marketspark.llm.training import remainder
 from marketspark.sources.scratch import stored
 
@@ -46,6 +46,20 @@ def test_simhash(stages):
     assert Counter(rows(stages["simhash_near_dedup"])) == Counter(row for row in before if first[row[0]] == row[0])
 
 
+def test_simhash_stage_broadcasts_no_variants(spark, monkeypatch):
+    """Spark's estimate of the exploded fingerprints leaves out that they are exploded."""
+    joins, pairs = [], simhash.near_pairs
+
+    def seen(*args, **options):
+        joins.append(pairs(*args, **options))
+        return joins[-1]
+
+    monkeypatch.setattr(simhash, "near_pairs", seen)
+    assert corpus_pipeline.simhash_stage(spark, spark.read.parquet(f"{TINY}/documents.parquet"), TINY).count()
+    plan = joins[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_substrings(stages):
     before = rows(stages["simhash_near_dedup"])
     words = {row[0]: (row[1] or "").encode().split() for row in rows(stages["substring_dedup"])}
