@@ -314,3 +314,11 @@ def test_scratch_without_a_shared_folder():
     assert scratch.new_folder(local) != scratch.new_folder(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_root(_Unset("spark://cluster:7077"))
+
+
+def test_price_layers_are_packed(spark, make_bars, tmp_path):
+    bars = make_bars({"A": [1.0, 2.0]}).withColumn("data_source", F.lit("feed"))
+    for write, name in ((writers.write_bronze_prices, "bronze"), (writers.write_silver, "silver"), (writers.write_gold, "gold")):
+        write(bars, f"{tmp_path}/{name}")
+        files = [path.name for path in (tmp_path / name).rglob("*.parquet")]
+        assert files and all(path.endswith(".zstd.parquet") for path in files)
