@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from marketspark.operators import indicators as ind
 from marketspark.operators import quality as q
+from marketspark.operators.windows import with_look_back
 from marketspark.plans import incremental
 from marketspark.plans.clean import clean_prices
-from marketspark.plans.indicators import add_indicators
+from marketspark.plans.indicators import LOOKED_BACK_ON, add_indicators
 from marketspark.sources import writers
 
 
@@ -112,3 +113,19 @@ def test_only_bronze_is_dealt_by_year(spark, tmp_path, monkeypatch):
     lake.refresh(first)
     assert ["RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString() for df in plans] == [True, False, False]
     same(lake, first)
+
+
+def test_layers_are_packed_and_look_back_is_narrow(spark, tmp_path):
+    """Layers take less space than with snappy, and rows that are only looked back on bring no other columns into the shuffle."""
+    lake = incremental.Lake(spark, str(tmp_path), "feed", ("arrival",))
+    first = bars(spark, {"A": [1.0 + n for n in range(80)], "B": [5.0, 6.0]})
+    lake.refresh(first)
+    files = [path.name for layer in ("bronze", "silver", "gold") for path in (tmp_path / layer).rglob("*.parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    silver = lake.read("silver").drop("year")
+    last = silver.agg(F.max("date")).first()[0]
+    rows = with_look_back(silver, last, 5, columns=LOOKED_BACK_ON)
+    assert rows.columns == silver.columns
+    earlier = rows.filter(F.col("date") < F.lit(last))
+    assert earlier.filter("close IS NOT NULL AND typical_price IS NOT NULL").count() == earlier.count() > 0
+    assert earlier.filter("open IS NOT NULL OR data_source IS NOT NULL").isEmpty()
